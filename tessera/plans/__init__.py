@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("kpi",)
+MODULES = ("kpi", "rtp")
 
 
 def registry() -> tuple[dict, dict]:
