@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("kpi", "rtp")
+MODULES = ("kpi", "rtp", "quality")
 
 
 def registry() -> tuple[dict, dict]:
