@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("kpi", "rtp", "quality")
+MODULES = ("kpi", "rtp", "quality", "reports")
 
 
 def registry() -> tuple[dict, dict]:
