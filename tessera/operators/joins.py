@@ -96,3 +96,22 @@ def membership_flag(df: DataFrame, col: str, codes: DataFrame, code_col: str, na
                                  .withColumn("_hit", F.lit(True)))
     joined = df.join(code_set, df[col] == code_set["_code"], "left")
     return joined.withColumn(name, F.coalesce(F.col("_hit"), F.lit(False))).drop("_code", "_hit")
+
+
+def reconcile(a: DataFrame, b: DataFrame, key_a: str, key_b: str, order_a: str, order_b: str,
+              empty_guard: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Keys present on one side only, after keeping the last row per key
+    on each side (by the given order column, "last write wins").
+
+    With ``empty_guard`` (the source's behaviour) nothing is reported when
+    either side is empty; the check is a bounded ``isEmpty`` probe.
+    """
+    from .windows import keep_last
+
+    last_a = keep_last(a, [key_a], order_a)
+    last_b = keep_last(b, [key_b], order_b)
+    only_a = last_a.join(last_b.select(F.col(key_b).alias("_k")), F.col(key_a) == F.col("_k"), "left_anti")
+    only_b = last_b.join(last_a.select(F.col(key_a).alias("_k")), F.col(key_b) == F.col("_k"), "left_anti")
+    if empty_guard and (a.isEmpty() or b.isEmpty()):
+        return only_a.limit(0), only_b.limit(0)
+    return only_a, only_b
