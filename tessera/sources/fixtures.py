@@ -196,6 +196,16 @@ SELECT lpad(cast(c_custkey AS string), 11, '0') AS row_key, c_name AS company_na
 FROM {d.t('customer')}"""
 
 
+def _ec_config(d: Dialect) -> str:
+    # Historic institution configuration table (the last-resort source).
+    return f"""
+SELECT lpad(cast(c_custkey AS string), 11, '0') AS row_key,
+  CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE concat('H', cast(c_custkey AS string)) END AS hist_catasto,
+  lpad(cast(c_custkey % 1000 AS string), 6, '0') AS hist_istat,
+  concat('hist', cast(c_custkey AS string), '@example.org') AS hist_email
+FROM {d.t('customer')}"""
+
+
 def _maintenance(d: Dialect) -> str:
     return f"""
 SELECT o_orderkey AS maintenance_id, concat('BRK', lpad(cast(o_custkey % 25 AS string), 2, '0')) AS broker_code,
@@ -238,6 +248,7 @@ _FIXTURES = {
     "agreement_base": _agreement_base,
     "iban_rank": _iban_rank,
     "institution": _institution,
+    "ec_config": _ec_config,
     "maintenance": _maintenance,
     "incident": _incident,
     "status_report": _status_report,
