@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("kpi", "rtp", "quality", "reports", "reconcile", "config")
+MODULES = ("kpi", "rtp", "quality", "reports", "reconcile", "config", "codecs")
 
 
 def registry() -> tuple[dict, dict]:
