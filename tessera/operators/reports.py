@@ -98,17 +98,11 @@ def _digit(code: Column, i: int) -> Column:
 
 def vat_valid(code: Column) -> Column:
     """11 digits whose last digit is the Luhn-style check digit."""
-    total = None
-    for i in range(10):
-        d = _digit(code, i)
-        term = d if i % 2 == 0 else F.when(d * 2 > 9, d * 2 - 9).otherwise(d * 2)
-        total = term if total is None else total + term
-    check = (F.lit(10) - total % 10) % 10
-    return F.coalesce(code.rlike(VAT_PATTERN) & (check == _digit(code, 10)), F.lit(False))
+    return F.coalesce(code.rlike(VAT_PATTERN) & (vat_check_digit(code) == _digit(code, 10)), F.lit(False))
 
 
-def fiscal_code_valid(code: Column) -> Column:
-    """Personal tax code shape plus check character."""
+def fiscal_check_char(code: Column) -> Column:
+    """Check character of the first 15 characters of a personal tax code."""
     odd = F.array(*[F.lit(v) for v in FISCAL_ODD_VALUES])
     total = None
     for i in range(15):
@@ -118,9 +112,23 @@ def fiscal_code_valid(code: Column) -> Column:
         else:
             term = F.when(pos <= 10, pos - 1).otherwise(pos - 11)
         total = term if total is None else total + term
-    check = F.substring(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), total % 26 + 1, 1)
+    return F.substring(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), total % 26 + 1, 1)
+
+
+def fiscal_code_valid(code: Column) -> Column:
+    """Personal tax code shape plus check character."""
     shape = code.rlike(FISCAL_CODE_PATTERN)
-    return F.coalesce(shape & (check == F.substring(code, 16, 1)), F.lit(False))
+    return F.coalesce(shape & (fiscal_check_char(code) == F.substring(code, 16, 1)), F.lit(False))
+
+
+def vat_check_digit(code: Column) -> Column:
+    """Check digit of the first 10 digits of a VAT number."""
+    total = None
+    for i in range(10):
+        d = _digit(code, i)
+        term = d if i % 2 == 0 else F.when(d * 2 > 9, d * 2 - 9).otherwise(d * 2)
+        total = term if total is None else total + term
+    return (F.lit(10) - total % 10) % 10
 
 
 def code_validity(pp: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("kpi", "rtp", "quality", "reports", "reconcile", "config", "codecs")
+MODULES = ("kpi", "rtp", "quality", "reports", "reconcile", "config", "codecs", "corpus")
 
 
 def registry() -> tuple[dict, dict]:
