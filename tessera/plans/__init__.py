@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("kpi", "rtp", "quality", "reports", "reconcile", "config", "codecs", "corpus", "stages")
+MODULES = ("kpi", "rtp", "quality", "reports", "reconcile", "config", "codecs", "corpus", "stages", "streams")
 
 
 def registry() -> tuple[dict, dict]:
