@@ -6,9 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------- fixed values
-# Namespace-prefix stripping applied before XML parsing (closing tags first).
-NS_CLOSE_PATTERN = r"</.{0,10}?:"
-NS_OPEN_PATTERN = r"<.{0,10}?:"
+# Namespace prefixes (up to ten name characters before ':') removed from
+# opening and closing tags before XML parsing.
+NS_PREFIX_PATTERN = r"<(/?)[A-Za-z_][A-Za-z0-9_.-]{0,9}:"
 # Tag that wraps the base64 body of a reporting flow.
 FLOW_BODY_TAG = "xmlRendicontazione"
 # ------------------------------------------------------------------------------
@@ -24,7 +24,8 @@ def text_b64(col: Column) -> Column:
 
 
 def strip_namespaces(xml: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(xml, NS_CLOSE_PATTERN, "</"), NS_OPEN_PATTERN, "<")
+    """One pass over the document: ``<ns:tag`` → ``<tag``, ``</ns:tag`` → ``</tag``."""
+    return F.regexp_replace(xml, NS_PREFIX_PATTERN, "<$1")
 
 
 def parse_xml(xml: Column, schema: str) -> Column:
