@@ -19,17 +19,39 @@ DEC = "decimal(38,0)"
 
 
 def overlap_adjacent(df: DataFrame, owner: str = "abi", lo: str = "low_range", hi: str = "high_range",
-                     key: str = "row_key") -> DataFrame:
+                     key: str = "row_key", rows_per_bucket: int = 100_000) -> DataFrame:
     """Per owner, ranges sorted by start (then key); report consecutive
     pairs where the first ends at or after the second starts. Only adjacent
-    pairs are compared, as in the source (contained ranges can be missed)."""
-    w = Window.partitionBy(owner).orderBy(F.col(lo), F.col(key))
-    nxt = df.select(
-        owner, F.col(key).alias("a_key"), F.col(lo).alias("a_low"), F.col(hi).alias("a_high"),
-        F.lead(F.struct(F.col(key).alias("k"), F.col(lo).alias("l"), F.col(hi).alias("h"))).over(w).alias("_b"))
-    return nxt.where(F.col("_b").isNotNull() & (F.col("a_high") >= F.col("_b.l"))).select(
-        owner, "a_key", "a_low", "a_high", F.col("_b.k").alias("b_key"), F.col("_b.l").alias("b_low"),
-        F.col("_b.h").alias("b_high"))
+    pairs are compared, as in the source (contained ranges can be missed).
+
+    Skew-safe: ranges are sorted inside (owner, start-bucket) windows, so an
+    owner holding a third of all ranges is spread over many tasks; the pair
+    that crosses a bucket boundary (last range of a bucket, first range of the
+    owner's next non-empty bucket) comes from a per-bucket summary that has
+    one row per bucket. Bucket width targets ``rows_per_bucket`` ranges.
+    """
+    stats = df.agg(F.min(lo).alias("a"), F.max(lo).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    span = int((stats["b"] or 0) - (stats["a"] or 0)) + 1
+    n_buckets = max(1, -(-int(stats["n"] or 0) // rows_per_bucket))
+    width = max(1, -(-span // n_buckets))
+    start = F.lit(int(stats["a"] or 0)).cast(DEC)
+    ranged = df.select(
+        owner, F.col(key).alias("_k"), F.col(lo).alias("_lo"), F.col(hi).alias("_hi"),
+        ((F.col(lo) - start) / F.lit(width)).cast("long").alias("_b"))
+
+    def pairs(frame: DataFrame, a: str, b: str) -> DataFrame:
+        return frame.where(F.col(b).isNotNull() & (F.col(f"{a}.h") >= F.col(f"{b}.l"))).select(
+            owner, F.col(f"{a}.k").alias("a_key"), F.col(f"{a}.l").alias("a_low"), F.col(f"{a}.h").alias("a_high"),
+            F.col(f"{b}.k").alias("b_key"), F.col(f"{b}.l").alias("b_low"), F.col(f"{b}.h").alias("b_high"))
+
+    row = F.struct(F.col("_k").alias("k"), F.col("_lo").alias("l"), F.col("_hi").alias("h"))
+    inside = ranged.select(owner, row.alias("cur"), F.lead(row).over(
+        Window.partitionBy(owner, "_b").orderBy("_lo", "_k")).alias("nxt"))
+    order = F.struct("_lo", "_k")
+    ends = ranged.groupBy(owner, "_b").agg(F.min_by(row, order).alias("first"), F.max_by(row, order).alias("last"))
+    across = ends.select(owner, F.col("last").alias("cur"), F.lead("first").over(
+        Window.partitionBy(owner).orderBy("_b")).alias("nxt"))
+    return pairs(inside, "cur", "nxt").unionByName(pairs(across, "cur", "nxt"))
 
 
 def _bucket_width(df: DataFrame, lo: str, hi: str) -> tuple[int, int]:

@@ -97,6 +97,19 @@ def test_adjacent_overlap_misses_contained_range(spark):
     assert pairs == [(1, 2)]                     # (1, 3) overlaps too but is not adjacent
 
 
+def test_adjacent_overlap_bucketed_equals_single_window(spark):
+    rnd = random.Random(11)
+    data = [(k, "HOT" if k % 3 else f"A{k % 5}", lo, lo + rnd.choice([3, 30, 300]))
+            for k, lo in enumerate(rnd.randrange(0, 20_000) for _ in range(600))]
+    df = spark.createDataFrame(data, "row_key int, abi string, low_range long, high_range long")
+    got = rows(ranges.overlap_adjacent(df, rows_per_bucket=25), "abi", "a_key", "b_key")
+    want = []
+    for owner in {d[1] for d in data}:
+        srt = sorted((d for d in data if d[1] == owner), key=lambda d: (d[2], d[0]))
+        want += [(owner, a[0], b[0]) for a, b in zip(srt, srt[1:]) if a[3] >= b[2]]
+    assert got == sorted(want)
+
+
 def test_cross_overlap_matches_brute_force_with_wide_ranges(spark):
     rnd = random.Random(7)
     data = []
