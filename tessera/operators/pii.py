@@ -33,6 +33,17 @@ PII_STEPS = (
      "bounded"),
     ("PHONE_NUMBER", r"\+[0-9]{1,3} ?\(?[0-9]{2,4}\)?[ -]?[0-9]{3}[ -]?[0-9]{3,4}", "none"),
 )
+# Necessary conditions per entity: a text failing its guard cannot contain the
+# entity, so the step's extraction and validation are skipped for it.
+GUARDS = {
+    "EMAIL_ADDRESS": ("contains", "@"),
+    "IBAN_CODE": ("contains", "IT"),
+    "CREDIT_CARD": ("rlike", "[0-9]{13}"),
+    "IT_FISCAL_CODE": ("rlike", "[A-Z]{6}[0-9LMNPQRSTUV]{2}[ABCDEHLMPRST]"),
+    "IT_VAT_CODE": ("rlike", "[0-9]{11}"),
+    "IT_VEHICLE_PLATE": ("rlike", "[A-Z]{2}[0-9]{2}|[0-9]{2}[A-Z]{2}"),
+    "PHONE_NUMBER": ("contains", "+"),
+}
 # Entities masked (trailing characters → '*') instead of replaced in mask mode.
 MASKED = {"IT_VEHICLE_PLATE": 2, "IT_FISCAL_CODE": 10}
 PII_ENTITIES = tuple(step[0] for step in PII_STEPS)
@@ -62,8 +73,17 @@ def _replacement(entity: str, mode: str, match: Column) -> Column:
     return F.concat(F.substring(match, 1, keep), F.repeat(F.lit("*"), F.length(match) - keep))
 
 
+def _guard(text: Column, entity: str) -> Column:
+    how, arg = GUARDS[entity]
+    return text.contains(arg) if how == "contains" else text.rlike(arg)
+
+
 def redact_step(text: Column, entity: str, pattern: str, kind: str, mode: str = "replace") -> Column:
-    """One entity of the chain applied to ``text``."""
+    """One entity of the chain applied to ``text`` (skipped when its guard fails)."""
+    return F.when(_guard(text, entity), _redact_step(text, entity, pattern, kind, mode)).otherwise(text)
+
+
+def _redact_step(text: Column, entity: str, pattern: str, kind: str, mode: str) -> Column:
     if kind == "none" and entity not in MASKED:
         return F.regexp_replace(text, pattern, f"<{entity}>")
     # Candidates between boundaries, validated, then each replaced.
