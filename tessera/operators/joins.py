@@ -51,6 +51,29 @@ def semi_waterfall(pp: DataFrame, po: DataFrame, t: DataFrame, category_pattern:
     return pp_final, po_final, t_final
 
 
+def waterfall_options(pp: DataFrame, po: DataFrame, t: DataFrame, category_pattern: str,
+                      excluded_iupd: str, statuses: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """C3 in one pass: the final options with their position's columns, and the
+    qualifying transfers. An option is final iff it has a qualifying transfer
+    and a qualifying position, so ``po ⋈ pp_ok ⋉ t_ok`` equals the waterfall's
+    ``po_final ⋈ pp_final`` without recomputing the intermediate sets."""
+    t_ok = t.where(F.col("category").rlike(category_pattern))
+    pp_ok = pp.where(~F.col("iupd").like(excluded_iupd) & F.col("status").isin(list(statuses)))
+    with_pp = po.join(pp_ok, po.payment_position_id == pp_ok.pp_id, "inner")
+    final = with_pp.join(t_ok.select("payment_option_id"), F.col("po_id") == F.col("payment_option_id"), "left_semi")
+    return final, t_ok
+
+
+def partner_match(opts: DataFrame, rpt: DataFrame, match: str = "prefix") -> DataFrame:
+    """C2 key join only: options ⋈ checked-broadcast partner registry on the IUV prefix."""
+    dim = checked_broadcast(rpt.withColumn("seg_key", pad2("segregazione")))
+    o = opts.withColumn("iuv_prefix", prefix2("iuv"))
+    cond = o.iuv_prefix == dim.seg_key
+    if match == "prefix+domain":
+        cond = cond & (o.organization_fiscal_code == dim.id_dominio)
+    return o.join(dim, cond, "inner")
+
+
 def partner_join(po: DataFrame, pp: DataFrame, rpt: DataFrame, match: str = "prefix") -> DataFrame:
     """Options ⋈ partner registry on ``substr(iuv,1,2) = lpad(segregazione,2,'0')``, then ⋈ positions.
 

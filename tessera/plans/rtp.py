@@ -44,9 +44,12 @@ def waterfall(spark, sf_dir):
 
 
 def core(spark, sf_dir):
-    pp_final, po_final, t_final = waterfall(spark, sf_dir)
+    """Final options with their positions, joined to the partner registry, and
+    the qualifying transfers (one pass over each input)."""
+    pp, po, t = inputs(spark, sf_dir)
+    final, t_ok = joins.waterfall_options(pp, po, t, CATEGORY_PATTERN, EXCLUDED_IUPD, OPEN_STATUSES)
     rpt = fixture(spark, sf_dir, "partner_report")
-    return joins.partner_join(po_final, pp_final, rpt), t_final
+    return joins.partner_match(final, rpt), t_ok
 
 
 def q_cdc_unwrap(spark, sf_dir):
@@ -114,8 +117,10 @@ def q_top2_orgs(spark, sf_dir):
 def service_totals(spark, sf_dir):
     """Sum of transfer amounts per (partner, category) over the joined core
     (rows multiplied by the partner fan-out, as the source computes them)."""
-    c, t_final = core(spark, sf_dir)
-    services = c.join(t_final, c.po_id == t_final.payment_option_id, "left")
+    c, t_ok = core(spark, sf_dir)
+    # every final option has at least one qualifying transfer: the left join of
+    # the source is an inner join with the qualifying transfers
+    services = c.join(t_ok, c.po_id == t_ok.payment_option_id, "inner")
     return services.groupBy("id_intermediario_pa", "category").agg(F.sum("amount").alias("totale_importi"))
 
 
