@@ -65,3 +65,27 @@ def upsert(spark: SparkSession, target_path: str, updates: DataFrame, keys: Sequ
     new_path = scratch_dir(spark, "upsert-version")
     upsert_frame(target, updates, keys, order_col).write.mode("errorifexists").format(fmt).save(new_path)
     return new_path
+
+
+def emit_events(events: DataFrame, path: str | None = None, servers: str | None = None,
+                topic: str | None = None) -> None:
+    """(key, value) JSON events to a Kafka topic when a broker and the
+    connector are configured, else to JSON files under ``path``. Executors
+    write their partitions in parallel; nothing passes through the driver."""
+    if servers and topic:
+        (events.select("key", "value").write.format("kafka")
+         .option("kafka.bootstrap.servers", servers).option("topic", topic).save())
+        return
+    if path is None:
+        raise ValueError("either a broker and topic or a path is required")
+    events.select("key", "value").write.mode("append").json(path)
+
+
+def build_chunk_table(chunks: DataFrame, vectors: DataFrame, path: str) -> DataFrame:
+    """Vector collection (id, embedding, document, source, start_index)
+    written as parquet and read back."""
+    table = chunks.join(vectors, "doc_id", "inner").select(
+        F.col("chunk_id").alias("id"), "embedding", F.col("chunk").alias("document"),
+        F.col("source"), F.col("start_index"))
+    table.write.mode("errorifexists").parquet(path)
+    return table.sparkSession.read.parquet(path)

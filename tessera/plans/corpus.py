@@ -78,6 +78,18 @@ def q_chunk_recursive(spark, sf_dir):
     return text.chunk_recursive(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id", "text")
 
 
+def q_corpus_chunks(spark, sf_dir):
+    """Document chunks with their document's vector (vectors enter as a
+    column: embedding ``vec_id`` belongs to document ``doc_id``)."""
+    from ..operators.sinks import build_chunk_table
+    from ..session import scratch_dir
+
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "source"])
+    chunks = text.chunk_fixed(docs, "doc_id", "text").join(docs.select("doc_id", "source"), "doc_id")
+    vecs = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]).withColumnRenamed("vec_id", "doc_id")
+    return build_chunk_table(chunks, vecs, scratch_dir(spark, "chunk-table"))
+
+
 def label_centroids(spark, sf_dir):
     """Query vectors: the mean embedding of every label (bounded by the label count)."""
     e = read_table(spark, sf_dir, "embeddings", ["label", "embedding"])
@@ -110,6 +122,7 @@ QUERIES = {
     "chunk_recursive": q_chunk_recursive,
     "knn_cosine": q_knn_cosine,
     "knn_context": q_knn_context,
+    "corpus_chunks": q_corpus_chunks,
 }
 
 # ---------------------------------------------------------------- DuckDB oracle
@@ -238,6 +251,11 @@ ORACLE = {
         "GROUP BY 1), d AS (SELECT c.query_id, e.vec_id, 1 - list_cosine_similarity(c.q, cast(e.embedding AS DOUBLE[])) "
         "AS dist FROM c, embeddings e) SELECT query_id, vec_id, round(dist, 6) AS distance, rank FROM (SELECT *, "
         f"cast(row_number() OVER (PARTITION BY query_id ORDER BY dist, vec_id) AS INTEGER) AS rank FROM d) WHERE rank <= {K}"),
+    "corpus_chunks": (
+        "SELECT concat(cast(d.doc_id AS VARCHAR), '_', cast(c AS VARCHAR)) AS id, e.embedding, "
+        "substr(d.text, c * 800 + 1, 1000) AS document, d.source, cast(c * 800 AS INTEGER) AS start_index "
+        "FROM (SELECT doc_id, text, source, unnest(range(greatest(1, cast(ceil((length(text) - 200) / 800) AS INTEGER)))) "
+        "AS c FROM documents WHERE length(text) > 0) d JOIN embeddings e ON e.vec_id = d.doc_id"),
     "knn_context": (
         "SELECT conv_id, array_to_string(list_sort(list_distinct(list(role))), ',') AS sources, "
         "string_agg(text, chr(10) || '---' || chr(10) ORDER BY turn, text) AS context FROM conversations GROUP BY 1"),

@@ -182,3 +182,16 @@ def test_day_range_and_previous_month():
     assert predicates.previous_month(today) == ("2024-02-01T00:00:00Z", "2024-03-01T00:00:00Z")
     assert predicates.day_range("yesterday", "bad", today) == (dt.date(2024, 3, 14), dt.date(2024, 3, 15))
     assert predicates.day_range("all", None, today) is None
+
+
+def test_emit_events_to_files(spark, tmp_path):
+    from tessera.functions.cdc import cdc_json, to_cdc
+    from tessera.operators.sinks import emit_events
+
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id bigint, iupd string")
+    out = str(tmp_path / "events")
+    emit_events(cdc_json(to_cdc(df, ["id", "iupd"], now_us=5_000)), path=out)
+    back = spark.read.schema("key string, value string").json(out)
+    got = rows(back.select("key", F.get_json_object("value", "$.after.iupd").alias("iupd"),
+                           F.get_json_object("value", "$.ts_ms").alias("ms")), "key", "iupd", "ms")
+    assert got == [("1", "a", "5"), ("2", "b", "5")]
