@@ -51,19 +51,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the session has none (local tests) a fresh scratch folder is
-    created and registered; on a cluster the configured shared folder is used.
+    The setting is read from the session (runtime conf, then the SparkConf the
+    cluster started with, then the context's checkpoint directory). Only when
+    none is set (local tests) a fresh scratch folder is created and registered.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    configured = (spark.conf.get("spark.checkpoint.dir", None)
+                  or sc.getConf().get("spark.checkpoint.dir", None)
+                  or sc.getCheckpointDir())
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
         return configured
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
     path = tempfile.mkdtemp(prefix="tessera-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
 
 
