@@ -17,16 +17,23 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
+from .tables import parallelism_floor
 
 
 @dataclass(frozen=True)
 class Dialect:
     engine: str  # "spark" | "duckdb"
     sf_dir: str = ""
+    spark: SparkSession | None = None
 
     def t(self, name: str) -> str:
         if self.engine == "spark":
-            return f"parquet.`{self.sf_dir.rstrip('/')}/{name}.parquet`"
+            path = f"{self.sf_dir.rstrip('/')}/{name}.parquet"
+            n = parallelism_floor(self.spark, path) if self.spark is not None else None
+            if n:
+                # under-split input: spread it before the per-row work
+                return f"(SELECT /*+ REPARTITION({n}) */ * FROM parquet.`{path}`)"
+            return f"parquet.`{path}`"
         return name
 
     def us(self, expr: str) -> str:
@@ -264,7 +271,7 @@ def fixture_sql(name: str, dialect: Dialect) -> str:
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The stand-in table ``name`` as a lazy Spark DataFrame."""
     configure(spark)
-    return spark.sql(fixture_sql(name, Dialect("spark", sf_dir)))
+    return spark.sql(fixture_sql(name, Dialect("spark", sf_dir, spark)))
 
 
 def with_fixtures(sql: str, *names: str) -> str:
