@@ -95,10 +95,11 @@ def enrich_left(small: DataFrame, big: DataFrame, keys: Sequence[str], cols: Seq
 
     A broadcast hint on the left side of a left outer join cannot be used, so
     the big side is first reduced to rows whose key occurs in ``small`` (a
-    semi-join with a checked broadcast of ``small``'s distinct keys) and only
-    that remainder is joined back.
+    semi-join; AQE broadcasts the distinct key set when its measured size is
+    small, and a runtime bloom filter prunes ``big`` before the shuffle
+    otherwise) and only that remainder is joined back.
     """
-    key_set = checked_broadcast(small.select(*keys).distinct())
+    key_set = small.select(*keys).distinct()
     hits = big.select(*keys, *cols).join(key_set, list(keys), "left_semi")
     return small.join(hits, list(keys), "left")
 
