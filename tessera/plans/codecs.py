@@ -8,12 +8,14 @@ with a base64 JSON payload. The oracle reads ``agreement_base`` directly.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from ..functions.cdc import to_cdc
 from ..functions.codec import text_b64
 from ..operators import payloads
 from ..operators.predicates import epoch_micros
+from ..session import scratch_dir
 from ..sources.fixtures import fixture, with_fixtures
 
 PSP = "BCITITMM"
@@ -45,7 +47,26 @@ def _notify_xml():
         F.lit("</nod:pspNotifyPaymentV2></soapenv:Body></soapenv:Envelope>"))
 
 
+_LOGS: dict[str, str] = {}
+
+
 def event_log(spark, sf_dir):
+    """The event log as a stored table: derived once per input folder, written
+    in parallel under the shared checkpoint folder and read back, so queries
+    scan a multi-file table as they would in production."""
+    path = _LOGS.get(sf_dir)
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException:  # scratch folder removed: derive again
+            pass
+    path = scratch_dir(spark, "event-log")
+    _event_log_frame(spark, sf_dir).write.mode("errorifexists").parquet(path)
+    _LOGS[sf_dir] = path
+    return spark.read.parquet(path)
+
+
+def _event_log_frame(spark, sf_dir):
     base = fixture(spark, sf_dir, "agreement_base")
     notify = base.select(
         (F.col("event_id") * 2).alias("event_id"), "inserted_ts", F.lit(PSP).alias("psp"),
