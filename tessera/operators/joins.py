@@ -139,3 +139,12 @@ def reconcile(a: DataFrame, b: DataFrame, key_a: str, key_b: str, order_a: str,
     if empty_guard and (a.isEmpty() or b.isEmpty()):
         return only_a.limit(0), only_b.limit(0)
     return only_a, only_b
+
+
+def prefix_residual_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+                         text_col: str, prefix_col: str) -> DataFrame:
+    """Equi-join on the keys plus ``left.text startswith right.prefix`` as a
+    residual of the same hash join (no nested-loop join is planned). The
+    prefix is used as stored (unpadded), as the source does."""
+    cond = (left[left_key] == right[right_key]) & left[text_col].startswith(right[prefix_col].cast("string"))
+    return left.join(right, cond, "inner")

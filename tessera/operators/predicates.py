@@ -151,3 +151,10 @@ def drop_sentinel(df: DataFrame, col: str, value: str) -> tuple[DataFrame, DataF
         F.count_if(F.col(col) == value).alias("rows_removed"),
     )
     return kept, counts
+
+
+def nested_export(df: DataFrame, fields: dict[str, str], pred: Column | None = None) -> DataFrame:
+    """A5: filter on (nested) fields and flatten the chosen leaves to named
+    columns; only those leaves are read (nested schema pruning)."""
+    out = df.where(pred) if pred is not None else df
+    return out.select(*[F.col(path).alias(name) for name, path in fields.items()])

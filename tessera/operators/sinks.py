@@ -89,3 +89,11 @@ def build_chunk_table(chunks: DataFrame, vectors: DataFrame, path: str) -> DataF
         F.col("source"), F.col("start_index"))
     table.write.mode("errorifexists").parquet(path)
     return table.sparkSession.read.parquet(path)
+
+
+def metrics_json(df: DataFrame, title: str | None = None) -> DataFrame:
+    """One metrics row rendered as one JSON document (optionally titled)."""
+    doc = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+    if title is not None:
+        doc = F.to_json(F.struct(F.lit(title).alias("title"), F.from_json(doc, df.schema).alias("metrics")))
+    return df.select(doc.alias("report"))

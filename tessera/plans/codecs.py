@@ -15,6 +15,7 @@ from ..functions.cdc import to_cdc
 from ..functions.codec import text_b64
 from ..operators import payloads
 from ..operators.predicates import epoch_micros
+from ..operators.sinks import metrics_json
 from ..session import scratch_dir
 from ..sources.fixtures import fixture, with_fixtures
 
@@ -164,11 +165,11 @@ def q_child_expand_tr(spark, sf_dir):
 def q_report_json(spark, sf_dir):
     """The expansion counters as one JSON metrics document."""
     pp, po, tr = _expanded(spark, sf_dir)
-    c_pp = pp.agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.lit("positions"))
-    c_po = po.agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.lit("options"))
-    c_tr = tr.agg(F.count(F.lit(1)).alias("n")).withColumn("k", F.lit("transfers"))
-    rows = c_pp.unionByName(c_po).unionByName(c_tr)
-    return rows.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("k", "n")))).alias("report"))
+    one_row = (pp.select(F.lit("positions").alias("m"))
+               .unionByName(po.select(F.lit("options").alias("m")))
+               .unionByName(tr.select(F.lit("transfers").alias("m")))
+               .agg(*[F.count_if(F.col("m") == m).alias(m) for m in ("positions", "options", "transfers")]))
+    return metrics_json(one_row, "child expansion")
 
 
 def cdc_source(spark, sf_dir):

@@ -6,7 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..operators import predicates, reports, windows
+from ..operators import joins, predicates, reports, windows
 from ..operators.predicates import epoch_micros
 from ..sources.fixtures import fixture, with_fixtures
 
@@ -80,8 +80,7 @@ def q_prefix_residual(spark, sf_dir):
     """C8 alone: events ⋈ config on organisation with the IUV-prefix residual."""
     ev = fixture(spark, sf_dir, "payment_event")
     cfg = fixture(spark, sf_dir, "broker_cfg").where(F.col("segregazione").isNotNull())
-    j = ev.join(cfg, (ev.id_pa == cfg.organization_fiscal_code)
-                & ev.iuv.startswith(cfg.segregazione.cast("string")), "inner")
+    j = joins.prefix_residual_join(ev, cfg, "id_pa", "organization_fiscal_code", "iuv", "segregazione")
     return j.select(ev.id, "station_id", "iuv")
 
 

@@ -88,9 +88,9 @@ def q_nested_export(spark, sf_dir):
         F.struct(F.concat(F.lit("N"), F.col("o_custkey").cast("string")).alias("noticeNumber")).alias("debtorPosition"))
     lo, hi = NESTED_RANGE
     ts = F.col("paymentInfo.paymentDateTime")
-    return docs.where((ts >= F.lit(lo).cast("timestamp_ntz")) & (ts < F.lit(hi).cast("timestamp_ntz"))).select(
-        F.col("paymentInfo.paymentToken").alias("payment_token"),
-        F.col("debtorPosition.noticeNumber").alias("notice_number"))
+    pred = (ts >= F.lit(lo).cast("timestamp_ntz")) & (ts < F.lit(hi).cast("timestamp_ntz"))
+    return predicates.nested_export(docs, {"payment_token": "paymentInfo.paymentToken",
+                                           "notice_number": "debtorPosition.noticeNumber"}, pred)
 
 
 def q_csv_export(spark, sf_dir):
