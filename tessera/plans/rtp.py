@@ -92,6 +92,15 @@ def q_partner_join(spark, sf_dir):
     return c.select("id_intermediario_pa", "id_dominio", "po_id", "iuv", "pp_id", "iupd", "organization_fiscal_code")
 
 
+def q_partner_join_domain(spark, sf_dir):
+    """C2 with ``match='prefix+domain'``: the registry row must also belong to
+    the position's organisation (no fan-out across organisations)."""
+    pp, po, t = inputs(spark, sf_dir)
+    final, _ = joins.waterfall_options(pp, po, t, CATEGORY_PATTERN, EXCLUDED_IUPD, OPEN_STATUSES)
+    c = joins.partner_match(final, fixture(spark, sf_dir, "partner_report"), match="prefix+domain")
+    return c.select("id_intermediario_pa", "id_dominio", "po_id", "iuv", "pp_id", "iupd", "organization_fiscal_code")
+
+
 def partner_org_counts(c):
     """D3: distinct positions per (partner, organisation)."""
     return c.groupBy("id_intermediario_pa", "organization_fiscal_code").agg(
@@ -128,6 +137,15 @@ def q_service_amounts(spark, sf_dir):
     return service_totals(spark, sf_dir)
 
 
+def q_service_amounts_dedup(spark, sf_dir):
+    """D4 corrected: each transfer counted once per partner, however many
+    registry rows share its IUV prefix (the faithful version multiplies)."""
+    c, t_ok = core(spark, sf_dir)
+    per_partner = c.select("id_intermediario_pa", "po_id").distinct()
+    services = per_partner.join(t_ok, per_partner.po_id == t_ok.payment_option_id, "inner")
+    return services.groupBy("id_intermediario_pa", "category").agg(F.sum("amount").alias("totale_importi"))
+
+
 def q_top3_services(spark, sf_dir):
     return windows.top_k_per_group(service_totals(spark, sf_dir), ["id_intermediario_pa"],
                                    [F.desc("totale_importi"), F.asc_nulls_last("category")], 3, "rank")
@@ -142,10 +160,12 @@ QUERIES = {
     "position_option_transfer": q_position_option_transfer,
     "semi_waterfall": q_semi_waterfall,
     "partner_join": q_partner_join,
+    "partner_join_domain": q_partner_join_domain,
     "partner_distinct": q_partner_distinct,
     "top10_partners": q_top10_partners,
     "top2_orgs": q_top2_orgs,
     "service_amounts": q_service_amounts,
+    "service_amounts_dedup": q_service_amounts_dedup,
     "top3_services": q_top3_services,
 }
 
@@ -186,6 +206,7 @@ ORACLE = {
         "SELECT 'pp' AS level, pp_id AS id FROM pp_final UNION ALL SELECT 'po', po_id FROM po_final "
         "UNION ALL SELECT 't', payment_option_id FROM t_final"),
     "partner_join": _o("SELECT * FROM core"),
+    "partner_join_domain": _o("SELECT * FROM core WHERE id_dominio = organization_fiscal_code"),
     "partner_distinct": _o("SELECT * FROM org_counts"),
     "top10_partners": _o(
         "SELECT id_intermediario_pa, count(DISTINCT iupd) AS num_posizioni FROM core GROUP BY 1 "
@@ -194,6 +215,10 @@ ORACLE = {
         "SELECT * FROM (SELECT *, cast(row_number() OVER (PARTITION BY id_intermediario_pa "
         "ORDER BY num_posizioni DESC, organization_fiscal_code) AS INTEGER) AS rank FROM org_counts) WHERE rank <= 2"),
     "service_amounts": _o("SELECT * FROM svc"),
+    "service_amounts_dedup": _o(
+        "SELECT p.id_intermediario_pa, t.category, cast(sum(t.amount) AS BIGINT) AS totale_importi FROM "
+        "(SELECT DISTINCT id_intermediario_pa, po_id FROM core) p JOIN t_final t ON p.po_id = t.payment_option_id "
+        "GROUP BY ALL"),
     "top3_services": _o(
         "SELECT * FROM (SELECT *, cast(row_number() OVER (PARTITION BY id_intermediario_pa "
         "ORDER BY totale_importi DESC, category NULLS LAST) AS INTEGER) AS rank FROM svc) WHERE rank <= 3"),
