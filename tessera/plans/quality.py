@@ -89,6 +89,11 @@ def q_length_histogram(spark, sf_dir):
     return quality.length_histogram(base(spark, sf_dir), "description")
 
 
+def q_length_histogram_contiguous(spark, sf_dir):
+    """D11 with the bin gaps closed (every positive length in exactly one bin)."""
+    return quality.length_histogram(base(spark, sf_dir), "description", contiguous=True)
+
+
 def _horizon(preset):
     def q(spark, sf_dir):
         return quality.horizon_clusters(base(spark, sf_dir), "due_date", AS_OF_US, preset)
@@ -134,6 +139,7 @@ QUERIES = {
     "top50_companies": q_top50_companies,
     "company_codes": q_company_codes,
     "length_histogram": q_length_histogram,
+    "length_histogram_contiguous": q_length_histogram_contiguous,
     "horizon_4": _horizon("h4"),
     "horizon_6": _horizon("h6"),
     "horizon_6_vec": _horizon("h6_vec"),
@@ -182,9 +188,9 @@ def _bucket_sql(label_expr, labels, den_expr="count(*)", where="TRUE"):
             f"USING (bucket), (SELECT {den_expr} AS den FROM base) d")
 
 
-def _len_label():
+def _len_label(bins=quality.LENGTH_BINS):
     parts = []
-    for lbl, lo, hi in quality.LENGTH_BINS:
+    for lbl, lo, hi in bins:
         cond = f"length(description) > {lo}" + ("" if hi is None else f" AND length(description) <= {hi}")
         parts.append(f"WHEN {cond} THEN '{lbl}'")
     return "CASE " + " ".join(parts) + " END"
@@ -254,6 +260,8 @@ ORACLE = {
         "AS BIGINT) AS company_records, count(*) OVER (PARTITION BY company_name) AS company_distinct_codes FROM "
         "(SELECT company_name, category_clean, count(*) AS occurrences FROM flags WHERE is_specific_prefix GROUP BY ALL)"),
     "length_histogram": _o(_bucket_sql(_len_label(), [b[0] for b in quality.LENGTH_BINS])),
+    "length_histogram_contiguous": _o(_bucket_sql(_len_label(quality.LENGTH_BINS_CONTIGUOUS),
+                                                  [b[0] for b in quality.LENGTH_BINS_CONTIGUOUS])),
     "horizon_4": _horizon_oracle("h4"),
     "horizon_6": _horizon_oracle("h6"),
     "horizon_6_vec": _horizon_oracle("h6_vec"),
