@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import clean_code, percent_half_up
+from ..functions.columns import clean_code, from_epoch_us, percent_half_up, years_to
 from .joins import membership_flag
 from .windows import first_example, top_k_per_group
 
@@ -191,9 +191,7 @@ def horizon_label(years: Column, preset: str) -> Column:
 
 
 def horizon_years(col: str, as_of_us: int, preset: str) -> Column:
-    year_days = HORIZON_PRESETS[preset][1]
-    seconds = (F.col(col) - F.lit(as_of_us)) / F.lit(1_000_000.0)
-    return seconds / F.lit(year_days * 86400.0)
+    return years_to(col, as_of_us, HORIZON_PRESETS[preset][1])
 
 
 def _vec_usable(col: str) -> Column:
@@ -258,7 +256,7 @@ def year_outlier_companies(df: DataFrame, col: str, k: int = 20) -> DataFrame:
 def date_counts(df: DataFrame, col: str, as_of_us: int) -> DataFrame:
     """Past-or-today due dates per day (dd/MM/yyyy), ordered by the real date."""
     past = df.where(F.col(col) <= F.lit(as_of_us))
-    day = F.to_date(F.timestamp_micros(F.col(col)))
+    day = F.to_date(from_epoch_us(col))
     counted = past.groupBy(day.alias("_day")).agg(F.count(F.lit(1)).alias("conteggio"))
     return counted.orderBy("_day").select(F.date_format("_day", "dd/MM/yyyy").alias("data"), "conteggio")
 
