@@ -55,11 +55,23 @@ def tag_list(csv: Column) -> Column:
     return F.split(csv, ",")
 
 
-def match_by_title(incidents: DataFrame, reports: DataFrame) -> DataFrame:
+def match_by_title(incidents: DataFrame, reports: DataFrame, compat: bool = False) -> DataFrame:
     """First report (smallest id) whose title carries ``ID: <incident id>``.
-    The id is extracted and equi-joined, so ``ID: 1`` never matches ``ID: 12``."""
-    keyed = reports.select(F.regexp_extract("title", TITLE_ID_PATTERN, 1).alias("_rid"), "report_id",
-                           "aggregate_state").where(F.col("_rid") != "")
+
+    Default: the id after ``ID: `` is extracted and equi-joined, so ``ID: 1``
+    never matches ``ID: 12``. ``compat=True`` keeps the source's substring
+    test: ``ID: <i>`` occurs in a title exactly when ``i`` is a prefix of a
+    digit run following ``ID: ``, so every such run is exploded into its
+    prefixes (at most its length) and equi-joined — still no pair table.
+    """
+    if compat:
+        runs = F.regexp_extract_all("title", F.lit(TITLE_ID_PATTERN), F.lit(1))
+        prefixes = F.flatten(F.transform(runs, lambda r: F.transform(
+            F.sequence(F.lit(1), F.length(r)), lambda n: F.substring(r, 1, n))))
+        keyed = reports.select(F.explode(F.array_distinct(prefixes)).alias("_rid"), "report_id", "aggregate_state")
+    else:
+        keyed = reports.select(F.regexp_extract("title", TITLE_ID_PATTERN, 1).alias("_rid"), "report_id",
+                               "aggregate_state").where(F.col("_rid") != "")
     first = keyed.groupBy("_rid").agg(F.min_by(F.struct("report_id", "aggregate_state"), "report_id").alias("_r"))
     j = incidents.join(first, incidents.id.cast("string") == first._rid, "left")
     return j.select(incidents.columns + [F.col("_r.report_id").alias("report_id"),

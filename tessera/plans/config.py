@@ -96,6 +96,11 @@ def q_match_by_title(spark, sf_dir):
     return m.select("id", "report_id", "report_state")
 
 
+def q_match_by_title_compat(spark, sf_dir):
+    m = status.match_by_title(_incidents(spark, sf_dir), fixture(spark, sf_dir, "status_report"), compat=True)
+    return m.select("id", "report_id", "report_state")
+
+
 def q_incident_actions(spark, sf_dir):
     return status.incident_actions(_incidents(spark, sf_dir), fixture(spark, sf_dir, "status_report"))
 
@@ -109,6 +114,7 @@ QUERIES = {
     "maintenance_messages": q_maintenance_messages,
     "tag_filter": q_tag_filter,
     "match_by_title": q_match_by_title,
+    "match_by_title_compat": q_match_by_title_compat,
     "incident_actions": q_incident_actions,
 }
 
@@ -192,6 +198,10 @@ ORACLE = {
     "tag_filter": _o("SELECT id, status FROM inc WHERE list_contains(tags, 'toStatusPage')"),
     "match_by_title": _o("SELECT i.id, r.report_id, r.report_state FROM inc i LEFT JOIN rep r "
                          "ON cast(i.id AS VARCHAR) = r.rid"),
+    "match_by_title_compat": _o(
+        "SELECT i.id, arg_min(s.report_id, s.report_id) AS report_id, arg_min(s.aggregate_state, s.report_id) "
+        "AS report_state FROM inc i LEFT JOIN status_report s ON contains(s.title, 'ID: ' || cast(i.id AS VARCHAR)) "
+        "GROUP BY i.id"),
     "incident_actions": _o(
         "SELECT id, status, report_id, report_state, CASE WHEN report_id IS NULL THEN 'CREATE' "
         "WHEN report_state = status THEN 'NOOP' WHEN report_state = 'Resolved' THEN 'NOOP' "
