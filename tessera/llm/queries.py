@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import line_dedup, mixing, quality, sentencepiece_viterbi, simhash
+from tessera.llm import chat, embedding, html_text, line_dedup, mixing, quality, sentencepiece_viterbi, simhash, suffix, token_counts
 from tessera.llm.common import table
 from tessera.session import configure
 
@@ -14,6 +14,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_near_dedup(table(configure(spark), sf_dir, "documents"), shingle=3, max_distance=2)
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(configure(spark), sf_dir, "pages")).withColumn("n_chars", F.length("text"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_viterbi.encode(table(configure(spark), sf_dir, "documents"))
 
@@ -28,6 +32,42 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(docs, table(spark, sf_dir, "labels")).drop("text")
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(configure(spark), sf_dir, "documents"), rule="first")
+
+
+#: Tools that op7 finds in the conversations, and the fields they take.
+TOOLS = {
+    "search": {"limit": ("integer", True), "query": ("string", True)},
+    "lookup": {"id": ("integer", True), "strict": ("boolean", False)},
+}
+
+
+def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user turn as a tool call, every assistant turn as the result of the turn before it.
+
+    The tool, its arguments (some of them wrong) and the earlier call that a
+    call depends on follow from the length of the turn's text.
+    """
+    turns = table(configure(spark), sf_dir, "conversations").withColumn("n", F.length("text"))
+    n, call = F.col("n"), lambda t: F.concat(F.lit("c"), t.cast("string"))
+    name = F.element_at(F.array(*[F.lit(x) for x in ("search", "lookup", "other")]), (n % 3 + 1).cast("int"))
+    query, limit = F.substring("text", 1, 40), n % 50
+    arguments = (F.when(n % 7 == 0, F.substring("text", 1, 10))
+                 .when(n % 3 == 0, F.when(n % 5 == 0, F.to_json(F.struct(query.alias("query")))).otherwise(F.to_json(F.struct(query.alias("query"), limit.alias("limit")))))
+                 .otherwise(F.when(n % 5 == 0, F.to_json(F.struct(F.lit("yes").alias("strict"), limit.alias("id"))))
+                            .when(n % 5 == 1, F.to_json(F.struct(limit.alias("id"), F.lit(1).alias("extra")))).otherwise(F.to_json(F.struct(limit.alias("id"))))))
+    parent = F.when(n % 4 < 3, call(F.col("turn") - 2))
+    calls = turns.filter("role = 'user'").select("conv_id", call(F.col("turn")).alias("call_id"), "turn", name.alias("name"),
+                                                 arguments.alias("arguments"), parent.alias("parent_id"))
+    results = turns.filter("role = 'assistant'").select("conv_id", call(F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
+    return chat.link_tool_calls(calls, results, TOOLS)
+
+
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.repeated_passages(table(configure(spark), sf_dir, "documents"), min_words=50).drop("th")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(configure(spark), sf_dir, "documents").select("doc_id", "text")
     done = line_dedup.line_dedup(docs.withColumn("before", F.size(F.split("text", "\n", -1))))
@@ -35,7 +75,13 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        (F.col("before") - F.when(F.length("text") > 0, F.size(F.split("text", "\n", -1))).otherwise(0)).alias("n_lines_deleted"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup, op3_sentencepiece, op4_mix_sources, op5_quality_rules, op9_line_dedup)}
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding.embedding_near_dedup(table(configure(spark), sf_dir, "embeddings"), threshold=0.95)
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_simhash_near_dedup, op2_html_extraction, op3_sentencepiece, op4_mix_sources, op5_quality_rules, op6_token_counts, op7_tool_calls,
+    op8_suffix_dedup, op9_line_dedup, op10_embedding_near_dedup)}
 
 ORACLE: dict[str, str] = {}
 
