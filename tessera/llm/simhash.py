@@ -84,14 +84,15 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(id, fp): the fingerprint of every row as a signed long."""
+    """(id, th, fp): xxhash64 of the text and its fingerprint as a signed long, for every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp, pa.int64())], ["id", "fp"])
+            fp = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(2)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(fp, pa.int64())], ["id", "th", "fp"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, fp long")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    return rows.mapInArrow(run, "id long, th long, fp long")
 
 
 def _fuzzy_keys(fps: DataFrame) -> DataFrame:
@@ -152,6 +153,11 @@ def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     one component. Other columns of ``docs`` are not read; an empty table gives
     an empty one.
     """
+    found = _grouped(docs, id_col, text_col, shingle, max_distance)
+    return found.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_distance: int) -> DataFrame:
     if max_distance not in (0, 1, 2) or shingle < 1:
         raise ValueError("max_distance must be 0, 1 or 2 and shingle at least 1")
     rows = materialise(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
@@ -164,7 +170,7 @@ def simhash_near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         per_fp = materialise(rooted.join(least, "root").select("fp", "component_id"), "component_of")
     else:
         per_fp = per_fp.withColumnRenamed("least_id", "component_id")
-    return rows.join(per_fp, "fp").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return rows.join(per_fp, "fp")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_distance: int = 2) -> DataFrame:
@@ -174,11 +180,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     of all columns. Rows without an id go if their component has an id, and all
     stay otherwise.
     """
-    found = simhash_near_dedup(docs, id_col, text_col, shingle, max_distance)
-    key = prefix(docs) + "id"
-    kept = found.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias(key)).distinct()
-    left = docs.join(kept, docs[id_col].cast("long").eqNullSafe(kept[key]), "left_semi")
+    found = _grouped(docs, id_col, text_col, shingle, max_distance)
+    p = prefix(docs)
+    kept = found.filter(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias(p + "id"), F.col("th").alias(p + "th")).distinct()
+    left = docs.join(kept, [docs[id_col].cast("long").eqNullSafe(kept[p + "id"]), F.xxhash64(docs[text_col].cast("string")) == kept[p + "th"]], "left_semi")
     row = F.struct(*columns(docs))
-    one = (left.groupBy(docs[id_col].alias(key), F.when(docs[id_col].isNull(), F.monotonically_increasing_id()).alias("n"))
+    one = (left.groupBy(docs[id_col].alias(p + "id"), F.when(docs[id_col].isNull(), F.monotonically_increasing_id()).alias("n"))
            .agg(F.min_by(row, F.xxhash64(row)).alias("row")))
     return one.select("row.*")

@@ -44,7 +44,7 @@ def _rolled(hashes: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
 
 
 def suffixes(hashes: np.ndarray, block: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """(position, block hash) of the suffixes kept of a document."""
+    """(position, block hash) of the suffixes kept of a document: at minimisers, its first word and its last block."""
     window = block - gram + 1
     if len(hashes) < block:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
@@ -52,7 +52,7 @@ def suffixes(hashes: np.ndarray, block: int, gram: int = GRAM) -> tuple[np.ndarr
     views = np.lib.stride_tricks.sliding_window_view(grams, window)
     at = np.unique(np.concatenate([i + window - 1 - views[i:i + 65536, ::-1].argmin(axis=1) + np.arange(len(views[i:i + 65536]))
                                    for i in range(0, len(views), 65536)]))
-    at = at[at + block <= len(hashes)]
+    at = np.union1d(at[at + block <= len(hashes)], [0, len(hashes) - block])
     return at, _rolled(hashes, at, block)
 
 
@@ -109,11 +109,14 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Earlier: in a document with a smaller (id, xxhash64 of the text), null ids
     last, or further up in the same one. Words are runs of characters other
     than ASCII white space, compared exactly; positions count words, the end
-    excluded. Each match of half of ``min_words`` words or more with the first
-    occurrence of one of its blocks counts, matches that touch or overlap make
-    one passage, and ``source_ids`` lists the documents matched. Every word
-    reported also stands earlier, so deleting all passages never deletes a
-    first occurrence.
+    excluded. Each match of half of ``min_words`` words or more counts that holds
+    a kept suffix and is extended along the first occurrence of its blocks;
+    matches that touch or overlap make one passage, and ``source_ids`` lists
+    the documents matched. Every word reported also stands earlier, so deleting
+    all passages never deletes a first occurrence. A repeat that lies in one
+    earlier document alone, or whose blocks first occur in one, is reported
+    whole; of one pieced together from several, fewer than half of
+    ``min_words`` words at either end may be left out.
 
     Null and empty texts have no passage. Rows that repeat an id and a text are
     one document. Other columns are not read; an empty table gives an empty one.

@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter
 
@@ -22,8 +23,8 @@ def slow_base(text):
 
 
 def documents():
-    good = [f"the quick brown fox number {i} walks over the old bridge and sees many other {i % 9} animals near the river" for i in range(40)]
-    out = [(i, " ".join(good[i:i + 4])) for i in range(30)]
+    rng = random.Random(12)
+    out = [(i, " ".join(f"word{rng.randrange(300)}" for _ in range(80))) for i in range(30)]
     out += [(100 + i, " ".join(f"x{i}y{k}!!" for k in range(80))) for i in range(10)]
     out += [(200, None), (201, ""), (202, "a a a a " * 50), (203, "one\n\ntwo\none\n  \none #*$ <b>|&%"), (204, "Ä Ö Ü\x0bx\x0cy\r\n日本 日本"),
             (205, "very long " * 60_000), (None, out[0][1]), (3, out[3][1])]
