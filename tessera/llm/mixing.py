@@ -104,7 +104,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     n = n.select(*[F.col(c).alias(p + c) for c in n.columns])
     own = columns(docs)
     one = [docs[id_col].eqNullSafe(F.col(p + "id")), F.xxhash64(docs[text_col]) == F.col(p + "th"), docs[source_col].eqNullSafe(F.col(p + "source"))]
-    rows = docs.join(n.filter(F.col(p + "of") == 1), one).select(*own, F.col(p + "n"))
+    rows = docs.join(n.filter(F.col(p + "of") == 1).hint("merge"), one).select(*own, F.col(p + "n"))
     repeated = n.filter(F.col(p + "of") > 1)
     if not repeated.isEmpty():
         place = F.row_number().over(Window.partitionBy(p + "id", p + "th", p + "source").orderBy(F.xxhash64(F.struct(*own))))

@@ -183,7 +183,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     found = _grouped(docs, id_col, text_col, shingle, max_distance)
     p = prefix(docs)
     kept = found.filter(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias(p + "id"), F.col("th").alias(p + "th")).distinct()
-    left = docs.join(kept, [docs[id_col].cast("long").eqNullSafe(kept[p + "id"]), F.xxhash64(docs[text_col].cast("string")) == kept[p + "th"]], "left_semi")
+    left = docs.join(kept.hint("merge"), [docs[id_col].cast("long").eqNullSafe(kept[p + "id"]), F.xxhash64(docs[text_col].cast("string")) == kept[p + "th"]], "left_semi")
     row = F.struct(*columns(docs))
     one = (left.groupBy(docs[id_col].alias(p + "id"), F.when(docs[id_col].isNull(), F.monotonically_increasing_id()).alias("n"))
            .agg(F.min_by(row, F.xxhash64(row)).alias("row")))

@@ -99,7 +99,7 @@ def _contexts(named: DataFrame, asked: DataFrame, block: int) -> DataFrame:
     lists = asked.distinct().groupBy(*DOC).agg(F.collect_list(F.struct("side", "at")).alias("wanted"))
     lists = materialise(lists.select(F.col("id").alias("q_id"), F.col("th").alias("q_th"), "wanted"), "context_requests")
     # documents with the same id and text are one
-    found = named.join(lists, [F.col("id").eqNullSafe(F.col("q_id")), F.col("th") == F.col("q_th")]).select("id", "th", "text", "wanted")
+    found = named.join(lists.hint("merge"), [F.col("id").eqNullSafe(F.col("q_id")), F.col("th") == F.col("q_th")]).select("id", "th", "text", "wanted")
     return found.mapInArrow(work, "id long, th long, side int, at long, words array<long>").dropDuplicates(["id", "th", "side", "at"])
 
 
@@ -187,6 +187,6 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
         return texts.combine(spans, one)
 
-    joined = docs.join(cuts, [docs[id_col].cast("long").eqNullSafe(F.col(p + "id")), F.xxhash64(text.cast("string")) == F.col(p + "th")], "left")
+    joined = docs.join(cuts.hint("merge"), [docs[id_col].cast("long").eqNullSafe(F.col(p + "id")), F.xxhash64(text.cast("string")) == F.col(p + "th")], "left")
     new = F.when(F.col(p + "cuts").isNull(), text).otherwise(cut(text, F.col(p + "cuts")))
     return joined.select(*[new.alias(n) if n == text_col else c for n, c in zip(docs.columns, columns(docs), strict=True)])
