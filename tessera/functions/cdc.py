@@ -11,12 +11,16 @@ from pyspark.sql.types import StringType
 
 def date_to_epoch_us(col: Column, is_text: bool, compat: bool = False) -> Column:
     """Date/timestamp (or ISO text) → epoch µs, UTC. Text years above 9999 are
-    clamped to 9999 (a clamped 29 February, which 9999 lacks, becomes null); null stays null. ``compat=True`` reproduces the source's
-    doubled sub-second part (it adds the microseconds once more)."""
+    clamped to 9999; null stays null. Text that is no date, also a clamped
+    29 February, which 9999 lacks, fails the job as it does the source.
+    ``compat=True`` reproduces the source's doubled sub-second part (it adds
+    the microseconds once more)."""
     if is_text:
         year = F.regexp_extract(col, r"^(\d+)-", 1)
         clamped = F.when(year.cast("int") > 9999, F.regexp_replace(col, r"^\d+", "9999")).otherwise(col)
-        ts = F.try_to_timestamp(F.regexp_replace(clamped, "T", " "))
+        parsed = F.try_to_timestamp(F.regexp_replace(clamped, "T", " "))
+        bad = F.raise_error(F.concat(F.lit("not a date: "), col)).cast("timestamp")
+        ts = F.when(col.isNull() | parsed.isNotNull(), parsed).otherwise(bad)
     else:
         ts = col.cast("timestamp")
     micros = F.unix_micros(ts)

@@ -6,9 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------- fixed values
-# Namespace prefixes (up to ten name characters before ':') removed from
-# opening and closing tags before XML parsing.
-NS_PREFIX_PATTERN = r"<(/?)[A-Za-z_][A-Za-z0-9_.-]{0,9}:"
+# Namespace prefixes removed from opening and closing tags before XML parsing.
+NS_PREFIX_PATTERN = r"<(/?)[A-Za-z_][A-Za-z0-9_.-]*:"
 # Tag that wraps the base64 body of a reporting flow.
 FLOW_BODY_TAG = "xmlRendicontazione"
 # ------------------------------------------------------------------------------

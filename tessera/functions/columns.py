@@ -62,8 +62,9 @@ def outcome(perc: str | Column, threshold: str | Column) -> Column:
 
 
 def int_div(num: Column, den: Column) -> Column:
-    """Exact floor division of non-negative integers (stays in bigint)."""
-    return ((num - F.pmod(num, den)) / den).cast("bigint")
+    """Exact division of integers, null where ``den`` is 0 (``div`` on decimal(38,0), so nothing overflows or rounds)."""
+    wide = "decimal(38,0)"
+    return F.call_function("div", num.cast(wide), F.nullif(den, F.lit(0)).cast(wide))
 
 
 def percent_half_up(part: str | Column, whole: str | Column) -> Column:
@@ -73,15 +74,17 @@ def percent_half_up(part: str | Column, whole: str | Column) -> Column:
     half-up rounding of ``10000 * p / w`` for non-negative integers, so no
     intermediate decimal or double rounding can move a .005 edge.
     """
-    p = _c(part).cast("bigint")
-    w = _c(whole).cast("bigint")
+    p = _c(part).cast("bigint").cast("decimal(20,0)")
+    w = _c(whole).cast("bigint").cast("decimal(20,0)")
     hundredths = int_div(p * F.lit(20000) + w, w * F.lit(2))
     return F.when(w > 0, hundredths / F.lit(100.0))
 
 
 def to_long_or_zero(col: str | Column) -> Column:
     """Numeric text → bigint; anything non-numeric (or null) → 0."""
-    return F.coalesce(_c(col).try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))
+    text = _c(col)
+    return F.coalesce(text.try_cast("bigint"), text.try_cast("decimal(38,6)").try_cast("bigint"),
+                      text.try_cast("double").try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def origin_code(col: str | Column) -> Column:

@@ -1,12 +1,9 @@
 """Join operators.
 
-Broadcast policy: a side is broadcast only behind :func:`checked_broadcast`,
-which proves a row bound with a bounded ``limit(n + 1).count()`` probe; beyond
-the bound the join stays a shuffle join that AQE may still turn into a
-broadcast from measured sizes, and skewed partitions are split by AQE's skew
-join. Low-cardinality derived keys (2-character prefixes) are exactly where a
-shuffle join would funnel the whole fact table through ~100 tasks, so those
-joins use the checked broadcast of the dimension side.
+No side carries a broadcast hint: AQE broadcasts a side from its measured
+bytes and splits skewed partitions of the shuffle joins that remain. Where a
+derived key has few values (two-character prefixes), the fact side is
+aggregated per key before it meets the registry.
 """
 
 from __future__ import annotations
@@ -17,16 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import pad2, prefix2
-
-# Row bound under which a dimension may be broadcast to every executor.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only if ``df`` provably has at most ``max_rows`` rows."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+from ..session import materialise
 
 
 def position_option_transfer(pp: DataFrame, po: DataFrame, t: DataFrame) -> DataFrame:
@@ -35,22 +23,6 @@ def position_option_transfer(pp: DataFrame, po: DataFrame, t: DataFrame) -> Data
     return j.join(t, t.payment_option_id == j.po_id, "inner")
 
 
-def semi_waterfall(pp: DataFrame, po: DataFrame, t: DataFrame, category_pattern: str,
-                   excluded_iupd: str, statuses: Sequence[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Reduce transfers → options → positions with semi-joins, then back-filter.
-
-    Semi-joins only ship the key column of the right side through the shuffle,
-    and Spark's runtime bloom filter can prune the probe side before it.
-    """
-    t_ok = t.where(F.col("category").rlike(category_pattern))
-    po_cand = po.join(t_ok, po.po_id == t_ok.payment_option_id, "left_semi")
-    pp_ok = pp.where(~F.col("iupd").like(excluded_iupd) & F.col("status").isin(list(statuses)))
-    pp_final = pp_ok.join(po_cand, pp_ok.pp_id == po_cand.payment_position_id, "left_semi")
-    po_final = po_cand.join(pp_final, po_cand.payment_position_id == pp_final.pp_id, "left_semi")
-    t_final = t_ok.join(po_final, t_ok.payment_option_id == po_final.po_id, "left_semi")
-    return pp_final, po_final, t_final
-
-
 def waterfall_options(pp: DataFrame, po: DataFrame, t: DataFrame, category_pattern: str,
                       excluded_iupd: str, statuses: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """C3 in one pass: the final options with their position's columns, and the
@@ -64,43 +36,47 @@ def waterfall_options(pp: DataFrame, po: DataFrame, t: DataFrame, category_patte
     return final, t_ok
 
 
-def partner_match(opts: DataFrame, rpt: DataFrame, match: str = "prefix") -> DataFrame:
-    """C2 key join only: options ⋈ checked-broadcast partner registry on the IUV prefix."""
-    dim = checked_broadcast(rpt.withColumn("seg_key", pad2("segregazione")))
-    o = opts.withColumn("iuv_prefix", prefix2("iuv"))
-    cond = o.iuv_prefix == dim.seg_key
-    if match == "prefix+domain":
-        cond = cond & (o.organization_fiscal_code == dim.id_dominio)
-    return o.join(dim, cond, "inner")
+def semi_waterfall(pp: DataFrame, po: DataFrame, t: DataFrame, category_pattern: str,
+                   excluded_iupd: str, statuses: Sequence[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Final positions, options and transfers. The final options (with
+    their position's columns) are materialised once; positions are distinct
+    in them, and transfers are those of a final option. Ids are unique."""
+    final, t_ok = waterfall_options(pp, po, t, category_pattern, excluded_iupd, statuses)
+    final = materialise(final, "final-options")
+    t_final = t_ok.join(final.select("po_id"), t_ok.payment_option_id == F.col("po_id"), "left_semi")
+    return final.select(*pp.columns).distinct(), final.select(*po.columns), t_final
 
 
-def partner_join(po: DataFrame, pp: DataFrame, rpt: DataFrame, match: str = "prefix") -> DataFrame:
-    """Options ⋈ partner registry on ``substr(iuv,1,2) = lpad(segregazione,2,'0')``, then ⋈ positions.
+def partner_match(opts: DataFrame, rpt: DataFrame, match: str = "prefix") -> DataFrame:
+    """Options ⋈ partner registry on ``substr(iuv,1,2) = lpad(segregazione,2,'0')``.
 
     ``match='prefix'`` is the source's key (organisation not in it, so a
     prefix shared by several registry rows fans out); ``'prefix+domain'``
     also requires the registry's domain to be the option's organisation.
     """
-    dim = checked_broadcast(rpt.withColumn("seg_key", pad2("segregazione")))
-    opts = po.withColumn("iuv_prefix", prefix2("iuv"))
-    cond = opts.iuv_prefix == dim.seg_key
+    dim = rpt.withColumn("seg_key", pad2("segregazione"))
+    o = opts.withColumn("iuv_prefix", prefix2("iuv"))
+    cond = o.iuv_prefix == dim.seg_key
     if match == "prefix+domain":
-        cond = cond & (opts.organization_fiscal_code == dim.id_dominio)
-    core = opts.join(dim, cond, "inner").drop("organization_fiscal_code")
-    return core.join(pp, core.payment_position_id == pp.pp_id, "inner")
+        cond = cond & (o.organization_fiscal_code == dim.id_dominio)
+    return o.join(dim, cond, "inner")
 
 
-def enrich_left(small: DataFrame, big: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """C4: every row of ``small`` left-joined to matching rows of ``big``.
+def partner_prefixes(rpt: DataFrame, partner: str = "id_intermediario_pa") -> DataFrame:
+    """C2 for aggregates: (iuv_prefix, partner, n_rows), the registry counted
+    per prefix and partner, so that facts aggregated per prefix join it once
+    and are weighted by its row count instead of being copied per row."""
+    return rpt.groupBy(pad2("segregazione").alias("iuv_prefix"), partner).agg(F.count(F.lit(1)).alias("n_rows"))
 
-    A broadcast hint on the left side of a left outer join cannot be used, so
-    the big side is first reduced to rows whose key occurs in ``small`` (a
-    semi-join; AQE broadcasts the distinct key set when its measured size is
-    small, and a runtime bloom filter prunes ``big`` before the shuffle
-    otherwise) and only that remainder is joined back.
-    """
-    key_set = small.select(*keys).distinct()
-    hits = big.select(*keys, *cols).join(key_set, list(keys), "left_semi")
+
+def enrich_left(small: DataFrame, big: DataFrame, keys: Sequence[str], cols: Sequence[str], reduce_big: bool = False) -> DataFrame:
+    """C4: every row of ``small`` left-joined to matching rows of ``big``; a
+    runtime bloom filter prunes ``big`` before the shuffle where it pays.
+    ``reduce_big`` first semi-joins ``big`` with the keys of ``small``, for a
+    file that covers little of it."""
+    hits = big.select(*keys, *cols)
+    if reduce_big:
+        hits = hits.join(small.select(*keys).distinct(), list(keys), "left_semi")
     return small.join(hits, list(keys), "left")
 
 
@@ -116,8 +92,7 @@ def exclude_existing(df: DataFrame, existing: DataFrame, keys: Sequence[str]) ->
 
 def membership_flag(df: DataFrame, col: str, codes: DataFrame, code_col: str, name: str) -> DataFrame:
     """C14: boolean ``name`` = value of ``col`` is one of the distinct ``codes``."""
-    code_set = checked_broadcast(codes.select(F.col(code_col).alias("_code")).distinct()
-                                 .withColumn("_hit", F.lit(True)))
+    code_set = codes.select(F.col(code_col).alias("_code")).distinct().withColumn("_hit", F.lit(True))
     joined = df.join(code_set, df[col] == code_set["_code"], "left")
     return joined.withColumn(name, F.coalesce(F.col("_hit"), F.lit(False))).drop("_code", "_hit")
 

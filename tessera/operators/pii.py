@@ -1,11 +1,16 @@
 """PII redaction and statistics.
 
 Pattern entities are replaced by a fixed-priority chain of native
-expressions. Entities that need a checksum (card numbers, tax codes, VAT
-numbers) are handled as: extract the candidates of a row, keep those whose
-checksum holds, replace each kept candidate — all with array higher-order
-functions inside the JVM, no Python per row. Statistical entities (PERSON,
+expressions. A match is found between look-around boundaries, so it consumes
+no separator and adjacent identifiers are both found, and it is replaced at
+its own place: the text is cut at the matches, each match becomes its
+placeholder (or stays, where a checksum does not hold), and the parts are
+joined again, so no other occurrence of the same characters is touched. All of
+it runs inside the JVM, no Python per row. Statistical entities (PERSON,
 DATE_TIME) need a trained model and are not built.
+
+Passports and paper identity cards share one shape (two letters, seven
+digits); written without a space it is reported as a passport.
 """
 
 from __future__ import annotations
@@ -18,32 +23,22 @@ from pyspark.sql import functions as F
 from .reports import fiscal_code_valid, vat_valid
 
 # ---------------------------------------------------------------- fixed values
-# Boundary used instead of \b (same meaning in Java regex and RE2): the match
-# must not touch an ASCII letter or digit.
-LEFT = "(^|[^0-9A-Za-z])"
-RIGHT = "([^0-9A-Za-z]|$)"
+# ASCII word boundaries that consume nothing.
+LEFT = "(?<![0-9A-Za-z_])"
+RIGHT = "(?![0-9A-Za-z_])"
 # (entity, pattern, validator) in replacement priority order.
 PII_STEPS = (
     ("EMAIL_ADDRESS", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "none"),
-    ("IBAN_CODE", r"IT[0-9]{2}[A-Z][0-9]{10}[0-9A-Z]{12}", "bounded"),
-    ("CREDIT_CARD", r"[0-9]{13,19}", "luhn"),
-    ("IT_FISCAL_CODE", r"[A-Z]{6}[0-9LMNPQRSTUV]{2}[ABCDEHLMPRST][0-9LMNPQRSTUV]{2}[A-Z][0-9LMNPQRSTUV]{3}[A-Z]", "fiscal"),
-    ("IT_VAT_CODE", r"[0-9]{11}", "vat"),
-    ("IT_VEHICLE_PLATE", r"[A-Z]{2}[0-9]{3}[A-Z]{2}|[0-9]{2}[A-Z]{2}[0-9]{2}|[A-Z]{2}[0-9]{5}|[0-9]{2}[A-Z]{3}[0-9]{2}",
-     "bounded"),
-    ("PHONE_NUMBER", r"\+[0-9]{1,3} ?\(?[0-9]{2,4}\)?[ -]?[0-9]{3}[ -]?[0-9]{3,4}", "none"),
+    ("IBAN_CODE", LEFT + r"IT[0-9]{2}[A-Z][0-9]{10}[0-9A-Z]{12}" + RIGHT, "none"),
+    ("CREDIT_CARD", LEFT + r"[0-9]{13,19}" + RIGHT, "luhn"),
+    ("IT_FISCAL_CODE", LEFT + r"[A-Z]{6}[0-9LMNPQRSTUV]{2}[ABCDEHLMPRST][0-9LMNPQRSTUV]{2}[A-Z][0-9LMNPQRSTUV]{3}[A-Z]" + RIGHT, "fiscal"),
+    ("IT_VAT_CODE", LEFT + r"[0-9]{11}" + RIGHT, "vat"),
+    ("IT_DRIVER_LICENSE", LEFT + r"(?:[A-Z]{2}[0-9]{7}[A-Z]|U1[BCDFGHLJKMNPRSTUWYXZ0-9]{7}[A-Z])" + RIGHT, "none"),
+    ("IT_PASSPORT", LEFT + r"[A-Za-z]{2}[0-9]{7}" + RIGHT, "none"),
+    ("IT_IDENTITY_CARD", LEFT + r"(?:[A-Za-z]{2} [0-9]{7}|[0-9]{7}[A-Za-z]{2}|[A-Za-z]{2}[0-9]{5}[A-Za-z]{2})" + RIGHT, "none"),
+    ("IT_VEHICLE_PLATE", LEFT + r"(?:[A-Z]{2}[0-9]{3}[A-Z]{2}|[0-9]{2}[A-Z]{2}[0-9]{2}|[A-Z]{2}[0-9]{5}|[0-9]{2}[A-Z]{3}[0-9]{2})" + RIGHT, "none"),
+    ("PHONE_NUMBER", r"\+[0-9]{1,3} ?\(?[0-9]{2,4}\)?[ -]?[0-9]{3}[ -]?[0-9]{3,4}" + RIGHT, "none"),
 )
-# Necessary conditions per entity: a text failing its guard cannot contain the
-# entity, so the step's extraction and validation are skipped for it.
-GUARDS = {
-    "EMAIL_ADDRESS": ("contains", "@"),
-    "IBAN_CODE": ("contains", "IT"),
-    "CREDIT_CARD": ("rlike", "[0-9]{13}"),
-    "IT_FISCAL_CODE": ("rlike", "[A-Z]{6}[0-9LMNPQRSTUV]{2}[ABCDEHLMPRST]"),
-    "IT_VAT_CODE": ("rlike", "[0-9]{11}"),
-    "IT_VEHICLE_PLATE": ("rlike", "[A-Z]{2}[0-9]{2}|[0-9]{2}[A-Z]{2}"),
-    "PHONE_NUMBER": ("contains", "+"),
-}
 # Entities masked (trailing characters → '*') instead of replaced in mask mode.
 MASKED = {"IT_VEHICLE_PLATE": 2, "IT_FISCAL_CODE": 10}
 PII_ENTITIES = tuple(step[0] for step in PII_STEPS)
@@ -51,47 +46,31 @@ PLATE_CF_VAT = ("IT_VEHICLE_PLATE", "IT_FISCAL_CODE", "IT_VAT_CODE")
 # ------------------------------------------------------------------------------
 
 
-def _bounded(pattern: str) -> str:
-    return f"{LEFT}({pattern}){RIGHT}"
-
-
 def _valid(kind: str, c: Column) -> Column:
-    if kind == "luhn":
-        return F.call_function("luhn_check", c)
-    if kind == "fiscal":
-        return fiscal_code_valid(c)
-    if kind == "vat":
-        return vat_valid(c)
-    return F.lit(True)
+    return {"luhn": lambda x: F.call_function("luhn_check", x), "fiscal": fiscal_code_valid, "vat": vat_valid}[kind](c)
 
 
-def _replacement(entity: str, mode: str, match: Column) -> Column:
+def _replacement(entity: str, kind: str, mode: str, match: Column) -> Column:
     n = MASKED.get(entity) if mode == "mask" else None
-    if n is None:
-        return F.lit(f"<{entity}>")
-    keep = F.greatest(F.length(match) - F.lit(n), F.lit(0))
-    return F.concat(F.substring(match, 1, keep), F.repeat(F.lit("*"), F.length(match) - keep))
-
-
-def _guard(text: Column, entity: str) -> Column:
-    how, arg = GUARDS[entity]
-    return text.contains(arg) if how == "contains" else text.rlike(arg)
+    new = F.lit(f"<{entity}>")
+    if n is not None:
+        keep = F.greatest(F.length(match) - F.lit(n), F.lit(0))
+        new = F.concat(F.substring(match, 1, keep), F.repeat(F.lit("*"), F.length(match) - keep))
+    return new if kind == "none" else F.when(_valid(kind, match), new).otherwise(match)
 
 
 def redact_step(text: Column, entity: str, pattern: str, kind: str, mode: str = "replace") -> Column:
-    """One entity of the chain applied to ``text`` (skipped when its guard fails)."""
-    return F.when(_guard(text, entity), _redact_step(text, entity, pattern, kind, mode)).otherwise(text)
+    """One entity of the chain applied to ``text``, each match at its own place."""
+    if kind == "none" and not (mode == "mask" and entity in MASKED):
+        return F.regexp_replace(text, pattern, f"<{entity}>")
 
+    def spliced(both: Column) -> Column:
+        new = F.transform(both["found"], lambda m: _replacement(entity, kind, mode, m))
+        return F.array_join(F.flatten(F.zip_with(both["parts"], new, lambda part, m: F.array(part, F.coalesce(m, F.lit(""))))), "")
 
-def _redact_step(text: Column, entity: str, pattern: str, kind: str, mode: str) -> Column:
-    if kind == "none" and entity not in MASKED:
-        return F.regexp_replace(text, pattern, f"<{entity}>")
-    # Candidates between boundaries, validated, then each replaced.
-    bounded = kind != "none"
-    cands = F.regexp_extract_all(text, F.lit(_bounded(pattern) if bounded else f"({pattern})"),
-                                 F.lit(2 if bounded else 1))
-    kept = F.array_sort(F.array_distinct(F.filter(cands, lambda c: _valid(kind, c))))
-    return F.aggregate(kept, text, lambda acc, c: F.replace(acc, c, _replacement(entity, mode, c)))
+    # n matches cut a text into n + 1 parts; the array of one binds both lists once
+    both = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("parts"))
+    return F.when(text.rlike(pattern), F.transform(F.array(both), spliced)[0]).otherwise(text)
 
 
 def redact(df: DataFrame, col: str, mode: str = "replace", out_col: str | None = None,

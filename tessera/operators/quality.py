@@ -61,7 +61,7 @@ HORIZON_PRESETS = {
              ("Entro 9 anni", 9), ("Entro 10 anni", 10), ("Entro 20 anni", 20), ("Entro 30 anni", 30),
              ("Oltre 30 anni", None)), 365.25, "le_first"),
 }
-# Pandas' datetime range used by the vectorised report: seconds outside are dropped.
+# Pandas' datetime range: seconds outside were dropped by the source's vectorised report.
 PANDAS_SECONDS_LIMIT = 9.2e9
 YEAR_LO, YEAR_HI = 2000, 2100
 
@@ -194,21 +194,20 @@ def horizon_years(col: str, as_of_us: int, preset: str) -> Column:
     return years_to(col, as_of_us, HORIZON_PRESETS[preset][1])
 
 
-def _vec_usable(col: str) -> Column:
-    secs = F.col(col) / F.lit(1_000_000.0)
-    return F.col(col).isNotNull() & secs.between(-PANDAS_SECONDS_LIMIT, PANDAS_SECONDS_LIMIT)
-
-
-def with_horizon(df: DataFrame, col: str, as_of_us: int, preset: str) -> DataFrame:
-    """Bucket label per row (null when the date is null/unusable or dropped by the rule)."""
-    usable = _vec_usable(col) if preset == "h6_vec" else F.col(col).isNotNull()
+def with_horizon(df: DataFrame, col: str, as_of_us: int, preset: str, limit_seconds: float | None = None) -> DataFrame:
+    """Bucket label per row (null when the date is null or dropped by the rule).
+    ``limit_seconds`` drops dates further from 1970 than that
+    (``PANDAS_SECONDS_LIMIT`` reproduces the source's vectorised report)."""
+    usable = F.col(col).isNotNull()
+    if limit_seconds is not None:
+        usable = usable & (F.col(col) / F.lit(1_000_000.0)).between(-limit_seconds, limit_seconds)
     label = F.when(usable, horizon_label(horizon_years(col, as_of_us, preset), preset))
     return df.withColumn("cluster", label)
 
 
-def horizon_clusters(df: DataFrame, col: str, as_of_us: int, preset: str) -> DataFrame:
+def horizon_clusters(df: DataFrame, col: str, as_of_us: int, preset: str, limit_seconds: float | None = None) -> DataFrame:
     """Counts per horizon bucket and % of all rows (null dates included)."""
-    labelled = with_horizon(df, col, as_of_us, preset)
+    labelled = with_horizon(df, col, as_of_us, preset, limit_seconds)
     names = [b[0] for b in HORIZON_PRESETS[preset][0]]
     return _bucket_report(labelled, F.col("cluster"), names, None)
 
@@ -262,9 +261,9 @@ def date_counts(df: DataFrame, col: str, as_of_us: int) -> DataFrame:
 
 
 def top_companies_per_cluster(df: DataFrame, col: str, as_of_us: int, preset: str = "h6_vec",
-                              k: int = 50) -> DataFrame:
+                              k: int = 50, limit_seconds: float | None = None) -> DataFrame:
     """Top-k companies by record count inside every horizon bucket."""
-    labelled = with_horizon(df, col, as_of_us, preset).where(
+    labelled = with_horizon(df, col, as_of_us, preset, limit_seconds).where(
         F.col("cluster").isNotNull() & F.col("company_name").isNotNull())
     counts = labelled.groupBy("cluster", "company_name").agg(F.count(F.lit(1)).alias("n"))
     return top_k_per_group(counts, ["cluster"], [F.desc("n"), F.asc("company_name")], k, "rank")

@@ -77,22 +77,21 @@ def overlap_cross(df: DataFrame, owner: str = "abi", lo: str = "low_range", hi:
         return (v - F.pmod(v, F.lit(w).cast(DEC))).cast(DEC)
 
     def span(w):
-        return ((start_of(F.col(hi), w) - start_of(F.col(lo), w)) / F.lit(w)).cast("int") + 1
+        return F.call_function("div", start_of(F.col(hi), w) - start_of(F.col(lo), w), F.lit(w).cast(DEC)).cast(DEC) + 1
 
     level = None
     for i, w in enumerate(levels):
         cond = span(w) <= fanout
         level = F.when(cond, F.lit(i)) if level is None else level.when(cond, F.lit(i))
-    level = level.otherwise(F.lit(len(levels) - 1))
+    level = F.coalesce(level, F.lit(len(levels) - 1))
     widths = F.array(*[F.lit(w).cast(DEC) for w in levels])
 
     a = df.select(F.col(owner).alias("a_owner"), F.col(key).alias("a_key"), F.col(lo).alias("a_low"),
                   F.col(hi).alias("a_high"), level.alias("level"))
     a = a.withColumn("_w", F.element_at(widths, F.col("level") + 1))
     a = a.withColumn("_first", (F.col("a_low") - F.pmod(F.col("a_low"), F.col("_w"))).cast(DEC))
-    a = a.withColumn("_n", ((((F.col("a_high") - F.pmod(F.col("a_high"), F.col("_w"))) - F.col("_first"))
-                             / F.col("_w")).cast("int") + 1))
-    a = a.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+    a = a.withColumn("_n", F.call_function("div", F.col("a_high") - F.pmod(F.col("a_high"), F.col("_w")) - F.col("_first"), F.col("_w")) + 1)
+    a = a.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)))
     a = a.withColumn("bucket", (F.col("_first") + F.col("_i") * F.col("_w")).cast(DEC)).drop("_w", "_first", "_n", "_i")
 
     b = df.select(F.col(owner).alias("b_owner"), F.col(key).alias("b_key"), F.col(lo).alias("b_low"),

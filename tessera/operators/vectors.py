@@ -1,10 +1,11 @@
 """Exact cosine k-nearest-neighbour retrieval.
 
-The query set is small and bounded (checked before it is broadcast); the
-corpus streams through ``mapInPandas`` in Arrow batches where numpy scores
-every corpus vector against all queries and keeps a local top-k per query.
-Only k rows per query per batch leave a task, and a final per-query
-``row_number`` keeps the global top-k — no pair table is ever materialised.
+Queries and corpus both become tables of blocks, a block being the vectors of
+at most about ``BLOCK`` rows. Every corpus block meets every query block in an
+equi-join on the block number; numpy scores the two against each other and
+keeps a local top-k per query, so only k rows per query and corpus block leave
+a task, a task holds two blocks at a time whatever the number of queries, and
+no pair table or driver copy of the queries exists.
 """
 
 from __future__ import annotations
@@ -18,42 +19,48 @@ from pyspark.sql import functions as F
 
 from .windows import top_k_per_group
 
-MAX_QUERIES = 100_000
+#: Vectors of a block, on average.
+BLOCK = 1024
+
+
+def _blocks(df: DataFrame, key: str, vec: str, block: int, prefix: str) -> tuple[DataFrame, int]:
+    """(block, ids, vectors) and the number of blocks; rows fall by the hash of their key."""
+    n = max(1, -(-df.count() // block))
+    at = F.pmod(F.xxhash64(key), F.lit(n))
+    rows = F.collect_list(F.struct(F.col(key).alias("id"), F.col(vec).alias("v")))
+    out = df.where(F.col(vec).isNotNull()).groupBy(at.alias(f"{prefix}_block")).agg(rows.alias("r"))
+    return out.select(f"{prefix}_block", F.col("r.id").alias(f"{prefix}_ids"), F.col("r.v").alias(f"{prefix}_vecs")), n
 
 
 def knn(queries: DataFrame, corpus: DataFrame, k: int = 5, qid: str = "query_id", vid: str = "vec_id",
-        vec: str = "embedding") -> DataFrame:
+        vec: str = "embedding", block: int = BLOCK) -> DataFrame:
     """K1: the k corpus vectors closest to each query by cosine distance (1 - cos)."""
-    q = queries.select(qid, vec).limit(MAX_QUERIES + 1).collect()
-    if len(q) > MAX_QUERIES:
-        raise ValueError(f"more than {MAX_QUERIES} queries: batch them")
-    qids = np.array([r[0] for r in q])
-    qmat = np.array([r[1] for r in q], dtype=np.float64)
-    qnorm = qmat / np.linalg.norm(qmat, axis=1, keepdims=True)
-    bq = corpus.sparkSession.sparkContext.broadcast((qids, qnorm))
+    q, n = _blocks(queries, qid, vec, block, "q")
+    c, _ = _blocks(corpus, vid, vec, block, "c")
+    met = c.withColumn("q_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))).join(q, "q_block")
+
+    def unit(vectors) -> np.ndarray:
+        m = np.stack(vectors).astype(np.float64)
+        return m / np.linalg.norm(m, axis=1, keepdims=True)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, qn = bq.value
         for b in batches:
-            if len(b) == 0:
-                continue
-            m = np.stack(b[vec].to_numpy()).astype(np.float64)
-            m = m / np.linalg.norm(m, axis=1, keepdims=True)
-            dist = 1.0 - qn @ m.T  # queries x batch
-            kk = min(k, dist.shape[1])
-            part = np.argpartition(dist, kk - 1, axis=1)[:, :kk]
-            rows_q = np.repeat(ids, kk)
-            cols = part.reshape(-1)
-            yield pd.DataFrame({qid: rows_q, vid: b[vid].to_numpy()[cols],
-                                "distance": dist[np.repeat(np.arange(len(ids)), kk), cols]})
-
-    local = corpus.select(vid, vec).mapInPandas(score, f"{qid} bigint, {vid} bigint, distance double")
+            for q_ids, q_vecs, c_ids, c_vecs in b.itertuples(index=False):
+                ids, dist = np.asarray(c_ids), 1.0 - unit(q_vecs) @ unit(c_vecs).T
+                kk = min(k, len(ids))
+                order = np.lexsort((np.broadcast_to(ids, dist.shape), dist), axis=1)[:, :kk]
+                yield pd.DataFrame({qid: np.repeat(q_ids, kk), vid: ids[order].ravel(),
+                                    "distance": np.take_along_axis(dist, order, axis=1).ravel()})
+
+    local = met.select("q_ids", "q_vecs", "c_ids", "c_vecs").mapInPandas(score, f"{qid} bigint, {vid} bigint, distance double")
     return top_k_per_group(local, [qid], [F.asc("distance"), F.asc(vid)], k, "rank")
 
 
-def context(chunks: DataFrame, group: str, order: str, text: str, source: str, sep: str = "\n---\n") -> DataFrame:
-    """K2: per group, distinct sorted sources and the texts joined in order."""
-    return chunks.groupBy(group).agg(
+def context(hits: DataFrame, chunks: DataFrame, qid: str = "query_id", vid: str = "vec_id", rank: str = "rank",
+            text: str = "document", source: str = "source", sep: str = "\n---\n") -> DataFrame:
+    """K2: per query, the distinct sorted sources of its hits and their texts in
+    order of rank. A group has at most the k hits of one query."""
+    found = hits.join(chunks.select(F.col(vid).alias("_id"), text, source), F.col(vid) == F.col("_id"))
+    return found.groupBy(qid).agg(
         F.array_join(F.array_sort(F.collect_set(source)), ",").alias("sources"),
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda s: s[text]), sep)
-        .alias("context"))
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(rank, text))), lambda s: s[text]), sep).alias("context"))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import graph, pii, text, vectors
-from ..operators.reports import fiscal_check_char, vat_check_digit
+from ..operators.reports import FISCAL_ODD_VALUES, fiscal_check_char, vat_check_digit
 from ..sources.tables import read_table
 from .reports import _fiscal_sql, _vat_sql
 
@@ -28,7 +28,10 @@ def pii_source(spark, sf_dir):
     vat10 = F.lpad((i * 7919 % 10_000_000_000).cast("string"), 10, "0")
     check = vat_check_digit(vat10)
     vat = F.concat(vat10, F.when(i % 10 == 0, check).otherwise((check + 1) % 10).cast("string"))
-    line = F.concat(F.lit("\nTarga "), plate, F.lit(", codice fiscale "), cf, F.lit(", partita IVA "), vat, F.lit("."))
+    seven = F.lpad((i % 10_000_000).cast("string"), 7, "0")
+    line = F.concat(F.lit("\nTarga "), plate, F.lit(" "), plate, F.lit("/AB12345, codice fiscale "), cf, F.lit(", partita IVA 00743110157 "), vat,
+                    F.lit(" 00743110157 9"), vat, F.lit(". Passaporto YA"), seven, F.lit(" patente MI"), seven, F.lit("K carta AY "), seven,
+                    F.lit(" CA"), F.substring(seven, 3, 5), F.lit("AA tel. +39 02 555 "), F.substring(seven, 4, 4), F.lit(", a"), seven, F.lit("@example.org"))
     return d.select("doc_id", F.when(i % 5 == 0, F.concat("text", line)).otherwise(F.col("text")).alias("text"))
 
 
@@ -129,7 +132,7 @@ QUERIES = {
 
 
 def _fiscal_check_sql(code):
-    odd = "[" + ", ".join(str(v) for v in __import__("tessera.operators.reports", fromlist=["x"]).FISCAL_ODD_VALUES) + "]"
+    odd = "[" + ", ".join(str(v) for v in FISCAL_ODD_VALUES) + "]"
     terms = []
     for i in range(15):
         pos = f"instr('0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ', substr({code}, {i + 1}, 1))"
@@ -151,53 +154,53 @@ def _luhn_sql(c):
             f"(CASE WHEN 2 * {d} > 9 THEN 2 * {d} - 9 ELSE 2 * {d} END) ELSE {d} END)) % 10 = 0)")
 
 
-def _valid_sql(kind, c):
-    if kind == "luhn":
-        return _luhn_sql(c)
-    if kind == "fiscal":
-        return _fiscal_sql(c)
-    if kind == "vat":
-        return _vat_sql(c)
-    return "TRUE"
+# The oracle knows entities as whole tokens: a text is cut into runs of word
+# characters and runs of others, and every run that is an identifier in full is
+# replaced. Its shapes are written out here on purpose, apart from the library's.
+_TOKEN_RULES = (
+    ("IBAN_CODE", "regexp_full_match(w, 'IT\\d\\d[A-Z]\\d{10}[A-Z\\d]{12}')"),
+    ("CREDIT_CARD", f"regexp_full_match(w, '\\d+') AND length(w) BETWEEN 13 AND 19 AND {_luhn_sql('w')}"),
+    ("IT_FISCAL_CODE", f"length(w) = 16 AND {_fiscal_sql('w')}"),
+    ("IT_VAT_CODE", f"length(w) = 11 AND {_vat_sql('w')}"),
+    ("IT_DRIVER_LICENSE", "length(w) = 10 AND (regexp_full_match(w, '[A-Z][A-Z]\\d{7}[A-Z]') OR regexp_full_match(w, 'U1[B-DF-HJ-NPR-UW-Z\\d]{7}[A-Z]'))"),
+    ("IT_PASSPORT", "length(w) = 9 AND regexp_full_match(lower(w), '[a-z][a-z]\\d{7}')"),
+    ("IT_IDENTITY_CARD", "length(w) = 9 AND (regexp_full_match(lower(w), '\\d{7}[a-z][a-z]') OR regexp_full_match(lower(w), '[a-z][a-z]\\d{5}[a-z][a-z]'))"),
+    ("IT_VEHICLE_PLATE", "regexp_full_match(w, '[A-Z]{2}\\d{3}[A-Z]{2}') OR regexp_full_match(w, '\\d\\d[A-Z]{2}\\d\\d') "
+                         "OR regexp_full_match(w, '[A-Z]{2}\\d{5}') OR regexp_full_match(w, '\\d\\d[A-Z]{3}\\d\\d')"),
+)
+_STARS = {"IT_FISCAL_CODE": 10, "IT_VEHICLE_PLATE": 2}
+_NAMES = ("EMAIL_ADDRESS", "IBAN_CODE", "CREDIT_CARD", "IT_FISCAL_CODE", "IT_VAT_CODE", "IT_DRIVER_LICENSE", "IT_PASSPORT", "IT_IDENTITY_CARD",
+          "IT_VEHICLE_PLATE", "PHONE_NUMBER")
+_KEYS = ("IT_VEHICLE_PLATE", "IT_FISCAL_CODE", "IT_VAT_CODE")
 
 
 def _redact_ctes(mode):
-    """One CTE per redaction step, mirroring the Spark chain."""
-    ctes = []
-    prev = "src"
-    for n, (entity, pattern, kind) in enumerate(pii.PII_STEPS):
-        masked = pii.MASKED.get(entity) if mode == "mask" else None
-        if kind == "none" and masked is None:
-            expr = f"regexp_replace(t, '{pattern}', '<{entity}>', 'g')"
-        else:
-            if kind != "none":
-                extract = f"regexp_extract_all(t, '{pii.LEFT}({pattern}){pii.RIGHT}', 2)"
-            else:
-                extract = f"regexp_extract_all(t, '({pattern})', 1)"
-            kept = f"list_sort(list_distinct(list_filter({extract}, lambda c: {_valid_sql(kind, 'c')})))"
-            if masked is None:
-                repl = f"'<{entity}>'"
-            else:
-                repl = (f"concat(substr(c, 1, greatest(length(c) - {masked}, 0)), "
-                        f"repeat('*', length(c) - greatest(length(c) - {masked}, 0)))")
-            expr = f"list_reduce({kept}, lambda acc, c: replace(acc, c, {repl}), t)"
-        name = f"s{n}"
-        ctes.append(f"{name} AS (SELECT doc_id, {expr} AS t FROM {prev})")
-        prev = name
-    return ctes, prev
+    def new(entity):
+        n = _STARS.get(entity) if mode == "mask" else None
+        return f"'<{entity}>'" if n is None else f"left(w, length(w) - {n}) || repeat('*', {n})"
+
+    case = "CASE " + " ".join(f"WHEN {rule} THEN {new(entity)}" for entity, rule in _TOKEN_RULES) + " ELSE w END"
+    spaced = "regexp_replace({}, '(^|\\W)([A-Za-z]{{2}} \\d{{7}})($|\\W)', '\\1<IT_IDENTITY_CARD>\\3', 'g')"
+    return [
+        "r1 AS (SELECT doc_id, regexp_replace(t, '[\\w.%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}', '<EMAIL_ADDRESS>', 'g') AS t FROM src)",
+        f"r2 AS (SELECT doc_id, array_to_string(list_transform(regexp_extract_all(t, '\\w+|\\W+'), lambda w: {case}), '') AS t FROM r1)",
+        f"r3 AS (SELECT doc_id, {spaced.format(spaced.format('t'))} AS t FROM r2)",
+        "r4 AS (SELECT doc_id, regexp_replace(t, '\\+\\d{1,3} ?\\(?\\d{2,4}\\)?[ -]?\\d{3}[ -]?\\d{3,4}($|\\W)', '<PHONE_NUMBER>\\1', 'g') AS t FROM r3)",
+    ], "r4"
 
 
 _SRC = f"""
-src AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN concat(text, chr(10), 'Targa ', plate, ', codice fiscale ',
-  cf15 || CASE WHEN doc_id % 10 = 0 THEN {_fiscal_check_sql('cf15')} ELSE 'Z' END, ', partita IVA ',
-  vat10 || cast(CASE WHEN doc_id % 10 = 0 THEN {_vat_check_sql('vat10')} ELSE ({_vat_check_sql('vat10')} + 1) % 10 END AS VARCHAR),
-  '.') ELSE text END AS t
+src AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN concat(text, chr(10), 'Targa ', plate, ' ', plate, '/AB12345, codice fiscale ',
+  cf15 || CASE WHEN doc_id % 10 = 0 THEN {_fiscal_check_sql('cf15')} ELSE 'Z' END, ', partita IVA 00743110157 ', vat, ' 00743110157 9', vat,
+  '. Passaporto YA', seven, ' patente MI', seven, 'K carta AY ', seven, ' CA', substr(seven, 3, 5), 'AA tel. +39 02 555 ', substr(seven, 4, 4),
+  ', a', seven, '@example.org') ELSE text END AS t
+  FROM (SELECT *, vat10 || cast(CASE WHEN doc_id % 10 = 0 THEN {_vat_check_sql('vat10')} ELSE ({_vat_check_sql('vat10')} + 1) % 10 END AS VARCHAR) AS vat
   FROM (SELECT doc_id, text,
     concat(substr('{ALPHA}', cast(doc_id % 26 + 1 AS INTEGER), 1), substr('{ALPHA}', cast((doc_id // 26) % 26 + 1 AS INTEGER), 1),
       lpad(cast(doc_id % 1000 AS VARCHAR), 3, '0'), 'XY') AS plate,
     concat('RSSMRA', lpad(cast(doc_id % 100 AS VARCHAR), 2, '0'), 'A', lpad(cast(doc_id % 28 + 1 AS VARCHAR), 2, '0'), 'H',
       lpad(cast(doc_id % 1000 AS VARCHAR), 3, '0')) AS cf15,
-    lpad(cast(doc_id * 7919 % 10000000000 AS VARCHAR), 10, '0') AS vat10 FROM documents))
+    lpad(cast(doc_id * 7919 % 10000000000 AS VARCHAR), 10, '0') AS vat10, lpad(cast(doc_id % 10000000 AS VARCHAR), 7, '0') AS seven FROM documents)))
 """
 
 
@@ -206,10 +209,10 @@ def _redacted_sql(mode, select):
     return "WITH " + _SRC + ", " + ", ".join(ctes) + f", red AS (SELECT doc_id, t AS text_anon FROM {last}) " + select
 
 
-_FOUND = ("list_filter([" + ", ".join(f"CASE WHEN contains(text_anon, '<{e}>') THEN '{e}' END" for e in pii.PII_ENTITIES)
+_FOUND = ("list_filter([" + ", ".join(f"CASE WHEN contains(text_anon, '<{e}>') THEN '{e}' END" for e in _NAMES)
           + "], lambda x: x IS NOT NULL)")
-_GROUP = ("CASE WHEN len(list_filter(found, lambda x: x IN (" + ", ".join(f"'{e}'" for e in pii.PLATE_CF_VAT)
-          + "))) > 0 THEN 'ANY " + "/".join(pii.PLATE_CF_VAT) + "' ELSE 'NONE " + "/".join(pii.PLATE_CF_VAT) + "' END")
+_GROUP = ("CASE WHEN len(list_filter(found, lambda x: x IN (" + ", ".join(f"'{e}'" for e in _KEYS)
+          + "))) > 0 THEN 'ANY " + "/".join(_KEYS) + "' ELSE 'NONE " + "/".join(_KEYS) + "' END")
 
 _ORIGIN = text.ORIGIN_PATTERN
 _EDGES = f"""
@@ -235,7 +238,7 @@ ORACLE = {
         "SELECT combination, count(*) AS n FROM (SELECT CASE WHEN len(found) = 1 THEN concat('SOLO ', found[1]) "
         "WHEN len(found) > 1 THEN array_to_string(list_sort(found), '-') END AS combination FROM f) "
         f"WHERE combination IS NOT NULL GROUP BY 1 UNION ALL SELECT {_GROUP} AS combination, count(*) AS n FROM f GROUP BY 1"
-    ).replace("red AS (SELECT doc_id, t AS text_anon FROM s6) , f AS", "red AS (SELECT doc_id, t AS text_anon FROM s6), f AS"),
+    ),
     "link_edges": f"WITH {_EDGES} SELECT src, dst FROM edges",
     "reachable_urls": "WITH RECURSIVE " + _EDGES.strip() + ", seeds AS (SELECT DISTINCT regexp_replace(url, '#.*$', '') AS node "
                       "FROM pages), r(node) AS (SELECT node FROM seeds UNION SELECT e.dst FROM r JOIN edges e "

@@ -46,14 +46,11 @@ def q_member_contract(spark, sf_dir):
 
 
 def q_kpi_grouped(spark, sf_dir):
-    totals = groups.provider_totals(_src(spark, sf_dir))
-    return groups.kpi_grouped(totals, groups.group_mapping(fixture(spark, sf_dir, "crm")))
+    return groups.kpi_grouped(groups.provider_totals(_src(spark, sf_dir)), fixture(spark, sf_dir, "crm"))
 
 
 def q_kpi_singles(spark, sf_dir):
-    crm = fixture(spark, sf_dir, "crm")
-    totals = groups.provider_totals(_src(spark, sf_dir))
-    return groups.kpi_singles(totals, groups.group_mapping(crm), groups.member_contract(crm))
+    return groups.kpi_singles(groups.provider_totals(_src(spark, sf_dir)), fixture(spark, sf_dir, "crm"))
 
 
 def q_kpi_gold(spark, sf_dir):

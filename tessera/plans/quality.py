@@ -210,9 +210,6 @@ def _horizon_label(preset, usable=None):
         parts.append(f"WHEN {cond} THEN '{name}'")
         lo = float(hi) if hi is not None else lo
     usable = usable or "due_date IS NOT NULL"
-    if preset == "h6_vec":
-        lim = quality.PANDAS_SECONDS_LIMIT
-        usable += f" AND due_date / cast(1000000 AS DOUBLE) BETWEEN {-lim} AND {lim}"
     return f"CASE WHEN {usable} THEN CASE {' '.join(parts)} END END"
 
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.cdc import to_cdc
+from ..functions.columns import prefix2
 from ..operators import joins, predicates, windows
 from ..sources.fixtures import fixture, with_fixtures
 
@@ -43,13 +44,15 @@ def waterfall(spark, sf_dir):
     return joins.semi_waterfall(pp, po, t, CATEGORY_PATTERN, EXCLUDED_IUPD, OPEN_STATUSES)
 
 
-def core(spark, sf_dir):
-    """Final options with their positions, joined to the partner registry, and
-    the qualifying transfers (one pass over each input)."""
-    pp, po, t = inputs(spark, sf_dir)
-    final, t_ok = joins.waterfall_options(pp, po, t, CATEGORY_PATTERN, EXCLUDED_IUPD, OPEN_STATUSES)
-    rpt = fixture(spark, sf_dir, "partner_report")
-    return joins.partner_match(final, rpt), t_ok
+def final_options(spark, sf_dir):
+    """Final options with their positions and IUV prefix, and the qualifying
+    transfers (one pass over each input)."""
+    final, t_ok = joins.waterfall_options(*inputs(spark, sf_dir), CATEGORY_PATTERN, EXCLUDED_IUPD, OPEN_STATUSES)
+    return final.withColumn("iuv_prefix", prefix2("iuv")), t_ok
+
+
+def partners(spark, sf_dir):
+    return joins.partner_prefixes(fixture(spark, sf_dir, "partner_report"))
 
 
 def q_cdc_unwrap(spark, sf_dir):
@@ -87,67 +90,68 @@ def q_semi_waterfall(spark, sf_dir):
             .unionByName(t_final.select(F.lit("t").alias("level"), F.col("payment_option_id").alias("id"))))
 
 
+CORE = ("id_intermediario_pa", "id_dominio", "po_id", "iuv", "pp_id", "iupd", "organization_fiscal_code")
+
+
 def q_partner_join(spark, sf_dir):
-    c, _ = core(spark, sf_dir)
-    return c.select("id_intermediario_pa", "id_dominio", "po_id", "iuv", "pp_id", "iupd", "organization_fiscal_code")
+    final, _ = final_options(spark, sf_dir)
+    return joins.partner_match(final, fixture(spark, sf_dir, "partner_report")).select(*CORE)
 
 
 def q_partner_join_domain(spark, sf_dir):
     """C2 with ``match='prefix+domain'``: the registry row must also belong to
     the position's organisation (no fan-out across organisations)."""
-    pp, po, t = inputs(spark, sf_dir)
-    final, _ = joins.waterfall_options(pp, po, t, CATEGORY_PATTERN, EXCLUDED_IUPD, OPEN_STATUSES)
-    c = joins.partner_match(final, fixture(spark, sf_dir, "partner_report"), match="prefix+domain")
-    return c.select("id_intermediario_pa", "id_dominio", "po_id", "iuv", "pp_id", "iupd", "organization_fiscal_code")
+    final, _ = final_options(spark, sf_dir)
+    return joins.partner_match(final, fixture(spark, sf_dir, "partner_report"), match="prefix+domain").select(*CORE)
 
 
-def partner_org_counts(c):
-    """D3: distinct positions per (partner, organisation)."""
-    return c.groupBy("id_intermediario_pa", "organization_fiscal_code").agg(
+def position_counts(spark, sf_dir, *keys):
+    """D3: distinct positions per partner and ``keys``: distinct per prefix
+    first, then one row per (prefix, partner) of the registry."""
+    final, _ = final_options(spark, sf_dir)
+    per_prefix = final.select("iuv_prefix", *keys, "iupd").distinct()
+    return per_prefix.join(partners(spark, sf_dir), "iuv_prefix").groupBy("id_intermediario_pa", *keys).agg(
         F.count_distinct("iupd").alias("num_posizioni"))
 
 
 def q_partner_distinct(spark, sf_dir):
-    return partner_org_counts(core(spark, sf_dir)[0])
+    return position_counts(spark, sf_dir, "organization_fiscal_code")
 
 
 def q_top10_partners(spark, sf_dir):
-    c, _ = core(spark, sf_dir)
-    per_partner = c.groupBy("id_intermediario_pa").agg(F.count_distinct("iupd").alias("num_posizioni"))
-    return windows.top_n(per_partner, [F.desc("num_posizioni"), F.asc("id_intermediario_pa")], 10)
+    return windows.top_n(position_counts(spark, sf_dir), [F.desc("num_posizioni"), F.asc("id_intermediario_pa")], 10)
 
 
 def q_top2_orgs(spark, sf_dir):
-    counts = partner_org_counts(core(spark, sf_dir)[0])
-    return windows.top_k_per_group(counts, ["id_intermediario_pa"],
+    return windows.top_k_per_group(q_partner_distinct(spark, sf_dir), ["id_intermediario_pa"],
                                    [F.desc("num_posizioni"), F.asc("organization_fiscal_code")], 2, "rank")
 
 
-def service_totals(spark, sf_dir):
-    """Sum of transfer amounts per (partner, category) over the joined core
-    (rows multiplied by the partner fan-out, as the source computes them)."""
-    c, t_ok = core(spark, sf_dir)
-    # every final option has at least one qualifying transfer: the left join of
-    # the source is an inner join with the qualifying transfers
-    services = c.join(t_ok, c.po_id == t_ok.payment_option_id, "inner")
-    return services.groupBy("id_intermediario_pa", "category").agg(F.sum("amount").alias("totale_importi"))
+def service_totals(spark, sf_dir, weighted):
+    """Transfer amounts per (partner, category), summed per prefix before
+    the registry is joined. ``weighted`` multiplies by the registry rows of
+    the prefix and partner, as the source's fan-out does."""
+    final, t_ok = final_options(spark, sf_dir)
+    # every final option has a qualifying transfer, so the source's left join is an inner one
+    sums = final.select("po_id", "iuv_prefix").join(t_ok, F.col("po_id") == t_ok.payment_option_id).groupBy(
+        "iuv_prefix", "category").agg(F.sum("amount").alias("amount"))
+    times = F.col("n_rows") if weighted else F.lit(1)
+    return sums.join(partners(spark, sf_dir), "iuv_prefix").groupBy("id_intermediario_pa", "category").agg(
+        F.sum(F.col("amount") * times).alias("totale_importi"))
 
 
 def q_service_amounts(spark, sf_dir):
-    return service_totals(spark, sf_dir)
+    return service_totals(spark, sf_dir, weighted=True)
 
 
 def q_service_amounts_dedup(spark, sf_dir):
     """D4 corrected: each transfer counted once per partner, however many
     registry rows share its IUV prefix (the faithful version multiplies)."""
-    c, t_ok = core(spark, sf_dir)
-    per_partner = c.select("id_intermediario_pa", "po_id").distinct()
-    services = per_partner.join(t_ok, per_partner.po_id == t_ok.payment_option_id, "inner")
-    return services.groupBy("id_intermediario_pa", "category").agg(F.sum("amount").alias("totale_importi"))
+    return service_totals(spark, sf_dir, weighted=False)
 
 
 def q_top3_services(spark, sf_dir):
-    return windows.top_k_per_group(service_totals(spark, sf_dir), ["id_intermediario_pa"],
+    return windows.top_k_per_group(service_totals(spark, sf_dir, weighted=True), ["id_intermediario_pa"],
                                    [F.desc("totale_importi"), F.asc_nulls_last("category")], 3, "rank")
 
 

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results (time zone) or plan quality (AQE). They are
 # runtime SQL confs, so they can be set on a live session.
@@ -52,34 +53,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
     The setting is read from the session (runtime conf, then the SparkConf the
-    cluster started with, then the context's checkpoint directory). Only when
-    none is set (local tests) a fresh scratch folder is created and registered.
+    cluster started with, then the context's checkpoint directory). Without it
+    a local session, whose executors all live in this process, gets a fresh
+    temporary folder; on a cluster that would be another disk on every
+    machine, so there its absence is an error.
     """
     sc = spark.sparkContext
     configured = (spark.conf.get("spark.checkpoint.dir", None)
                   or sc.getConf().get("spark.checkpoint.dir", None)
                   or sc.getCheckpointDir())
-    if configured:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(configured)
-        return configured
-    path = tempfile.mkdtemp(prefix="tessera-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    sc.setCheckpointDir(path)
-    return path
+    if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", configured)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(configured)
+    return configured
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{os.getpid()}-{next(_counter)}"
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def _count():
-    n = 0
-    while True:
-        n += 1
-        yield n
-
-
-_counter = _count()
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: several readers
+    compute it once, and a lost executor recomputes nothing before it."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,59 +5,31 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..session import configure
 
 
-# Inputs smaller than this are not worth spreading (dimension tables).
-SPREAD_MIN_BYTES = 1 << 20
-_SCANS: dict[str, tuple[int, int]] = {}
-
-
-def scan_shape(spark: SparkSession, path: str) -> tuple[int, int]:
-    """(input splits, total bytes) of a parquet path: the splits come from
-    planning the scan, the bytes from the file listing; cached per path."""
-    if path not in _SCANS:
-        splits = spark.read.parquet(path).rdd.getNumPartitions()
-        size = spark.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0] or 0
-        _SCANS[path] = (splits, int(size))
-    return _SCANS[path]
-
-
-def parallelism_floor(spark: SparkSession, path: str) -> int | None:
-    """Partitions to spread a scan over when a non-trivial input has fewer
-    splits than the session can run at once (an unsplittable file, a single
-    row group), else None. Inputs of real size have many splits and are left
-    untouched, so at scale this adds no shuffle."""
-    target = spark.sparkContext.defaultParallelism
-    splits, size = scan_shape(spark, path)
-    return target if splits < target and size >= SPREAD_MIN_BYTES else None
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str, cols: Sequence[str] | None = None) -> DataFrame:
     """A1: a driver table (``<sf_dir>/<name>.parquet``) or, when ``sf_dir`` is
     empty, a catalog table; only ``cols`` are read (column pruning reaches the
-    parquet scan's ReadSchema and passes through the spreading repartition)."""
+    parquet scan's ReadSchema)."""
     configure(spark)
     if not sf_dir:
         df = spark.table(name)
         return df.select(*cols) if cols else df
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
-    if cols:
-        df = df.select(*cols)
-    n = parallelism_floor(spark, path)
-    return df.repartition(n) if n else df
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return df.select(*cols) if cols else df
 
 
 def read_jdbc(spark: SparkSession, url: str, query: str, part_col: str, lo: int, hi: int, n: int,
               props: dict[str, str] | None = None) -> DataFrame:
     """A4: a relational query read in ``n`` parallel ranges of ``part_col``.
 
-    No database is started in this repository; the parquet stand-ins replace
-    the source tables in every registered query."""
-    reader = (spark.read.format("jdbc").option("url", url).option("query", query)
+    The query goes in as a derived table, since Spark takes no ``query`` option
+    together with a partition column. No database is started in this
+    repository, so this has not been run; the parquet stand-ins replace the
+    source tables in every registered query."""
+    reader = (spark.read.format("jdbc").option("url", url).option("dbtable", f"({query}) q")
               .option("partitionColumn", part_col).option("lowerBound", lo).option("upperBound", hi)
               .option("numPartitions", n))
     for k, v in (props or {}).items():

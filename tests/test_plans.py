@@ -1,8 +1,9 @@
 """Physical-plan shape tests: the operators the scale design relies on."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import groups, joins, ranges, windows
+from tessera.operators import groups, ranges, windows
 from tessera.plans import kpi, reconcile, rtp, stages
 
 
@@ -21,9 +22,23 @@ def test_global_top_n_is_take_ordered(spark, sf_dir):
     assert "TakeOrderedAndProject" in df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_prefix_key_join_broadcasts_the_registry(spark, sf_dir):
-    p = plan(rtp.q_partner_join(spark, sf_dir))
-    assert "BroadcastHashJoin" in p
+@pytest.mark.parametrize("query", [rtp.q_partner_distinct, rtp.q_service_amounts, rtp.q_top3_services, rtp.q_top2_orgs])
+def test_facts_are_aggregated_before_the_registry_join(spark, sf_dir, query):
+    p = query(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    join = next(i for i, x in enumerate(p.split("\n")) if "Join" in x and "iuv_prefix" in x)
+    below = p.split("\n")[join + 1:]
+    assert any("HashAggregate(keys=[iuv_prefix" in x for x in below)
+
+
+def test_no_round_robin_and_no_hint(spark, sf_dir):
+    for query in (rtp.q_partner_join, rtp.q_semi_waterfall, kpi.q_kpi_gold, reconcile.q_enrich_left):
+        p = query(spark, sf_dir)._jdf.queryExecution().toString()
+        assert "RoundRobinPartitioning" not in p and "ResolvedHint" not in p
+
+
+def test_kpi_gold_and_waterfall_scan_little(spark, sf_dir):
+    assert kpi.q_kpi_gold(spark, sf_dir)._jdf.queryExecution().executedPlan().toString().count("FileScan") <= 3
+    assert rtp.q_semi_waterfall(spark, sf_dir)._jdf.queryExecution().executedPlan().toString().count("FileScan") <= 5
 
 
 def test_interval_join_is_an_equi_join(spark, sf_dir):
@@ -58,12 +73,6 @@ def test_bucket_reports_are_one_aggregate(spark):
     assert p.count("HashAggregate") == 2           # partial + final of one global aggregate
 
 
-def test_checked_broadcast_respects_the_bound(spark):
-    small = spark.range(10)
-    assert "broadcast" in str(joins.checked_broadcast(small, 100)._jdf.queryExecution().logical()).lower()
-    assert "broadcast" not in str(joins.checked_broadcast(small, 5)._jdf.queryExecution().logical()).lower()
-
-
 def test_adjacent_overlap_windows_are_bucketed(spark, sf_dir):
     p = ranges.overlap_adjacent(reconcile.fixture(spark, sf_dir, "issuer_range"))._jdf.queryExecution() \
         .executedPlan().toString()

@@ -70,6 +70,10 @@ def test_horizon_presets_edges(spark):
     assert h6["Entro 1 anno"] == 1                # (0, 1]: exactly one year in, past/today out
     assert v6["Entro 1 anno"] == 2 and v6["Tra 1 e 2 anni"] == 1   # [0, 1): one year moves up
     assert h4["Oltre 30 anni"] == h6["Oltre 30 anni"] == v6["Oltre 30 anni"] == 1
+    far = spark.createDataFrame([(as_of + 400 * year,)], "due_date long")
+    limit = quality.PANDAS_SECONDS_LIMIT            # the source's pandas range, on request only
+    assert sum(r.n for r in quality.horizon_clusters(far, "due_date", as_of, "h6_vec").collect()) == 1
+    assert sum(r.n for r in quality.horizon_clusters(far, "due_date", as_of, "h6_vec", limit).collect()) == 0
 
 
 def test_top_k_ties_are_deterministic(spark):
@@ -195,3 +199,18 @@ def test_emit_events_to_files(spark, tmp_path):
     got = rows(back.select("key", F.get_json_object("value", "$.after.iupd").alias("iupd"),
                            F.get_json_object("value", "$.ts_ms").alias("ms")), "key", "iupd", "ms")
     assert got == [("1", "a", "5"), ("2", "b", "5")]
+
+
+def test_redaction_of_adjacent_identifiers(spark):
+    texts = {
+        "Targa AB123CD EF456GH fine": "Targa <IT_VEHICLE_PLATE> <IT_VEHICLE_PLATE> fine",
+        "00743110157 12345670017 00743110157": "<IT_VAT_CODE> <IT_VAT_CODE> <IT_VAT_CODE>",
+        "900743110157 00743110157": "900743110157 <IT_VAT_CODE>",
+        "AB1234567 U1ABCDEFGH AB1234567K 1234567AB": "<IT_PASSPORT> U1ABCDEFGH <IT_DRIVER_LICENSE> <IT_IDENTITY_CARD>",
+        "xAB123CD AB123CD_ AB123CD": "xAB123CD AB123CD_ <IT_VEHICLE_PLATE>",
+        "": "", "nothing": "nothing",
+    }
+    df = spark.createDataFrame([(k, v) for k, v in texts.items()] + [(None, None)], "text string, want string")
+    assert all(r.text_anon == r.want for r in pii.redact(df, "text", out_col="text_anon").collect())
+    masked = pii.redact(df.limit(1), "text", mode="mask").first()
+    assert masked.text == "Targa AB123** EF456** fine"
