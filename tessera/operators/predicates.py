@@ -58,11 +58,13 @@ def regex_filter(df: DataFrame, col: str, pattern: str) -> DataFrame:
     return df.where(F.col(col).rlike(pattern))
 
 
-def time_range(df: DataFrame, col: str, lo: str | None, hi: str | None) -> DataFrame:
-    """Half-open ``[lo, hi)`` on a timestamp column; either bound optional."""
+def time_range(df: DataFrame, col: str, lo: str | None, hi: str | None, after: bool = False) -> DataFrame:
+    """Half-open ``[lo, hi)`` on a timestamp column, ``(lo, hi)`` with
+    ``after``; either bound optional."""
     cond = F.lit(True)
     if lo is not None:
-        cond = cond & (F.col(col) >= F.to_timestamp(F.lit(lo)))
+        bound = F.to_timestamp(F.lit(lo))
+        cond = cond & (F.col(col) > bound if after else F.col(col) >= bound)
     if hi is not None:
         cond = cond & (F.col(col) < F.to_timestamp(F.lit(hi)))
     return df.where(cond)

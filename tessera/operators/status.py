@@ -17,10 +17,10 @@ TITLE_ID_PATTERN = r"ID: (\d+)"
 
 
 def maintenance_groups(maint: DataFrame) -> DataFrame:
-    """One row per (broker, start, end) with its sorted station list.
-    The list is bounded by the stations of one broker."""
+    """One row per (broker, start, end) with its sorted distinct stations,
+    so the list is bounded by the stations of one broker."""
     return maint.groupBy("broker_code", "starts_at", "ends_at").agg(
-        F.array_sort(F.collect_list("station_code")).alias("stations"))
+        F.array_sort(F.collect_set("station_code")).alias("stations"))
 
 
 def impacted_entities(groups: DataFrame, inst: DataFrame) -> DataFrame:

@@ -25,61 +25,52 @@ LINK_SKIP_PREFIXES = ("mailto:", "javascript:")
 ORIGIN_PATTERN = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
 # ------------------------------------------------------------------------------
 
-_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-
-
 class _TextCollector(HTMLParser):
-    """Text of the first <main> (else <body>) without dropped subtrees."""
+    """Text of the first <main> (else <body>) without dropped subtrees below it;
+    a dropped tag around <main> does not hide it."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.depth = 0
-        self.main_depth = None  # depth at which the first <main> opened
+        self.in_main = 0  # open elements of that name since the first <main>
         self.main_done = False
         self.in_body = False
         self.skip = 0
+        self.main_skip = 0
         self.main_parts: list[str] = []
         self.body_parts: list[str] = []
+        self.seen_main = False
 
     def handle_starttag(self, tag, attrs):
-        if tag in _VOID:
-            return
-        self.depth += 1
         if tag == "body":
             self.in_body = True
-        if tag == "main" and self.main_depth is None and not self.main_done:
-            self.main_depth = self.depth
+        if tag == "main" and not self.main_done:
+            self.in_main += 1
+            self.seen_main = True
         if tag in DROPPED_TAGS:
             self.skip += 1
+            self.main_skip += bool(self.in_main)
 
     def handle_endtag(self, tag):
-        if tag in _VOID:
-            return
-        if tag in DROPPED_TAGS and self.skip:
-            self.skip -= 1
-        if tag == "main" and self.main_depth is not None and not self.main_done:
-            self.main_done = True
+        if tag in DROPPED_TAGS:
+            self.skip -= bool(self.skip)
+            self.main_skip -= bool(self.main_skip)
+        if tag == "main" and self.in_main:
+            self.in_main -= 1
+            self.main_done = not self.in_main
         if tag == "body":
             self.in_body = False
-        self.depth = max(0, self.depth - 1)
 
     def handle_data(self, data):
-        if self.skip:
-            return
         piece = data.strip()
-        if not piece:
-            return
-        if self.main_depth is not None and not self.main_done:
+        if piece and self.in_main and not self.main_skip:
             self.main_parts.append(piece)
-        if self.in_body:
+        if piece and self.in_body and not self.skip:
             self.body_parts.append(piece)
 
     def text(self) -> str | None:
-        if self.main_depth is not None:
+        if self.seen_main:
             return "\n".join(self.main_parts)
-        if self.body_parts or self.in_body:
-            return "\n".join(self.body_parts)
-        return None
+        return "\n".join(self.body_parts) if self.body_parts or self.in_body else None
 
 
 def extract_text(html: str | None) -> str | None:

@@ -21,7 +21,7 @@ from ..sources.fixtures import fixture, with_fixtures
 PSP = "PSPXXXMM"
 WINDOW = ("1995-03-01 00:00:00", "1997-01-01 00:00:00")
 EXPAND = ("1995-01-01 00:00:00", "1995-07-01 00:00:00")
-STORED_BEFORE = "1995-01-01"
+STORED_BEFORE = "1998-01-01"
 EMIT_US = 820_454_400_123_456
 ISO = "yyyy-MM-dd'T'HH:mm:ss"
 
@@ -218,6 +218,9 @@ ORACLE = {
                     "FROM fl"),
     "flow_save_once": _o(f"SELECT count_if(flow_date >= '{STORED_BEFORE}') AS saved, "
                          f"count_if(flow_date < '{STORED_BEFORE}') AS already_present FROM keys"),
+    "report_json": _o(
+        "SELECT '{\"title\":\"child expansion\",\"metrics\":{\"positions\":' || (SELECT count(*) FROM exp_pp) || ',\"options\":' || "
+        "(SELECT count(*) FROM exp_po) || ',\"transfers\":' || (SELECT count(*) FROM exp_tr) || '}}' AS report"),
     "child_expand_pp": _o("SELECT id, iupd, inserted_date FROM exp_pp"),
     "child_expand_po": _o("SELECT id, payment_position_id, iuv FROM exp_po"),
     "child_expand_tr": _o("SELECT payment_option_id, amount, category FROM exp_tr"),

@@ -78,8 +78,7 @@ def q_impacted_entities(spark, sf_dir):
 def q_maintenance_messages(spark, sf_dir):
     """H13 + C6: messages for groups not already published (same title and window)."""
     msgs = _fmt(status.maintenance_messages(_groups(spark, sf_dir), _inst_by_station(spark, sf_dir)))
-    existing = fixture(spark, sf_dir, "status_report").where(F.col("report_type") == "maintenance").select(
-        "title", F.lit(None).cast("string").alias("starts_at"), F.lit(None).cast("string").alias("ends_at"))
+    existing = _fmt(fixture(spark, sf_dir, "maintenance_report"))
     return joins.exclude_existing(msgs, existing, ["title", "starts_at", "ends_at"])
 
 
@@ -119,7 +118,7 @@ QUERIES = {
 }
 
 # ---------------------------------------------------------------- DuckDB oracle
-_FX = ("iban_rank", "institution", "ec_config", "maintenance", "broker_cfg", "incident", "status_report")
+_FX = ("iban_rank", "institution", "ec_config", "maintenance", "broker_cfg", "incident", "status_report", "maintenance_report")
 
 
 def _u(expr, sentinels=("",)):
@@ -144,7 +143,7 @@ ref AS (SELECT row_key, category, pa_id_catasto,
   FROM ref1 LEFT JOIN lk ON ref1.pa_id_catasto = lk.lk_catasto),
 inst_st AS (SELECT broker_id, broker_name AS broker_company_name, station_id, organization_fiscal_code AS tax_code,
   concat('Ente ', organization_fiscal_code) AS company_name FROM broker_cfg),
-grp AS (SELECT broker_code, starts_at, ends_at, list_sort(list(station_code)) AS stations FROM maintenance GROUP BY ALL),
+grp AS (SELECT broker_code, starts_at, ends_at, list_sort(list(DISTINCT station_code)) AS stations FROM maintenance GROUP BY ALL),
 imp AS (SELECT DISTINCT g.broker_code, g.starts_at, g.ends_at, i.company_name, i.tax_code
   FROM (SELECT broker_code, starts_at, ends_at, unnest(stations) AS station_id FROM grp) g
   JOIN inst_st i ON g.broker_code = i.broker_id AND g.station_id = i.station_id),
@@ -194,7 +193,8 @@ ORACLE = {
         "array_to_string(list_transform(list_sort(list({'company_name': company_name, 'tax_code': tax_code})), "
         "lambda p: concat('- ', p.company_name, ' - ', p.tax_code, chr(10))), '') AS pa_lines FROM imp GROUP BY ALL) p "
         "USING (broker_code, starts_at, ends_at) LEFT JOIN (SELECT broker_id, min(broker_company_name) AS broker_name "
-        "FROM inst_st GROUP BY 1) n ON g.broker_code = n.broker_id"),
+        "FROM inst_st GROUP BY 1) n ON g.broker_code = n.broker_id WHERE NOT EXISTS (SELECT 1 FROM maintenance_report m WHERE "
+        "m.starts_at = g.starts_at AND m.ends_at = g.ends_at AND m.title = concat(coalesce(n.broker_name, ''), ' - Manutenzione Programmata'))"),
     "tag_filter": _o("SELECT id, status FROM inc WHERE list_contains(tags, 'toStatusPage')"),
     "match_by_title": _o("SELECT i.id, r.report_id, r.report_state FROM inc i LEFT JOIN rep r "
                          "ON cast(i.id AS VARCHAR) = r.rid"),

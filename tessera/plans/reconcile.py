@@ -9,7 +9,7 @@ from ..session import scratch_dir
 from ..sources.delimited import export_csv, load_registry, read_delimited
 from ..sources.fixtures import fixture, with_fixtures
 
-PAYMENTS_AFTER = "1992-06-30 00:00:00"
+PAYMENTS_AFTER = "1995-06-30 00:00:00"
 REGISTRY_COLUMN = "dati_specifici_di_incasso"
 REGISTRY_PATTERN = r"^[6-9]/"
 
@@ -41,7 +41,7 @@ def q_range_overlap_cross(spark, sf_dir):
 
 
 def _payments(spark, sf_dir):
-    ev = predicates.time_range(fixture(spark, sf_dir, "payment_event"), "payment_ts", PAYMENTS_AFTER, None)
+    ev = predicates.time_range(fixture(spark, sf_dir, "payment_event"), "payment_ts", PAYMENTS_AFTER, None, after=True)
     return ev.select(F.col("id_pa").alias("id_dominio"), "iuv", F.col("id").cast("string").alias("payment_id"))
 
 

@@ -10,8 +10,8 @@ from ..operators import joins, predicates, reports, windows
 from ..operators.predicates import epoch_micros
 from ..sources.fixtures import fixture, with_fixtures
 
-HISTORY = ("1994-01-01 00:00:00", "1995-01-01 00:00:00")
-CURRENT = ("1995-01-01 00:00:00", "1996-01-01 00:00:00")
+HISTORY = ("1995-01-01 00:00:00", "1997-07-01 00:00:00")
+CURRENT = ("1997-07-01 00:00:00", "2000-01-01 00:00:00")
 TRX_WINDOW = ("1995-01-01 00:00:00", "1996-01-01 00:00:00")
 TODAY = dt.date(1995, 4, 15)
 # The stand-in broker registry links even organisation codes only, which the

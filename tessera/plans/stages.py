@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import groups, joins, predicates, sinks
-from ..session import scratch_dir
+from ..session import materialise, scratch_dir
 from ..sources.delimited import export_csv, read_delimited
 from ..sources.fixtures import fixture, with_fixtures
 from ..sources.tables import read_table
 from . import config, kpi, reconcile, reports
 
-SCAN_SINCE = "1995-01-01 00:00:00"
+SCAN_SINCE = "1997-03-01 00:00:00"
 TIME_RANGE = ("1995-01-01 00:00:00", "1995-07-01 00:00:00")
 NESTED_RANGE = ("1995-01-01 00:00:00", "1996-01-01 00:00:00")
 PREVIEW = 10
@@ -103,9 +103,9 @@ def q_csv_export(spark, sf_dir):
 def q_stage_append(spark, sf_dir):
     """Enriched POS rows plus the unmatched file rows staged with an empty payment id."""
     path = scratch_dir(spark, "pos-stage")
-    enriched = reconcile.q_enrich_left(spark, sf_dir).where(F.col("payment_id").isNotNull())
-    enriched.write.mode("overwrite").parquet(path)
-    unmatched = reconcile.q_enrich_left(spark, sf_dir).where(F.col("payment_id").isNull()).drop("payment_id")
+    rows = materialise(reconcile.q_enrich_left(spark, sf_dir), "pos-enriched")
+    rows.where(F.col("payment_id").isNotNull()).write.mode("overwrite").parquet(path)
+    unmatched = rows.where(F.col("payment_id").isNull()).drop("payment_id")
     sinks.stage_append(unmatched, path, ["payment_id"])
     return spark.read.parquet(path)
 

@@ -61,13 +61,20 @@ FROM {d.t('lineitem')}"""
 
 
 def _crm(d: Dialect) -> str:
+    # Every supplier is listed twice: by nation and by the last digits of its
+    # key, in lists of at most 400 suppliers. Keys ending in 9 are alone in
+    # both, so they belong to no group; those not ending in 3 are alone in the second.
+    block = "cast(floor(s_suppkey / 400) AS bigint)"
+    alone = "cast(s_suppkey AS string)"
+    nation = (f"CASE WHEN s_suppkey % 10 = 9 THEN concat('S', {alone}) ELSE concat('C', lpad(cast(s_nationkey AS string), 2, '0'), '-', "
+              f"cast({block} AS string)) END")
+    digits = (f"CASE WHEN s_suppkey % 10 = 3 THEN concat('D', cast(s_suppkey % 20 AS string), '-', cast({block} AS string)) "
+              f"ELSE concat('T', {alone}) END")
     return f"""
-SELECT concat('C', lpad(cast(s_nationkey AS string), 2, '0')) AS contract_id,
-  {d.lst("concat(' PSP', lpad(cast(s_suppkey AS string), 3, '0'))")} AS provider_names
-FROM {d.t('supplier')} WHERE s_suppkey % 10 <> 9 GROUP BY s_nationkey
+SELECT {nation} AS contract_id, {d.lst("concat(' PSP', lpad(cast(s_suppkey AS string), 3, '0'))")} AS provider_names
+FROM {d.t('supplier')} GROUP BY {nation}
 UNION ALL
-SELECT concat('D', cast(s_suppkey % 20 AS string)), {d.lst("concat('PSP', lpad(cast(s_suppkey AS string), 3, '0'))")}
-FROM {d.t('supplier')} WHERE s_suppkey % 10 = 3 GROUP BY s_suppkey % 20
+SELECT {digits}, {d.lst("concat('PSP', lpad(cast(s_suppkey AS string), 3, '0'))")} FROM {d.t('supplier')} GROUP BY {digits}
 UNION ALL SELECT 'Z0', ' , '"""
 
 
@@ -78,7 +85,7 @@ SELECT o_orderkey AS id,
        WHEN o_orderkey % 7 = 0 THEN concat('ACAX', cast(o_orderkey AS string)) ELSE concat('GPD-', cast(o_orderkey AS string)) END AS iupd,
   CASE o_orderstatus WHEN 'O' THEN 'VALID' WHEN 'P' THEN 'PARTIALLY_PAID' ELSE 'PAID' END AS status,
   CASE WHEN o_custkey % 3 = 0 THEN 'G' ELSE 'F' END AS type,
-  CASE WHEN o_custkey % 19 = 0 THEN NULL WHEN o_custkey % 23 = 0 THEN lpad(cast(o_custkey % 200 AS string), 11, '0')
+  CASE WHEN o_custkey % 19 = 0 THEN NULL WHEN o_custkey % 13 = 0 THEN 'RSSMRA85T10A562S' WHEN o_custkey % 23 = 0 THEN lpad(cast(o_custkey % 200 AS string), 11, '0')
        ELSE lpad(cast(o_custkey AS string), 11, '0') END AS fiscal_code,
   lpad(cast(o_custkey % 200 AS string), 11, '0') AS organization_fiscal_code,
   CASE WHEN o_custkey % 37 = 0 THEN NULL ELSE c_name END AS company_name,
@@ -111,9 +118,10 @@ FROM {d.t('lineitem')}"""
 
 def _taxonomy(d: Dialect) -> str:
     return f"""
-SELECT DISTINCT CASE WHEN p_partkey % 100 % 7 = 1 THEN concat('X-', cast(p_partkey % 100 AS string)) ELSE concat(cast(6 + p_partkey % 4 AS string), '/', lpad(cast(p_partkey % 50 AS string), 7, '0'),
+SELECT DISTINCT CASE WHEN p_partkey % 7 = 1 THEN concat('X-', cast(p_partkey AS string))
+  WHEN p_partkey % 3 = 0 THEN concat('9/', lpad(cast(1000000 + p_partkey AS string), 7, '0'), 'XX/') ELSE concat(cast(6 + p_partkey % 4 AS string), '/', lpad(cast(p_partkey % 50 AS string), 7, '0'),
   CASE p_partkey % 5 WHEN 0 THEN 'IM' WHEN 1 THEN 'TS' WHEN 2 THEN 'SP' WHEN 3 THEN 'SA' ELSE 'AP' END, '/') END AS code
-FROM {d.t('part')} WHERE p_partkey % 100 % 3 <> 0"""
+FROM {d.t('part')}"""
 
 
 def _partner_report(d: Dialect) -> str:
@@ -152,14 +160,20 @@ def _issuer_range(d: Dialect) -> str:
 SELECT s_suppkey AS row_key, concat('ABI', cast(s_nationkey % 7 AS string)) AS abi,
   cast(s_suppkey * 100 AS decimal(38,0)) AS low_range,
   cast(s_suppkey * 100 + CASE WHEN s_suppkey % 12 = 0 THEN 950 ELSE 40 + s_suppkey % 90 END AS decimal(38,0)) AS high_range
+FROM {d.t('supplier')}
+UNION ALL SELECT -1, 'ABIW', cast(150 AS decimal(38,0)), cast('3000000000000000000' AS decimal(38,0))
+UNION ALL SELECT -2 - s_suppkey, concat('ABI', cast(s_nationkey % 7 AS string)),
+  cast(CASE WHEN s_suppkey % 40 = 0 THEN 5000 ELSE s_suppkey * 100 + 99 END AS decimal(38,0)),
+  cast(CASE WHEN s_suppkey % 40 = 0 THEN 5000 + s_suppkey % 3 ELSE s_suppkey * 100 + 99 END AS decimal(38,0))
 FROM {d.t('supplier')}"""
 
 
 def _biz_a(d: Dialect) -> str:
-    # Export A: every order except the low-priority ones.
+    # Export A: every order; the low-priority ones under tokens that export B lacks.
     return f"""
-SELECT concat('T', cast(o_orderkey AS string)) AS payment_token, concat('N', cast(o_custkey AS string)) AS notice_number, o_orderkey AS seq
-FROM {d.t('orders')} WHERE o_orderpriority <> '5-LOW'"""
+SELECT concat(CASE WHEN o_orderpriority = '5-LOW' THEN 'L' ELSE 'T' END, cast(o_orderkey AS string)) AS payment_token,
+  concat('N', cast(o_custkey AS string)) AS notice_number, o_orderkey AS seq
+FROM {d.t('orders')}"""
 
 
 def _biz_b(d: Dialect) -> str:
@@ -212,7 +226,16 @@ SELECT o_orderkey AS maintenance_id, concat('BRK', lpad(cast(o_custkey % 25 AS s
   concat('BRK', lpad(cast(o_custkey % 25 AS string), 2, '0'), '_', lpad(cast(o_orderkey % 50 AS string), 2, '0')) AS station_code,
   {d.ntz("date_trunc('month', o_orderdate)")} AS starts_at,
   {d.ntz("date_trunc('month', o_orderdate) + INTERVAL 1 DAY")} AS ends_at
-FROM {d.t('orders')} WHERE o_orderstatus = 'P'"""
+FROM {d.t('orders')}"""
+
+
+def _maintenance_report(d: Dialect) -> str:
+    # Notices already published for the maintenances of every third month; the others carry another title.
+    return f"""
+SELECT DISTINCT concat(CASE WHEN extract(month FROM o_orderdate) % 3 = 0 THEN n_name ELSE concat('Avviso ', n_name) END,
+    ' - Manutenzione Programmata') AS title,
+  {d.ntz("date_trunc('month', o_orderdate)")} AS starts_at, {d.ntz("date_trunc('month', o_orderdate) + INTERVAL 1 DAY")} AS ends_at
+FROM {d.t('orders')} JOIN {d.t('nation')} ON o_custkey % 25 = n_nationkey"""
 
 
 def _incident(d: Dialect) -> str:
@@ -223,12 +246,13 @@ FROM {d.t('events')}"""
 
 
 def _status_report(d: Dialect) -> str:
-    # Reports exist for events of user ids that are even: the others are new incidents.
+    # Reports of events with an even user id name their incident: the others are new incidents.
     return f"""
-SELECT event_id + 500000 AS report_id, concat('Incident [ID: ', cast(event_id AS string), '] - ', event_type) AS title,
+SELECT event_id + 500000 AS report_id,
+  CASE WHEN user_id % 2 = 0 THEN concat('Incident [ID: ', cast(event_id AS string), '] - ', event_type) ELSE concat('Notice - ', event_type) END AS title,
   CASE event_id % 3 WHEN 0 THEN 'Resolved' WHEN 1 THEN 'open' ELSE 'resolved' END AS aggregate_state,
   CASE WHEN event_id % 5 = 0 THEN 'maintenance' ELSE 'manual' END AS report_type
-FROM {d.t('events')} WHERE user_id % 2 = 0"""
+FROM {d.t('events')}"""
 
 
 _FIXTURES = {
@@ -250,6 +274,7 @@ _FIXTURES = {
     "institution": _institution,
     "ec_config": _ec_config,
     "maintenance": _maintenance,
+    "maintenance_report": _maintenance_report,
     "incident": _incident,
     "status_report": _status_report,
 }
