@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import checkpoint_dir
+from tessera.session import materialise  # noqa: F401  used by all operators
 
 #: A word: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -18,17 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder of ``spark.checkpoint.dir`` and read it back.
-
-    Cuts the lineage: a lost executor recomputes nothing before this table, and
-    joins on it can be split by AQE when a key is hot.
-    """
-    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, also where ``body`` uses it in a lambda."""
     return F.transform(F.array(value), body)[0]
