@@ -1,106 +1,113 @@
 """Incremental jobs as Structured Streaming queries.
 
-Every query reads a file source, runs with ``trigger(availableNow=True)``
-(process what is there, then stop) and keeps its offsets and state in a
-checkpoint under the shared ``spark.checkpoint.dir``. Sinks are idempotent
-per micro-batch: ``foreachBatch`` writes batch ``N`` to its own
-``batch_id=N`` folder with overwrite, so a batch replayed after a failure
-replaces its own output instead of duplicating it.
+Every job reads a folder that keeps receiving files, runs with
+``trigger(availableNow=True)`` (process what is there, then stop), and keeps
+offsets, state and results under paths that the caller names, on storage that
+all executors share. The next run of a job with the same paths goes on where
+the last one ended: files already read are not read again, open windows are
+still open, the watermark stands where it stood. Sinks are idempotent per
+micro-batch: batch ``N`` writes its own ``batch_id=N`` folder with overwrite,
+so a batch replayed after a failure replaces its output.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cdc import cdc_json, to_cdc
 from ..operators.windows import latest_per_key
-from ..session import configure, scratch_dir
+from ..session import configure
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The driver's events file as a stream (one file → one micro-batch here;
-    ``maxFilesPerTrigger`` bounds batches when a folder keeps receiving files)."""
+def event_stream(spark: SparkSession, source: str, max_files: int = 64) -> DataFrame:
+    """The event files of a folder as a stream; ``max_files`` bounds a batch."""
     configure(spark)
-    raw = (spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet")
-           .option("maxFilesPerTrigger", 64).parquet(sf_dir))
+    raw = spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", max_files).parquet(source)
     # watermarks need a zoned timestamp; the session zone is UTC
     return raw.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _run(query_writer) -> None:
-    q = query_writer.trigger(availableNow=True).start()
+def _run(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> None:
+    q = (df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
 
 
-def _batch_sink(path: str):
+def _batch_sink(path: str) -> Callable[[DataFrame, int], None]:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
     return write
 
 
-def six_hour_counts(spark: SparkSession, sf_dir: str, late: str = "1 day") -> DataFrame:
-    """Events per (6-hour window, type); events later than ``late`` behind
-    the newest seen event are dropped by the watermark. Update-mode batches are
-    folded to the last value per window."""
-    ev = event_stream(spark, sf_dir).withWatermark("ts", late)
+def six_hour_counts(spark: SparkSession, source: str, out: str, checkpoint: str, late: str = "1 day") -> DataFrame:
+    """Events per (6-hour window, type). Events whose window ended ``late``
+    or more before the newest event of earlier runs are dropped by the
+    watermark, which also frees the state. Update-mode batches are folded to
+    the last value per window."""
+    ev = event_stream(spark, source).withWatermark("ts", late)
     counts = ev.groupBy(F.window("ts", "6 hours").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"))
-    out = scratch_dir(spark, "six-hour")
-    _run(counts.writeStream.outputMode("update").foreachBatch(_batch_sink(out))
-         .option("checkpointLocation", scratch_dir(spark, "six-hour-ckpt")))
+    _run(counts, _batch_sink(out), checkpoint, "update")
     rows = spark.read.parquet(out).select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                                           "event_type", "n", "batch_id")
     return latest_per_key(rows, ["window_start", "event_type"], "batch_id").drop("batch_id")
 
 
-def ledgered_daily_load(spark: SparkSession, sf_dir: str, history: DataFrame, ledger: DataFrame,
+def ledgered_daily_load(spark: SparkSession, source: str, history: str, ledger: str, checkpoint: str,
                         late: str = "2 days") -> DataFrame:
-    """Daily totals per type for days not in the ledger, accumulated onto the
-    history; the ledger gains the newly loaded days only after the totals are
-    written (a failed run leaves the ledger untouched and is simply rerun)."""
-    done = ledger.select(F.col("day").alias("_done")).distinct()
-    ev = event_stream(spark, sf_dir).withWatermark("ts", late).withColumn("day", F.to_date("ts"))
-    fresh = ev.join(done, F.col("day") == F.col("_done"), "left_anti")
-    totals = fresh.groupBy("day", "event_type").agg(F.count(F.lit(1)).alias("total"))
-    out = scratch_dir(spark, "ledger-totals")
-    _run(totals.writeStream.outputMode("update").foreachBatch(_batch_sink(out))
-         .option("checkpointLocation", scratch_dir(spark, "ledger-ckpt")))
-    new = latest_per_key(spark.read.parquet(out), ["day", "event_type"], "batch_id").drop("batch_id")
-    new_ledger = new.select("day").distinct()
-    ledger_path = scratch_dir(spark, "ledger")
-    ledger.select("day").unionByName(new_ledger).distinct().write.mode("errorifexists").parquet(ledger_path)
-    return history.select("day", "event_type", "total").unionByName(new)
-
-
-def save_once_stream(spark: SparkSession, sf_dir: str, stored: DataFrame, late: str = "1 day") -> DataFrame:
-    """I4: keys stored once: duplicates inside the watermark are dropped by the
-    stream, and each batch is anti-joined with everything stored so far, so a
-    duplicate arriving later than the watermark is still not stored twice."""
-    ev = event_stream(spark, sf_dir)
-    keyed = ev.select("ts", F.concat_ws("##", F.date_format("ts", "yyyy-MM-dd"), F.col("user_id").cast("string"),
-                                        "event_type").alias("blob_key"))
-    deduped = keyed.withWatermark("ts", late).dropDuplicatesWithinWatermark(["blob_key"])
-    store = scratch_dir(spark, "store")
-    stored.select("blob_key").distinct().write.parquet(f"{store}/batch_id=-1")
+    """Daily totals per type, each day loaded once. ``history`` (day,
+    event_type, total) and ``ledger`` (day) are stored tables of batches that
+    earlier loads have begun (``batch_id=-1``) and every run extends.
+
+    Days in the ledger are skipped. A day is complete when the watermark
+    passes its end: its totals are written to the history first and its entry
+    to the ledger after, so a run that fails between the two is repeated by
+    the replayed batch. State holds the open days only. Returns the history."""
+    done = spark.read.parquet(ledger).select(F.col("day").alias("_done")).distinct()
+    ev = event_stream(spark, source).withWatermark("ts", late)
+    fresh = ev.join(done, F.to_date("ts") == F.col("_done"), "left_anti")
+    totals = fresh.groupBy(F.window("ts", "1 day").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("total"))
+    totals = totals.select(F.to_date("w.start").alias("day"), "event_type", "total")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{history}/batch_id={batch_id}")
+        written = spark.read.parquet(f"{history}/batch_id={batch_id}")
+        written.select("day").distinct().write.mode("overwrite").parquet(f"{ledger}/batch_id={batch_id}")
+
+    _run(totals, write, checkpoint)
+    return spark.read.parquet(history).drop("batch_id")
+
+
+def save_once_stream(spark: SparkSession, source: str, store: str, checkpoint: str) -> DataFrame:
+    """I4: keys stored once. Every batch is reduced to its distinct keys and
+    anti-joined with everything stored by other batches (``batch_id=-1``: by
+    earlier loads), so a duplicate is not stored twice however late it comes.
+    Returns the keys that the stream has stored."""
+    keyed = event_stream(spark, source).select(F.concat_ws(
+        "##", F.date_format("ts", "yyyy-MM-dd"), F.col("user_id").cast("string"), "event_type").alias("blob_key"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         existing = spark.read.parquet(store).where(F.col("batch_id") != batch_id).select("blob_key")
         new = batch.select("blob_key").distinct().join(existing, "blob_key", "left_anti")
         new.write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
 
-    _run(deduped.writeStream.foreachBatch(write).option("checkpointLocation", scratch_dir(spark, "store-ckpt")))
+    _run(keyed, write, checkpoint)
     return spark.read.parquet(store).where(F.col("batch_id") >= 0).select("blob_key")
 
 
-def cdc_stream(spark: SparkSession, source_path: str, schema: str, cols, now_us: int) -> DataFrame:
-    """Replay rows of a folder as CDC create events into a JSON event sink."""
-    rows = spark.readStream.schema(schema).parquet(source_path)
-    events = cdc_json(to_cdc(rows, cols, now_us=now_us))
-    sink = scratch_dir(spark, "cdc-events")
-    _run(events.writeStream.format("json").option("path", sink)
-         .option("checkpointLocation", scratch_dir(spark, "cdc-ckpt")))
-    return spark.read.schema("key string, value string").json(sink)
+def cdc_stream(spark: SparkSession, source: str, schema: str, cols: Sequence[str], now_us: int, sink: str,
+               checkpoint: str) -> DataFrame:
+    """Rows of a folder replayed as CDC create events into JSON files."""
+    rows = spark.readStream.schema(schema).parquet(source)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").json(f"{sink}/batch_id={batch_id}")
+
+    _run(cdc_json(to_cdc(rows, cols, now_us=now_us)), write, checkpoint)
+    return spark.read.schema("key string, value string").json(sink).select("key", "value")
