@@ -26,8 +26,10 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*")
-#: Words whose ids a task keeps, and pairs of pieces; when full, they are dropped and computed again.
-CACHE = 1_000_000
+#: Words, parts of words and pairs of pieces that a Python worker keeps of each; when full, they are dropped and computed again.
+CACHE = 600_000
+#: What this worker has learnt of a vocabulary, kept for its next task.
+_WARM: dict[tuple, Pieces] = {}
 #: Characters of documents whose words are sorted together.
 BLOCK_CHARS = 8_000_000
 
@@ -53,6 +55,10 @@ class Pieces:
         plain = [i for i in range(len(names)) if i not in byte and not (sp.is_unknown(i) or sp.is_control(i) or sp.is_unused(i))]
         self.setup(names, [sp.get_score(i) for i in range(len(names))], byte, plain, sp.unk_id(), kind)
 
+    def warm(self) -> Pieces:
+        """This vocabulary, with what earlier tasks of this worker have computed."""
+        return _WARM.setdefault((self.kind, *self.names), self)
+
     @classmethod
     def of(cls, scores: dict[str, float], kind: str) -> Pieces:
         """A vocabulary of its own, id 0 unknown (for tests)."""
@@ -67,13 +73,16 @@ class Pieces:
         self.scores = {names[i]: scores[i] for i in plain}
         lengths: dict[str, set[int]] = {}
         for p in self.ids:
-            lengths.setdefault(p[-2:], {1}).add(len(p))
-        #: lengths of the pieces that end in two characters, longest first
-        self.ends = {two: tuple(sorted(n, reverse=True)) for two, n in lengths.items()}
+            lengths.setdefault(p[-3:], {1}).add(len(p))
+        #: by three characters (or fewer, of shorter texts): the lengths that a piece ending in them may have, longest first
+        self.ends = {end: tuple(sorted(n | ({2} if end[-2:] in self.ids else set()), reverse=True)) for end, n in lengths.items()}
+        #: two characters that stand side by side in some piece; between others no piece crosses
+        self.pairs = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.byte_id = {b: i for i, b in byte.items()}
         self.unk_score = min(self.scores.values(), default=0.0) - 10
         self.fits: dict[tuple[str, str], bool] = {}
         self.packed = {p: np.int32(i).tobytes() for p, i in self.ids.items()}
+        self.atoms: dict[str, bytes] = {}  # int32 ids of parts of words
         self.known: dict[str, bytes] = {}  # int32 ids of words, which lack their first mark
 
     def merged(self, text: str) -> list[str]:
@@ -104,17 +113,27 @@ class Pieces:
         own = [self.byte_id[b] for b in piece.encode("utf-8", "surrogatepass")] if self.byte_id else [self.unk]
         return np.array(own, np.int32).tobytes()
 
+    def cut(self, word: str) -> list[str]:
+        """The parts of a marked word between which no piece can cross."""
+        pairs, at, parts = self.pairs, 0, []
+        for i in range(1, len(word)):
+            if word[i - 1:i + 1] not in pairs:
+                parts.append(word[at:i])
+                at = i
+        parts.append(word[at:])
+        return parts
+
     def segment(self, words: list[str]) -> Iterator[list[str]]:
-        """The pieces of each of the sorted ``words``, which lack their first mark."""
+        """The pieces of each of the sorted ``words``."""
         ids, scores, fits, ends, bpe = self.ids, self.scores, self.fits, self.ends, self.kind == "bpe"
         before, last, score = "", [""], [0.0]
         for word in words:
-            word = MARK + word
             same = len(commonprefix((before, word)))
             del last[same + 1:], score[same + 1:]
             for end in range(same + 1, len(word) + 1):
                 best, top = word[end - 1], None
-                for size in ends.get(word[end - 2:end] if end > 1 else word[0], (1,)):
+                three = word[end - 3 if end > 3 else 0:end]
+                for size in ends.get(three) or ((2, 1) if three[-2:] in ids and end > 1 else (1,)):
                     start = end - size
                     if start < 0:
                         continue
@@ -139,13 +158,20 @@ class Pieces:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The int32 ids of each text."""
         marked = [marked_words(t) for t in texts]
-        known, packed, distinct = self.known, self.packed, set().union(*marked)
-        new = sorted(distinct.difference(known))
+        known, atoms, packed, distinct = self.known, self.atoms, self.packed, set().union(*marked)
+        new = distinct.difference(known)
         if len(known) + len(new) > CACHE:
             known.clear()
-            new = sorted(distinct)
-        for word, pieces in zip(new, self.segment(new), strict=True):
-            known[word] = b"".join([packed.get(p) or self.pack(p) for p in pieces])
+            new = distinct
+        parts = {word: self.cut(MARK + word) for word in new}
+        wanted = set().union(*parts.values())
+        if len(atoms) + len(wanted) > CACHE:
+            atoms.clear()
+        fresh = sorted(wanted.difference(atoms))
+        for atom, pieces in zip(fresh, self.segment(fresh), strict=True):
+            atoms[atom] = b"".join([packed.get(p) or self.pack(p) for p in pieces])
+        for word, cut in parts.items():
+            known[word] = atoms[cut[0]] if len(cut) == 1 else b"".join([atoms[a] for a in cut])
         return [np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32) for words in marked]
 
     def decode(self, ids: np.ndarray) -> str:
@@ -174,9 +200,10 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
     null round_trip; an empty text has no ids. Repeated rows are encoded alike.
     Other columns are not read, and an empty table gives an empty one.
     """
-    pieces = Pieces(path or model_path(), kind)
+    shipped = Pieces(path or model_path(), kind)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = shipped.warm()
         for batch in batches:
             size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // BLOCK_CHARS
             cuts = [0, *(np.nonzero(np.diff(size))[0] + 1).tolist(), batch.num_rows]
