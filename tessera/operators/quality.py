@@ -269,11 +269,21 @@ def top_companies_per_cluster(df: DataFrame, col: str, as_of_us: int, preset: st
     return top_k_per_group(counts, ["cluster"], [F.desc("n"), F.asc("company_name")], k, "rank")
 
 
-def case_examples(flags: DataFrame) -> DataFrame:
-    """E5: one example per quality case (smallest position id, then code)."""
+def date_counts_by_cluster(df: DataFrame, col: str, as_of_us: int, preset: str = "h6_vec") -> DataFrame:
+    """Future due dates per horizon bucket and day (dd/MM/yyyy), ordered by
+    the real date."""
+    future = with_horizon(df.where(F.col(col) > F.lit(as_of_us)), col, as_of_us, preset)
+    day = F.to_date(from_epoch_us(col))
+    counted = future.groupBy("cluster", day.alias("_day")).agg(F.count(F.lit(1)).alias("conteggio"))
+    return counted.orderBy("_day", "cluster").select("cluster", F.date_format("_day", "dd/MM/yyyy").alias("data"), "conteggio")
+
+
+def case_examples(flags: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """E5: one example per quality case, and per value of ``by`` (smallest
+    position id, then code)."""
     flags = flags.withColumn("is_syntax_wrong", ~F.col("is_syntax_correct"))
     cases = F.array(*[F.when(F.col(flag), F.lit(name)) for name, flag in QUALITY_CASES])
     exploded = flags.select(F.explode(F.filter(cases, lambda x: x.isNotNull())).alias("case"),
-                            "id", "iupd", "category", "category_clean")
+                            "id", "iupd", "category", "category_clean", *by)
     exploded = exploded.withColumn("_order", F.struct("id", "category_clean"))
-    return first_example(exploded, ["case"], "_order", ["category", "id", "iupd"])
+    return first_example(exploded, [*by, "case"], "_order", ["category", "id", "iupd"])

@@ -53,8 +53,17 @@ def prefix_counts(po: DataFrame, pp: DataFrame, lo_us: int, hi_us: int, service:
         F.count(F.lit(1)).alias("total"))
 
 
+def broker_links(brokers: DataFrame, stations: DataFrame, links: DataFrame, institutions: DataFrame) -> DataFrame:
+    """Links ⋈ stations ⋈ brokers ⋈ institutions (three inner equi-joins)."""
+    s = stations.select(F.col("obj_id").alias("_station"), "fk_broker", "station_id")
+    b = brokers.select(F.col("obj_id").alias("_broker"), "broker_id", "broker_name")
+    i = institutions.select(F.col("obj_id").alias("_pa"), F.col("id_dominio").alias("organization_fiscal_code"))
+    j = links.join(s, F.col("fk_station") == F.col("_station")).join(b, F.col("fk_broker") == F.col("_broker")).join(i, F.col("fk_pa") == F.col("_pa"))
+    return j.select("broker_id", "broker_name", "station_id", "organization_fiscal_code", "segregazione")
+
+
 def broker_config(cfg: DataFrame) -> DataFrame:
-    """broker/station/organisation links with a padded segregation code."""
+    """Joined configuration rows with a segregation code, padded."""
     return cfg.where(F.col("segregazione").isNotNull()).select(
         "broker_id", "broker_name", "station_id", "organization_fiscal_code",
         pad2("segregazione").alias("segregation_code"))

@@ -21,6 +21,35 @@ from ..session import scratch_dir
 from .windows import latest_per_key
 
 
+def _provider(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Provider")
+    return rows.first()["data_type"].lower()
+
+
+def create_or_merge(df: DataFrame, table: str, keys: Sequence[str], order_col: str, fmt: str = "parquet",
+                    location: str | None = None) -> str:
+    """Create ``table`` from ``df`` if it does not exist, else merge ``df``
+    into it by ``keys`` (:func:`upsert`: a new version of the table is written
+    and the table then points to it). A table of another format is refused. A
+    concurrent creator turns the create into a merge. Returns "created" or
+    "merged"."""
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        try:
+            df.writeTo(table).using(fmt).option("path", location or scratch_dir(spark, "table")).create()
+            return "created"
+        except AnalysisException as e:  # raced with another creator
+            if "TABLE_OR_VIEW_ALREADY_EXISTS" not in str(e):
+                raise
+    if _provider(spark, table) != fmt.lower():
+        raise ValueError(f"{table} is stored as {_provider(spark, table)}, not as {fmt}")
+    new_path = scratch_dir(spark, "table-version")
+    upsert_frame(spark.table(table), df, keys, order_col).write.format(fmt).save(new_path)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{new_path}'")
+    spark.catalog.refreshTable(table)
+    return "merged"
+
+
 def create_or_append(df: DataFrame, table: str, fmt: str = "parquet", location: str | None = None) -> str:
     """Create ``table`` from ``df`` if it does not exist, else append.
     A concurrent creator (TABLE_OR_VIEW_ALREADY_EXISTS) turns the create into
@@ -70,8 +99,18 @@ def upsert(spark: SparkSession, target_path: str, updates: DataFrame, keys: Sequ
 def emit_events(events: DataFrame, path: str | None = None, servers: str | None = None,
                 topic: str | None = None) -> None:
     """(key, value) JSON events to a Kafka topic when a broker and the
-    connector are configured, else to JSON files under ``path``. Executors
-    write their partitions in parallel; nothing passes through the driver."""
+    connector are configured, else to JSON files under ``path``. A ``topic``
+    column routes every event to its own topic (a sub-folder of ``path``).
+    Executors write their partitions in parallel; nothing passes through the
+    driver."""
+    if "topic" in events.columns:
+        if servers:
+            events.select("topic", "key", "value").write.format("kafka").option("kafka.bootstrap.servers", servers).save()
+        elif path is None:
+            raise ValueError("either a broker or a path is required")
+        else:
+            events.select("topic", "key", "value").write.mode("append").partitionBy("topic").json(path)
+        return
     if servers and topic:
         (events.select("key", "value").write.format("kafka")
          .option("kafka.bootstrap.servers", servers).option("topic", topic).save())
@@ -81,12 +120,10 @@ def emit_events(events: DataFrame, path: str | None = None, servers: str | None
     events.select("key", "value").write.mode("append").json(path)
 
 
-def build_chunk_table(chunks: DataFrame, vectors: DataFrame, path: str) -> DataFrame:
-    """Vector collection (id, embedding, document, source, start_index)
-    written as parquet and read back."""
-    table = chunks.join(vectors, "doc_id", "inner").select(
-        F.col("chunk_id").alias("id"), "embedding", F.col("chunk").alias("document"),
-        F.col("source"), F.col("start_index"))
+def build_chunk_table(chunks: DataFrame, path: str) -> DataFrame:
+    """Vector collection (id, embedding, document, source, start_index),
+    one row and one vector per chunk, written as parquet and read back."""
+    table = chunks.select(F.col("chunk_id").alias("id"), "embedding", F.col("chunk").alias("document"), "source", "start_index")
     table.write.mode("errorifexists").parquet(path)
     return table.sparkSession.read.parquet(path)
 

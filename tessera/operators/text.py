@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------- fixed values
@@ -22,6 +22,8 @@ CHUNK_SIZE = 1000
 CHUNK_OVERLAP = 200
 SEPARATORS = ("\n\n", "\n", " ", "")
 LINK_SKIP_PREFIXES = ("mailto:", "javascript:")
+LINK_PATTERN = r"(?i)<a\s[^>]*?href\s*=\s*(\"[^\"]*\"|'[^']*')"
+VECTOR_LETTERS = "abcdefghilmnoprs"
 ORIGIN_PATTERN = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
 # ------------------------------------------------------------------------------
 
@@ -101,13 +103,12 @@ def chunk_fixed(df: DataFrame, id_col: str, text_col: str, size: int = CHUNK_SIZ
     (the last chunk reaches the end of the text); id ``<id>_<j>``."""
     stride = size - overlap
     n = F.greatest(F.lit(1), F.ceil((F.length(text_col) - F.lit(overlap)) / F.lit(stride)).cast("int"))
-    rows = df.where(F.length(text_col) > 0).select(
-        id_col, text_col, F.posexplode(F.sequence(F.lit(0), n - 1)).alias("chunk_no", "_j"))
-    start = F.col("chunk_no") * F.lit(stride)
+    # the cuts are exploded, not the text, so no row carries more than its chunk
+    cuts = F.transform(F.sequence(F.lit(0), n - 1), lambda j: F.substring(F.col(text_col), j * stride + 1, F.lit(size)))
+    rows = df.where(F.length(text_col) > 0).select(id_col, F.posexplode(cuts).alias("chunk_no", "chunk"))
     return rows.select(
-        id_col, "chunk_no", start.alias("start_index"),
-        F.concat(F.col(id_col).cast("string"), F.lit("_"), F.col("chunk_no").cast("string")).alias("chunk_id"),
-        F.substring(F.col(text_col), start + 1, size).alias("chunk"))
+        id_col, "chunk_no", (F.col("chunk_no") * F.lit(stride)).alias("start_index"),
+        F.concat(F.col(id_col).cast("string"), F.lit("_"), F.col("chunk_no").cast("string")).alias("chunk_id"), "chunk")
 
 
 def split_spans(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
@@ -173,25 +174,82 @@ def chunk_recursive(df: DataFrame, id_col: str, text_col: str, size: int = CHUNK
     return df.select(F.col(id_col).cast("bigint").alias(id_col), text_col).mapInPandas(run, schema)
 
 
-def link_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+def chunk_report(df: DataFrame, chunks: DataFrame, id_col: str, text_col: str, size: int = CHUNK_SIZE) -> DataFrame:
+    """H19 invariants per document: chunks follow each other without a gap from
+    the first character to the last, each equals the text at its place, and
+    none is longer than ``size``."""
+    c = chunks.select(F.col(id_col).alias("_id"), "chunk_no", "start_index", "chunk")
+    j = df.where(F.length(text_col) > 0).join(c, F.col(id_col) == F.col("_id"))
+    j = j.withColumn("_end", F.col("start_index") + F.length("chunk"))
+    at = F.struct("chunk_no", "start_index", F.col("_end").alias("end"))
+    per = j.groupBy(id_col).agg(
+        F.max(F.length(text_col)).alias("n_chars"), F.max(F.length("chunk")).alias("_longest"),
+        F.bool_and(F.substr(F.col(text_col), (F.col("start_index") + 1).cast("int"), F.length("chunk")) == F.col("chunk")).alias("same_text"),
+        F.array_sort(F.collect_list(at)).alias("_at"))  # bounded by the length of one document
+    steps = F.transform(F.sequence(F.lit(1), F.size("_at") - 1), lambda i: F.col("_at")[i]["start_index"] <= F.col("_at")[i - 1]["end"])
+    gapless = F.when(F.size("_at") == 1, F.lit(True)).otherwise(F.forall(steps, lambda x: x))
+    covered = gapless & (F.col("_at")[0]["start_index"] == 0) & (F.element_at("_at", -1)["end"] == F.col("n_chars"))
+    return per.select(id_col, "n_chars", covered.alias("covered"), (F.col("_longest") <= size).alias("in_size"), "same_text")
+
+
+def _without_dots(path: Column) -> Column:
+    """An absolute path with its ``.`` and ``..`` segments resolved."""
+    parts = F.split(F.substr(path, F.lit(2)), "/", -1)
+
+    def step(acc: Column, s: Column) -> Column:
+        return F.when(s == ".", acc).when(s == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.array_append(acc, s))
+
+    kept = F.aggregate(parts, F.array().cast("array<string>"), step)
+    last = F.element_at(parts, -1)
+    kept = F.when(last.isin(".", ".."), F.array_append(kept, F.lit(""))).otherwise(kept)
+    return F.concat(F.lit("/"), F.array_join(kept, "/"))
+
+
+def link_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html", base_prefix: str | None = None) -> DataFrame:
     """(src, dst) links of every page: empty, '#', mailto: and javascript:
-    links dropped; resolved against the page URL; fragment cut; only links on
-    the page's own origin kept; distinct."""
+    links dropped; resolved against the page URL (absolute, ``//host``,
+    ``/path``, ``?query`` and relative ones, with ``.`` and ``..``); fragment
+    cut; distinct. B15: only links that start with ``base_prefix`` are kept,
+    or, without one, links on the page's own origin."""
     page = F.regexp_replace(F.col(url_col), "#.*$", "")
+    bare = F.regexp_replace(page, r"[?].*$", "")
     origin = F.regexp_extract(page, ORIGIN_PATTERN, 1)
-    scheme = F.regexp_extract(page, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1)
-    directory = F.regexp_extract(F.regexp_replace(page, r"[?].*$", ""), r"^(.*/)", 1)
-    hrefs = pages.select(page.alias("src"), origin.alias("origin"), scheme.alias("scheme"), directory.alias("dir"),
-                         F.explode(F.regexp_extract_all(F.col(html_col), F.lit(r'<a\s[^>]*href="([^"]*)"'), F.lit(1)))
-                         .alias("href"))
+    path = F.substr(bare, F.length(origin) + 1)
+    hrefs = pages.select(
+        page.alias("src"), origin.alias("origin"), bare.alias("bare"),
+        F.regexp_extract(page, r"^([A-Za-z][A-Za-z0-9+.-]*):", 1).alias("scheme"),
+        F.when(path == "", F.lit("/")).otherwise(F.regexp_extract(path, "^(.*/)", 1)).alias("dir"),
+        F.explode(F.transform(F.regexp_extract_all(F.col(html_col), F.lit(LINK_PATTERN), F.lit(1)), lambda x: F.regexp_replace(x, "^[\"']|[\"']$", "")))
+        .alias("href"))
     h = F.trim(F.col("href"))
     keep = (h != "") & ~h.startswith("#") & ~F.lower(h).startswith(LINK_SKIP_PREFIXES[0]) & \
         ~F.lower(h).startswith(LINK_SKIP_PREFIXES[1])
-    resolved = (F.when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), h)
-                .when(h.startswith("//"), F.concat(F.col("scheme"), F.lit(":"), h))
-                .when(h.startswith("/"), F.concat(F.col("origin"), h))
-                .otherwise(F.concat(F.col("dir"), h)))
-    dst = F.regexp_replace(resolved, "#.*$", "")
-    edges = hrefs.where(keep).select("src", "origin", dst.alias("dst"))
-    same_origin = F.regexp_extract(F.col("dst"), ORIGIN_PATTERN, 1) == F.col("origin")
-    return edges.where(same_origin).select("src", "dst").distinct()
+    rows = hrefs.where(keep).select("src", "origin", "bare", "scheme", "dir", F.regexp_replace(h, "#.*$", "").alias("h"))
+    h = F.col("h")
+    to_path = F.regexp_replace(h, r"[?].*$", "")
+    query = F.substr(h, F.length(to_path) + 1)
+    whole = F.when(h.startswith("/"), to_path).otherwise(F.concat(F.col("dir"), to_path))
+    dst = (F.when(h.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), h)
+           .when(h.startswith("//"), F.concat(F.col("scheme"), F.lit(":"), h))
+           .when(h.startswith("?"), F.concat(F.col("bare"), h))
+           .otherwise(F.concat(F.col("origin"), _without_dots(whole), query)))
+    edges = rows.select("src", "origin", dst.alias("dst"))
+    if base_prefix is not None:
+        scope = F.col("dst").startswith(base_prefix)
+    else:
+        scope = F.regexp_extract(F.col("dst"), ORIGIN_PATTERN, 1) == F.col("origin")
+    return edges.where(scope).select("src", "dst").distinct()
+
+
+def link_list(edges: DataFrame) -> DataFrame:
+    """the distinct linked URLs, sorted."""
+    return edges.select(F.col("dst").alias("url")).distinct().orderBy("url")
+
+
+def letter_vector(col: Column) -> Column:
+    """A deterministic vector of a text: how often each of sixteen letters
+    occurs in it, and a constant, so no vector is zero. It stands in for the
+    embedding model, which is outside this library."""
+    low = F.lower(col)
+    counts = [(F.length(low) - F.length(F.replace(low, F.lit(c), F.lit("")))).cast("float") for c in VECTOR_LETTERS]
+    return F.array(*counts, F.lit(1.0).cast("float"))

@@ -34,7 +34,8 @@ def _blocks(df: DataFrame, key: str, vec: str, block: int, prefix: str) -> tuple
 
 def knn(queries: DataFrame, corpus: DataFrame, k: int = 5, qid: str = "query_id", vid: str = "vec_id",
         vec: str = "embedding", block: int = BLOCK) -> DataFrame:
-    """K1: the k corpus vectors closest to each query by cosine distance (1 - cos)."""
+    """K1: the k corpus vectors closest to each query by cosine distance (1 - cos,
+    rounded to twelve digits, so equal texts tie; ties go to the smallest id)."""
     q, n = _blocks(queries, qid, vec, block, "q")
     c, _ = _blocks(corpus, vid, vec, block, "c")
     met = c.withColumn("q_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))).join(q, "q_block")
@@ -46,13 +47,16 @@ def knn(queries: DataFrame, corpus: DataFrame, k: int = 5, qid: str = "query_id"
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for q_ids, q_vecs, c_ids, c_vecs in b.itertuples(index=False):
-                ids, dist = np.asarray(c_ids), 1.0 - unit(q_vecs) @ unit(c_vecs).T
+                ids = np.asarray(list(c_ids))
+                by_id = np.argsort(ids, kind="stable")  # equal distances: the smallest id first
+                ids, dist = ids[by_id], np.round(1.0 - unit(q_vecs) @ unit(c_vecs).T, 12)[:, by_id]
                 kk = min(k, len(ids))
-                order = np.lexsort((np.broadcast_to(ids, dist.shape), dist), axis=1)[:, :kk]
+                order = np.argsort(dist, axis=1, kind="stable")[:, :kk]
                 yield pd.DataFrame({qid: np.repeat(q_ids, kk), vid: ids[order].ravel(),
                                     "distance": np.take_along_axis(dist, order, axis=1).ravel()})
 
-    local = met.select("q_ids", "q_vecs", "c_ids", "c_vecs").mapInPandas(score, f"{qid} bigint, {vid} bigint, distance double")
+    types = dict(queries.dtypes) | dict(corpus.dtypes)
+    local = met.select("q_ids", "q_vecs", "c_ids", "c_vecs").mapInPandas(score, f"{qid} {types[qid]}, {vid} {types[vid]}, distance double")
     return top_k_per_group(local, [qid], [F.asc("distance"), F.asc(vid)], k, "rank")
 
 

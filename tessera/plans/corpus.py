@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..operators import graph, pii, text, vectors
 from ..operators.reports import FISCAL_ODD_VALUES, fiscal_check_char, vat_check_digit
+from ..operators.sinks import build_chunk_table
+from ..session import scratch_dir
 from ..sources.tables import read_table
 from .reports import _fiscal_sql, _vat_sql
 
@@ -63,14 +65,35 @@ def q_page_text(spark, sf_dir):
     return text.page_text(_pages(spark, sf_dir))
 
 
+# Links of every kind, added to each page: the URLs have two path segments.
+ANCHORS = ("<a href='../x/./y.html?q=1#f'>u</a><A HREF=\"?page=2\">q</A><a class=c href=\"./rel/../sib\">s</a><a href='/abs/../top/'>t</a>"
+           "<a href=\"//cdn.example.org/lib\">c</a><a href='mailto:a@b.it'>m</a><a href=\"#here\">h</a>")
+PREFIX = "http://"
+
+
+def _linked_pages(spark, sf_dir):
+    return _pages(spark, sf_dir).withColumn("html", F.concat("html", F.lit(ANCHORS)))
+
+
 def q_link_edges(spark, sf_dir):
-    return text.link_edges(_pages(spark, sf_dir))
+    return text.link_edges(_linked_pages(spark, sf_dir))
+
+
+def q_link_urls(spark, sf_dir):
+    """B15 + F4: the sorted distinct links under a base prefix."""
+    return text.link_list(text.link_edges(_linked_pages(spark, sf_dir), base_prefix=PREFIX))
+
+
+HOPS = 12
 
 
 def q_reachable_urls(spark, sf_dir):
-    pages = _pages(spark, sf_dir)
-    seeds = pages.select(F.regexp_replace("url", "#.*$", "").alias("node"))
-    return graph.reachable(text.link_edges(pages), seeds)
+    """H16 from the URL of page 0. Pages also name the next page of their run
+    of HOPS pages, so the search goes HOPS pages deep."""
+    pages = read_table(spark, sf_dir, "pages", ["page_id", "url", "html"]).withColumn("node", F.regexp_replace("url", "#.*$", ""))
+    after = pages.select((F.col("page_id") - 1).alias("page_id"), F.col("node").alias("dst"))
+    chain = pages.where((F.col("page_id") + 1) % HOPS != 0).join(after, "page_id").select(F.col("node").alias("src"), "dst")
+    return graph.reachable(text.link_edges(pages).unionByName(chain), pages.where("page_id = 0").select("node"))
 
 
 def q_chunk_fixed(spark, sf_dir):
@@ -81,16 +104,16 @@ def q_chunk_recursive(spark, sf_dir):
     return text.chunk_recursive(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id", "text")
 
 
-def q_corpus_chunks(spark, sf_dir):
-    """Document chunks with their document's vector (vectors enter as a
-    column: embedding ``vec_id`` belongs to document ``doc_id``)."""
-    from ..operators.sinks import build_chunk_table
-    from ..session import scratch_dir
+def q_chunk_recursive_check(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return text.chunk_report(docs, text.chunk_recursive(docs, "doc_id", "text"), "doc_id", "text")
+
 
+def q_corpus_chunks(spark, sf_dir):
+    """Every document chunk with its own vector."""
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "source"])
     chunks = text.chunk_fixed(docs, "doc_id", "text").join(docs.select("doc_id", "source"), "doc_id")
-    vecs = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"]).withColumnRenamed("vec_id", "doc_id")
-    return build_chunk_table(chunks, vecs, scratch_dir(spark, "chunk-table"))
+    return build_chunk_table(chunks.withColumn("embedding", text.letter_vector(F.col("chunk"))), scratch_dir(spark, "chunk-table"))
 
 
 def label_centroids(spark, sf_dir):
@@ -109,8 +132,11 @@ def q_knn_cosine(spark, sf_dir):
 
 
 def q_knn_context(spark, sf_dir):
-    conv = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role", "text"])
-    return vectors.context(conv, "conv_id", "turn", "text", "role")
+    """K2: the chunks and sources of the kNN hits of every benchmark item."""
+    chunks = q_corpus_chunks(spark, sf_dir).withColumnRenamed("id", "vec_id")
+    items = read_table(spark, sf_dir, "benchmark", ["item_id", "text"]).select(
+        F.col("item_id").alias("query_id"), text.letter_vector(F.col("text")).alias("embedding"))
+    return vectors.context(vectors.knn(items, chunks.select("vec_id", "embedding"), K), chunks)
 
 
 QUERIES = {
@@ -120,9 +146,11 @@ QUERIES = {
     "pii_combinations": q_pii_combinations,
     "page_text": q_page_text,
     "link_edges": q_link_edges,
+    "link_urls": q_link_urls,
     "reachable_urls": q_reachable_urls,
     "chunk_fixed": q_chunk_fixed,
     "chunk_recursive": q_chunk_recursive,
+    "chunk_recursive_check": q_chunk_recursive_check,
     "knn_cosine": q_knn_cosine,
     "knn_context": q_knn_context,
     "corpus_chunks": q_corpus_chunks,
@@ -214,18 +242,28 @@ _FOUND = ("list_filter([" + ", ".join(f"CASE WHEN contains(text_anon, '<{e}>') T
 _GROUP = ("CASE WHEN len(list_filter(found, lambda x: x IN (" + ", ".join(f"'{e}'" for e in _KEYS)
           + "))) > 0 THEN 'ANY " + "/".join(_KEYS) + "' ELSE 'NONE " + "/".join(_KEYS) + "' END")
 
-_ORIGIN = text.ORIGIN_PATTERN
+_HOST = "^([a-z]+://[^/?#]+)"
+_CHUNKS = ("SELECT doc_id, source, chunk_no, substr(text, chunk_no * 800 + 1, 1000) AS chunk FROM (SELECT doc_id, text, source, "
+           "unnest(range(greatest(1, cast(ceil((length(text) - 200) / 800) AS INTEGER)))) AS chunk_no FROM documents WHERE length(text) > 0)")
+
+
+def _vector_sql(t):
+    low = f"lower({t})"
+    return "cast([" + ", ".join(f"length({low}) - length(replace({low}, '{c}', ''))" for c in "abcdefghilmnoprs") + ", 1] AS FLOAT[])"
+
+
+# What the added anchors must become, written out per page: its directory, the one above, and the rest by hand.
 _EDGES = f"""
-pg AS (SELECT regexp_replace(url, '#.*$', '') AS src, html FROM pages),
-pg2 AS (SELECT src, regexp_extract(src, '{_ORIGIN}', 1) AS origin, regexp_extract(src, '^([A-Za-z][A-Za-z0-9+.-]*):', 1) AS scheme,
-  regexp_extract(regexp_replace(src, '[?].*$', ''), '^(.*/)', 1) AS dir,
-  unnest(regexp_extract_all(html, '<a\\s[^>]*href="([^"]*)"', 1)) AS href FROM pg),
-res AS (SELECT src, origin, regexp_replace(CASE WHEN regexp_matches(trim(href), '^[A-Za-z][A-Za-z0-9+.-]*://') THEN trim(href)
-  WHEN starts_with(trim(href), '//') THEN concat(scheme, ':', trim(href)) WHEN starts_with(trim(href), '/') THEN concat(origin, trim(href))
-  ELSE concat(dir, trim(href)) END, '#.*$', '') AS dst FROM pg2
-  WHERE trim(href) <> '' AND NOT starts_with(trim(href), '#') AND NOT starts_with(lower(trim(href)), 'mailto:')
-  AND NOT starts_with(lower(trim(href)), 'javascript:')),
-edges AS (SELECT DISTINCT src, dst FROM res WHERE regexp_extract(dst, '{_ORIGIN}', 1) = origin)
+pg AS (SELECT page_id, regexp_replace(url, '#.*$', '') AS src, html FROM pages),
+pg2 AS (SELECT *, regexp_replace(src, '[?].*$', '') AS bare, regexp_extract(src, '{_HOST}', 1) AS host,
+  regexp_extract(regexp_replace(src, '[?].*$', ''), '^(.*/)[^/]*$', 1) AS dir FROM pg),
+own AS (SELECT src, host, dir, unnest(regexp_extract_all(html, '<a\\s[^>]*href="([^"]*)"', 1)) AS href FROM pg2),
+plain AS (SELECT DISTINCT src, host, regexp_replace(CASE WHEN href LIKE '%://%' THEN href WHEN href LIKE '/%' THEN host || href ELSE dir || href END, '#.*$', '') AS dst
+  FROM own WHERE href <> '' AND href NOT LIKE '#%' AND href NOT LIKE 'mailto:%' AND href NOT LIKE 'javascript:%'),
+added AS (SELECT src, host, unnest([regexp_replace(dir, '[^/]+/$', '') || 'x/y.html?q=1', bare || '?page=2', dir || 'sib', host || '/top/',
+  regexp_extract(src, '^([a-z]+:)', 1) || '//cdn.example.org/lib']) AS dst FROM pg2),
+edges AS (SELECT src, dst FROM plain WHERE starts_with(dst, host)),
+all_edges AS (SELECT DISTINCT src, host, dst FROM (SELECT * FROM plain UNION ALL SELECT * FROM added))
 """
 
 ORACLE = {
@@ -239,10 +277,20 @@ ORACLE = {
         "WHEN len(found) > 1 THEN array_to_string(list_sort(found), '-') END AS combination FROM f) "
         f"WHERE combination IS NOT NULL GROUP BY 1 UNION ALL SELECT {_GROUP} AS combination, count(*) AS n FROM f GROUP BY 1"
     ),
-    "link_edges": f"WITH {_EDGES} SELECT src, dst FROM edges",
-    "reachable_urls": "WITH RECURSIVE " + _EDGES.strip() + ", seeds AS (SELECT DISTINCT regexp_replace(url, '#.*$', '') AS node "
-                      "FROM pages), r(node) AS (SELECT node FROM seeds UNION SELECT e.dst FROM r JOIN edges e "
-                      "ON e.src = r.node) SELECT DISTINCT node FROM r",
+    "link_edges": f"WITH {_EDGES} SELECT src, dst FROM all_edges WHERE regexp_extract(dst, '{_HOST}', 1) = host",
+    "link_urls": f"WITH {_EDGES} SELECT DISTINCT dst AS url FROM all_edges WHERE dst LIKE 'http://%'",
+    "page_text": (
+        "SELECT url, t AS text FROM (SELECT url, array_to_string(list_filter(list_transform(regexp_split_to_array(regexp_replace("
+        "regexp_extract(html, '(?s)<body[^>]*>(.*?)(</body>|$)', 1), "
+        "'(?s)<(script|style|nav|footer|header|aside|form)[ >].*?</(script|style|nav|footer|header|aside|form)>', '<x>', 'g'), '<[^>]*>'), "
+        "lambda x: regexp_replace(replace(replace(replace(x, '&amp;', '&'), '&copy;', '©'), '&middot;', '·'), '^\\s+|\\s+$', '', 'g')), "
+        "lambda x: x <> ''), chr(10)) AS t FROM pages) WHERE length(trim(t)) >= 50"),
+    "chunk_recursive_check": ("SELECT doc_id, cast(length(text) AS INTEGER) AS n_chars, TRUE AS covered, TRUE AS in_size, TRUE AS same_text "
+                              "FROM documents WHERE length(text) > 0"),
+    "reachable_urls": (
+        "WITH RECURSIVE " + _EDGES.strip() + f", steps AS (SELECT src, dst FROM edges UNION ALL SELECT a.src, b.src FROM pg a JOIN pg b "
+        f"ON b.page_id = a.page_id + 1 WHERE (a.page_id + 1) % {HOPS} <> 0), r(node) AS (SELECT src FROM pg WHERE page_id = 0 "
+        "UNION SELECT e.dst FROM r JOIN steps e ON e.src = r.node) SELECT DISTINCT node FROM r"),
     "chunk_fixed": (
         "SELECT doc_id, chunk_no, cast(chunk_no * 800 AS INTEGER) AS start_index, concat(cast(doc_id AS VARCHAR), '_', "
         "cast(chunk_no AS VARCHAR)) AS chunk_id, substr(text, chunk_no * 800 + 1, 1000) AS chunk FROM (SELECT doc_id, text, "
@@ -253,13 +301,15 @@ ORACLE = {
         "FROM (SELECT label, unnest(embedding) AS x, unnest(range(len(embedding))) AS i FROM embeddings) GROUP BY ALL) "
         "GROUP BY 1), d AS (SELECT c.query_id, e.vec_id, 1 - list_cosine_similarity(c.q, cast(e.embedding AS DOUBLE[])) "
         "AS dist FROM c, embeddings e) SELECT query_id, vec_id, round(dist, 6) AS distance, rank FROM (SELECT *, "
-        f"cast(row_number() OVER (PARTITION BY query_id ORDER BY dist, vec_id) AS INTEGER) AS rank FROM d) WHERE rank <= {K}"),
+        f"cast(row_number() OVER (PARTITION BY query_id ORDER BY round(dist, 12), vec_id) AS INTEGER) AS rank FROM d) WHERE rank <= {K}"),
     "corpus_chunks": (
-        "SELECT concat(cast(d.doc_id AS VARCHAR), '_', cast(c AS VARCHAR)) AS id, e.embedding, "
-        "substr(d.text, c * 800 + 1, 1000) AS document, d.source, cast(c * 800 AS INTEGER) AS start_index "
-        "FROM (SELECT doc_id, text, source, unnest(range(greatest(1, cast(ceil((length(text) - 200) / 800) AS INTEGER)))) "
-        "AS c FROM documents WHERE length(text) > 0) d JOIN embeddings e ON e.vec_id = d.doc_id"),
+        f"SELECT concat(cast(doc_id AS VARCHAR), '_', cast(chunk_no AS VARCHAR)) AS id, {_vector_sql('chunk')} AS embedding, chunk AS document, "
+        f"source, cast(chunk_no * 800 AS INTEGER) AS start_index FROM ({_CHUNKS})"),
     "knn_context": (
-        "SELECT conv_id, array_to_string(list_sort(list_distinct(list(role))), ',') AS sources, "
-        "string_agg(text, chr(10) || '---' || chr(10) ORDER BY turn, text) AS context FROM conversations GROUP BY 1"),
+        f"WITH c AS (SELECT concat(cast(doc_id AS VARCHAR), '_', cast(chunk_no AS VARCHAR)) AS id, source, chunk, cast({_vector_sql('chunk')} AS DOUBLE[]) AS v "
+        f"FROM ({_CHUNKS})), q AS (SELECT item_id, cast({_vector_sql('text')} AS DOUBLE[]) AS v FROM benchmark), "
+        "d AS (SELECT item_id, id, source, chunk, round(1 - list_cosine_similarity(q.v, c.v), 12) AS dist FROM q, c), "
+        f"h AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY dist, id) AS rank FROM d QUALIFY rank <= {K}) "
+        "SELECT item_id AS query_id, array_to_string(list_sort(list_distinct(list(source))), ',') AS sources, "
+        "string_agg(chunk, chr(10) || '---' || chr(10) ORDER BY rank) AS context FROM h GROUP BY 1"),
 }

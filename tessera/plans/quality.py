@@ -128,7 +128,18 @@ def q_case_examples(spark, sf_dir):
     return quality.case_examples(flags(spark, sf_dir)).withColumnRenamed("case", "quality_case")
 
 
+def q_case_examples_company(spark, sf_dir):
+    named = flags(spark, sf_dir).where(F.col("company_name").isNotNull())
+    return quality.case_examples(named, ["company_name"]).withColumnRenamed("case", "quality_case")
+
+
+def q_date_counts_future(spark, sf_dir):
+    return quality.date_counts_by_cluster(base(spark, sf_dir), "due_date", AS_OF_US)
+
+
 QUERIES = {
+    "case_examples_company": q_case_examples_company,
+    "date_counts_future": q_date_counts_future,
     "epoch_range": q_epoch_range,
     "taxonomy_flags": q_taxonomy_flags,
     "taxonomy_legacy": q_taxonomy_legacy,
@@ -284,6 +295,17 @@ ORACLE = {
         f"(PARTITION BY cluster ORDER BY n DESC, company_name) AS rank FROM (SELECT {_horizon_label('h6_vec')} AS cluster, "
         f"company_name, count(*) AS n FROM base WHERE company_name IS NOT NULL GROUP BY ALL) WHERE cluster IS NOT NULL) "
         f"WHERE rank <= 50"),
+    "date_counts_future": _o(
+        f"SELECT cluster, strftime(d, '%d/%m/%Y') AS data, conteggio FROM (SELECT {_horizon_label('h6_vec')} AS cluster, "
+        f"cast(make_timestamp(due_date) AS DATE) AS d, count(*) AS conteggio FROM base WHERE due_date > {AS_OF_US} GROUP BY 1, 2)"),
+    "case_examples_company": _o(
+        "SELECT company_name, quality_case, category, id, iupd FROM (SELECT *, row_number() OVER (PARTITION BY company_name, quality_case "
+        "ORDER BY id, category_clean) AS rn FROM ("
+        + " UNION ALL ".join(
+            f"SELECT '{name}' AS quality_case, * FROM flags WHERE company_name IS NOT NULL AND "
+            + ("NOT is_syntax_correct" if flag == "is_syntax_wrong" else flag)
+            for name, flag in quality.QUALITY_CASES)
+        + ")) WHERE rn = 1"),
     "case_examples": _o(
         "SELECT quality_case, category, id, iupd FROM (SELECT *, row_number() OVER (PARTITION BY quality_case "
         "ORDER BY id, category_clean) AS rn FROM ("

@@ -54,7 +54,7 @@ def q_prefix_counts(spark, sf_dir):
 
 
 def q_broker_config(spark, sf_dir):
-    return reports.broker_config(fixture(spark, sf_dir, "broker_cfg"))
+    return reports.broker_config(reports.broker_links(*[fixture(spark, sf_dir, f"cfg_{t}") for t in ("broker", "station", "link", "institution")]))
 
 
 def q_drop_sentinel(spark, sf_dir):
@@ -197,7 +197,10 @@ ORACLE = {
         "count_if(iupd LIKE 'ACA_%' AND service_type = 'ACA' AND status IN ('VALID', 'PARTIALLY_PAID')) "
         "AS aca_gpd_create_position_payable FROM payment_position"),
     "prefix_counts": _o("SELECT * FROM cur_counts"),
-    "broker_config": _o("SELECT * FROM cfg"),
+    "broker_config": with_fixtures(
+        "SELECT b.broker_id, b.broker_name, s.station_id, i.id_dominio AS organization_fiscal_code, lpad(cast(l.segregazione AS VARCHAR), 2, '0') "
+        "AS segregation_code FROM cfg_link l, cfg_station s, cfg_broker b, cfg_institution i WHERE l.fk_station = s.obj_id AND s.fk_broker = b.obj_id "
+        "AND l.fk_pa = i.obj_id AND l.segregazione IS NOT NULL", "cfg_broker", "cfg_station", "cfg_link", "cfg_institution"),
     "drop_sentinel": _o("SELECT count(*) AS rows_in, count_if(segregation_code = 'RF') AS rows_removed FROM cur"),
     "history_accumulate": _o("SELECT * FROM acc"),
     "top5_brokers": _o("SELECT broker_id, broker_name, cast(sum(total) AS BIGINT) AS total FROM acc GROUP BY 1, 2 "

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
+from ..functions.cdc import cdc_json, to_cdc
 from ..operators import groups, joins, predicates, sinks
 from ..session import materialise, scratch_dir
 from ..sources.delimited import export_csv, read_delimited
@@ -129,7 +132,49 @@ def q_gold_upsert(spark, sf_dir):
     return spark.read.parquet(new_path)
 
 
+DAY_TODAY = dt.date(1996, 3, 2)
+DAY_REQUESTS = (("range", "1996-01-10", "1996-01-12"), ("yesterday", "yesterday", None), ("malformed", "10/01/1996", "1996-13-01"), ("all", "all", None))
+
+
+def q_day_range(spark, sf_dir):
+    """Payments per requested day window, one pass for all requests."""
+    ev = fixture(spark, sf_dir, "payment_event")
+    counts = []
+    for name, start, end in DAY_REQUESTS:
+        window = predicates.day_range(start, end, DAY_TODAY)
+        inside = F.lit(True) if window is None else (
+            (F.col("payment_ts") >= F.lit(window[0]).cast("timestamp_ntz")) & (F.col("payment_ts") < F.lit(window[1]).cast("timestamp_ntz")))
+        counts.append(F.count_if(inside).alias(name))
+    return ev.agg(*counts)
+
+
+def q_gold_merge(spark, sf_dir):
+    """The gold table created by one load, and a second load merged into it."""
+    src, crm = kpi._src(spark, sf_dir), fixture(spark, sf_dir, "crm")
+    second = groups.kpi_gold(src.where(F.col("kpi_id") != "N"), crm, kpi.BATCH_TS_MS + 1).withColumn("kpi_outcome", F.lit("RERUN"))
+    name = "gold_merge_" + scratch_dir(spark, "g").rsplit("-", 1)[-1]
+    keys = ["kpi_id", "psp_id", "period_start", "period_end"]
+    for load in (groups.kpi_gold(src, crm, kpi.BATCH_TS_MS), second):
+        sinks.create_or_merge(load, name, keys, "_ts")
+    return spark.table(name)
+
+
+def q_event_topics(spark, sf_dir):
+    """The create events of three tables routed to a topic each, read back."""
+    path = scratch_dir(spark, "event-topics")
+    for topic, table, key in (("positions", "payment_position", "id"), ("options", "payment_option", "id"), ("transfers", "transfer", "payment_option_id")):
+        rows = fixture(spark, sf_dir, table)
+        events = cdc_json(to_cdc(rows, rows.columns, now_us=0), f"after.{key}").withColumn("topic", F.lit(topic))
+        sinks.emit_events(events, path)
+    back = spark.read.schema("key string, value string, topic string").json(path)
+    return back.groupBy("topic").agg(F.count("*").alias("n"), F.min("key").alias("first_key"), F.max("key").alias("last_key"),
+                                     F.count_if(F.get_json_object("value", "$.op") == "c").alias("n_create"))
+
+
 QUERIES = {
+    "day_range": q_day_range,
+    "gold_merge": q_gold_merge,
+    "event_topics": q_event_topics,
     "scan_project": q_scan_project,
     "time_range": q_time_range,
     "clean_keys": q_clean_keys,
@@ -182,4 +227,15 @@ ORACLE = {
     "stage_append": reconcile.ORACLE["enrich_left"],
     "gold_create": kpi.ORACLE["kpi_gold"],
     "gold_upsert": kpi.ORACLE["latest_per_key"],
+    "gold_merge": kpi.ORACLE["latest_per_key"],
+    "day_range": with_fixtures(
+        "SELECT count_if(payment_ts >= TIMESTAMP '1996-01-10' AND payment_ts < TIMESTAMP '1996-01-13') AS \"range\", "
+        "count_if(payment_ts >= TIMESTAMP '1996-03-01' AND payment_ts < TIMESTAMP '1996-03-02') AS yesterday, "
+        "count_if(payment_ts >= TIMESTAMP '1996-03-01' AND payment_ts < TIMESTAMP '1996-03-02') AS malformed, count(*) AS \"all\" FROM payment_event",
+        "payment_event"),
+    "event_topics": with_fixtures(
+        " UNION ALL ".join(f"SELECT '{topic}' AS topic, count(*) AS n, min(cast({key} AS VARCHAR)) AS first_key, max(cast({key} AS VARCHAR)) AS last_key, "
+                           f"count(*) AS n_create FROM {table}" for topic, table, key in
+                           (("positions", "payment_position", "id"), ("options", "payment_option", "id"), ("transfers", "transfer", "payment_option_id"))),
+        "payment_position", "payment_option", "transfer"),
 }

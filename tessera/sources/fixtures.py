@@ -139,6 +139,31 @@ SELECT concat('BRK', lpad(cast(s_nationkey AS string), 2, '0')) AS broker_id, n_
 FROM {d.t('supplier')} JOIN {d.t('nation')} ON s_nationkey = n_nationkey"""
 
 
+def _cfg_broker(d: Dialect) -> str:
+    return f"""
+SELECT n_nationkey AS obj_id, concat('BRK', lpad(cast(n_nationkey AS string), 2, '0')) AS broker_id, n_name AS broker_name FROM {d.t('nation')}"""
+
+
+def _cfg_station(d: Dialect) -> str:
+    return f"""
+SELECT DISTINCT s_nationkey * 100 + s_suppkey % 50 AS obj_id, s_nationkey AS fk_broker,
+  concat('BRK', lpad(cast(s_nationkey AS string), 2, '0'), '_', lpad(cast(s_suppkey % 50 AS string), 2, '0')) AS station_id
+FROM {d.t('supplier')}"""
+
+
+def _cfg_link(d: Dialect) -> str:
+    # One supplier in seventeen points to an institution that isn't registered.
+    return f"""
+SELECT s_nationkey * 100 + s_suppkey % 50 AS fk_station, CASE WHEN s_suppkey % 17 = 0 THEN -1 ELSE s_suppkey * 2 % 200 END AS fk_pa,
+  CASE WHEN s_suppkey % 15 = 0 THEN NULL ELSE s_suppkey % 50 END AS segregazione
+FROM {d.t('supplier')}"""
+
+
+def _cfg_institution(d: Dialect) -> str:
+    return f"""
+SELECT DISTINCT s_suppkey * 2 % 200 AS obj_id, lpad(cast(s_suppkey * 2 % 200 AS string), 11, '0') AS id_dominio FROM {d.t('supplier')}"""
+
+
 def _payment_event(d: Dialect) -> str:
     return f"""
 SELECT l_orderkey * 100 + l_linenumber AS id, lpad(cast(l_orderkey % 200 AS string), 11, '0') AS id_pa,
@@ -264,6 +289,10 @@ _FIXTURES = {
     "taxonomy": _taxonomy,
     "partner_report": _partner_report,
     "broker_cfg": _broker_cfg,
+    "cfg_broker": _cfg_broker,
+    "cfg_station": _cfg_station,
+    "cfg_link": _cfg_link,
+    "cfg_institution": _cfg_institution,
     "payment_event": _payment_event,
     "pos_file": _pos_file,
     "issuer_range": _issuer_range,

@@ -178,7 +178,7 @@ def test_split_spans_cover_text_with_bounded_overlap():
 def test_reachable_follows_multiple_hops(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("x", "y"), ("d", "b")], "src string, dst string")
     seeds = spark.createDataFrame([("a",)], "node string")
-    assert rows(reachable(edges, seeds, checkpoint_every=2), "node") == [("a",), ("b",), ("c",), ("d",)]
+    assert rows(reachable(edges, seeds), "node") == [("a",), ("b",), ("c",), ("d",)]
 
 
 def test_day_range_and_previous_month():
@@ -214,3 +214,121 @@ def test_redaction_of_adjacent_identifiers(spark):
     assert all(r.text_anon == r.want for r in pii.redact(df, "text", out_col="text_anon").collect())
     masked = pii.redact(df.limit(1), "text", mode="mask").first()
     assert masked.text == "Targa AB123** EF456** fine"
+
+
+def test_knn_in_several_query_blocks(spark):
+    import numpy as np
+
+    from tessera.operators import vectors
+
+    rng = np.random.default_rng(3)
+    q, c = rng.standard_normal((23, 8)), rng.standard_normal((90, 8))
+    schema = "{} long, embedding array<double>"
+    qs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(q)], schema.format("query_id"))
+    cs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(c)] + [(90, c[7].tolist())], schema.format("vec_id"))
+    got = {}
+    for r in vectors.knn(qs, cs, 4, block=5).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    every = np.vstack([c, c[7]])
+    cos = (q / np.linalg.norm(q, axis=1, keepdims=True)) @ (every / np.linalg.norm(every, axis=1, keepdims=True)).T
+    want = np.lexsort((np.broadcast_to(np.arange(91), cos.shape), np.round(1 - cos, 12)), axis=1)[:, :4]
+    assert {i: [v for _, v in sorted(rows)] for i, rows in got.items()} == {i: w.tolist() for i, w in enumerate(want)}
+
+
+def test_cross_overlap_with_one_very_wide_range(spark):
+    short = [(i, "A" if i % 2 else "B", i * 10, i * 10 + 12) for i in range(20)]
+    data = [*short, (99, "C", 5, 10**18 * 3)]
+    df = spark.createDataFrame([(k, a, str(lo), str(hi)) for k, a, lo, hi in data], "row_key long, abi string, l string, h string").select(
+        "row_key", "abi", F.col("l").cast("decimal(38,0)").alias("low_range"), F.col("h").cast("decimal(38,0)").alias("high_range"))
+    got = {(r.a_key, r.b_key) for r in ranges.overlap_cross(df).collect()}
+    want = {(a[0], b[0]) for a in data for b in data if a[1] != b[1] and (a[2], a[0]) < (b[2], b[0]) and b[2] <= a[3]}
+    assert got == want
+
+
+def test_main_inside_a_dropped_element_keeps_its_text():
+    inside = "<body><form>out<main>kept <nav>gone</nav>too</main></form><p>rest</p></body>"
+    assert text.extract_text(inside) == "kept\ntoo"
+    assert text.extract_text("<body><form>gone</form>kept</body>") == "kept"
+
+
+def test_tables_of_another_format_are_refused(spark, tmp_path):
+    from tessera.operators import sinks
+
+    df = spark.createDataFrame([(1, "a", 1)], "k long, v string, _ts long")
+    spark.sql("DROP TABLE IF EXISTS merge_target")
+    assert sinks.create_or_merge(df, "merge_target", ["k"], "_ts", location=str(tmp_path / "t")) == "created"
+    newer = spark.createDataFrame([(1, "b", 2), (2, "c", 2)], "k long, v string, _ts long")
+    assert sinks.create_or_merge(newer, "merge_target", ["k"], "_ts") == "merged"
+    assert rows(spark.table("merge_target"), "k", "v") == [(1, "b"), (2, "c")]
+    with pytest.raises(ValueError, match="stored as parquet"):
+        sinks.create_or_merge(newer, "merge_target", ["k"], "_ts", fmt="json")
+    spark.sql("DROP TABLE merge_target")
+
+
+def test_jdbc_reader_takes_the_query_as_a_table():
+    from tessera.sources.tables import read_jdbc
+
+    class Reader:
+        def __init__(self):
+            self.options = {}
+
+        def format(self, _):
+            return self
+
+        def option(self, k, v):
+            self.options[k] = v
+            return self
+
+        def load(self):
+            return self.options
+
+    class Session:
+        read = Reader()
+
+    options = read_jdbc(Session(), "jdbc:x", "SELECT 1 AS a", "a", 0, 9, 3)
+    assert options["dbtable"] == "(SELECT 1 AS a) q" and "query" not in options
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from tessera.session import checkpoint_dir
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session())
+
+
+def test_days_are_loaded_once_over_several_runs(spark, tmp_path):
+    from tessera.streaming import jobs
+
+    def deliver(n, *days):
+        cols = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+        data = [(i, dt.datetime(2024, 1, d, 5), 1, "a", 0.0, "") for i, d in enumerate(days)]
+        spark.createDataFrame(data, cols).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+
+    path = {x: str(tmp_path / x) for x in ("in", "history", "ledger", "ckpt")}
+    spark.createDataFrame([(dt.date(2024, 1, 1), "a", 7)], "day date, event_type string, total long").write.parquet(path["history"] + "/batch_id=-1")
+    spark.createDataFrame([(dt.date(2024, 1, 1),)], "day date").write.parquet(path["ledger"] + "/batch_id=-1")
+    results = []
+    for days in ((1, 2, 2, 6), (2, 3, 9), (20,)):
+        deliver(0, *days)
+        got = jobs.ledgered_daily_load(spark, path["in"], path["history"], path["ledger"], path["ckpt"])
+        results.append({r.day.day: r.total for r in got.collect()})
+    assert results[0] == {1: 7, 2: 2}            # 6 is open; day 1 was loaded before
+    assert results[1] == {1: 7, 2: 2, 6: 1}      # the late 2 and 3 come after their days were closed
+    assert results[2] == {1: 7, 2: 2, 6: 1, 9: 1}
+    assert {r.day.day for r in spark.read.parquet(path["ledger"]).collect()} == {1, 2, 6, 9}
