@@ -125,7 +125,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = gone.select(*[F.col(c).alias(p + c) for c in gone.columns])
     text = docs[text_col]
     same = [docs[id_col].cast("long").eqNullSafe(F.col(p + "id")), F.xxhash64(text.cast("string")) == F.col(p + "th")]
-    joined = docs.join(gone, same, "left")
+    joined = docs.join(gone.hint("merge"), same, "left")  # the deletions grow with the documents: one plan at every size
     first = F.lit(-1).cast("long")
     kept = let(F.split(text, "\n", -1), lambda lines: let(
         F.concat(F.array(first), F.col(p + "lines"), F.array(F.size(lines).cast("long"))),
