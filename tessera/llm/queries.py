@@ -69,10 +69,10 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(configure(spark), sf_dir, "documents").select("doc_id", "text")
-    done = line_dedup.line_dedup(docs.withColumn("before", F.size(F.split("text", "\n", -1))))
-    return done.select("doc_id", F.xxhash64("text").alias("text_hash"), F.length("text").alias("n_chars"),
-                       (F.col("before") - F.when(F.length("text") > 0, F.size(F.split("text", "\n", -1))).otherwise(0)).alias("n_lines_deleted"))
+    """The digest of every text after the deletions, and whether it lost a line."""
+    docs = table(configure(spark), sf_dir, "documents").select("doc_id", "text").withColumn("before", F.length("text"))
+    return line_dedup.line_dedup(docs).select("doc_id", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"),
+                                              (F.length("text") < F.col("before")).alias("changed"))
 
 
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,3 +104,52 @@ WITH rows AS (SELECT doc_id AS id, source, coalesce(len(regexp_extract_all(text,
 SELECT id AS doc_id, size, source_size, target,
   size * (floor(k * rate + u) - floor((k - 1) * rate + u))::BIGINT AS taken FROM placed
 """
+
+ORACLE["op7_tool_calls"] = """
+WITH RECURSIVE t AS (SELECT *, length(text) AS n, substr(text, 1, 40) AS q FROM conversations),
+  calls AS (SELECT conv_id, 'c' || turn AS call_id, min(turn) AS turn, count(*) AS n_calls, any_value(n) AS n, any_value(text) AS text, any_value(q) AS q,
+    any_value(['search', 'lookup', 'other'][n % 3 + 1]) AS name, any_value(CASE WHEN n % 4 < 3 THEN 'c' || (turn - 2) END) AS parent_id
+    FROM t WHERE role = 'user' GROUP BY ALL),
+  results AS (SELECT conv_id, 'c' || (turn - 1) AS call_id, min(turn) AS r_turn, count(*) AS n_results, any_value(text) AS content
+    FROM t WHERE role = 'assistant' GROUP BY ALL),
+  lv AS (SELECT conv_id, call_id, 0 AS level FROM calls c WHERE NOT EXISTS (SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.call_id = c.parent_id)
+    UNION ALL SELECT c.conv_id, c.call_id, level + 1 FROM lv JOIN calls c ON c.conv_id = lv.conv_id AND c.parent_id = lv.call_id),
+  said AS (SELECT calls.*, level, CASE WHEN n % 7 = 0 THEN to_json(substr(text, 1, 10))::VARCHAR
+      WHEN n % 3 = 0 AND n % 5 = 0 THEN '{"query":' || to_json(q)::VARCHAR || '}'
+      WHEN n % 3 = 0 THEN '{"limit":' || n % 50 || ',"query":' || to_json(q)::VARCHAR || '}'
+      WHEN n % 5 = 0 THEN '{"id":' || n % 50 || ',"strict":"yes"}' WHEN n % 5 = 1 THEN '{"extra":1,"id":' || n % 50 || '}' ELSE '{"id":' || n % 50 || '}' END AS args,
+    CASE WHEN n % 3 = 2 THEN ['unknown_tool'] WHEN n % 7 = 0 THEN ['not_json'] WHEN n % 3 = 0 AND n % 5 = 0 THEN ['missing:limit'] WHEN n % 3 = 0 THEN []
+      WHEN n % 5 = 0 THEN ['type:strict'] WHEN n % 5 = 1 THEN ['unknown:extra'] ELSE [] END AS wrong
+    FROM calls JOIN lv USING (conv_id, call_id))
+SELECT conv_id, call_id, level, coalesce(turn, r_turn) AS turn,
+  CASE WHEN n_calls IS NULL THEN 'no_call' WHEN n_results IS NULL THEN 'no_result' ELSE 'linked' END AS status, coalesce(wrong, []) AS errors,
+  coalesce(n_calls, 0) AS n_calls, coalesce(n_results, 0) AS n_results,
+  '{"arguments":' || coalesce(args, 'null') || ',"call_id":' || to_json(call_id)::VARCHAR || ',"name":' || coalesce(to_json(name)::VARCHAR, 'null')
+    || ',"parent_id":' || coalesce(to_json(parent_id)::VARCHAR, 'null') || ',"result":' || coalesce(to_json(content)::VARCHAR, 'null') || '}' AS json
+FROM said FULL OUTER JOIN results USING (conv_id, call_id)
+"""
+
+SPACE = r"[\x20\x09-\x0D]"
+
+ORACLE["op9_line_dedup"] = f"""
+WITH split AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents),
+  lines AS (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS pos FROM split),
+  seq AS (SELECT doc_id, pos, s, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS k, lead(s) OVER (PARTITION BY doc_id ORDER BY pos) AS after
+    FROM (SELECT *, regexp_replace(line, '^{SPACE}+|{SPACE}+$', '', 'g') AS s FROM lines) WHERE s <> ''),
+  runs AS (SELECT doc_id, k, 2 AS n, [s, after] AS run FROM seq WHERE after IS NOT NULL
+    UNION ALL SELECT doc_id, k, 1, [s] FROM seq WHERE len(regexp_extract_all(s, {WORDS})) >= 20),
+  later AS (SELECT doc_id, k, n FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, k) AS rn FROM runs) WHERE rn > 1),
+  gone AS (SELECT DISTINCT doc_id, pos FROM seq JOIN (SELECT doc_id, unnest(range(k, k + n)) AS k FROM later) USING (doc_id, k)),
+  kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS t FROM lines ANTI JOIN gone USING (doc_id, pos) GROUP BY 1)
+SELECT doc_id, length(coalesce(t, '')) AS n_chars, md5(coalesce(t, '')) AS text_md5, length(coalesce(t, '')) < length(text) AS changed
+FROM documents LEFT JOIN kept USING (doc_id) WHERE text IS NOT NULL
+UNION ALL SELECT doc_id, NULL, NULL, NULL FROM documents WHERE text IS NULL
+"""
+
+ORACLE["op10_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings),
+  near AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.x, b.x) >= 0.95),
+  reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, n.b FROM reach r JOIN near n ON n.a = r.b),
+  root AS (SELECT a, min(b) AS component_id FROM reach GROUP BY 1)
+SELECT vec_id, (SELECT count(*) FROM near WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM v JOIN root ON a = vec_id
+"""
