@@ -55,14 +55,13 @@ def q_csv_roundtrip(spark, sf_dir):
     file grows with the data, so it is not funnelled into one task), read back
     as strings."""
     path = scratch_dir(spark, "pos-csv")
-    export_csv(fixture(spark, sf_dir, "pos_file"), path, sep=";", single=False, sort=["id_dominio", "iuv"])
+    export_csv(fixture(spark, sf_dir, "pos_file"), path, sep=";", sort=["id_dominio", "iuv"])
     return read_delimited(spark, path, sep=";", cols=["id_dominio", "iuv"])
 
 
 def _registry_file(spark, sf_dir):
-    """The taxonomy registry as one delimited text file (line numbers need a
-    single ordered file; the registry is bounded: at most a few hundred codes
-    whatever the scale): quoted, padded values; 'X-<even>' rows are truncated
+    """The taxonomy registry as one delimited text file, as it is delivered:
+    one row per part code, quoted, padded values; 'X-<even>' rows are truncated
     before the code column."""
     codes = fixture(spark, sf_dir, "taxonomy")
     short = F.col("code").startswith("X-") & (F.substring("code", 3, 10).cast("int") % 2 == 0)

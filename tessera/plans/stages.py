@@ -99,7 +99,7 @@ def q_nested_export(spark, sf_dir):
 def q_csv_export(spark, sf_dir):
     """A10: a report exported as range-partitioned `;` CSV files, read back."""
     path = scratch_dir(spark, "station-trx-csv")
-    export_csv(reports.q_station_trx(spark, sf_dir), path, sep=";", single=False, sort=["stazione", "ec"])
+    export_csv(reports.q_station_trx(spark, sf_dir), path, sep=";", sort=["stazione", "ec"])
     return read_delimited(spark, path, sep=";", cols=["stazione", "ec", "trx"])
 
 

@@ -1,9 +1,9 @@
 """Delimited text sources and sinks.
 
 Delimited files are read with an explicit all-string schema (no inference).
-Row numbers in file order come from ``monotonically_increasing_id`` plus a
-per-partition offset table (one row per input partition, so tiny), i.e. a
-DataFrame form of ``zipWithIndex`` that never funnels rows through one task.
+Line numbers come from ``monotonically_increasing_id`` plus an offset table
+with one row per input split, i.e. a DataFrame form of ``zipWithIndex`` per
+file that never funnels rows through one task.
 """
 
 from __future__ import annotations
@@ -28,16 +28,16 @@ def read_delimited(spark: SparkSession, path: str, sep: str = ";", cols: Sequenc
     return reader.csv(path)
 
 
-def with_line_numbers(lines: DataFrame, name: str = "line_no") -> DataFrame:
-    """1-based line number in input order (partition order, then position)."""
-    tagged = lines.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
-    sizes = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
-    offsets = sizes.select(
-        "_pid", "_first",
-        (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_before"))
-    joined = tagged.join(F.broadcast(offsets), "_pid")
-    number = F.coalesce(F.col("_before"), F.lit(0)) + (F.col("_mid") - F.col("_first")) + 1
-    return joined.withColumn(name, number.cast("bigint")).drop("_pid", "_mid", "_first", "_before")
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, line_no, value) of the text files under ``path``: 1-based line
+    numbers in each file, however many splits it is read in."""
+    text = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"))
+    tagged = text.withColumn("_mid", F.monotonically_increasing_id())
+    sizes = tagged.groupBy("file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    before = F.sum("_n").over(Window.partitionBy("file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("file", "_block", "_first", F.coalesce(before, F.lit(0)).alias("_before"))
+    number = F.col("_before") + (F.col("_mid") - F.col("_first")) + 1
+    return tagged.join(offsets, ["file", "_block"]).select("file", number.cast("bigint").alias("line_no"), "value")
 
 
 def load_registry(spark: SparkSession, path: str, column: str, pattern: str, sep: str = ";"
@@ -46,17 +46,17 @@ def load_registry(spark: SparkSession, path: str, column: str, pattern: str, sep
 
     Header and values are stripped of double quotes and surrounding blanks.
     Returns (distinct valid codes, rejects(line_no, value, reason)); line
-    numbers count the header as line 1. A row too short to hold the column is
-    rejected as "missing column", a value not matching ``pattern`` as
-    "invalid format".
+    numbers count the header, which every file has, as line 1. A row too short
+    to hold the column is rejected as "missing column", a value not matching
+    ``pattern`` as "invalid format".
     """
-    text = spark.read.text(path)
-    first = text.first()  # the header line: one bounded row to the driver
+    lines = numbered_lines(spark, path)
+    first = lines.where(F.col("line_no") == 1).select("value").first()  # one bounded row to the driver
     names = [h.replace('"', "").strip() for h in (first[0] if first else "").split(sep)]
     if column not in names:
         raise ValueError(f"column {column!r} not in header {names}")
     col_idx = names.index(column)
-    rows = with_line_numbers(text).where(F.col("line_no") > 1).withColumn("_idx", F.lit(col_idx))
+    rows = lines.where(F.col("line_no") > 1).withColumn("_idx", F.lit(col_idx))
     fields = F.split("value", sep)
     present = F.size(fields) > F.col("_idx")
     raw = F.when(present, F.trim(F.regexp_replace(F.get(fields, F.col("_idx").cast("int")), '"', "")))
@@ -69,12 +69,12 @@ def load_registry(spark: SparkSession, path: str, column: str, pattern: str, sep
     return valid, rejects
 
 
-def export_csv(df: DataFrame, path: str, sep: str = ";", single: bool = True, sort: Sequence[str] = ()) -> None:
-    """A10: header CSV export. ``single=True`` writes one file: the heavy
-    upstream work keeps its parallelism and only the final rows are moved
-    into one task (``repartition(1)``, not ``coalesce(1)`` which would pull
-    the whole upstream stage into one task). Large outputs should pass
-    ``single=False`` and get one file per range partition."""
+def export_csv(df: DataFrame, path: str, sep: str = ";", single: bool = False, sort: Sequence[str] = ()) -> None:
+    """A10: header CSV export, one file per range partition. ``single=True``,
+    for a report of few rows, writes one file: the heavy upstream work keeps
+    its parallelism and only the final rows are moved into one task
+    (``repartition(1)``, not ``coalesce(1)``, which would pull the whole
+    upstream stage into one task)."""
     out = df
     if single:
         out = out.repartition(1)
