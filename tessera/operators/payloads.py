@@ -7,7 +7,7 @@ remote lookups of the source become one hash join on (iuv, ccp).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codec import b64_text, parse_xml, strip_namespaces, tagged_body
@@ -31,20 +31,19 @@ def agreement_payments(events: DataFrame, start: str, end: str, psp: str,
         (F.col("inserted_ts") >= F.lit(start).cast("timestamp_ntz")) & (F.col("inserted_ts") < F.lit(end).cast("timestamp_ntz"))
         & (F.col("psp") == psp) & (F.col("tipo_evento") == event_type) & (F.col("sotto_tipo_evento") == "REQ"))
     body = parse_xml(strip_namespaces(b64_text(F.col("payload"))), NOTIFY_SCHEMA)
-    parsed = ev.select("event_id", "ccp", body["Body"]["pspNotifyPaymentV2"].alias("n"))
-    entries = parsed.select("*", F.explode(F.col("n.additionalPaymentInformations.metadata.mapEntry")).alias("e"))
-    pay = F.col("n.paymentList.payment")
-    return entries.where((F.col("e.key") == "tipoVersamento") & (F.col("e.value") == "CP")
-                         & (pay["metadata"]["mapEntry"]["key"] == "codiceConvenzione")).select(
-        "event_id",
-        F.col("n.timestampOperation").alias("timestamp_operation"),
-        pay["fiscalCodePA"].alias("ec"),
-        pay["creditorReferenceId"].alias("iuv"),
-        F.col("n.totalAmount").alias("amount"),
-        F.col("n.fee").alias("fee"),
-        pay["metadata"]["mapEntry"]["value"].alias("cod_conv"),
-        "ccp",
-    )
+
+    def card_payments(n: Column) -> Column:
+        pay = n["paymentList"]["payment"]
+        agreement = pay["metadata"]["mapEntry"]
+        cards = F.filter(n["additionalPaymentInformations"]["metadata"]["mapEntry"], lambda e: (e["key"] == "tipoVersamento") & (e["value"] == "CP"))
+        row = F.struct(n["timestampOperation"].alias("timestamp_operation"), pay["fiscalCodePA"].alias("ec"), pay["creditorReferenceId"].alias("iuv"),
+                       n["totalAmount"].alias("amount"), n["fee"].alias("fee"), agreement["value"].alias("cod_conv"))
+        return F.when(agreement["key"] == "codiceConvenzione", F.transform(cards, lambda _: row))
+
+    # bound once in a lambda and exploded with outer, so that no filter repeats the parsing below
+    found = F.transform(F.array(body["Body"]["pspNotifyPaymentV2"]), card_payments)[0]
+    rows = ev.select("event_id", "ccp", F.explode_outer(found).alias("r")).where(F.col("r").isNotNull())
+    return rows.select("event_id", "r.*", "ccp")
 
 
 def result_outcome(events: DataFrame, event_type: str = "sendPaymentResult-v2") -> DataFrame:
