@@ -39,6 +39,19 @@ PII_STEPS = (
     ("IT_VEHICLE_PLATE", LEFT + r"(?:[A-Z]{2}[0-9]{3}[A-Z]{2}|[0-9]{2}[A-Z]{2}[0-9]{2}|[A-Z]{2}[0-9]{5}|[0-9]{2}[A-Z]{3}[0-9]{2})" + RIGHT, "none"),
     ("PHONE_NUMBER", r"\+[0-9]{1,3} ?\(?[0-9]{2,4}\)?[ -]?[0-9]{3}[ -]?[0-9]{3,4}" + RIGHT, "none"),
 )
+# Cheap conditions that any text with the entity meets; the others skip its step.
+GUARDS = {
+    "EMAIL_ADDRESS": ("contains", "@"),
+    "IBAN_CODE": ("contains", "IT"),
+    "CREDIT_CARD": ("rlike", "[0-9]{13}"),
+    "IT_FISCAL_CODE": ("rlike", "[A-Z]{6}[0-9LMNPQRSTUV]{2}[ABCDEHLMPRST]"),
+    "IT_VAT_CODE": ("rlike", "[0-9]{11}"),
+    "IT_DRIVER_LICENSE": ("rlike", "[0-9]{7}[A-Z]|U1"),
+    "IT_PASSPORT": ("rlike", "[0-9]{7}"),
+    "IT_IDENTITY_CARD": ("rlike", "[0-9]{5}"),
+    "IT_VEHICLE_PLATE": ("rlike", "[0-9]{2}"),
+    "PHONE_NUMBER": ("contains", "+"),
+}
 # Entities masked (trailing characters → '*') instead of replaced in mask mode.
 MASKED = {"IT_VEHICLE_PLATE": 2, "IT_FISCAL_CODE": 10}
 PII_ENTITIES = tuple(step[0] for step in PII_STEPS)
@@ -61,8 +74,10 @@ def _replacement(entity: str, kind: str, mode: str, match: Column) -> Column:
 
 def redact_step(text: Column, entity: str, pattern: str, kind: str, mode: str = "replace") -> Column:
     """One entity of the chain applied to ``text``, each match at its own place."""
+    how, what = GUARDS[entity]
+    possible = text.contains(what) if how == "contains" else text.rlike(what)
     if kind == "none" and not (mode == "mask" and entity in MASKED):
-        return F.regexp_replace(text, pattern, f"<{entity}>")
+        return F.when(possible, F.regexp_replace(text, pattern, f"<{entity}>")).otherwise(text)
 
     def spliced(both: Column) -> Column:
         new = F.transform(both["found"], lambda m: _replacement(entity, kind, mode, m))
@@ -70,7 +85,7 @@ def redact_step(text: Column, entity: str, pattern: str, kind: str, mode: str =
 
     # n matches cut a text into n + 1 parts; the array of one binds both lists once
     both = F.struct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"), F.split(text, pattern, -1).alias("parts"))
-    return F.when(text.rlike(pattern), F.transform(F.array(both), spliced)[0]).otherwise(text)
+    return F.when(possible, F.transform(F.array(both), spliced)[0]).otherwise(text)
 
 
 def redact(df: DataFrame, col: str, mode: str = "replace", out_col: str | None = None,
