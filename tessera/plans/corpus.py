@@ -283,7 +283,8 @@ ORACLE = {
         "SELECT url, t AS text FROM (SELECT url, array_to_string(list_filter(list_transform(regexp_split_to_array(regexp_replace("
         "regexp_extract(html, '(?s)<body[^>]*>(.*?)(</body>|$)', 1), "
         "'(?s)<(script|style|nav|footer|header|aside|form)[ >].*?</(script|style|nav|footer|header|aside|form)>', '<x>', 'g'), '<[^>]*>'), "
-        "lambda x: regexp_replace(replace(replace(replace(x, '&amp;', '&'), '&copy;', '©'), '&middot;', '·'), '^\\s+|\\s+$', '', 'g')), "
+        "lambda x: regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(x, '&copy;', '©'), '&middot;', '·'), '&quot;', chr(34)), '&lt;', '<'), "
+        "'&gt;', '>'), '&#39;', chr(39)), '&amp;?', '&', 'g'), '^\\s+|\\s+$', '', 'g')), "
         "lambda x: x <> ''), chr(10)) AS t FROM pages) WHERE length(trim(t)) >= 50"),
     "chunk_recursive_check": ("SELECT doc_id, cast(length(text) AS INTEGER) AS n_chars, TRUE AS covered, TRUE AS in_size, TRUE AS same_text "
                               "FROM documents WHERE length(text) > 0"),
