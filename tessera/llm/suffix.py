@@ -6,7 +6,9 @@ alone, so wherever ``min_words`` words repeat, both places keep a suffix in the
 first half of them that agrees for another half (a block). Sorting by block
 hash brings equal suffixes together; each is compared with the first of its
 run, neighbouring matches on one diagonal are chained, and the chains are
-extended left and right word by word.
+extended left and right word by word. The windows of ``min_words`` words that
+reach over the end of a chain may repeat another place of its run: they are
+hashed whole and compared with those of all places.
 """
 
 from __future__ import annotations
@@ -56,6 +58,28 @@ def suffixes(hashes: np.ndarray, block: int, gram: int = GRAM) -> tuple[np.ndarr
     return at, _rolled(hashes, at, block)
 
 
+def _open_windows(hashes: np.ndarray, asked: list[tuple[int, int | None, int | None]], size: int, gram: int = GRAM) -> np.ndarray:
+    """Starts of the windows of ``size`` words whose first half has its minimiser at one of the suffixes ``asked``.
+
+    ``asked`` lists (position, start, end): windows inside the chain from start to end are left out.
+    """
+    window, last = size // 2 - gram + 1, len(hashes) - size
+    if last < 0:
+        return np.empty(0, np.int64)
+    out = []
+    for i in range(0, len(asked), 4096):
+        at = np.array([x[0] for x in asked[i:i + 4096]], np.int64)[:, None]
+        low = np.array([0 if x[1] is None else x[1] for x in asked[i:i + 4096]], np.int64)[:, None]
+        high = np.array([0 if x[2] is None else x[2] for x in asked[i:i + 4096]], np.int64)[:, None]
+        near = np.clip(at + np.arange(1 - window, window), 0, len(hashes) - gram)
+        grams = _rolled(hashes, near.ravel(), gram).reshape(near.shape)
+        views = np.lib.stride_tricks.sliding_window_view(grams, window, axis=1)
+        start = at + np.arange(1 - window, 1)
+        chosen = start + window - 1 - views[:, :, ::-1].argmin(axis=2) == at
+        out.append(start[chosen & (start >= 0) & (start <= last) & ~((start >= low) & (start + size <= high))])
+    return np.unique(np.concatenate(out)) if out else np.empty(0, np.int64)
+
+
 def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = F.col(text_col).cast("string")
     return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("th"), text.alias("text")).filter("text is not null")
@@ -83,20 +107,31 @@ def _suffix_table(named: DataFrame, block: int) -> DataFrame:
     return named.mapInArrow(work, "id long, th long, at long, key long")
 
 
-def _contexts(named: DataFrame, asked: DataFrame, block: int) -> DataFrame:
-    """(id, th, side, at, words): up to ``block`` word hashes before (side 0, nearest first) or from (side 1) each position asked for."""
+def _contexts(named: DataFrame, asked: DataFrame, block: int, size: int) -> DataFrame:
+    """(id, th, side, at, words): up to ``block`` word hashes before (side 0, nearest first) or from (side 1) each position asked for.
+
+    For the suffixes asked for (side 2) runs of :func:`_open_windows`: the first one's start and the hashes of all.
+    """
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, th, text, wanted in zip(*batch.columns, strict=True):
-                h = word_hashes(text.as_py()).view(np.int64)
-                rows = [(x["side"], x["at"]) for x in wanted.as_py()]
+                hashes = word_hashes(text.as_py())
+                h = hashes.view(np.int64)
+                wanted = wanted.as_py()
+                rows = [(x["side"], x["at"]) for x in wanted if x["side"] < 2]
                 words = [h[at:at + block] if side else h[max(0, at - block):at][::-1] for side, at in rows]
+                starts = _open_windows(hashes, [(x["at"], x["low"], x["high"]) for x in wanted if x["side"] == 2], size)
+                if len(starts):
+                    keys = _rolled(hashes, starts, size).view(np.int64)
+                    cuts = np.nonzero(np.diff(starts) != 1)[0] + 1
+                    rows += [(2, int(at)) for at in starts[np.concatenate([[0], cuts])]]
+                    words += np.split(keys, cuts)
                 n = len(rows)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([i.as_py()] * n, pa.int64()), pa.array([th.as_py()] * n, pa.int64()), pa.array([s for s, _ in rows], pa.int32()),
                     pa.array([at for _, at in rows], pa.int64()), pa.array(words, pa.list_(pa.int64()))], ["id", "th", "side", "at", "words"])
 
-    lists = asked.distinct().groupBy(*DOC).agg(F.collect_list(F.struct("side", "at")).alias("wanted"))
+    lists = asked.distinct().groupBy(*DOC).agg(F.collect_list(F.struct("side", "at", "low", "high")).alias("wanted"))
     lists = materialise(lists.select(F.col("id").alias("q_id"), F.col("th").alias("q_th"), "wanted"), "context_requests")
     # documents with the same id and text are one
     found = named.join(lists.hint("merge"), [F.col("id").eqNullSafe(F.col("q_id")), F.col("th") == F.col("q_th")]).select("id", "th", "text", "wanted")
@@ -110,13 +145,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     last, or further up in the same one. Words are runs of characters other
     than ASCII white space, compared exactly; positions count words, the end
     excluded. Each match of half of ``min_words`` words or more counts that holds
-    a kept suffix and is extended along the first occurrence of its blocks;
-    matches that touch or overlap make one passage, and ``source_ids`` lists
-    the documents matched. Every word reported also stands earlier, so deleting
-    all passages never deletes a first occurrence. A repeat that lies in one
-    earlier document alone, or whose blocks first occur in one, is reported
-    whole; of one pieced together from several, fewer than half of
-    ``min_words`` words at either end may be left out.
+    a kept suffix and is extended along the first occurrence of its blocks,
+    and so does every window of ``min_words`` words that stands at any earlier
+    place; matches that touch or overlap make one passage, and ``source_ids``
+    lists the documents matched. Every word reported also stands earlier, so
+    deleting all passages never deletes a first occurrence.
 
     Null and empty texts have no passage. Rows that repeat an id and a text are
     one document. Other columns are not read; an empty table gives an empty one.
@@ -133,12 +166,21 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     line = Window.partitionBy(*DOC, "f_id", "f_th", "diagonal").orderBy("at")
     begins = F.coalesce(F.col("at") - F.lag("at").over(line) > block, F.lit(True)).cast("int")
     chains = later.withColumn("begins", begins).withColumn("chain", F.sum("begins").over(line))
-    chains = chains.groupBy(*DOC, "f_id", "f_th", "diagonal", "chain").agg(F.min("at").alias("start"), (F.max("at") + block).alias("end")).drop("chain")
-    chains = materialise(chains, "chains")
+    whole = Window.partitionBy(*DOC, "f_id", "f_th", "diagonal", "chain")
+    chains = chains.withColumn("start", F.min("at").over(whole)).withColumn("end", F.max("at").over(whole) + block)
+    # the suffixes from which a window may reach over an end of their chain; every chain has some
+    edges = chains.filter((F.col("at") - (block - GRAM) < F.col("start")) | (F.col("at") + min_words > F.col("end")))
+    edges = materialise(edges.select(*DOC, "f_id", "f_th", "diagonal", "start", "end", "at").distinct(), "chain_edges")
+    chains = edges.select(*DOC, "f_id", "f_th", "diagonal", "start", "end").distinct()
     sides = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("start").alias("at")), F.struct(F.lit(1).alias("side"), F.col("end").alias("at"))))
     ends = chains.withColumn("s", sides).select("*", "s.side", "s.at").drop("s")
     here, there = ends.select(*DOC, "side", "at"), ends.select(F.col("f_id").alias("id"), F.col("f_th").alias("th"), "side", (F.col("at") - F.col("diagonal")).alias("at"))
-    context = materialise(_contexts(named, here.unionByName(there), block), "contexts")
+    none = F.lit(None).cast("long")
+    sides = here.unionByName(there).withColumns({"low": none, "high": none})
+    mine = edges.select(*DOC, F.lit(2).alias("side"), "at", F.col("start").alias("low"), F.col("end").alias("high"))
+    firsts = edges.select(F.col("f_id").alias("id"), F.col("f_th").alias("th"), F.lit(2).alias("side"), (F.col("at") - F.col("diagonal")).alias("at"),
+                          none.alias("low"), none.alias("high"))
+    context = materialise(_contexts(named, sides.unionByName(mine).unionByName(firsts), block, min_words), "contexts")
     mine = context.select(F.col("id").alias("m_id"), F.col("th").alias("m_th"), F.col("side").alias("m_side"), F.col("at").alias("m_at"), F.col("words").alias("mine"))
     theirs = context.select(F.col("id").alias("t_id"), F.col("th").alias("t_th"), F.col("side").alias("t_side"), F.col("at").alias("t_at"), F.col("words").alias("theirs"))
     ends = ends.join(mine, [F.col("id").eqNullSafe(F.col("m_id")), F.col("th") == F.col("m_th"), F.col("side") == F.col("m_side"), F.col("at") == F.col("m_at")])
@@ -149,6 +191,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ends = materialise(ends.select(*DOC, "f_id", "start", "end", "side", agree.alias("more")), "extended")
     spans = ends.select(*DOC, "f_id", F.when(F.col("side") == 0, F.col("start") - F.col("more")).otherwise(F.col("start")).alias("start"),
                         F.when(F.col("side") == 1, F.col("end") + F.col("more")).otherwise(F.col("end")).alias("end"))
+    windows = context.filter("side = 2").select(*DOC, "at", F.posexplode("words").alias("k", "key"))
+    windows = windows.select(*DOC, (F.col("at") + F.col("k")).alias("at"), "key")
+    first = windows.groupBy("key").agg(F.min(_place("at")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("key", "first")
+    again = windows.join(materialise(first, "first_windows"), "key").filter(_place("at") > F.col("first"))
+    again = again.select(*DOC, F.col("first.id").alias("f_id"), F.col("at").alias("start"), (F.col("at") + min_words).alias("end"))
+    spans = spans.unionByName(again)
     # both sides of a chain overlap in the chain itself
     order = Window.partitionBy(*DOC).orderBy("start", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))

@@ -71,6 +71,28 @@ def test_against_brute_force(spark):
     assert not found[121] and not any(found[i] for i in range(60))
 
 
+def test_every_earlier_place_counts(spark):
+    rng = np.random.default_rng(12)
+    say = lambda n: [f"w{x}" for x in rng.integers(0, 5000, n)]
+    docs = {}
+    for j in range(12):  # each block of the passage first stands in a document of its own
+        p = say(50 if j < 8 else 70)
+        whole = say(10) + p + say(10)
+        at, _ = suffix.suffixes(suffix.word_hashes(" ".join(whole)), 25)
+        pieces = [p[k - 10:k + 15] for k in at if 10 <= k <= len(p) - 15]
+        for piece in [*pieces, p[:35], p[-35:]]:
+            docs[len(docs)] = say(int(rng.integers(0, 9))) + piece + say(int(rng.integers(0, 9)))
+        for _ in range(3):
+            docs[len(docs)] = say(int(rng.integers(1, 30))) + p + say(int(rng.integers(1, 30)))
+    docs = {i: " ".join(w) for i, w in docs.items()}
+    found = {i: set() for i in docs}
+    for r in suffix.repeated_passages(spark.createDataFrame([(i, t, 0, "x") for i, t in docs.items()], SCHEMA).repartition(4)).collect():
+        found[r.doc_id] |= set(range(r.start_word, r.end_word))
+    whole = earlier_windows(docs, 50)
+    assert sum(map(len, whole.values())) >= 12 * 2 * 50
+    assert all(whole[i] <= found[i] for i in docs)
+
+
 def test_cutting(spark):
     docs, _ = documents()
     rows = [(i, t, 0, "x") for i, t in docs.items()] + [(5, docs[5], 0, "x"), (None, docs[70], 0, "x"), (None, "short", 0, "x")]
