@@ -26,6 +26,8 @@ SPACE = " \t\n\r\f"
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
+#: Where the content of a raw element stops.
+CLOSE = {t: re.compile(f"</{t}", re.I | re.A) for t in RAW}
 #: Never shown, with all they hold.
 HIDDEN = frozenset("head script style template noscript title iframe noembed noframes object svg canvas audio video math datalist".split())
 PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figure dl ul ol table".split())
@@ -106,7 +108,7 @@ def build(html: str) -> Node:
         else:
             stack[-1].children.append(s)
 
-    at, n, lower = 0, len(html), None
+    at, n = 0, len(html)
     while at < n:
         m = TOKEN.search(html, at)
         if not m:
@@ -151,13 +153,13 @@ def build(html: str) -> Node:
         if tag in VOID:
             stack[-1].children.append(node)
         elif tag in RAW:
-            lower = lower or html.lower()
-            close = lower.find(f"</{tag}", at)
-            stop = n if close < 0 else close
+            # in the page itself: lower-casing can change its length
+            close = CLOSE[tag].search(html, at)
+            stop = close.start() if close else n
             if tag == "textarea":
                 node.children.append(unescape(html[at:stop]))
             stack[-1].children.append(node)
-            at = n if close < 0 else (html.find(">", close) + 1 or n)
+            at = (html.find(">", stop) + 1 or n) if close else n
         else:
             push(node)
     if at < n:

@@ -44,6 +44,16 @@ def test_rendering(html):
     assert html_to_text(html) == CASES[html]
 
 
+@pytest.mark.parametrize("tag", ["script", "STYLE", "title", "textarea"])
+def test_raw_elements_end_where_they_end_after_letters_that_grow_in_lower_case(tag):
+    raw = f"<{tag}>var a=1;</{tag.swapcase()}>"
+    got = html_to_text("<p>" + "\u0130" * 20 + f"</p>{raw}{raw}<p>visible one</p><p>two</p>")
+    once = html_to_text("<p>" + "\u0130" * 20 + f"</p>{raw}<p>visible one</p><p>two</p>")
+    kept = "\n\nvar a=1;var a=1;" if tag == "textarea" else ""
+    assert got == "\u0130" * 20 + kept + "\n\nvisible one\n\ntwo"
+    assert once == got.replace("var a=1;var a=1;", "var a=1;")
+
+
 def test_deep_and_long_pages():
     assert html_to_text("<div>" * 50_000 + "x") == "x"
     assert html_to_text("<ul><li>" * 3000 + "x").strip().endswith("x")
