@@ -29,8 +29,13 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes".split(
 #: Where the content of a raw element stops.
 CLOSE = {t: re.compile(f"</{t}", re.I | re.A) for t in RAW}
 #: Never shown, with all they hold.
-HIDDEN = frozenset("head script style template noscript title iframe noembed noframes object svg canvas audio video math datalist".split())
-PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figure dl ul ol table".split())
+HIDDEN = frozenset("head script style template noscript title iframe noembed noframes canvas audio video datalist".split())
+FOREIGN = frozenset({"svg", "math"})
+#: Never shown inside svg and math.
+FOREIGN_HIDDEN = frozenset("annotation annotation-xml desc defs metadata".split())
+#: Children that stand apart without white space in the page.
+APART = frozenset("mfrac mtable mtr mlabeledtr".split())
+PARAGRAPH = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre xmp figure dl ul ol table".split())
 BLOCK = PARAGRAPH | frozenset(
     "address article aside body caption center dd details dialog dir div dt fieldset figcaption footer form header hgroup hr html "
     "legend li main menu nav option optgroup search section summary tr tbody thead tfoot".split())
@@ -150,7 +155,7 @@ def build(html: str) -> Node:
                     push(Node("tbody"))
                 push(Node("tr"))
         node = Node(tag, m[3])
-        if tag in VOID:
+        if tag in VOID or m[3].endswith("/") and (count.get("svg") or count.get("math") or tag in FOREIGN):
             stack[-1].children.append(node)
         elif tag in RAW:
             # in the page itself: lower-casing can change its length
@@ -158,6 +163,8 @@ def build(html: str) -> Node:
             stop = close.start() if close else n
             if tag == "textarea":
                 node.children.append(unescape(html[at:stop]))
+            elif tag == "xmp":
+                node.children.append(html[at:stop])
             stack[-1].children.append(node)
             at = (html.find(">", stop) + 1 or n) if close else n
         else:
@@ -272,7 +279,7 @@ def visible(node: Node) -> bool:
 def render(root: Node) -> str:
     """The visible text of a tree."""
     flows, tables, lists = [Flow()], [], []
-    pre = 0
+    pre = foreign = 0
     work: list = [root]
     while work:
         item = work.pop()
@@ -282,7 +289,7 @@ def render(root: Node) -> str:
             continue
         if isinstance(item, Node):
             tag = item.tag
-            if not visible(item):
+            if not visible(item) or foreign and tag in FOREIGN_HIDDEN:
                 continue
             if tag == "br":
                 flow.newlines, flow.space = flow.newlines + 1, False
@@ -311,16 +318,22 @@ def render(root: Node) -> str:
                 elif tag == "dd":
                     work.append(("indent", flow.indent))
                     flow.indent += "  "
-            pre += tag in ("pre", "textarea")
+            elif foreign and tag == "text":
+                flow.gap(1)
+            pre += tag in ("pre", "textarea", "xmp")
+            foreign += tag in FOREIGN
             work.append(("end", item))
-            work.extend(reversed(item.children))
+            work.extend(x for c in reversed(item.children) for x in ((c, " ") if foreign and tag in APART else (c,)))
             continue
         kind, value = item
         if kind == "indent":
             flow.indent, flow.marker = value, ""
             continue
         tag = value.tag
-        pre -= tag in ("pre", "textarea")
+        pre -= tag in ("pre", "textarea", "xmp")
+        foreign -= tag in FOREIGN
+        if foreign and tag == "text":
+            flow.gap(1)
         if tag in ("td", "th") and tables:
             done = flows.pop()
             lists.pop()

@@ -44,6 +44,20 @@ def test_rendering(html):
     assert html_to_text(html) == CASES[html]
 
 
+@pytest.mark.parametrize("html, text", [
+    ("a <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> b", "a x= 1 2 b"),
+    ("<math><semantics><mi>y</mi><annotation>no</annotation></semantics></math>", "y"),
+    ("<svg><title>no</title><desc>no</desc><defs><text>no</text></defs><path d='M0'/><text>one <tspan>label</tspan></text><text>two</text></svg>after",
+     "one label\ntwo\nafter"),
+    ("<svg><title/><defs/><metadata>no</metadata><text>kept</text></svg>", "kept"),
+    ("<object data=x><p>fallback</p></object>", "fallback"),
+    ("<p>a<xmp>b <i>\n  &amp;</xmp>c", "a\n\nb <i>\n  &amp;\n\nc"),
+    ("<desc>shown</desc>", "shown"),
+])
+def test_formulas_drawings_fallbacks_and_listings_are_visible(html, text):
+    assert html_to_text(html) == text
+
+
 @pytest.mark.parametrize("tag", ["script", "STYLE", "title", "textarea"])
 def test_raw_elements_end_where_they_end_after_letters_that_grow_in_lower_case(tag):
     raw = f"<{tag}>var a=1;</{tag.swapcase()}>"
