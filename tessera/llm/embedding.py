@@ -12,7 +12,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import cache
-from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -60,12 +59,16 @@ def buckets(x: np.ndarray, table: int, functions: int, probes: int = PROBES) ->
         at = np.take_along_axis(both, near, axis=1)
         codes.append(near.astype(np.uint64))
         costs.append((at[:, :1] - at) ** 2)
-    combos = np.array(list(product(range(choices), repeat=functions)))
-    cost = sum(c[:, combos[:, f]] for f, c in enumerate(costs))
-    best = np.argsort(cost, axis=1, kind="stable")[:, :probes]
-    code = np.full((n, best.shape[1]), width * 1_000_003 + table, np.uint64)
+    # the best choices of the first functions, one function more at a time: the best of all begin with those
+    cost, picked = np.zeros((n, 1)), np.zeros((n, 1, 0), np.int64)
+    for c in costs:
+        total = (cost[:, :, None] + c[:, None, :]).reshape(n, -1)
+        best = np.argsort(total, axis=1, kind="stable")[:, :probes]
+        cost = np.take_along_axis(total, best, axis=1)
+        picked = np.concatenate([np.take_along_axis(picked, (best // choices)[:, :, None], axis=1), (best % choices)[:, :, None]], axis=2)
+    code = np.full(cost.shape, width * 1_000_003 + table, np.uint64)
     for f, c in enumerate(codes):
-        code = code * np.uint64(0x9E3779B97F4A7C15) + np.take_along_axis(c[:, combos[:, f]], best, axis=1)
+        code = code * np.uint64(0x9E3779B97F4A7C15) + np.take_along_axis(c, picked[:, :, f], axis=1)
     return code ^ code >> np.uint64(29)
 
 
@@ -93,14 +96,20 @@ def unit(vectors: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield at, x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _candidates(reps: DataFrame, functions: int, threshold: float) -> DataFrame:
+def functions_for(n: int, width: int) -> int:
+    """Functions that make about as many buckets as there are vectors of a length."""
+    return max(2, math.ceil(math.log(max(n, 2)) / math.log(2 << max(1, (width - 1).bit_length()))))
+
+
+def _candidates(reps: DataFrame, functions: dict[int, int], threshold: float) -> DataFrame:
     """Distinct pairs (a, b), a < b, of vectors of which one probes the other's home."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for at, x in unit(batch.column(1)):
-                for t in range(tables_for(x.shape[1], functions, threshold)):
-                    code = buckets(x, t, functions)
+                own = functions[x.shape[1]]
+                for t in range(tables_for(x.shape[1], own, threshold)):
+                    code = buckets(x, t, own)
                     rank = np.broadcast_to(np.arange(code.shape[1], dtype=np.int32), code.shape)
                     yield pa.RecordBatch.from_arrays([pa.array(code.view(np.int64).ravel()), pa.array(np.repeat(ids[at], code.shape[1])),
                                                       pa.array(rank.ravel())], ["key", "rep", "rank"])
@@ -134,9 +143,9 @@ def embedding_near_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     """One row per row of ``vectors``: id, n_links, component_id and kept.
 
     Equal vectors are one representative with a count, so a vector that a
-    third of all rows share is hashed once. The number of functions makes
-    about as many buckets as there are different vectors; the number of tables
-    follows from :data:`MISS`. n_links: other rows with a cosine of at least
+    third of all rows share is hashed once. The number of functions makes, for
+    each length of its own, about as many buckets as there are different
+    vectors of it; the number of tables follows from :data:`MISS`. n_links: other rows with a cosine of at least
     ``threshold`` among the pairs found; component_id: the smallest id
     reachable by links; kept: id = component_id.
 
@@ -151,8 +160,8 @@ def embedding_near_dedup(vectors: DataFrame, id_col: str = "vec_id", vector_col:
     valid = F.coalesce(F.col("id").isNotNull() & F.forall("vec", fine) & F.exists("vec", lambda x: x != 0), F.lit(False))
     rows = materialise(rows.select("id", F.when(valid, F.col("vec")).alias("vec")), "vectors")
     reps = materialise(rows.filter("vec is not null").groupBy("vec").agg(F.min("id").alias("rep"), F.count("*").alias("copies")), "representatives")
-    n, width = reps.agg(F.count("*"), F.coalesce(F.min(F.size("vec")), F.lit(1))).first()
-    functions = max(2, math.ceil(math.log(max(n, 2)) / math.log(2 << max(1, (width - 1).bit_length()))))
+    lengths = reps.groupBy(F.size("vec").alias("width")).count().collect()  # a row for each length
+    functions = {r["width"]: functions_for(r["count"], r["width"]) for r in lengths}
     edges = materialise(_verified(_candidates(reps, functions, threshold), reps, threshold), "links")
     copies = materialise(reps.groupBy("rep").agg(F.sum("copies").alias("copies")), "copies")
     ends = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -49,6 +49,24 @@ def test_recall_at_the_threshold(width, functions):
     assert met.mean() >= 0.99
 
 
+def test_lengths_have_functions_of_their_own(spark, monkeypatch):
+    asked = set()
+    candidates = embedding._candidates
+    monkeypatch.setattr(embedding, "_candidates", lambda reps, functions, threshold: asked.update(functions.items()) or candidates(reps, functions, threshold))
+    rng = np.random.default_rng(11)
+    rows = [(i, rng.standard_normal(64)) for i in range(400)] + [(400, [1.0]), (401, [1.0, 2.0]), (402, [1.0, 2.02])]
+    got = {r.vec_id: r for r in run(spark, rows)}
+    assert asked == {(64, 2), (1, 2), (2, 2)}
+    assert got[400].n_links == 0 and got[401].n_links == got[402].n_links == 1
+
+
+def test_many_functions_probe_the_nearest_buckets():
+    x = np.random.default_rng(12).standard_normal((300, 3))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    assert embedding.buckets(x, 0, 30).shape == (300, embedding.PROBES)  # 4^30 combinations
+    assert (embedding.buckets(x, 0, 30)[:, :1] == embedding.buckets(x, 0, 30, probes=1)).all()
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     odd = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [1.0, None]), (5, [1.0, nan]), (6, [inf, 1.0]), (None, [1.0, 1.0]), (7, [1.0, 1.0]), (8, [1.0, 1.0, 0.0]),
