@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, embedding, html_text, line_dedup, mixing, quality, sentencepiece_viterbi, simhash, suffix, token_counts
+from tessera.llm import chat, conversation, divergence, embedding, html_text, line_dedup, mixing, quality, sentencepiece_viterbi, simhash, suffix, token_counts
 from tessera.llm.common import table
 from tessera.session import configure
 
@@ -79,9 +79,33 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding.embedding_near_dedup(table(configure(spark), sf_dir, "embeddings"), threshold=0.95)
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """The conversations with a fault in every fourth row: dropped, emptied, unended, repeated or given to the user."""
+    read = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    rows = turns.select("conv_id", "turn", read("role").alias("role"), read("text").alias("text"),
+                        (F.crc32(F.concat(read("conv_id"), F.lit(":"), read("turn"))) % 20).alias("fault"))
+    fault = F.col("fault")
+    text = F.when(fault == 1, "").when(fault == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    times = F.when(fault == 0, F.array().cast("array<int>")).when(fault == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return rows.select("conv_id", "turn", F.when(fault == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), F.explode(times).alias("copy")).drop("copy")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(configure(spark), sf_dir, "conversations")
+    report = conversation.repair_report(damaged(turns)).withColumnRenamed("conv_id", "id")
+    every = turns.select("conv_id").distinct()
+    none = F.sha2(F.lit(""), 256)
+    return every.join(report, F.col("conv_id").eqNullSafe(F.col("id")), "left").select(
+        "conv_id", *[F.coalesce(c, F.lit({"audit": ""}.get(c, 0)) if c != "repaired_sha256" else none).alias(c) for c in conversation.PARTS])
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(table(configure(spark), sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_html_extraction, op3_sentencepiece, op4_mix_sources, op5_quality_rules, op6_token_counts, op7_tool_calls,
-    op8_suffix_dedup, op9_line_dedup, op10_embedding_near_dedup)}
+    op8_suffix_dedup, op9_line_dedup, op10_embedding_near_dedup, op12_conversation_repair, op13_source_divergence)}
 
 ORACLE: dict[str, str] = {}
 
@@ -153,3 +177,24 @@ WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings),
   root AS (SELECT a, min(b) AS component_id FROM reach GROUP BY 1)
 SELECT vec_id, (SELECT count(*) FROM near WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept FROM v JOIN root ON a = vec_id
 """
+
+ORACLE["op13_source_divergence"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+  occ AS (SELECT r, lang, source, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+  kept AS (SELECT lang, term, count(*)::HUGEINT AS ln FROM occ GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+  vocabulary AS (SELECT lang, count(*)::HUGEINT AS v, sum(ln)::HUGEINT AS lt FROM kept GROUP BY lang),
+  uses AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM occ SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+  groups AS (SELECT g.lang, g.source, coalesce(sum(n), 0)::HUGEINT AS total FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN uses USING (lang, source) GROUP BY ALL),
+  shares AS (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(n, 0) + 1)) // (total + v) AS p,
+    1 + (1000000000::HUGEINT * (ln + 1)) // (lt + v) AS q
+    FROM groups g JOIN kept k USING (lang) JOIN vocabulary USING (lang) LEFT JOIN uses u ON u.lang = g.lang AND u.source = g.source AND u.term = k.term),
+  pairs AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+  every AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0)::BIGINT AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source),
+  marks AS (SELECT lang, source, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value FROM shares WHERE n > 0 AND p > q),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item)) AS k FROM marks)
+SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item))::INT AS rank FROM every
+UNION ALL SELECT lang, source, 'term', item, value, k::INT FROM ranked WHERE k <= 200
+"""
