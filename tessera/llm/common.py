@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.session import materialise  # noqa: F401  used by all operators
+from tessera.session import materialise, scratch_dir  # noqa: F401  used by all operators
 
 #: A word: a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -33,3 +33,10 @@ def prefix(df: DataFrame) -> str:
 def columns(df: DataFrame) -> list[Column]:
     """The columns of ``df``, whatever characters their names hold."""
     return [df[f"`{c}`"] for c in df.columns]
+
+
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """Like :func:`materialise`, compressed harder: for packed counts and places."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

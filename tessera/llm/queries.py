@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, conversation, divergence, embedding, html_text, line_dedup, mixing, quality, sentencepiece_viterbi, simhash, suffix, token_counts
+from tessera.llm import chat, conversation, divergence, embedding, html_text, line_dedup, lm, mixing, quality, sentencepiece_viterbi, simhash, suffix, token_counts
 from tessera.llm.common import table
 from tessera.session import configure
 
@@ -79,6 +79,11 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding.embedding_near_dedup(table(configure(spark), sf_dir, "embeddings"), threshold=0.95)
 
 
+def op11_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 1
+    return lm.lm_scores(table(configure(spark), sf_dir, "documents"), held_out)
+
+
 def damaged(turns: DataFrame) -> DataFrame:
     """The conversations with a fault in every fourth row: dropped, emptied, unended, repeated or given to the user."""
     read = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
@@ -105,7 +110,7 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_simhash_near_dedup, op2_html_extraction, op3_sentencepiece, op4_mix_sources, op5_quality_rules, op6_token_counts, op7_tool_calls,
-    op8_suffix_dedup, op9_line_dedup, op10_embedding_near_dedup, op12_conversation_repair, op13_source_divergence)}
+    op8_suffix_dedup, op9_line_dedup, op10_embedding_near_dedup, op11_lm_scores, op12_conversation_repair, op13_source_divergence)}
 
 ORACLE: dict[str, str] = {}
 
