@@ -36,7 +36,14 @@ def columns(df: DataFrame) -> list[Column]:
 
 
 def scratch_table(df: DataFrame, name: str) -> DataFrame:
-    """Like :func:`materialise`, compressed harder: for packed counts and places."""
-    path = scratch_dir(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Like :func:`materialise`, compressed harder, for packed counts and places; the job's shuffle files go when it ends."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.schema(df.schema).parquet(path)
