@@ -16,9 +16,14 @@ ALPHA = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 K = 5
 
 
+# The same identifiers as people write them, the ones after each "not" with a wrong check digit.
+SPELLED = (" IBAN DE89370400440532013000, IT60 X054 2811 1010 0000 0123 456 not DE89370400440532013001 card 4111 1111 1111 1111, 4111-1111-1111-1111 "
+           "not 4111 1111 1111 1112 code rssmra85t10a562s not rssmra85t10a562t call 333 1234567 or 06 1234567")
+
+
 def pii_source(spark, sf_dir):
-    """Documents; every fifth one ends with a line carrying Italian identifiers
-    built from its id (half of the tax codes/VAT numbers with a wrong check)."""
+    """Documents; every fifth one ends with a line carrying identifiers built
+    from its id (half of the tax codes/VAT numbers with a wrong check) and some in other spellings."""
     d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     i = F.col("doc_id")
     plate = F.concat(F.substring(F.lit(ALPHA), (i % 26 + 1).cast("int"), 1),
@@ -33,7 +38,7 @@ def pii_source(spark, sf_dir):
     seven = F.lpad((i % 10_000_000).cast("string"), 7, "0")
     line = F.concat(F.lit("\nTarga "), plate, F.lit(" "), plate, F.lit("/AB12345, codice fiscale "), cf, F.lit(", partita IVA 00743110157 "), vat,
                     F.lit(" 00743110157 9"), vat, F.lit(". Passaporto YA"), seven, F.lit(" patente MI"), seven, F.lit("K carta AY "), seven,
-                    F.lit(" CA"), F.substring(seven, 3, 5), F.lit("AA tel. +39 02 555 "), F.substring(seven, 4, 4), F.lit(", a"), seven, F.lit("@example.org"))
+                    F.lit(" CA"), F.substring(seven, 3, 5), F.lit("AA tel. +39 02 555 "), F.substring(seven, 4, 4), F.lit(", a"), seven, F.lit("@example.org"), F.lit(SPELLED))
     return d.select("doc_id", F.when(i % 5 == 0, F.concat("text", line)).otherwise(F.col("text")).alias("text"))
 
 
@@ -186,9 +191,8 @@ def _luhn_sql(c):
 # characters and runs of others, and every run that is an identifier in full is
 # replaced. Its shapes are written out here on purpose, apart from the library's.
 _TOKEN_RULES = (
-    ("IBAN_CODE", "regexp_full_match(w, 'IT\\d\\d[A-Z]\\d{10}[A-Z\\d]{12}')"),
     ("CREDIT_CARD", f"regexp_full_match(w, '\\d+') AND length(w) BETWEEN 13 AND 19 AND {_luhn_sql('w')}"),
-    ("IT_FISCAL_CODE", f"length(w) = 16 AND {_fiscal_sql('w')}"),
+    ("IT_FISCAL_CODE", f"length(w) = 16 AND {_fiscal_sql('upper(w)')}"),
     ("IT_VAT_CODE", f"length(w) = 11 AND {_vat_sql('w')}"),
     ("IT_DRIVER_LICENSE", "length(w) = 10 AND (regexp_full_match(w, '[A-Z][A-Z]\\d{7}[A-Z]') OR regexp_full_match(w, 'U1[B-DF-HJ-NPR-UW-Z\\d]{7}[A-Z]'))"),
     ("IT_PASSPORT", "length(w) = 9 AND regexp_full_match(lower(w), '[a-z][a-z]\\d{7}')"),
@@ -209,19 +213,26 @@ def _redact_ctes(mode):
 
     case = "CASE " + " ".join(f"WHEN {rule} THEN {new(entity)}" for entity, rule in _TOKEN_RULES) + " ELSE w END"
     spaced = "regexp_replace({}, '(^|\\W)([A-Za-z]{{2}} \\d{{7}})($|\\W)', '\\1<IT_IDENTITY_CARD>\\3', 'g')"
+    # IBANs are in the added line only: what becomes of them is written out by hand
+    ibans = "replace(replace(t, 'DE89370400440532013000', '<IBAN_CODE>'), 'IT60 X054 2811 1010 0000 0123 456', '<IBAN_CODE>')"
+    digits = "replace(replace(w, ' ', ''), '-', '')"
+    cards = (f"list_filter(regexp_extract_all(t, '\\b(?:\\d{{4}} \\d{{4}} \\d{{4}} \\d{{4}}|\\d{{4}}-\\d{{4}}-\\d{{4}}-\\d{{4}})\\b'), lambda w: {_luhn_sql(digits)})")
+    mobile = "regexp_replace({}, '(^|\\W)(3\\d\\d[ .-]?\\d{{3}}[ .-]?\\d{{3,4}}|0\\d{{1,3}}[ /-]\\d{{5,8}})($|\\W)', '\\1<PHONE_NUMBER>\\3', 'g')"
     return [
-        "r1 AS (SELECT doc_id, regexp_replace(t, '[\\w.%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}', '<EMAIL_ADDRESS>', 'g') AS t FROM src)",
+        f"r0 AS (SELECT doc_id, list_reduce(list_concat([t], {cards}), lambda acc, w: replace(acc, w, '<CREDIT_CARD>')) AS t FROM (SELECT doc_id, {ibans} AS t FROM src))",
+        "r1 AS (SELECT doc_id, regexp_replace(t, '[\\w.%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}', '<EMAIL_ADDRESS>', 'g') AS t FROM r0)",
         f"r2 AS (SELECT doc_id, array_to_string(list_transform(regexp_extract_all(t, '\\w+|\\W+'), lambda w: {case}), '') AS t FROM r1)",
         f"r3 AS (SELECT doc_id, {spaced.format(spaced.format('t'))} AS t FROM r2)",
         "r4 AS (SELECT doc_id, regexp_replace(t, '\\+\\d{1,3} ?\\(?\\d{2,4}\\)?[ -]?\\d{3}[ -]?\\d{3,4}($|\\W)', '<PHONE_NUMBER>\\1', 'g') AS t FROM r3)",
-    ], "r4"
+        f"r5 AS (SELECT doc_id, {mobile.format(mobile.format('t'))} AS t FROM r4)",
+    ], "r5"
 
 
 _SRC = f"""
 src AS (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN concat(text, chr(10), 'Targa ', plate, ' ', plate, '/AB12345, codice fiscale ',
   cf15 || CASE WHEN doc_id % 10 = 0 THEN {_fiscal_check_sql('cf15')} ELSE 'Z' END, ', partita IVA 00743110157 ', vat, ' 00743110157 9', vat,
   '. Passaporto YA', seven, ' patente MI', seven, 'K carta AY ', seven, ' CA', substr(seven, 3, 5), 'AA tel. +39 02 555 ', substr(seven, 4, 4),
-  ', a', seven, '@example.org') ELSE text END AS t
+  ', a', seven, '@example.org{SPELLED}') ELSE text END AS t
   FROM (SELECT *, vat10 || cast(CASE WHEN doc_id % 10 = 0 THEN {_vat_check_sql('vat10')} ELSE ({_vat_check_sql('vat10')} + 1) % 10 END AS VARCHAR) AS vat
   FROM (SELECT doc_id, text,
     concat(substr('{ALPHA}', cast(doc_id % 26 + 1 AS INTEGER), 1), substr('{ALPHA}', cast((doc_id // 26) % 26 + 1 AS INTEGER), 1),
