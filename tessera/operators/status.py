@@ -12,7 +12,7 @@ MAINTENANCE_INTRO = ("{broker} ha pianificato una manutenzione programmata nella
                      "Non sarà possibile effettuare pagamenti verso i seguenti Enti Creditori:\n")
 MAINTENANCE_STATIONS = "\nDi seguito le stazioni impattate:\n"
 STATUS_PAGE_TAG = "toStatusPage"
-TITLE_ID_PATTERN = r"ID: (\d+)"
+TITLE_MARK = "ID: "
 # ------------------------------------------------------------------------------
 
 
@@ -55,23 +55,36 @@ def tag_list(csv: Column) -> Column:
     return F.split(csv, ",")
 
 
+def _titles_by_id(reports: DataFrame, ids: DataFrame, compat: bool) -> DataFrame:
+    """(_rid, report_id, aggregate_state): a row for each id that a title can name.
+
+    A title names an id if the id's text stands right after a mark, so it
+    equals the first characters there; only lengths that some id has are
+    tried. Their list is bounded by the longest id.
+    """
+    lengths = ids.agg(F.sort_array(F.collect_set(F.length("_id"))).alias("l")).scalar()
+    parts = F.split("title", TITLE_MARK, -1)
+    tails = F.filter(F.transform(parts, lambda _, i: F.when(i > 0, F.array_join(F.slice(parts, i + 1, F.size(parts)), TITLE_MARK))), lambda t: t.isNotNull())
+    own = reports.select(F.explode(tails).alias("_tail"), "report_id", "aggregate_state")
+    # where the rest is shorter than the length, it is a shorter id's match
+    fits = F.filter(F.col("_lengths"), lambda n: n <= F.length("_tail"))
+    if not compat:
+        fits = F.filter(fits, lambda n: ~F.substring(F.col("_tail"), n + 1, 1).rlike("[0-9A-Za-z_-]"))
+    tried = own.withColumn("_lengths", lengths).select(F.explode(fits).alias("_n"), "_tail", "report_id", "aggregate_state")
+    return tried.select(F.substring("_tail", F.lit(1), F.col("_n")).alias("_rid"), "report_id", "aggregate_state")
+
+
 def match_by_title(incidents: DataFrame, reports: DataFrame, compat: bool = False) -> DataFrame:
     """First report (smallest id) whose title carries ``ID: <incident id>``.
 
-    Default: the id after ``ID: `` is extracted and equi-joined, so ``ID: 1``
-    never matches ``ID: 12``. ``compat=True`` keeps the source's substring
-    test: ``ID: <i>`` occurs in a title exactly when ``i`` is a prefix of a
-    digit run following ``ID: ``, so every such run is exploded into its
-    prefixes (at most its length) and equi-joined — still no pair table.
+    Ids are any texts. Default: no letter, digit, ``_`` or ``-`` follows the
+    id, so ``ID: 1`` never matches ``ID: 12`` or ``ID: 1-7``. ``compat=True`` keeps the
+    source's substring test. Both are an equi-join on the texts after the
+    marks, cut to the lengths of the ids; no pair of a title and an id is
+    tried. A null id or title matches nothing.
     """
-    if compat:
-        runs = F.regexp_extract_all("title", F.lit(TITLE_ID_PATTERN), F.lit(1))
-        prefixes = F.flatten(F.transform(runs, lambda r: F.transform(
-            F.sequence(F.lit(1), F.length(r)), lambda n: F.substring(r, 1, n))))
-        keyed = reports.select(F.explode(F.array_distinct(prefixes)).alias("_rid"), "report_id", "aggregate_state")
-    else:
-        keyed = reports.select(F.regexp_extract("title", TITLE_ID_PATTERN, 1).alias("_rid"), "report_id",
-                               "aggregate_state").where(F.col("_rid") != "")
+    ids = incidents.select(F.col("id").cast("string").alias("_id"))
+    keyed = _titles_by_id(reports, ids, compat)
     first = keyed.groupBy("_rid").agg(F.min_by(F.struct("report_id", "aggregate_state"), "report_id").alias("_r"))
     j = incidents.join(first, incidents.id.cast("string") == first._rid, "left")
     return j.select(incidents.columns + [F.col("_r.report_id").alias("report_id"),

@@ -149,9 +149,9 @@ imp AS (SELECT DISTINCT g.broker_code, g.starts_at, g.ends_at, i.company_name, i
   JOIN inst_st i ON g.broker_code = i.broker_id AND g.station_id = i.station_id),
 inc AS (SELECT id, status, message, string_split(tags_csv, ',') AS tags FROM incident),
 rep AS (SELECT rid, arg_min(report_id, report_id) AS report_id, arg_min(aggregate_state, report_id) AS report_state
-  FROM (SELECT regexp_extract(title, '{status.TITLE_ID_PATTERN}', 1) AS rid, * FROM status_report) WHERE rid <> '' GROUP BY 1),
+  FROM (SELECT regexp_extract(title, 'ID: ([0-9A-Za-z_-]+)', 1) AS rid, * FROM status_report) WHERE rid <> '' GROUP BY 1),
 rep_manual AS (SELECT rid, arg_min(report_id, report_id) AS report_id, arg_min(aggregate_state, report_id) AS report_state
-  FROM (SELECT regexp_extract(title, '{status.TITLE_ID_PATTERN}', 1) AS rid, * FROM status_report
+  FROM (SELECT regexp_extract(title, 'ID: ([0-9A-Za-z_-]+)', 1) AS rid, * FROM status_report
   WHERE report_type = 'manual') WHERE rid <> '' GROUP BY 1)
 """
 

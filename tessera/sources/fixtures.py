@@ -263,9 +263,14 @@ SELECT DISTINCT concat(CASE WHEN extract(month FROM o_orderdate) % 3 = 0 THEN n_
 FROM {d.t('orders')} JOIN {d.t('nation')} ON o_custkey % 25 = n_nationkey"""
 
 
+# Ids as the alerting service has them: numbers, hexadecimal, and dashed ones that begin like another id.
+_INCIDENT_ID = ("CASE event_id % 4 WHEN 1 THEN lower(hex(event_id)) WHEN 3 THEN "
+                "concat(lower(hex(event_id - 2)), '-', cast(event_id % 7 AS string), CASE WHEN event_id % 3 = 0 THEN '-ab' ELSE '' END) ELSE cast(event_id AS string) END")
+
+
 def _incident(d: Dialect) -> str:
     return f"""
-SELECT event_id AS id, CASE WHEN value > 100 THEN 'resolved' ELSE 'open' END AS status, event_type AS message,
+SELECT {_INCIDENT_ID} AS id, CASE WHEN value > 100 THEN 'resolved' ELSE 'open' END AS status, event_type AS message,
   concat(event_type, CASE WHEN user_id % 3 = 0 THEN ',toStatusPage' ELSE '' END) AS tags_csv
 FROM {d.t('events')}"""
 
@@ -274,7 +279,7 @@ def _status_report(d: Dialect) -> str:
     # Reports of events with an even user id name their incident: the others are new incidents.
     return f"""
 SELECT event_id + 500000 AS report_id,
-  CASE WHEN user_id % 2 = 0 THEN concat('Incident [ID: ', cast(event_id AS string), '] - ', event_type) ELSE concat('Notice - ', event_type) END AS title,
+  CASE WHEN user_id % 2 = 0 THEN concat('Incident [ID: ', {_INCIDENT_ID}, '] - ', event_type) ELSE concat('Notice - ', event_type) END AS title,
   CASE event_id % 3 WHEN 0 THEN 'Resolved' WHEN 1 THEN 'open' ELSE 'resolved' END AS aggregate_state,
   CASE WHEN event_id % 5 = 0 THEN 'maintenance' ELSE 'manual' END AS report_type
 FROM {d.t('events')}"""

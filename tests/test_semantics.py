@@ -332,3 +332,56 @@ def test_days_are_loaded_once_over_several_runs(spark, tmp_path):
     assert results[1] == {1: 7, 2: 2, 6: 1}      # the late 2 and 3 come after their days were closed
     assert results[2] == {1: 7, 2: 2, 6: 1, 9: 1}
     assert {r.day.day for r in spark.read.parquet(path["ledger"]).collect()} == {1, 2, 6, 9}
+
+
+def test_redaction_of_other_spellings(spark):
+    texts = {
+        "4111 1111 1111 1111": "<CREDIT_CARD>", "4111-1111-1111-1111": "<CREDIT_CARD>", "4111 1111-1111 1111": "4111 1111-1111 1111",
+        "3782 822463 10005": "<CREDIT_CARD>", "4111 1111 1111 1112": "4111 1111 1111 1112",
+        "DE89370400440532013000": "<IBAN_CODE>", "DE89370400440532013001": "DE89370400440532013001", "de89 3704 0044 0532 0130 00.": "<IBAN_CODE>.",
+        "IT60 X054 2811 1010 0000 0123 456": "<IBAN_CODE>", "IT60 X054 2811 1010 0000 0123 456 OK": "<IBAN_CODE> OK", "xIT60X0542811101000000123456": "xIT60X0542811101000000123456",
+        "IT60X05428111010000001234567": "IT60X05428111010000001234567", "GB29 NWBK 6016 1331 9268 19, FR1420041010050500013M02606": "<IBAN_CODE>, <IBAN_CODE>",
+        "rssmra85t10a562s": "<IT_FISCAL_CODE>", "RSSMRA85T10A562S": "<IT_FISCAL_CODE>", "rssmra85t10a562t": "rssmra85t10a562t",
+        "333 1234567": "<PHONE_NUMBER>", "333 123 4567, 06 1234567": "<PHONE_NUMBER>, <PHONE_NUMBER>", "+39 333 1234567": "<PHONE_NUMBER>", "3331234567": "<PHONE_NUMBER>",
+        "00743110157": "<IT_VAT_CODE>", "a@b.it333 1234567": "<EMAIL_ADDRESS>333 1234567",
+    }
+    df = spark.createDataFrame(list(texts.items()), "text string, want string")
+    assert {r.text: r.out for r in pii.redact(df, "text", out_col="out").collect()} == texts
+    assert pii.redact(spark.createDataFrame([("rssmra85t10a562s",)], "t string"), "t", "mask").first()[0] == "rssmra**********"
+
+
+def test_overlapping_spans_keep_the_best():
+    spans = [(0, 10, "PHONE_NUMBER", 0.4), (3, 8, "IT_VEHICLE_PLATE", 0.8), (8, 12, "CREDIT_CARD", 1.0), (11, 14, "IT_PASSPORT", 0.8), (12, 14, "IT_PASSPORT", 0.8)]
+    assert pii.resolved(spans) == [(3, 8, "IT_VEHICLE_PLATE", 0.8), (8, 12, "CREDIT_CARD", 1.0), (12, 14, "IT_PASSPORT", 0.8)]
+    assert pii.resolved([(0, 5, "IT_PASSPORT", 0.8), (0, 6, "IT_VEHICLE_PLATE", 0.8)]) == [(0, 6, "IT_VEHICLE_PLATE", 0.8)]
+    rnd = random.Random(2)
+    for _ in range(200):
+        many = [(a, a + rnd.randint(1, 6), rnd.choice(pii.PII_ENTITIES), rnd.choice([0.4, 0.8, 1.0])) for a in (rnd.randint(0, 40) for _ in range(12))]
+        kept = pii.resolved(many)
+        assert all(a[1] <= b[0] for a, b in zip(kept, kept[1:]))
+        for s in many:  # what went overlaps something at least as good
+            assert s in kept or any(k[0] < s[1] and s[0] < k[1] and k[3] >= s[3] for k in kept)
+
+
+def test_span_table(spark):
+    df = spark.createDataFrame([("é AB123CD x@y.it",), (None,), ("none",)], "t string")
+    got = [r.spans for r in pii.pii_spans(df, "t").collect()]
+    assert [tuple(s) for s in got[0]] == [(2, 9, "IT_VEHICLE_PLATE", 0.8), (10, 16, "EMAIL_ADDRESS", 1.0)]
+    assert got[1] is None and got[2] == []
+
+
+def test_title_match_of_any_id(spark):
+    from tessera.operators import status
+
+    ids = ["3f2a-77", "3f2a", "3f2a-7", "12", "1", "a b", "ID: 9", None, "x.y"]
+    titles = [(1, "Incident [ID: 3f2a-77] - x"), (2, "ID: 12"), (3, "[ID: a b] ID: 1."), (4, "Id: 1"), (5, None), (6, "ID: ID: 9"), (7, "[ID: x.y.z]"), (8, "ID: ")]
+    inc = spark.createDataFrame([(i,) for i in ids], "id string")
+    rep = spark.createDataFrame([(i, t, "open") for i, t in titles], "report_id long, title string, aggregate_state string")
+    exact = {r.id: r.report_id for r in status.match_by_title(inc, rep).collect()}
+    assert exact == {"3f2a-77": 1, "3f2a": None, "3f2a-7": None, "12": 2, "1": 3, "a b": 3, "ID: 9": 6, None: None, "x.y": 7}
+    part = {r.id: r.report_id for r in status.match_by_title(inc, rep, compat=True).collect()}
+    assert part == {i: min((n for n, t in titles if i is not None and t and f"ID: {i}" in t), default=None) for i in ids}
+    plan = status.match_by_title(inc, rep, compat=True)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert [r.report_id for r in status.match_by_title(inc.limit(0), rep).collect()] == []
+    assert {r.report_id for r in status.match_by_title(inc, rep.limit(0)).collect()} == {None}
