@@ -52,8 +52,8 @@ def op7_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(configure(spark), sf_dir, "conversations").withColumn("n", F.length("text"))
     n, call = F.col("n"), lambda t: F.concat(F.lit("c"), t.cast("string"))
     name = F.element_at(F.array(*[F.lit(x) for x in ("search", "lookup", "other")]), (n % 3 + 1).cast("int"))
-    query, limit = F.substring("text", 1, 40), n % 50
-    arguments = (F.when(n % 7 == 0, F.substring("text", 1, 10))
+    query, limit = F.col("text"), n % 50
+    arguments = (F.when(n % 7 == 0, F.col("text"))
                  .when(n % 3 == 0, F.when(n % 5 == 0, F.to_json(F.struct(query.alias("query")))).otherwise(F.to_json(F.struct(query.alias("query"), limit.alias("limit")))))
                  .otherwise(F.when(n % 5 == 0, F.to_json(F.struct(F.lit("yes").alias("strict"), limit.alias("id"))))
                             .when(n % 5 == 1, F.to_json(F.struct(limit.alias("id"), F.lit(1).alias("extra")))).otherwise(F.to_json(F.struct(limit.alias("id"))))))
@@ -135,7 +135,7 @@ SELECT id AS doc_id, size, source_size, target,
 """
 
 ORACLE["op7_tool_calls"] = """
-WITH RECURSIVE t AS (SELECT *, length(text) AS n, substr(text, 1, 40) AS q FROM conversations),
+WITH RECURSIVE t AS (SELECT *, length(text) AS n, text AS q FROM conversations),
   calls AS (SELECT conv_id, 'c' || turn AS call_id, min(turn) AS turn, count(*) AS n_calls, any_value(n) AS n, any_value(text) AS text, any_value(q) AS q,
     any_value(['search', 'lookup', 'other'][n % 3 + 1]) AS name, any_value(CASE WHEN n % 4 < 3 THEN 'c' || (turn - 2) END) AS parent_id
     FROM t WHERE role = 'user' GROUP BY ALL),
@@ -143,7 +143,7 @@ WITH RECURSIVE t AS (SELECT *, length(text) AS n, substr(text, 1, 40) AS q FROM
     FROM t WHERE role = 'assistant' GROUP BY ALL),
   lv AS (SELECT conv_id, call_id, 0 AS level FROM calls c WHERE NOT EXISTS (SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.call_id = c.parent_id)
     UNION ALL SELECT c.conv_id, c.call_id, level + 1 FROM lv JOIN calls c ON c.conv_id = lv.conv_id AND c.parent_id = lv.call_id),
-  said AS (SELECT calls.*, level, CASE WHEN n % 7 = 0 THEN to_json(substr(text, 1, 10))::VARCHAR
+  said AS (SELECT calls.*, level, CASE WHEN n % 7 = 0 THEN to_json(text)::VARCHAR
       WHEN n % 3 = 0 AND n % 5 = 0 THEN '{"query":' || to_json(q)::VARCHAR || '}'
       WHEN n % 3 = 0 THEN '{"limit":' || n % 50 || ',"query":' || to_json(q)::VARCHAR || '}'
       WHEN n % 5 = 0 THEN '{"id":' || n % 50 || ',"strict":"yes"}' WHEN n % 5 = 1 THEN '{"extra":1,"id":' || n % 50 || '}' ELSE '{"id":' || n % 50 || '}' END AS args,

@@ -89,3 +89,35 @@ def test_query_against_brute_force(spark, sf_dir):
 def test_empty(spark):
     assert link(spark, [], []) == []
     assert [r.status for r in link(spark, [], [(1, "a", 1, "x")])] == ["no_call"]
+
+
+def test_query_keeps_whole_texts(spark, tmp_path):
+    """Quotes, newlines and escapes far behind the beginning reach the canonical JSON of the call."""
+    import duckdb
+    import json
+
+    from tessera.llm import queries
+
+    long = 'word ' * 30 + 'he said "no"\n\tC:\\dir é   </end>'
+    turns = []
+    for conv, pad in enumerate(range(25)):
+        turns += [(conv, 0, "user", long + "x" * pad), (conv, 1, "assistant", "ok " * 20 + f'"{pad}"'), (conv, 2, "user", "short" * pad)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    got = queries.op7_tool_calls(spark, str(tmp_path)).collect()
+    said = {(c, f"c{t}"): text for c, t, role, text in turns if role == "user"}
+    seen = 0
+    for r in got:
+        call, text = json.loads(r["json"]), said[r["conv_id"], r["call_id"]]
+        n = len(text)
+        if n % 7 == 0:
+            assert call["arguments"] == text
+            seen += 1
+        elif n % 3 == 0:
+            assert call["arguments"]["query"] == text
+            seen += 1
+    assert seen >= 8 and len(got) == len(said)
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    want = con.sql(queries.ORACLE["op7_tool_calls"])
+    at = want.columns.index("json")
+    assert sorted(r[at] for r in want.fetchall()) == sorted(r["json"] for r in got)
