@@ -385,3 +385,53 @@ def test_title_match_of_any_id(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert [r.report_id for r in status.match_by_title(inc.limit(0), rep).collect()] == []
     assert {r.report_id for r in status.match_by_title(inc, rep.limit(0)).collect()} == {None}
+
+
+def test_knn_prunes_and_stays_exact(spark):
+    """Clustered vectors: most cells are never visited; hot cells are split; the hits are those of brute force."""
+    import numpy as np
+
+    from tessera.operators import vectors
+
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(30, 12))
+    sizes = [1200] + [60] * 29  # one cluster holds much of the corpus
+    data = np.concatenate([c + 0.03 * rng.normal(size=(n, 12)) for c, n in zip(centres, sizes)])
+    data = np.concatenate([data, data[:5]])  # repeated vectors tie
+    cs = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)] + [(90001, [0.0] * 12), (90002, None), (90003, [float("nan")] * 12)],
+                               "vec_id long, embedding array<double>")
+    asked = np.concatenate([centres + 0.02 * rng.normal(size=centres.shape), data[:40] * 3.0, rng.normal(size=(5, 12))])
+    qs = spark.createDataFrame([(f"q{i}", v.tolist()) for i, v in enumerate(asked)] + [("zero", [0.0] * 12), ("null", None)], "query_id string, embedding array<double>")
+    got = {}
+    for r in vectors.knn(qs, cs, 4, block=50, pivots=40).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.distance))
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    dist = np.round(1 - unit(asked) @ unit(data).T, 12)
+    for i, row in enumerate(dist):
+        order = sorted(range(len(data)), key=lambda j: (row[j], j))[:4]
+        assert [(k, j, d) for k, j, d in sorted(got.pop(f"q{i}"))] == [(n + 1, j, pytest_approx(row[j])) for n, j in enumerate(order)]
+    assert not got  # no hits for queries without a direction
+    placed, at, bounds = vectors.cells(vectors._usable(cs, "vec_id", "embedding"), 50, 40)
+    first = vectors.nearest_cell(vectors._usable(qs, "query_id", "embedding"), at, bounds)
+    kth = np.sort(dist, axis=1)[:, 3]
+    far = spark.createDataFrame([(f"q{i}", float(d)) for i, d in enumerate(kth)], "id string, far double")
+    others = vectors.other_cells(first.join(far, "id"), at, bounds)
+    pairs = sum(int(bounds[r.cell, 0]) for r in first.collect()) + sum(int(bounds[r.cell, 0]) for r in others.collect())
+    assert bounds[:, 0].sum() == len(data) and len(at) == 40
+    assert pairs < 0.5 * len(asked) * len(data)
+
+
+def pytest_approx(x):
+    import pytest
+
+    return pytest.approx(x, abs=2e-12)
+
+
+def test_knn_of_nothing(spark):
+    from tessera.operators import vectors
+
+    none = spark.createDataFrame([], "vec_id long, embedding array<double>")
+    one = spark.createDataFrame([(1, [1.0, 0.0])], "vec_id long, embedding array<double>")
+    q = one.withColumnRenamed("vec_id", "query_id")
+    assert vectors.knn(q, none).count() == 0 and vectors.knn(q.limit(0), one).count() == 0
+    assert [tuple(r) for r in vectors.knn(q, one, 3).collect()] == [(1, 1, 0.0, 1)]
