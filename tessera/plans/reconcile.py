@@ -36,6 +36,10 @@ def q_range_overlap_adjacent(spark, sf_dir):
     return ranges.overlap_adjacent(fixture(spark, sf_dir, "issuer_range"))
 
 
+def q_range_overlap_owner_all(spark, sf_dir):
+    return ranges.overlap_owner_all(fixture(spark, sf_dir, "issuer_range"))
+
+
 def q_range_overlap_cross(spark, sf_dir):
     return ranges.overlap_cross(fixture(spark, sf_dir, "issuer_range"))
 
@@ -89,6 +93,7 @@ QUERIES = {
     "reconcile_right": q_reconcile_right,
     "keep_last": q_keep_last,
     "range_overlap_adjacent": q_range_overlap_adjacent,
+    "range_overlap_owner_all": q_range_overlap_owner_all,
     "range_overlap_cross": q_range_overlap_cross,
     "enrich_left": q_enrich_left,
     "csv_roundtrip": q_csv_roundtrip,
@@ -118,6 +123,10 @@ ORACLE = {
         "high_range AS a_high, lead(row_key) OVER w AS b_key, lead(low_range) OVER w AS b_low, "
         "lead(high_range) OVER w AS b_high FROM issuer_range WINDOW w AS (PARTITION BY abi ORDER BY low_range, row_key)) "
         "WHERE b_key IS NOT NULL AND a_high >= b_low"),
+    "range_overlap_owner_all": _o(
+        "SELECT a.abi, a.row_key AS a_key, a.low_range AS a_low, a.high_range AS a_high, b.row_key AS b_key, b.low_range AS b_low, b.high_range AS b_high "
+        "FROM issuer_range a JOIN issuer_range b ON a.abi = b.abi AND b.low_range BETWEEN a.low_range AND a.high_range "
+        "AND (a.low_range, a.row_key) < (b.low_range, b.row_key)"),
     "range_overlap_cross": _o(
         "SELECT a.abi AS a_owner, a.row_key AS a_key, a.low_range AS a_low, a.high_range AS a_high, b.abi AS b_owner, "
         "b.row_key AS b_key, b.low_range AS b_low, b.high_range AS b_high FROM issuer_range a JOIN issuer_range b "

@@ -435,3 +435,25 @@ def test_knn_of_nothing(spark):
     q = one.withColumnRenamed("vec_id", "query_id")
     assert vectors.knn(q, none).count() == 0 and vectors.knn(q.limit(0), one).count() == 0
     assert [tuple(r) for r in vectors.knn(q, one, 3).collect()] == [(1, 1, 0.0, 1)]
+
+
+def test_owner_overlaps_where_starts_crowd(spark):
+    """90 % of the starts in 0.1 % of the span, one owner with most ranges, wide, contained, equal, point and backward ranges."""
+    rnd = random.Random(5)
+    data = []
+    for k in range(500):
+        lo = rnd.randrange(0, 1000) if rnd.random() < 0.9 else rnd.randrange(0, 10**6)
+        data.append((k, rnd.choice(["HOT", "HOT", "A", None]), lo, lo + rnd.choice([0, 1, 3, 10, -2])))
+    data += [(600, "HOT", 0, 10**30), (601, "HOT", 500, 10**6), (602, "HOT", 500, 10**6), (603, "A", 10**6, 10**6), (604, "A", 10**6, 10**6), (605, "A", 5, None)]
+    df = spark.createDataFrame([(k, o, None if lo is None else str(lo), None if hi is None else str(hi)) for k, o, lo, hi in data],
+                               "row_key int, abi string, low_range string, high_range string")
+    df = df.select("row_key", "abi", *[F.col(c).cast("decimal(38,0)").alias(c) for c in ("low_range", "high_range")])
+    out = ranges.overlap_owner_all(df, rows_per_bucket=40, run=16)
+    want = sorted((a[1], a[0], b[0]) for a in data for b in data if a[1] is not None and a[1] == b[1] and a[3] is not None and b[3] is not None
+                  and b[3] >= b[2] and a[2] <= b[2] <= a[3] and (a[2], a[0]) < (b[2], b[0]))
+    assert rows(out, "abi", "a_key", "b_key") == want
+    assert ranges.overlap_owner_all(df.limit(0)).count() == 0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    crowded = ranges._scanned(df.where("low_range is not null"), ["low_range", "row_key"], 40).groupBy("_b").count().collect()
+    assert len(crowded) > 8 and max(r["count"] for r in crowded) < 120
