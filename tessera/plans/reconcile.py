@@ -63,29 +63,44 @@ def q_csv_roundtrip(spark, sf_dir):
     return read_delimited(spark, path, sep=";", cols=["id_dominio", "iuv"])
 
 
-def _registry_file(spark, sf_dir):
-    """The taxonomy registry as one delimited text file, as it is delivered:
-    one row per part code, quoted, padded values; 'X-<even>' rows are truncated
-    before the code column."""
+#: Rows of a delivered registry file, about; never fewer than three files.
+REGISTRY_ROWS = 20_000
+
+
+def _registry_files(spark, sf_dir):
+    """The taxonomy registry as delimited text files, as it is delivered: one
+    row per part code, quoted, padded values, some with a quoted separator, and
+    columns that each file orders in its own way; 'X-<even>' rows are truncated
+    before the code column. Their number grows with the registry."""
     codes = fixture(spark, sf_dir, "taxonomy")
+    files = codes.agg(F.greatest(F.lit(3), F.ceil(F.count(F.lit(1)) / REGISTRY_ROWS)).cast("int").alias("n"))
+    own = codes.select("code", F.pmod(F.regexp_extract("code", "[-/]([0-9]+)", 1).cast("long"), files.scalar()).cast("int").alias("file_no"))
     short = F.col("code").startswith("X-") & (F.substring("code", 3, 10).cast("int") % 2 == 0)
-    line = F.when(short, F.concat(F.lit('"'), F.col("code"), F.lit('"'))).otherwise(
-        F.concat(F.lit('"'), F.col("code"), F.lit('"; " '), F.col("code"), F.lit(' " ;"voce di tassonomia"')))
-    header = spark.createDataFrame([(0, "", '"codice" ; "dati_specifici_di_incasso" ; "descrizione"')],
-                                   "k int, code string, value string")
-    body = codes.select(F.lit(1).alias("k"), "code", line.alias("value"))
+    order = F.col("file_no") % 3
+    quoted, code = F.concat(F.lit('"'), F.col("code"), F.lit('"')), F.concat(F.lit('" '), F.col("code"), F.lit(' " '))
+    text = F.lit('"voce; di tassonomia"')
+    line = (F.when(short, quoted).when(order == 0, F.concat_ws(";", quoted, code, text)).when(order == 1, F.concat_ws("; ", quoted, text, code))
+            .otherwise(F.concat_ws(" ;", text, quoted, code)))
+    header = (F.when(order == 0, '"codice" ; "dati_specifici_di_incasso" ; "descrizione"').when(order == 1, 'codice;"descrizione; estesa";dati_specifici_di_incasso')
+              .otherwise('"descrizione" ;codice; dati_specifici_di_incasso '))
+    heads = files.select(F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("file_no")).select("file_no", F.lit(0).alias("k"), F.lit("").alias("code"), header.alias("value"))
+    body = own.select("file_no", F.lit(1).alias("k"), "code", line.alias("value"))
     path = scratch_dir(spark, "taxonomy-txt")
-    (header.unionByName(body).repartition(1).sortWithinPartitions("k", "code").select("value")
-     .write.mode("overwrite").text(path))
+    (heads.unionByName(body).repartition("file_no").sortWithinPartitions("file_no", "k", "code").select("file_no", "value")
+     .write.partitionBy("file_no").text(path))
     return path
 
 
+def _registry(spark, sf_dir):
+    return load_registry(spark, _registry_files(spark, sf_dir), REGISTRY_COLUMN, REGISTRY_PATTERN)
+
+
 def q_registry_valid(spark, sf_dir):
-    return load_registry(spark, _registry_file(spark, sf_dir), REGISTRY_COLUMN, REGISTRY_PATTERN)[0]
+    return _registry(spark, sf_dir)[0]
 
 
 def q_registry_rejects(spark, sf_dir):
-    return load_registry(spark, _registry_file(spark, sf_dir), REGISTRY_COLUMN, REGISTRY_PATTERN)[1]
+    return _registry(spark, sf_dir)[1].withColumn("file", F.regexp_extract("file", "file_no(?:=|%3D)([0-9]+)", 1).cast("int"))
 
 
 QUERIES = {
@@ -105,7 +120,9 @@ _FX = ("biz_a", "biz_b", "issuer_range", "pos_file", "payment_event", "taxonomy"
 _CTES = """
 last_a AS (SELECT payment_token, arg_max(notice_number, seq) AS notice_number FROM biz_a GROUP BY 1),
 last_b AS (SELECT payment_token, arg_max(notice_number, seq) AS notice_number FROM biz_b GROUP BY 1),
-ranked AS (SELECT *, row_number() OVER (ORDER BY code) + 1 AS line_no FROM taxonomy)
+filed AS (SELECT code, cast(regexp_extract(code, '[-/]([0-9]+)', 1) AS BIGINT)
+  % (SELECT greatest(3, ceil(count(*) / 20000.0))::BIGINT FROM taxonomy) AS file FROM taxonomy),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY code) + 1 AS line_no FROM filed)
 """
 
 
@@ -139,7 +156,7 @@ ORACLE = {
     "csv_roundtrip": _o("SELECT id_dominio, iuv FROM pos_file"),
     "registry_valid": _o(f"SELECT DISTINCT code FROM taxonomy WHERE regexp_matches(code, '{REGISTRY_PATTERN}')"),
     "registry_rejects": _o(
-        "SELECT line_no, CASE WHEN cast(substr(code, 3) AS INTEGER) % 2 = 0 THEN 'N/D' ELSE code END AS value, "
+        "SELECT file::INT AS file, line_no, CASE WHEN cast(substr(code, 3) AS INTEGER) % 2 = 0 THEN 'N/D' ELSE code END AS value, "
         "CASE WHEN cast(substr(code, 3) AS INTEGER) % 2 = 0 THEN 'missing column' ELSE 'invalid format' END AS reason "
         "FROM ranked WHERE code LIKE 'X-%'"),
 }

@@ -8,9 +8,10 @@ file that never funnels rows through one task.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -40,30 +41,38 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return tagged.join(offsets, ["file", "_block"]).select("file", number.cast("bigint").alias("line_no"), "value")
 
 
+def split_fields(value: Column, sep: str = ";") -> Column:
+    """The fields of a line: separators between double quotes belong to their field,
+    but for lines with a quote that is never closed; quotes and surrounding blanks go."""
+    outside = rf'{re.escape(sep)}(?=(?:[^"]*+"[^"]*+")*+[^"]*+\z)'  # an even number of quotes follows
+    plain = F.split(value, re.escape(sep), -1)
+    quotes = F.length(value) - F.length(F.replace(value, F.lit('"')))
+    fields = F.when((quotes > 0) & (quotes % 2 == 0), F.split(value, outside, -1)).otherwise(plain)
+    return F.transform(fields, lambda f: F.trim(F.replace(f, F.lit('"'))))
+
+
 def load_registry(spark: SparkSession, path: str, column: str, pattern: str, sep: str = ";"
                   ) -> tuple[DataFrame, DataFrame]:
-    """A3: registry codes from a delimited text file.
+    """A3: registry codes from delimited text files, each with a header of its own.
 
-    Header and values are stripped of double quotes and surrounding blanks.
-    Returns (distinct valid codes, rejects(line_no, value, reason)); line
-    numbers count the header, which every file has, as line 1. A row too short
-    to hold the column is rejected as "missing column", a value not matching
-    ``pattern`` as "invalid format".
+    ``column`` is looked up in the header of each file, so files may order
+    their columns differently; a file without it is an error. Quoted fields
+    may hold the separator. Header and values are stripped of double quotes
+    and surrounding blanks. Returns (distinct valid codes, rejects(file,
+    line_no, value, reason)); line numbers count a file's header as line 1. A
+    row too short to hold the column is rejected as "missing column", a value
+    not matching ``pattern`` as "invalid format".
     """
     lines = numbered_lines(spark, path)
-    first = lines.where(F.col("line_no") == 1).select("value").first()  # one bounded row to the driver
-    names = [h.replace('"', "").strip() for h in (first[0] if first else "").split(sep)]
-    if column not in names:
-        raise ValueError(f"column {column!r} not in header {names}")
-    col_idx = names.index(column)
-    rows = lines.where(F.col("line_no") > 1).withColumn("_idx", F.lit(col_idx))
-    fields = F.split("value", sep)
-    present = F.size(fields) > F.col("_idx")
-    raw = F.when(present, F.trim(F.regexp_replace(F.get(fields, F.col("_idx").cast("int")), '"', "")))
-    parsed = rows.select("line_no", present.alias("_present"), raw.alias("code"))
+    heads = lines.where(F.col("line_no") == 1).select("file", F.array_position(split_fields(F.col("value"), sep), column).alias("_at"))
+    without = heads.where(F.col("_at") == 0).first()
+    if without is not None or heads.isEmpty():
+        raise ValueError(f"column {column!r} not in the header of {without.file if without else path}")
+    rows = lines.where(F.col("line_no") > 1).join(heads, "file").withColumn("_f", split_fields(F.col("value"), sep))
+    parsed = rows.select("file", "line_no", (F.size("_f") >= F.col("_at")).alias("_present"), F.get("_f", (F.col("_at") - 1).cast("int")).alias("code"))
     valid = parsed.where(F.col("_present") & F.col("code").rlike(pattern)).select("code").distinct()
     rejects = parsed.where(~F.col("_present") | ~F.col("code").rlike(pattern)).select(
-        "line_no",
+        "file", "line_no",
         F.when(F.col("_present"), F.col("code")).otherwise(F.lit("N/D")).alias("value"),
         F.when(F.col("_present"), F.lit("invalid format")).otherwise(F.lit("missing column")).alias("reason"))
     return valid, rejects

@@ -457,3 +457,25 @@ def test_owner_overlaps_where_starts_crowd(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     crowded = ranges._scanned(df.where("low_range is not null"), ["low_range", "row_key"], 40).groupBy("_b").count().collect()
     assert len(crowded) > 8 and max(r["count"] for r in crowded) < 120
+
+
+def test_registry_files_with_headers_of_their_own(spark, tmp_path):
+    from tessera.sources.delimited import load_registry
+
+    (tmp_path / "a.txt").write_text('id;code\n9;9/0000003IM/\n7;bad\n8\n')
+    (tmp_path / "b.txt").write_text('code;id\n9/0000004IM/;3\n"x;9/0000009IM/";1\n')
+    (tmp_path / "c.txt").write_text('"note; long" ; " code "\n"a;b;c"; "9/0000005IM/ "\n"a;b;c\n""\n')
+    valid, rejects = load_registry(spark, str(tmp_path), "code", r"^9/[0-9]{7}IM/$")
+    assert rows(valid, "code") == [("9/0000003IM/",), ("9/0000004IM/",), ("9/0000005IM/",)]
+    got = sorted((r.file[-5:], r.line_no, r.value, r.reason) for r in rejects.collect())
+    assert got == [("a.txt", 3, "bad", "invalid format"), ("a.txt", 4, "N/D", "missing column"), ("b.txt", 3, "x;9/0000009IM/", "invalid format"),
+                   ("c.txt", 3, "b", "invalid format"), ("c.txt", 4, "N/D", "missing column")]
+    (tmp_path / "d.txt").write_text("other;id\n1;2\n")
+    with pytest_raises(ValueError, "d.txt"):
+        load_registry(spark, str(tmp_path), "code", ".")
+
+
+def pytest_raises(kind, match):
+    import pytest
+
+    return pytest.raises(kind, match=match)
