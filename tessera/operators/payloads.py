@@ -15,8 +15,8 @@ from ..functions.codec import b64_text, parse_xml, strip_namespaces, tagged_body
 NOTIFY_SCHEMA = (
     "Body STRUCT<pspNotifyPaymentV2: STRUCT<fee: STRING, timestampOperation: STRING, totalAmount: STRING, "
     "additionalPaymentInformations: STRUCT<metadata: STRUCT<mapEntry: ARRAY<STRUCT<key: STRING, value: STRING>>>>, "
-    "paymentList: STRUCT<payment: STRUCT<creditorReferenceId: STRING, fiscalCodePA: STRING, "
-    "metadata: STRUCT<mapEntry: STRUCT<key: STRING, value: STRING>>>>>>"
+    "paymentList: STRUCT<payment: ARRAY<STRUCT<creditorReferenceId: STRING, fiscalCodePA: STRING, "
+    "metadata: STRUCT<mapEntry: ARRAY<STRUCT<key: STRING, value: STRING>>>>>>>>"
 )
 FLOW_LIST_SCHEMA = ("idRendicontazione ARRAY<STRUCT<identificativoFlusso: STRING, dataOraFlusso: STRING>>")
 
@@ -26,19 +26,28 @@ def agreement_payments(events: DataFrame, start: str, end: str, psp: str,
     """H7: notified payments paid by card ('CP') that carry an agreement code.
 
     ``inserted_ts`` lies in [start, end), so neighbouring slices share no event.
-    Every payload is decoded and parsed once; what it says is judged after."""
+    A notification may hold one payment or a cart of several, and a payment one
+    metadata entry or several: there is a row for each payment and each of its
+    agreement codes. An event that names the card method several times gives
+    its rows once for each. Every payload is decoded and parsed once; what it
+    says is judged after."""
     ev = events.where(
         (F.col("inserted_ts") >= F.lit(start).cast("timestamp_ntz")) & (F.col("inserted_ts") < F.lit(end).cast("timestamp_ntz"))
         & (F.col("psp") == psp) & (F.col("tipo_evento") == event_type) & (F.col("sotto_tipo_evento") == "REQ"))
     body = parse_xml(strip_namespaces(b64_text(F.col("payload"))), NOTIFY_SCHEMA)
 
     def card_payments(n: Column) -> Column:
-        pay = n["paymentList"]["payment"]
-        agreement = pay["metadata"]["mapEntry"]
         cards = F.filter(n["additionalPaymentInformations"]["metadata"]["mapEntry"], lambda e: (e["key"] == "tipoVersamento") & (e["value"] == "CP"))
-        row = F.struct(n["timestampOperation"].alias("timestamp_operation"), pay["fiscalCodePA"].alias("ec"), pay["creditorReferenceId"].alias("iuv"),
-                       n["totalAmount"].alias("amount"), n["fee"].alias("fee"), agreement["value"].alias("cod_conv"))
-        return F.when(agreement["key"] == "codiceConvenzione", F.transform(cards, lambda _: row))
+
+        def coded(pay: Column) -> Column:
+            codes = F.filter(pay["metadata"]["mapEntry"], lambda e: e["key"] == "codiceConvenzione")
+            return F.transform(codes, lambda e: F.struct(
+                n["timestampOperation"].alias("timestamp_operation"), pay["fiscalCodePA"].alias("ec"), pay["creditorReferenceId"].alias("iuv"),
+                n["totalAmount"].alias("amount"), n["fee"].alias("fee"), e["value"].alias("cod_conv")))
+
+        # a payment without metadata has no codes; flatten would turn the whole cart into null
+        rows = F.flatten(F.filter(F.transform(n["paymentList"]["payment"], coded), lambda r: r.isNotNull()))
+        return F.flatten(F.transform(cards, lambda _: rows))
 
     # bound once in a lambda and exploded with outer, so that no filter repeats the parsing below
     found = F.transform(F.array(body["Body"]["pspNotifyPaymentV2"]), card_payments)[0]
@@ -56,14 +65,15 @@ def result_outcome(events: DataFrame, event_type: str = "sendPaymentResult-v2")
 def exclude_ko(payments: DataFrame, results: DataFrame) -> DataFrame:
     """Drop a payment when the first matching result (by time, then id)
     has outcome KO. A result matches on iuv and ccp with a domain containing
-    the payment's organisation; payments without a match are kept."""
+    the payment's organisation; payments without a match are kept. Each payment
+    of a cart is judged by its own results."""
     r = results.select(F.col("id_dominio").alias("r_dom"), F.col("iuv").alias("r_iuv"), F.col("ccp").alias("r_ccp"),
                        F.struct("inserted_ts", "event_id").alias("r_order"), F.col("outcome").alias("r_outcome"))
     p = payments.select("event_id", "ec", "iuv", "ccp")
     m = p.join(r, (p.iuv == r.r_iuv) & (p.ccp == r.r_ccp) & F.col("r_dom").contains(F.col("ec")), "inner")
-    first = m.groupBy("event_id").agg(F.min_by("r_outcome", "r_order").alias("first_outcome"))
-    ko = first.where(F.col("first_outcome") == "KO").select("event_id")
-    return payments.join(ko, "event_id", "left_anti")
+    first = m.groupBy("event_id", "iuv", "ec").agg(F.min_by("r_outcome", "r_order").alias("first_outcome"))
+    ko = first.where(F.col("first_outcome") == "KO").select("event_id", "iuv", "ec")
+    return payments.join(ko, ["event_id", "iuv", "ec"], "left_anti")
 
 
 def flow_list(docs: DataFrame, date_prefix: str | None = None) -> DataFrame:

@@ -32,10 +32,17 @@ def _notify_xml():
 
     meta = F.concat(F.lit("<mapEntry><key>tipoVersamento</key><value>"), F.col("method"),
                     F.lit("</value></mapEntry><mapEntry><key>canale</key><value>WEB</value></mapEntry>"))
+    def entry(key, value):
+        return F.concat(F.lit("<mapEntry>"), tag("key", key), tag("value", value), F.lit("</mapEntry>"))
+
+    # every fourth payment has a second entry; every fifth event is a cart whose second payment has its code last
+    more = F.when(F.col("event_id") % 4 == 1, entry(F.lit("nota"), F.lit("n"))).otherwise("")
+    second = F.when(F.col("event_id") % 5 == 0, F.concat(
+        F.lit("<payment>"), tag("creditorReferenceId", F.concat(F.lit("99"), F.col("iuv"))), tag("fiscalCodePA", F.col("ec")), F.lit("<metadata>"),
+        entry(F.lit("altro"), F.lit("x")), entry(F.lit("codiceConvenzione"), F.concat("cod_conv", F.lit("-2"))), F.lit("</metadata></payment>"))).otherwise("")
     payment = F.concat(
         F.lit("<paymentList><payment>"), tag("creditorReferenceId", F.col("iuv")), tag("fiscalCodePA", F.col("ec")),
-        F.lit("<metadata><mapEntry><key>"), F.col("conv_key"), F.lit("</key><value>"), F.col("cod_conv"),
-        F.lit("</value></mapEntry></metadata></payment></paymentList>"))
+        F.lit("<metadata>"), entry(F.col("conv_key"), F.col("cod_conv")), more, F.lit("</metadata></payment>"), second, F.lit("</paymentList>"))
     return F.concat(
         F.lit('<soapenv:Envelope xmlns:soapenv="http://schemas.xmlsoap.org/soap/envelope/"><soapenv:Body>'
               '<nod:pspNotifyPaymentV2>'),
@@ -184,13 +191,14 @@ QUERIES = {
 _FX = ("agreement_base", "payment_position", "payment_option", "transfer")
 _LO, _HI = epoch_micros(EXPAND[0]), epoch_micros(EXPAND[1])
 _CTES = f"""
+paid AS (SELECT event_id, inserted_ts, ec, iuv, amount, fee, cod_conv, ccp, method FROM agreement_base WHERE conv_key = 'codiceConvenzione'
+  UNION ALL SELECT event_id, inserted_ts, ec, concat('99', iuv), amount, fee, concat(cod_conv, '-2'), ccp, method FROM agreement_base WHERE event_id % 5 = 0),
 pay AS (SELECT event_id * 2 AS event_id, strftime(inserted_ts, '%Y-%m-%dT%H:%M:%S') AS timestamp_operation, ec, iuv,
-  cast(amount AS VARCHAR) AS amount, cast(fee AS VARCHAR) AS fee, cod_conv, ccp FROM agreement_base
-  WHERE inserted_ts >= TIMESTAMP '{WINDOW[0]}' AND inserted_ts < TIMESTAMP '{WINDOW[1]}' AND method = 'CP'
-  AND conv_key = 'codiceConvenzione'),
+  cast(amount AS VARCHAR) AS amount, cast(fee AS VARCHAR) AS fee, cod_conv, ccp FROM paid
+  WHERE inserted_ts >= TIMESTAMP '{WINDOW[0]}' AND inserted_ts < TIMESTAMP '{WINDOW[1]}' AND method = 'CP'),
 res AS (SELECT event_id * 2 + 1 AS rid, inserted_ts + INTERVAL 1 HOUR AS rts, ec AS r_dom, iuv, ccp, outcome
   FROM agreement_base WHERE outcome IS NOT NULL),
-firsts AS (SELECT event_id, outcome FROM (SELECT p.event_id, r.outcome, row_number() OVER (PARTITION BY p.event_id
+firsts AS (SELECT event_id, iuv, outcome FROM (SELECT p.event_id, p.iuv, r.outcome, row_number() OVER (PARTITION BY p.event_id, p.iuv, p.ec
   ORDER BY r.rts, r.rid) AS rn FROM pay p JOIN res r ON p.iuv = r.iuv AND p.ccp = r.ccp AND contains(r.r_dom, p.ec))
   WHERE rn = 1),
 fl AS (SELECT ec AS id_dominio, concat('FL', lpad(cast(event_id AS VARCHAR), 12, '0')) AS flow_id,
@@ -211,7 +219,7 @@ def _o(sql):
 ORACLE = {
     "agreement_payments": _o("SELECT * FROM pay"),
     "result_outcome": _o("SELECT rid AS event_id, r_dom AS id_dominio, iuv, ccp, outcome FROM res"),
-    "exclude_ko": _o("SELECT * FROM pay WHERE event_id NOT IN (SELECT event_id FROM firsts WHERE outcome = 'KO')"),
+    "exclude_ko": _o("SELECT * FROM pay WHERE (event_id, iuv) NOT IN (SELECT (event_id, iuv) FROM firsts WHERE outcome = 'KO')"),
     "flow_list": _o("SELECT id_dominio, flow_id, flow_date FROM fl"),
     "flow_body": _o("SELECT flow_id, CASE WHEN ccp = 'ccp3' THEN NULL ELSE concat('<flusso><id>', flow_id, "
                     "'</id><importo>', cast(amount AS VARCHAR), '</importo></flusso>') END AS body, ccp = 'ccp3' AS missing "

@@ -479,3 +479,33 @@ def pytest_raises(kind, match):
     import pytest
 
     return pytest.raises(kind, match=match)
+
+
+def test_carts_of_several_payments(spark):
+    import base64
+
+    from tessera.operators import payloads
+
+    def event(payments, cards=("CP",)):
+        meta = "".join(f"<mapEntry><key>tipoVersamento</key><value>{c}</value></mapEntry>" for c in cards)
+        cart = "".join(f"<payment><creditorReferenceId>{iuv}</creditorReferenceId><fiscalCodePA>{ec}</fiscalCodePA>" + (
+            "" if entries is None else "<metadata>" + "".join(f"<mapEntry><key>{k}</key><value>{v}</value></mapEntry>" for k, v in entries) + "</metadata>") + "</payment>"
+            for iuv, ec, entries in payments)
+        return base64.b64encode(f"<s:Envelope><s:Body><n:pspNotifyPaymentV2><fee>1</fee><additionalPaymentInformations><metadata>{meta}</metadata>"
+                                f"</additionalPaymentInformations><paymentList>{cart}</paymentList></n:pspNotifyPaymentV2></s:Body></s:Envelope>".encode()).decode()
+
+    code = ("codiceConvenzione", "C1")
+    docs = {
+        1: event([("i1", "e1", [code])]),
+        2: event([("i1", "e1", [code]), ("i2", "e2", None), ("i3", "e3", [("x", "y"), ("codiceConvenzione", "C3")])]),
+        3: event([("i1", "e1", [("codiceConvenzione", "C2"), ("x", "y")]), ("i2", "e2", [("x", "y")])]),
+        4: event([("i1", "e1", [code])], ("PO", "XX")), 5: event([]), 6: event([("i1", "e1", [code, ("codiceConvenzione", "C9")])]),
+    }
+    df = spark.createDataFrame([(i, "c", "P", "pspNotifyPaymentV2", "REQ", d) for i, d in docs.items()],
+                               "event_id long, ccp string, psp string, tipo_evento string, sotto_tipo_evento string, payload string")
+    df = df.withColumn("inserted_ts", F.lit("2024-01-01").cast("timestamp_ntz"))
+    paid = payloads.agreement_payments(df, "2023-01-01", "2025-01-01", "P")
+    assert rows(paid, "event_id", "iuv", "ec", "cod_conv") == [
+        (1, "i1", "e1", "C1"), (2, "i1", "e1", "C1"), (2, "i3", "e3", "C3"), (3, "i1", "e1", "C2"), (6, "i1", "e1", "C1"), (6, "i1", "e1", "C9")]
+    results = spark.createDataFrame([(10, "2024-01-02", "e3", "i3", "c", "KO")], "event_id long, inserted_ts string, id_dominio string, iuv string, ccp string, outcome string")
+    assert (2, "i1") in rows(payloads.exclude_ko(paid, results), "event_id", "iuv") and (2, "i3") not in rows(payloads.exclude_ko(paid, results), "event_id", "iuv")
