@@ -1,14 +1,15 @@
 """Repeated passages by a sparse suffix array.
 
 Only suffixes that start at minimisers are kept: positions whose k-gram of
-words has the smallest hash in some window. The choice depends on the words
-alone, so wherever ``min_words`` words repeat, both places keep a suffix in the
-first half of them that agrees for another half (a block). Sorting by block
-hash brings equal suffixes together; each is compared with the first of its
-run, neighbouring matches on one diagonal are chained, and the chains are
-extended left and right word by word. The windows of ``min_words`` words that
-reach over the end of a chain may repeat another place of its run: they are
-hashed whole and compared with those of all places.
+words has the smallest hash in half a passage. The choice depends on the words
+alone, so wherever ``min_words`` words repeat, both places keep a suffix at the
+same word of their first half. The suffixes are sorted by the half passage that
+they begin with (the block), then by what stands around it, and each is
+compared with its neighbour. Where the words as far as a passage can reach to
+either side agree too, all passages around the suffix repeat. Where only the
+block agrees, the match is extended left and right as far as a passage needs:
+every run of ``min_words`` words around the block is compared with those of
+the other suffixes that differ from their neighbour.
 """
 
 from __future__ import annotations
@@ -19,22 +20,39 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import columns, let, materialise, prefix
+from tessera.llm.common import columns, materialise, prefix, scratch_table
 
 #: Words of the shortest passage that counts as repeated.
 MIN_WORDS = 50
 #: Words of the k-grams that minimisers are chosen by.
 GRAM = 5
 SEED = 23
+#: Words whose hashes a task remembers.
+HELD = 1 << 19
 DOC = ["id", "th"]
+#: The order of suffixes: block, surroundings, place.
+ORDER = ["key", "around", "no_id", "id", "th", "at"]
 
 
-def word_hashes(text: str) -> np.ndarray:
-    words = text.encode("utf-8", "surrogatepass").split()  # bytes: at ASCII white space
-    return np.fromiter((xxhash.xxh64_intdigest(w, SEED) for w in words), np.uint64, len(words))
+class _Hashes(dict):
+    """The hash of each word, computed once while it is at hand."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= HELD:
+            self.clear()
+        value = self[word] = xxhash.xxh64_intdigest(word, SEED)
+        return value
+
+
+_HASHES = _Hashes()
+
+
+def word_hashes(text: str | bytes) -> np.ndarray:
+    words = (text if isinstance(text, bytes) else text.encode("utf-8", "surrogatepass")).split()  # bytes: at ASCII white space
+    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
 
 
 def _rolled(hashes: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
@@ -45,97 +63,136 @@ def _rolled(hashes: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     return total ^ total >> np.uint64(29)
 
 
-def suffixes(hashes: np.ndarray, block: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """(position, block hash) of the suffixes kept of a document: at minimisers, its first word and its last block."""
+def suffixes(hashes: np.ndarray, block: int, gram: int = GRAM) -> np.ndarray:
+    """Positions of the suffixes kept of a document: the minimisers that a block fits behind."""
     window = block - gram + 1
     if len(hashes) < block:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+        return np.empty(0, np.int64)
     grams = _rolled(hashes, np.arange(len(hashes) - gram + 1), gram)
     views = np.lib.stride_tricks.sliding_window_view(grams, window)
     at = np.unique(np.concatenate([i + window - 1 - views[i:i + 65536, ::-1].argmin(axis=1) + np.arange(len(views[i:i + 65536]))
                                    for i in range(0, len(views), 65536)]))
-    at = np.union1d(at[at + block <= len(hashes)], [0, len(hashes) - block])
-    return at, _rolled(hashes, at, block)
-
+    return at[at + block <= len(hashes)]
+
+
+def surroundings(hashes: np.ndarray, at: np.ndarray, block: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many words a passage around each suffix can reach before it and behind its block, and a hash of these words."""
+    left, right = np.minimum(at, block - gram), np.minimum(len(hashes) - at - block, block)
+    padded = np.concatenate([np.zeros(block, np.uint64), hashes, np.zeros(block, np.uint64)])
+    at = at + block
+    total = np.zeros(len(at), np.uint64)
+    odd = np.random.default_rng(SEED + 1).integers(0, 1 << 63, 2 * block + 2, np.uint64) * np.uint64(2) + np.uint64(1)
+    for j in range(block):
+        total += np.where(j < left, padded[at - 1 - j], np.uint64(0)) * odd[j]
+        total += np.where(j < right, padded[np.minimum(at + block + j, len(padded) - 1)], np.uint64(0)) * odd[block + j]
+    total += left.astype(np.uint64) * odd[-2] + right.astype(np.uint64) * odd[-1]
+    total = (total ^ total >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15)
+    return left, right, total ^ total >> np.uint64(29)
 
-def _open_windows(hashes: np.ndarray, asked: list[tuple[int, int | None, int | None]], size: int, gram: int = GRAM) -> np.ndarray:
-    """Starts of the windows of ``size`` words whose first half has its minimiser at one of the suffixes ``asked``.
 
-    ``asked`` lists (position, start, end): windows inside the chain from start to end are left out.
-    """
+def passages_around(hashes: np.ndarray, asked: np.ndarray, size: int, gram: int = GRAM) -> np.ndarray:
+    """Starts of the runs of ``size`` words whose first half has its minimiser at one of the positions ``asked``."""
     window, last = size // 2 - gram + 1, len(hashes) - size
     if last < 0:
         return np.empty(0, np.int64)
-    out = []
+    out = [np.empty(0, np.int64)]
     for i in range(0, len(asked), 4096):
-        at = np.array([x[0] for x in asked[i:i + 4096]], np.int64)[:, None]
-        low = np.array([0 if x[1] is None else x[1] for x in asked[i:i + 4096]], np.int64)[:, None]
-        high = np.array([0 if x[2] is None else x[2] for x in asked[i:i + 4096]], np.int64)[:, None]
+        at = asked[i:i + 4096, None]
         near = np.clip(at + np.arange(1 - window, window), 0, len(hashes) - gram)
         grams = _rolled(hashes, near.ravel(), gram).reshape(near.shape)
         views = np.lib.stride_tricks.sliding_window_view(grams, window, axis=1)
         start = at + np.arange(1 - window, 1)
         chosen = start + window - 1 - views[:, :, ::-1].argmin(axis=2) == at
-        out.append(start[chosen & (start >= 0) & (start <= last) & ~((start >= low) & (start + size <= high))])
-    return np.unique(np.concatenate(out)) if out else np.empty(0, np.int64)
-
-
-def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("th"), text.alias("text")).filter("text is not null")
-
-
-def _place(at: str | Column) -> Column:
-    """Where a suffix stands in the order of documents: null ids last."""
-    return F.struct(F.col("id").isNull().alias("no_id"), F.col("id").alias("id"), F.col("th").alias("th"), F.col(at).alias("at"))
+        out.append(start[chosen & (start >= 0) & (start <= last)])
+    return np.unique(np.concatenate(out))
 
 
 def _suffix_table(named: DataFrame, block: int) -> DataFrame:
+    """(no_id, id, th, at, key, around, left, right): the suffixes kept of each document."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, ths, ats, keys = [], [], [], []
-            for i, th, text in zip(*batch.columns, strict=True):
-                at, key = suffixes(word_hashes(text.as_py()), block)
-                ids += [i.as_py()] * len(at)
-                ths += [th.as_py()] * len(at)
-                ats.append(at)
-                keys.append(key.view(np.int64))
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ths, pa.int64()), pa.array(np.concatenate(ats), pa.int64()),
-                                                  pa.array(np.concatenate(keys), pa.int64())], ["id", "th", "at", "key"])
+            none, ids, ths, parts = batch["no_id"].to_numpy(zero_copy_only=False), batch["id"].to_numpy(), batch["th"].to_numpy(), []
+            for text in batch["text"].cast(pa.binary()):
+                hashes = word_hashes(text.as_py())
+                at = suffixes(hashes, block)
+                parts.append((at, _rolled(hashes, at, block), *surroundings(hashes, at, block)))
+            n = [len(p[0]) for p in parts]
+            at, key, left, right, around = (np.concatenate(x) for x in zip(*parts)) if parts else [np.empty(0, np.uint64)] * 5
+            yield pa.record_batch({"no_id": pa.array(np.repeat(none, n)), "id": pa.array(np.repeat(ids, n)), "th": pa.array(np.repeat(ths, n)),
+                                   "at": pa.array(at.astype(np.int64)), "key": pa.array(key.view(np.int64)), "around": pa.array(around.view(np.int64)),
+                                   "left": pa.array(left.astype(np.int32)), "right": pa.array(right.astype(np.int32))})
+
+    return named.mapInArrow(work, "no_id boolean, id long, th long, at long, key long, around long, left int, right int")
+
 
-    return named.mapInArrow(work, "id long, th long, at long, key long")
+_COMPARED = "no_id boolean, id long, th long, at long, same boolean, left int, right int, s_none boolean, s_id long"
 
 
-def _contexts(named: DataFrame, asked: DataFrame, block: int, size: int) -> DataFrame:
-    """(id, th, side, at, words): up to ``block`` word hashes before (side 0, nearest first) or from (side 1) each position asked for.
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Suffixes in order → those whose block a neighbour has.
 
-    For the suffixes asked for (side 2) runs of :func:`_open_windows`: the first one's start and the hashes of all.
+    ``same``: the suffix before it, at an earlier place (s_id), has the same
+    surroundings too. Equal rows are one. The first and the last row of a
+    partition, whose neighbours are elsewhere, are kept as if they had one.
     """
+    names = [*ORDER, "left", "right"]
+    before: dict | None = None  # the row before, and whether it was given out
+    waiting: list | None = None  # the last row, which waits for the next one
+
+    def out(c: dict, keep: np.ndarray, same: np.ndarray, s: np.ndarray, s_none: np.ndarray) -> pa.RecordBatch:
+        at = np.nonzero(keep)[0]
+        return pa.record_batch({**{k: pa.array(c[k][at]) for k in ("no_id", "id", "th", "at")}, "same": pa.array(same[at]),
+                                "left": pa.array(c["left"][at]), "right": pa.array(c["right"][at]), "s_none": pa.array(s_none[at]), "s_id": pa.array(s[at])})
+
+    for batch in batches:
+        c = {k: batch[k].to_numpy(zero_copy_only=False) for k in names}
+        if waiting is not None:
+            c = {k: np.concatenate([[waiting[i]], c[k]]) for i, k in enumerate(names)}
+        n = len(c["key"])
+        if not n:
+            continue
+        prev = {k: np.concatenate([[v[0] if before is None else before[k]], v[:-1]]) for k, v in c.items()}
+        known = np.ones(n, bool)
+        known[0] = before is not None
+        equal = np.logical_and.reduce([c[k] == prev[k] for k in ORDER]) & known
+        alike = (c["key"] == prev["key"]) & known
+        same = alike & (c["around"] == prev["around"]) & ~equal
+        follows = np.append(alike[1:] & ~equal[1:], False)
+        keep = (alike | follows | ~known) & ~equal
+        waiting = [c[k][-1] for k in names]
+        # the last row is judged with the next batch; the one before it is what it is compared with then
+        if n > 1:
+            yield out({k: v[:-1] for k, v in c.items()}, keep[:-1], same[:-1], prev["id"][:-1], prev["no_id"][:-1])
+            before = {k: c[k][-2] for k in names}
+    if waiting is not None:
+        c = {k: np.array([waiting[i]]) for i, k in enumerate(names)}
+        prev = before if before is not None else {k: v[0] for k, v in c.items()}
+        equal = before is not None and all(c[k][0] == prev[k] for k in ORDER)
+        same = before is not None and not equal and c["key"][0] == prev["key"] and c["around"][0] == prev["around"]
+        yield out(c, np.array([not equal]), np.array([same]), np.array([prev["id"]]), np.array([prev["no_id"]]))
+
+
+def _passages(named: DataFrame, asked: DataFrame, size: int) -> DataFrame:
+    """(no_id, id, th, at, keys): the hashes of the runs of ``size`` words around the suffixes asked for, those that follow each other as one row."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, th, text, wanted in zip(*batch.columns, strict=True):
+            of, begin, keys = [], [], []
+            for k, (text, wanted) in enumerate(zip(batch["text"].cast(pa.binary()), batch["wanted"])):
                 hashes = word_hashes(text.as_py())
-                h = hashes.view(np.int64)
-                wanted = wanted.as_py()
-                rows = [(x["side"], x["at"]) for x in wanted if x["side"] < 2]
-                words = [h[at:at + block] if side else h[max(0, at - block):at][::-1] for side, at in rows]
-                starts = _open_windows(hashes, [(x["at"], x["low"], x["high"]) for x in wanted if x["side"] == 2], size)
+                starts = passages_around(hashes, np.array(wanted.as_py(), np.int64), size)
                 if len(starts):
-                    keys = _rolled(hashes, starts, size).view(np.int64)
                     cuts = np.nonzero(np.diff(starts) != 1)[0] + 1
-                    rows += [(2, int(at)) for at in starts[np.concatenate([[0], cuts])]]
-                    words += np.split(keys, cuts)
-                n = len(rows)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([i.as_py()] * n, pa.int64()), pa.array([th.as_py()] * n, pa.int64()), pa.array([s for s, _ in rows], pa.int32()),
-                    pa.array([at for _, at in rows], pa.int64()), pa.array(words, pa.list_(pa.int64()))], ["id", "th", "side", "at", "words"])
+                    runs = np.split(_rolled(hashes, starts, size).view(np.int64), cuts)
+                    of += [k] * len(runs)
+                    begin += starts[np.concatenate([[0], cuts])].tolist()
+                    keys += runs
+            rows = batch.take(pa.array(of, pa.int64()))
+            yield pa.record_batch([rows["no_id"], rows["id"], rows["th"], pa.array(begin, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                                  names=["no_id", "id", "th", "at", "keys"])
 
-    lists = asked.distinct().groupBy(*DOC).agg(F.collect_list(F.struct("side", "at", "low", "high")).alias("wanted"))
-    lists = materialise(lists.select(F.col("id").alias("q_id"), F.col("th").alias("q_th"), "wanted"), "context_requests")
-    # documents with the same id and text are one
-    found = named.join(lists.hint("merge"), [F.col("id").eqNullSafe(F.col("q_id")), F.col("th") == F.col("q_th")]).select("id", "th", "text", "wanted")
-    return found.mapInArrow(work, "id long, th long, side int, at long, words array<long>").dropDuplicates(["id", "th", "side", "at"])
+    lists = asked.groupBy("no_id", *DOC).agg(F.sort_array(F.collect_set("at")).alias("wanted"))
+    found = named.join(lists.hint("merge"), ["no_id", *DOC])  # rows that repeat an id and a text ask twice
+    return found.select("no_id", *DOC, "text", "wanted").mapInArrow(work, "no_id boolean, id long, th long, at long, keys array<long>")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -143,13 +200,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Earlier: in a document with a smaller (id, xxhash64 of the text), null ids
     last, or further up in the same one. Words are runs of characters other
-    than ASCII white space, compared exactly; positions count words, the end
-    excluded. Each match of half of ``min_words`` words or more counts that holds
-    a kept suffix and is extended along the first occurrence of its blocks,
-    and so does every window of ``min_words`` words that stands at any earlier
-    place; matches that touch or overlap make one passage, and ``source_ids``
-    lists the documents matched. Every word reported also stands earlier, so
-    deleting all passages never deletes a first occurrence.
+    than ASCII white space; positions count words, the end excluded. Exactly
+    the words are reported that lie in a run of ``min_words`` words which also
+    stands earlier; runs that touch or overlap make one passage, and
+    ``source_ids`` lists documents they stand in. Every word reported also
+    stands earlier, so deleting all passages never deletes a first occurrence.
 
     Null and empty texts have no passage. Rows that repeat an id and a text are
     one document. Other columns are not read; an empty table gives an empty one.
@@ -157,54 +212,28 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     block = min_words // 2
     if block <= GRAM:
         raise ValueError(f"min_words must be at least {2 * GRAM + 2}")
-    named = _named(docs, id_col, text_col)
-    table = materialise(_suffix_table(named, block), "suffixes")
-    first = materialise(table.groupBy("key").agg(F.min(_place("at")).alias("first"), F.max(_place("at")).alias("last"))
-                        .filter("first <> last").select("key", "first"), "first_suffixes")
-    later = table.join(first, "key").filter(_place("at") > F.col("first"))
-    later = later.select("id", "th", "at", F.col("first.id").alias("f_id"), F.col("first.th").alias("f_th"), (F.col("at") - F.col("first.at")).alias("diagonal"))
-    line = Window.partitionBy(*DOC, "f_id", "f_th", "diagonal").orderBy("at")
-    begins = F.coalesce(F.col("at") - F.lag("at").over(line) > block, F.lit(True)).cast("int")
-    chains = later.withColumn("begins", begins).withColumn("chain", F.sum("begins").over(line))
-    whole = Window.partitionBy(*DOC, "f_id", "f_th", "diagonal", "chain")
-    chains = chains.withColumn("start", F.min("at").over(whole)).withColumn("end", F.max("at").over(whole) + block)
-    # the suffixes from which a window may reach over an end of their chain; every chain has some
-    edges = chains.filter((F.col("at") - (block - GRAM) < F.col("start")) | (F.col("at") + min_words > F.col("end")))
-    edges = materialise(edges.select(*DOC, "f_id", "f_th", "diagonal", "start", "end", "at").distinct(), "chain_edges")
-    chains = edges.select(*DOC, "f_id", "f_th", "diagonal", "start", "end").distinct()
-    sides = F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("start").alias("at")), F.struct(F.lit(1).alias("side"), F.col("end").alias("at"))))
-    ends = chains.withColumn("s", sides).select("*", "s.side", "s.at").drop("s")
-    here, there = ends.select(*DOC, "side", "at"), ends.select(F.col("f_id").alias("id"), F.col("f_th").alias("th"), "side", (F.col("at") - F.col("diagonal")).alias("at"))
-    none = F.lit(None).cast("long")
-    sides = here.unionByName(there).withColumns({"low": none, "high": none})
-    mine = edges.select(*DOC, F.lit(2).alias("side"), "at", F.col("start").alias("low"), F.col("end").alias("high"))
-    firsts = edges.select(F.col("f_id").alias("id"), F.col("f_th").alias("th"), F.lit(2).alias("side"), (F.col("at") - F.col("diagonal")).alias("at"),
-                          none.alias("low"), none.alias("high"))
-    context = materialise(_contexts(named, sides.unionByName(mine).unionByName(firsts), block, min_words), "contexts")
-    mine = context.select(F.col("id").alias("m_id"), F.col("th").alias("m_th"), F.col("side").alias("m_side"), F.col("at").alias("m_at"), F.col("words").alias("mine"))
-    theirs = context.select(F.col("id").alias("t_id"), F.col("th").alias("t_th"), F.col("side").alias("t_side"), F.col("at").alias("t_at"), F.col("words").alias("theirs"))
-    ends = ends.join(mine, [F.col("id").eqNullSafe(F.col("m_id")), F.col("th") == F.col("m_th"), F.col("side") == F.col("m_side"), F.col("at") == F.col("m_at")])
-    ends = ends.join(theirs, [F.col("f_id").eqNullSafe(F.col("t_id")), F.col("f_th") == F.col("t_th"), F.col("side") == F.col("t_side"),
-                              F.col("at") - F.col("diagonal") == F.col("t_at")])
-    agree = let(F.zip_with("mine", "theirs", lambda a, b: F.coalesce(a == b, F.lit(False))),
-                lambda m: F.when(F.array_contains(m, False), F.array_position(m, False) - 1).otherwise(F.size(m).cast("long")))
-    ends = materialise(ends.select(*DOC, "f_id", "start", "end", "side", agree.alias("more")), "extended")
-    spans = ends.select(*DOC, "f_id", F.when(F.col("side") == 0, F.col("start") - F.col("more")).otherwise(F.col("start")).alias("start"),
-                        F.when(F.col("side") == 1, F.col("end") + F.col("more")).otherwise(F.col("end")).alias("end"))
-    windows = context.filter("side = 2").select(*DOC, "at", F.posexplode("words").alias("k", "key"))
-    windows = windows.select(*DOC, (F.col("at") + F.col("k")).alias("at"), "key")
-    first = windows.groupBy("key").agg(F.min(_place("at")).alias("first"), F.count("*").alias("n")).filter("n > 1").select("key", "first")
-    again = windows.join(materialise(first, "first_windows"), "key").filter(_place("at") > F.col("first"))
-    again = again.select(*DOC, F.col("first.id").alias("f_id"), F.col("at").alias("start"), (F.col("at") + min_words).alias("end"))
-    spans = spans.unionByName(again)
-    # both sides of a chain overlap in the chain itself
-    order = Window.partitionBy(*DOC).orderBy("start", "end")
+    text = docs[f"`{text_col}`"].cast("string")
+    key = docs[f"`{id_col}`"].cast("long")
+    named = docs.select(key.isNull().alias("no_id"), F.coalesce(key, F.lit(0)).alias("id"), F.xxhash64(text).alias("th"), text.alias("text")).filter("text is not null")
+    sorted_suffixes = _suffix_table(named, block).repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
+    near = scratch_table(sorted_suffixes.mapInArrow(_compared, _COMPARED), "suffixes")
+    source = lambda none, i: F.when(~F.col(none), F.col(i))
+    whole = near.filter("same").select("no_id", *DOC, source("s_none", "s_id").alias("f_id"), (F.col("at") - F.col("left")).alias("start"),
+                                       (F.col("at") + block + F.col("right")).alias("end")).filter(F.col("end") - F.col("start") >= min_words)
+    runs = scratch_table(_passages(named, near.filter("not same"), min_words), "passages")
+    place = F.struct("no_id", "id", "th", "at")
+    each = runs.select("no_id", *DOC, F.posexplode("keys").alias("k", "key"), F.col("at").alias("from")).select("no_id", *DOC, (F.col("from") + F.col("k")).alias("at"), "key")
+    first = each.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last").select("key", "first")
+    first = scratch_table(first, "first_passages")
+    again = each.join(first, "key").filter(place > F.col("first"))
+    again = again.select("no_id", *DOC, source("first.no_id", "first.id").alias("f_id"), F.col("at").alias("start"), (F.col("at") + min_words).alias("end"))
+    order = Window.partitionBy("no_id", *DOC).orderBy("start", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    spans = whole.unionByName(again)
     spans = spans.withColumn("begins", F.coalesce(F.col("start") > reach, F.lit(True)).cast("int")).withColumn("span", F.sum("begins").over(order))
-    spans = spans.groupBy(*DOC, "span").agg(F.min("start").alias("start_word"), F.max("end").alias("end_word"),
-                                            F.array_sort(F.collect_set("f_id")).alias("source_ids"))
-    spans = spans.withColumn("n_words", F.col("end_word") - F.col("start_word")).filter(F.col("n_words") >= min_words)
-    return spans.select(F.col("id").alias(id_col), "th", "start_word", "end_word", "n_words", "source_ids")
+    spans = spans.groupBy("no_id", *DOC, "span").agg(F.min("start").alias("start_word"), F.max("end").alias("end_word"),
+                                                     F.array_sort(F.collect_set("f_id")).alias("source_ids"))
+    return spans.select(source("no_id", "id").alias(id_col), "th", "start_word", "end_word", (F.col("end_word") - F.col("start_word")).alias("n_words"), "source_ids")
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
