@@ -15,7 +15,7 @@ the other suffixes that differ from their neighbour.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -55,9 +55,14 @@ def word_hashes(text: str | bytes) -> np.ndarray:
     return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
 
 
+@cache
+def _factors(seed: int, n: int) -> np.ndarray:
+    return np.random.default_rng(seed).integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 def _rolled(hashes: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     """A hash of the ``n`` words from each position in ``at``."""
-    odd = np.random.default_rng(SEED).integers(0, 1 << 63, n, np.uint64) * np.uint64(2) + np.uint64(1)
+    odd = _factors(SEED, n)
     total = reduce(lambda acc, j: acc + hashes[at + j] * odd[j], range(n), np.zeros(len(at), np.uint64))
     total = (total ^ total >> np.uint64(32)) * np.uint64(0x9E3779B97F4A7C15)
     return total ^ total >> np.uint64(29)
@@ -81,7 +86,7 @@ def surroundings(hashes: np.ndarray, at: np.ndarray, block: int, gram: int = GRA
     padded = np.concatenate([np.zeros(block, np.uint64), hashes, np.zeros(block, np.uint64)])
     at = at + block
     total = np.zeros(len(at), np.uint64)
-    odd = np.random.default_rng(SEED + 1).integers(0, 1 << 63, 2 * block + 2, np.uint64) * np.uint64(2) + np.uint64(1)
+    odd = _factors(SEED + 1, 2 * block + 2)
     for j in range(block):
         total += np.where(j < left, padded[at - 1 - j], np.uint64(0)) * odd[j]
         total += np.where(j < right, padded[np.minimum(at + block + j, len(padded) - 1)], np.uint64(0)) * odd[block + j]
@@ -215,7 +220,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     text = docs[f"`{text_col}`"].cast("string")
     key = docs[f"`{id_col}`"].cast("long")
     named = docs.select(key.isNull().alias("no_id"), F.coalesce(key, F.lit(0)).alias("id"), F.xxhash64(text).alias("th"), text.alias("text")).filter("text is not null")
-    sorted_suffixes = _suffix_table(named, block).repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
+    table = scratch_table(_suffix_table(named, block), "sampled")  # read twice: for the ranges' bounds, and to sort
+    sorted_suffixes = table.repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
     near = scratch_table(sorted_suffixes.mapInArrow(_compared, _COMPARED), "suffixes")
     source = lambda none, i: F.when(~F.col(none), F.col(i))
     whole = near.filter("same").select("no_id", *DOC, source("s_none", "s_id").alias("f_id"), (F.col("at") - F.col("left")).alias("start"),
