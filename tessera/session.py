@@ -65,8 +65,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         if not (sc.master == "local" or sc.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
+        configured = tempfile.mkdtemp(prefix="tessera-ckpt-")  # the context keeps it for the next call
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(configured)
     return configured
