@@ -41,10 +41,15 @@ def fallback(candidates: Sequence[Column], sentinels: Sequence[str] = ("",)) ->
     return F.coalesce(*[usable(c, sentinels) for c in candidates], F.lit(""))
 
 
-def entity_merge(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+def entity_merge(target: DataFrame, updates: DataFrame, keys: Sequence[str], order_col: str | None = None) -> DataFrame:
     """Keyed upsert in MERGE mode: matched rows take the update's non-null
-    values and keep the rest; unmatched rows on either side are kept."""
+    values and keep the rest; unmatched rows on either side are kept. Updates
+    of one key are one entity, as if written one after the other: of each column the last
+    non-null value by ``order_col`` stays, without it the largest."""
     cols = [c for c in target.columns if c not in keys]
+    last = lambda c: F.max(c) if order_col is None else F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order_col)))
+    given = [last(c).alias(c) for c in cols if c in updates.columns]
+    updates = updates.groupBy(*keys).agg(*given) if given else updates.select(*keys).distinct()
     t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in cols])
     u = updates.select(*keys, *[F.col(c).alias(f"_u_{c}") for c in cols if c in updates.columns])
     merged = t.join(u, list(keys), "full_outer")

@@ -509,3 +509,11 @@ def test_carts_of_several_payments(spark):
         (1, "i1", "e1", "C1"), (2, "i1", "e1", "C1"), (2, "i3", "e3", "C3"), (3, "i1", "e1", "C2"), (6, "i1", "e1", "C1"), (6, "i1", "e1", "C9")]
     results = spark.createDataFrame([(10, "2024-01-02", "e3", "i3", "c", "KO")], "event_id long, inserted_ts string, id_dominio string, iuv string, ccp string, outcome string")
     assert (2, "i1") in rows(payloads.exclude_ko(paid, results), "event_id", "iuv") and (2, "i3") not in rows(payloads.exclude_ko(paid, results), "event_id", "iuv")
+
+
+def test_entity_merge_of_repeated_updates(spark):
+    from tessera.operators.registry import entity_merge
+
+    target = spark.createDataFrame([("k", "a", "b"), ("t", "x", None)], "id string, c1 string, c2 string")
+    updates = spark.createDataFrame([("k", "new", None, 1), ("k", None, "late", 3), ("k", "older", "early", 2), ("u", None, "v", 1)], "id string, c1 string, c2 string, seq int")
+    assert rows(entity_merge(target, updates, ["id"], "seq"), "id", "c1", "c2") == [("k", "older", "late"), ("t", "x", None), ("u", None, "v")]
