@@ -14,6 +14,7 @@ prefix exactly if merging the piece before it and t together gives the two back.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from os.path import commonprefix
 from collections.abc import Iterator
@@ -28,8 +29,8 @@ MARK = "▁"
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*")
 #: Words, parts of words and pairs of pieces that a Python worker keeps of each; when full, they are dropped and computed again.
 CACHE = 600_000
-#: What this worker has learnt of a vocabulary, kept for its next task.
-_WARM: dict[tuple, Pieces] = {}
+#: What this worker has learnt of a vocabulary (by its digest), kept for its next task.
+_WARM: dict[str, Pieces] = {}
 #: Characters of documents whose words are sorted together.
 BLOCK_CHARS = 8_000_000
 
@@ -57,7 +58,7 @@ class Pieces:
 
     def warm(self) -> Pieces:
         """This vocabulary, with what earlier tasks of this worker have computed."""
-        return _WARM.setdefault((self.kind, *self.names), self)
+        return _WARM.setdefault(self.digest, self)
 
     @classmethod
     def of(cls, scores: dict[str, float], kind: str) -> Pieces:
@@ -69,6 +70,8 @@ class Pieces:
 
     def setup(self, names: list[str], scores: list[float], byte: dict[int, int], plain: list[int], unk: int, kind: str) -> None:
         self.names, self.byte, self.unk, self.kind = names, byte, unk, kind
+        # equal pieces with other scores, roles or another kind are another vocabulary
+        self.digest = hashlib.sha256(repr((kind, unk, names, scores, sorted(byte.items()), plain)).encode()).hexdigest()
         self.ids = {names[i]: i for i in plain}
         self.scores = {names[i]: scores[i] for i in plain}
         lengths: dict[str, set[int]] = {}
@@ -224,7 +227,13 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
 
 
 def decode(tokens: DataFrame, ids_col: str = "ids", path: str | None = None) -> DataFrame:
-    """``tokens`` (id columns and ids) with ``text``, the decoded ids; null ids give null."""
+    """``tokens`` (id columns and ids) with ``text``, the decoded ids.
+
+    Null ids give null, empty ids an empty text, an empty table an empty one;
+    repeated rows decode alike. A table that already has a ``text`` raises.
+    """
+    if "text" in tokens.columns:
+        raise ValueError("the table already has a column text")
     pieces = Pieces(path or model_path())
 
     @F.pandas_udf("string")

@@ -57,6 +57,24 @@ def test_small_cache_gives_the_same(monkeypatch):
     assert [x.tolist() for x in sv.Pieces(sv.model_path()).encode(texts)] == want
 
 
+def test_vocabularies_with_other_scores_share_nothing(monkeypatch):
+    monkeypatch.setattr(sv, "_WARM", {})
+    names = ["▁", "▁a", "a", "b", "ab", "▁ab"]
+    one = sv.Pieces.of(dict.fromkeys(names, -1.0), "unigram").warm()
+    assert [one.names[i] for i in one.encode(["ab"])[0]] == ["▁ab"]
+    two = sv.Pieces.of({**dict.fromkeys(names, -1.0), "▁ab": -9.0}, "unigram").warm()
+    assert [two.names[i] for i in two.encode(["ab"])[0]] != ["▁ab"] and two is not one
+    assert sv.Pieces.of(dict.fromkeys(names, -1.0), "unigram").warm() is one
+    assert sv.Pieces.of(dict.fromkeys(names, -1.0), "bpe").warm() is not one
+
+
+def test_decode_keeps_a_text_column_apart(spark):
+    rows = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
+    assert {r.doc_id: r.text for r in sv.decode(rows).collect()} == {1: None, 2: ""}
+    with pytest.raises(ValueError):
+        sv.decode(rows.selectExpr("*", "'x' AS text"))
+
+
 def test_empty(spark):
     assert sv.encode(spark.createDataFrame([], SCHEMA)).count() == 0
     with pytest.raises(ValueError):
