@@ -69,6 +69,37 @@ def partner_prefixes(rpt: DataFrame, partner: str = "id_intermediario_pa") -> Da
     return rpt.groupBy(pad2("segregazione").alias("iuv_prefix"), partner).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def distinct_by_registry(facts: DataFrame, registry: DataFrame, prefix: str, value: str, keys: Sequence[str],
+                         partner: str, out: str) -> DataFrame:
+    """D3: distinct ``value`` per registry ``partner`` and ``keys``, where a
+    registry row (``prefix``, ``partner``) takes the facts of its prefix.
+
+    Values are first counted by the set of prefixes they are found under (few
+    sets: a prefix has two characters), so a value found under several prefixes
+    of a partner counts once and only sets, not values, meet the registry. Null
+    values do not count; facts without a partner give no row."""
+    found = facts.where(F.col(value).isNotNull() & F.col(prefix).isNotNull()).groupBy(*keys, value).agg(
+        F.array_sort(F.collect_set(prefix)).alias("_set"))
+    sets = found.groupBy(*keys, "_set").agg(F.count(F.lit(1)).alias("_n"))
+    named = sets.withColumn(prefix, F.explode("_set")).join(registry.select(prefix, partner).distinct(), prefix)
+    return named.select(partner, *keys, "_set", "_n").distinct().groupBy(partner, *keys).agg(F.sum("_n").alias(out))
+
+
+#: HLL sketches of 2^LG_K registers and the relative standard error of their merged estimates.
+LG_K = 12
+SKETCH_ERROR = 1.04 / 2 ** (LG_K / 2)
+
+
+def distinct_sketches(facts: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
+    """D3 (approximate): one HLL sketch of ``value`` per ``keys``, to be stored and merged."""
+    return facts.groupBy(*keys).agg(F.hll_sketch_agg(value, F.lit(LG_K)).alias("sketch"))
+
+
+def merge_sketches(stored: DataFrame, keys: Sequence[str], out: str) -> DataFrame:
+    """D3 (approximate): the distinct count per ``keys`` of any stored sketches together."""
+    return stored.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(out))
+
+
 def enrich_left(small: DataFrame, big: DataFrame, keys: Sequence[str], cols: Sequence[str], reduce_big: bool = False) -> DataFrame:
     """C4: every row of ``small`` left-joined to matching rows of ``big``; a
     runtime bloom filter prunes ``big`` before the shuffle where it pays.

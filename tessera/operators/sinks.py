@@ -14,12 +14,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from ..session import scratch_dir
+from ..session import materialise, scratch_dir
 from .windows import latest_per_key
 
+#: Files that a rewritten partition is split into at most, by the hash of its keys.
+SPLITS = 32
+
 
 def _provider(spark: SparkSession, table: str) -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Provider")
@@ -96,20 +100,50 @@ def upsert(spark: SparkSession, target_path: str, updates: DataFrame, keys: Sequ
     return new_path
 
 
+def upsert_partitions(path: str, updates: DataFrame, keys: Sequence[str], order_col: str,
+                      part: Column, part_col: str = "part") -> DataFrame:
+    """A8 on a partitioned table: only the partitions that hold updates are
+    read and rewritten; files of the others are not touched.
+
+    ``part`` is a function of the ``keys`` alone (a key, its month, or a hash
+    bucket of the keys), so a key never changes its partition; it is stored as
+    the text column ``part_col``. A path without data is created. The affected
+    partitions are written beside the table first and then put in place by a
+    dynamic partition overwrite, so a failed or repeated load can be run
+    again. One load at a time may write a partition. Returns the table."""
+    spark = updates.sparkSession
+    schema = StructType([*updates.schema.fields, StructField(part_col, StringType())])
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    latest = materialise(latest_per_key(updates, keys, order_col).select(*updates.columns).withColumn(
+        part_col, F.coalesce(part.cast("string"), F.lit("none"))), "upsert-latest")
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        held = [r[0] for r in latest.select(part_col).distinct().collect()]  # one value per partition
+        target = spark.read.schema(schema).parquet(path).where(F.col(part_col).isin(held))
+        kept = target.join(latest.select(*keys), list(keys), "left_anti")
+        latest = materialise(kept.unionByName(latest), "upsert-partitions")
+    (latest.repartition(part_col, F.pmod(F.xxhash64(*keys), F.lit(SPLITS))).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path))
+    return spark.read.schema(schema).parquet(path)
+
+
 def emit_events(events: DataFrame, path: str | None = None, servers: str | None = None,
-                topic: str | None = None) -> None:
+                topic: str | None = None, batch: str | None = None) -> None:
     """(key, value) JSON events to a Kafka topic when a broker and the
     connector are configured, else to JSON files under ``path``. A ``topic``
     column routes every event to its own topic (a sub-folder of ``path``).
     Executors write their partitions in parallel; nothing passes through the
-    driver."""
+    driver. Files of a ``batch`` go to a folder of its own, which a repeated
+    batch replaces, so nothing is sent twice; a broker gets every repeat."""
+    mode = "append"
+    if path is not None and batch is not None:
+        path, mode = f"{path}/batch={batch}", "overwrite"
     if "topic" in events.columns:
         if servers:
             events.select("topic", "key", "value").write.format("kafka").option("kafka.bootstrap.servers", servers).save()
         elif path is None:
             raise ValueError("either a broker or a path is required")
         else:
-            events.select("topic", "key", "value").write.mode("append").partitionBy("topic").json(path)
+            events.select("topic", "key", "value").write.mode(mode).option("partitionOverwriteMode", "static").partitionBy("topic").json(path)
         return
     if servers and topic:
         (events.select("key", "value").write.format("kafka")
@@ -117,7 +151,7 @@ def emit_events(events: DataFrame, path: str | None = None, servers: str | None
         return
     if path is None:
         raise ValueError("either a broker and topic or a path is required")
-    events.select("key", "value").write.mode("append").json(path)
+    events.select("key", "value").write.mode(mode).json(path)
 
 
 def build_chunk_table(chunks: DataFrame, path: str) -> DataFrame:

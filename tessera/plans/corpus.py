@@ -277,6 +277,33 @@ edges AS (SELECT src, dst FROM plain WHERE starts_with(dst, host)),
 all_edges AS (SELECT DISTINCT src, host, dst FROM (SELECT * FROM plain UNION ALL SELECT * FROM added))
 """
 
+# Recursive chunks in SQL: pieces by the coarsest separator that leaves them
+# longer than a chunk, and then one step of the recursion for each chunk.
+def _split_sql(step, parts):
+    return (f"p{step} AS (SELECT doc_id, list_append(ord, k) AS ord, parts[k] AS t FROM (SELECT doc_id, ord, parts, "
+            f"unnest(range(1, len(parts) + 1)) AS k FROM (SELECT doc_id, ord, CASE WHEN length(t) > {text.CHUNK_SIZE} THEN {parts} "
+            f"ELSE [t] END AS parts FROM p{step - 1})) WHERE parts[k] <> '')")
+
+
+def _after_sql(sep):
+    return f"string_split(replace(t, {sep}, {sep} || chr(1)), chr(1))"
+
+
+_RECURSIVE = (
+    "WITH RECURSIVE p0 AS (SELECT doc_id, [0] AS ord, text AS t FROM documents WHERE length(text) > 0), "
+    + ", ".join(_split_sql(n, parts) for n, parts in enumerate([
+        _after_sql("chr(10) || chr(10)"), _after_sql("chr(10)"), _after_sql("' '"),
+        f"list_transform(range(0, length(t), {text.CHUNK_SIZE}), lambda i: substr(t, i + 1, {text.CHUNK_SIZE}))"], 1))
+    + ", spans AS (SELECT doc_id, list(e - n ORDER BY ord) AS lo, list(e ORDER BY ord) AS hi FROM (SELECT doc_id, ord, length(t) AS n, "
+    "cast(sum(length(t)) OVER (PARTITION BY doc_id ORDER BY ord) AS BIGINT) AS e FROM p4) GROUP BY 1), "
+    f"c(doc_id, chunk_no, i, j) AS (SELECT doc_id, 0, cast(1 AS BIGINT), len(list_filter(hi, lambda e: e <= {text.CHUNK_SIZE})) FROM spans "
+    f"UNION ALL SELECT doc_id, chunk_no + 1, i2, len(list_filter(hi, lambda e: e - lo[i2] <= {text.CHUNK_SIZE})) FROM ("
+    "SELECT c.doc_id, chunk_no, lo, hi, list_filter(range(i + 1, j + 2), lambda m: m = j + 1 OR "
+    f"(hi[j] - lo[m] <= {text.CHUNK_OVERLAP} AND hi[j + 1] - lo[m] <= {text.CHUNK_SIZE}))[1] AS i2 "
+    "FROM c JOIN spans s ON s.doc_id = c.doc_id WHERE j < len(hi))) "
+    "SELECT d.doc_id, chunk_no, lo[i] AS start_index, substr(text, lo[i] + 1, hi[j] - lo[i]) AS chunk "
+    "FROM c JOIN spans s ON s.doc_id = c.doc_id JOIN documents d ON d.doc_id = c.doc_id")
+
 ORACLE = {
     "pii_redact": _redacted_sql("replace", "SELECT * FROM red"),
     "pii_mask": _redacted_sql("mask", "SELECT * FROM red"),
@@ -297,6 +324,7 @@ ORACLE = {
         "lambda x: regexp_replace(regexp_replace(replace(replace(replace(replace(replace(replace(x, '&copy;', '©'), '&middot;', '·'), '&quot;', chr(34)), '&lt;', '<'), "
         "'&gt;', '>'), '&#39;', chr(39)), '&amp;?', '&', 'g'), '^\\s+|\\s+$', '', 'g')), "
         "lambda x: x <> ''), chr(10)) AS t FROM pages) WHERE length(trim(t)) >= 50"),
+    "chunk_recursive": _RECURSIVE,
     "chunk_recursive_check": ("SELECT doc_id, cast(length(text) AS INTEGER) AS n_chars, TRUE AS covered, TRUE AS in_size, TRUE AS same_text "
                               "FROM documents WHERE length(text) > 0"),
     "reachable_urls": (

@@ -11,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.cdc import to_cdc
-from ..functions.columns import prefix2
+from ..functions.columns import from_epoch_us, prefix2
 from ..operators import joins, predicates, windows
+from ..session import materialise
 from ..sources.fixtures import fixture, with_fixtures
 
 CATEGORY_PATTERN = r"^9/.+/$"
@@ -106,18 +107,31 @@ def q_partner_join_domain(spark, sf_dir):
 
 
 def position_counts(spark, sf_dir, *keys):
-    """D3: distinct positions per partner and ``keys``: distinct per prefix
-    first, then one row per (prefix, partner) of the registry."""
+    """D3: distinct positions per partner and ``keys``, see :func:`joins.distinct_by_registry`."""
     final, _ = final_options(spark, sf_dir)
-    per_prefix = final.select("iuv_prefix", *keys, "iupd").distinct()
-    return per_prefix.join(partners(spark, sf_dir), "iuv_prefix").groupBy("id_intermediario_pa", *keys).agg(
-        F.count_distinct("iupd").alias("num_posizioni"))
+    return joins.distinct_by_registry(final, partners(spark, sf_dir), "iuv_prefix", "iupd", keys, "id_intermediario_pa", "num_posizioni")
 
 
 def q_partner_distinct(spark, sf_dir):
     return position_counts(spark, sf_dir, "organization_fiscal_code")
 
 
+def q_partner_distinct_sketch(spark, sf_dir):
+    """D3 from stored sketches: one per (option day, prefix, organisation) is
+    written once, and those of a partner's prefixes and days are merged. The
+    estimate must lie within five standard errors of the exact count."""
+    final, _ = final_options(spark, sf_dir)
+    days = fixture(spark, sf_dir, "payment_position").select(
+        F.col("id").alias("pp_id"), F.to_date(from_epoch_us("inserted_date")).alias("day"))
+    daily = joins.distinct_sketches(final.join(days, "pp_id"), "iupd", ["day", "iuv_prefix", "organization_fiscal_code"])
+    stored = materialise(daily, "position-sketches").join(partners(spark, sf_dir), "iuv_prefix")
+    estimate = joins.merge_sketches(stored, ["id_intermediario_pa", "organization_fiscal_code"], "estimate")
+    both = q_partner_distinct(spark, sf_dir).join(estimate, ["id_intermediario_pa", "organization_fiscal_code"], "full")
+    off = F.abs(F.col("estimate") - F.col("num_posizioni")) <= 5 * joins.SKETCH_ERROR * F.col("num_posizioni")
+    return both.select("id_intermediario_pa", "organization_fiscal_code", "num_posizioni",
+                       F.coalesce(off, F.lit(False)).alias("estimate_holds"))
+
+
 def q_top10_partners(spark, sf_dir):
     return windows.top_n(position_counts(spark, sf_dir), [F.desc("num_posizioni"), F.asc("id_intermediario_pa")], 10)
 
@@ -166,6 +180,7 @@ QUERIES = {
     "partner_join": q_partner_join,
     "partner_join_domain": q_partner_join_domain,
     "partner_distinct": q_partner_distinct,
+    "partner_distinct_sketch": q_partner_distinct_sketch,
     "top10_partners": q_top10_partners,
     "top2_orgs": q_top2_orgs,
     "service_amounts": q_service_amounts,
@@ -212,6 +227,7 @@ ORACLE = {
     "partner_join": _o("SELECT * FROM core"),
     "partner_join_domain": _o("SELECT * FROM core WHERE id_dominio = organization_fiscal_code"),
     "partner_distinct": _o("SELECT * FROM org_counts"),
+    "partner_distinct_sketch": _o("SELECT *, TRUE AS estimate_holds FROM org_counts"),
     "top10_partners": _o(
         "SELECT id_intermediario_pa, count(DISTINCT iupd) AS num_posizioni FROM core GROUP BY 1 "
         "ORDER BY num_posizioni DESC, id_intermediario_pa LIMIT 10"),

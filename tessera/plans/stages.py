@@ -18,6 +18,7 @@ SCAN_SINCE = "1997-03-01 00:00:00"
 TIME_RANGE = ("1995-01-01 00:00:00", "1995-07-01 00:00:00")
 NESTED_RANGE = ("1995-01-01 00:00:00", "1996-01-01 00:00:00")
 PREVIEW = 10
+GOLD_KEYS = ("kpi_id", "psp_id", "period_start", "period_end")
 
 
 def q_scan_project(spark, sf_dir):
@@ -121,15 +122,26 @@ def q_gold_create(spark, sf_dir):
 
 
 def q_gold_upsert(spark, sf_dir):
-    """A second load upserted into the stored gold table (new version)."""
+    """A second load upserted into the stored gold table, month by month of its periods."""
+    src = kpi._src(spark, sf_dir)
+    crm = fixture(spark, sf_dir, "crm")
+    path = scratch_dir(spark, "gold")
+    second = groups.kpi_gold(src.where(F.col("kpi_id") != "N"), crm, kpi.BATCH_TS_MS + 1).withColumn(
+        "kpi_outcome", F.lit("RERUN"))
+    for load in (groups.kpi_gold(src, crm, kpi.BATCH_TS_MS), second):
+        gold = sinks.upsert_partitions(path, load, GOLD_KEYS, "_ts", F.substring("period_start", 1, 7), "period")
+    return gold.drop("period")
+
+
+def q_gold_upsert_version(spark, sf_dir):
+    """A8 without partitions: the second load upserted into a new version of the whole table."""
     src = kpi._src(spark, sf_dir)
     crm = fixture(spark, sf_dir, "crm")
     base = scratch_dir(spark, "gold-v1")
     groups.kpi_gold(src, crm, kpi.BATCH_TS_MS).write.mode("errorifexists").parquet(base)
     second = groups.kpi_gold(src.where(F.col("kpi_id") != "N"), crm, kpi.BATCH_TS_MS + 1).withColumn(
         "kpi_outcome", F.lit("RERUN"))
-    new_path = sinks.upsert(spark, base, second, ["kpi_id", "psp_id", "period_start", "period_end"], "_ts")
-    return spark.read.parquet(new_path)
+    return spark.read.parquet(sinks.upsert(spark, base, second, GOLD_KEYS, "_ts"))
 
 
 DAY_TODAY = dt.date(1996, 3, 2)
@@ -153,19 +165,20 @@ def q_gold_merge(spark, sf_dir):
     src, crm = kpi._src(spark, sf_dir), fixture(spark, sf_dir, "crm")
     second = groups.kpi_gold(src.where(F.col("kpi_id") != "N"), crm, kpi.BATCH_TS_MS + 1).withColumn("kpi_outcome", F.lit("RERUN"))
     name = "gold_merge_" + scratch_dir(spark, "g").rsplit("-", 1)[-1]
-    keys = ["kpi_id", "psp_id", "period_start", "period_end"]
     for load in (groups.kpi_gold(src, crm, kpi.BATCH_TS_MS), second):
-        sinks.create_or_merge(load, name, keys, "_ts")
+        sinks.create_or_merge(load, name, GOLD_KEYS, "_ts")
     return spark.table(name)
 
 
 def q_event_topics(spark, sf_dir):
-    """The create events of three tables routed to a topic each, read back."""
+    """The create events of three tables routed to a topic each, a batch per
+    table, sent twice as a repeated job does, and read back."""
     path = scratch_dir(spark, "event-topics")
     for topic, table, key in (("positions", "payment_position", "id"), ("options", "payment_option", "id"), ("transfers", "transfer", "payment_option_id")):
         rows = fixture(spark, sf_dir, table)
         events = cdc_json(to_cdc(rows, rows.columns, now_us=0), f"after.{key}").withColumn("topic", F.lit(topic))
-        sinks.emit_events(events, path)
+        for _ in range(2):
+            sinks.emit_events(events, path, batch=table)
     back = spark.read.schema("key string, value string, topic string").json(path)
     return back.groupBy("topic").agg(F.count("*").alias("n"), F.min("key").alias("first_key"), F.max("key").alias("last_key"),
                                      F.count_if(F.get_json_object("value", "$.op") == "c").alias("n_create"))
@@ -188,6 +201,7 @@ QUERIES = {
     "stage_append": q_stage_append,
     "gold_create": q_gold_create,
     "gold_upsert": q_gold_upsert,
+    "gold_upsert_version": q_gold_upsert_version,
 }
 
 # ---------------------------------------------------------------- DuckDB oracle
@@ -227,6 +241,7 @@ ORACLE = {
     "stage_append": reconcile.ORACLE["enrich_left"],
     "gold_create": kpi.ORACLE["kpi_gold"],
     "gold_upsert": kpi.ORACLE["latest_per_key"],
+    "gold_upsert_version": kpi.ORACLE["latest_per_key"],
     "gold_merge": kpi.ORACLE["latest_per_key"],
     "day_range": with_fixtures(
         "SELECT count_if(payment_ts >= TIMESTAMP '1996-01-10' AND payment_ts < TIMESTAMP '1996-01-13') AS \"range\", "

@@ -60,7 +60,8 @@ def q_stream_save_once(spark, sf_dir):
     """Keys of days before LOADED_BEFORE are already in the store."""
     store, ckpt = scratch_dir(spark, "store"), scratch_dir(spark, "store-ckpt")
     _loaded(spark, sf_dir).select(F.concat_ws("##", F.date_format("day", "yyyy-MM-dd"), F.col("user_id").cast("string"),
-                                              "event_type").alias("blob_key")).distinct().write.parquet(f"{store}/batch_id=-1")
+                                              "event_type").alias("blob_key"), F.date_format("day", "yyyy-MM-dd").alias("day")).distinct().write.partitionBy(
+        "day").parquet(f"{store}/batch_id=-1")
     return _twice(_all_events(spark, sf_dir), lambda source: jobs.save_once_stream(spark, source, store, ckpt))
 
 

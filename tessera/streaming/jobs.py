@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 
 from ..functions.cdc import cdc_json, to_cdc
 from ..operators.windows import latest_per_key
-from ..session import configure
+from ..session import configure, materialise
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
+STORE_SCHEMA = "blob_key string, batch_id int, day string"
+
 
 def event_stream(spark: SparkSession, source: str, max_files: int = 64) -> DataFrame:
     """The event files of a folder as a stream; ``max_files`` bounds a batch."""
@@ -86,19 +88,28 @@ def ledgered_daily_load(spark: SparkSession, source: str, history: str, ledger:
 
 def save_once_stream(spark: SparkSession, source: str, store: str, checkpoint: str) -> DataFrame:
     """I4: keys stored once. Every batch is reduced to its distinct keys and
-    anti-joined with everything stored by other batches (``batch_id=-1``: by
-    earlier loads), so a duplicate is not stored twice however late it comes.
-    Returns the keys that the stream has stored."""
-    keyed = event_stream(spark, source).select(F.concat_ws(
-        "##", F.date_format("ts", "yyyy-MM-dd"), F.col("user_id").cast("string"), "event_type").alias("blob_key"))
+    anti-joined with those stored by other batches (``batch_id=-1``: by earlier
+    loads), so a duplicate is not stored twice however late it comes. A key
+    holds its day and the store is laid out by day (``batch_id=N/day=D``), so a
+    batch reads the days it brings, not the store. Returns the keys that the
+    stream has stored."""
+    day = F.date_format("ts", "yyyy-MM-dd")
+    keyed = event_stream(spark, source).select(
+        F.concat_ws("##", day, F.col("user_id").cast("string"), "event_type").alias("blob_key"), day.alias("day"))
+
+    def stored() -> DataFrame:
+        return spark.read.schema(STORE_SCHEMA).parquet(store)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        existing = spark.read.parquet(store).where(F.col("batch_id") != batch_id).select("blob_key")
-        new = batch.select("blob_key").distinct().join(existing, "blob_key", "left_anti")
-        new.write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
+        fresh = materialise(batch.distinct(), "save-once-batch")
+        days = [r.day for r in fresh.select("day").distinct().collect()]  # one value per day of the batch
+        others = stored().where((F.col("batch_id") != batch_id) & F.col("day").isin(days)).select("blob_key")
+        new = fresh.join(others, "blob_key", "left_anti")
+        new.repartition("day", F.pmod(F.xxhash64("blob_key"), F.lit(32))).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("day").parquet(
+            f"{store}/batch_id={batch_id}")
 
     _run(keyed, write, checkpoint)
-    return spark.read.parquet(store).where(F.col("batch_id") >= 0).select("blob_key")
+    return stored().where(F.col("batch_id") >= 0).select("blob_key")
 
 
 def cdc_stream(spark: SparkSession, source: str, schema: str, cols: Sequence[str], now_us: int, sink: str,

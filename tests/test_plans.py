@@ -22,7 +22,7 @@ def test_global_top_n_is_take_ordered(spark, sf_dir):
     assert "TakeOrderedAndProject" in df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("query", [rtp.q_partner_distinct, rtp.q_service_amounts, rtp.q_top3_services, rtp.q_top2_orgs])
+@pytest.mark.parametrize("query", [rtp.q_service_amounts, rtp.q_top3_services])
 def test_facts_are_aggregated_before_the_registry_join(spark, sf_dir, query):
     p = query(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     join = next(i for i, x in enumerate(p.split("\n")) if "Join" in x and "iuv_prefix" in x)
@@ -30,6 +30,14 @@ def test_facts_are_aggregated_before_the_registry_join(spark, sf_dir, query):
     assert any("HashAggregate(keys=[iuv_prefix" in x for x in below)
 
 
+@pytest.mark.parametrize("query", [rtp.q_partner_distinct, rtp.q_top2_orgs, rtp.q_top10_partners])
+def test_positions_are_counted_before_the_registry_join(spark, sf_dir, query):
+    p = query(spark, sf_dir)._jdf.queryExecution().executedPlan().toString().split("\n")
+    join = next(i for i, x in enumerate(p) if "Join" in x and "iuv_prefix" in x)
+    assert any("Aggregate(keys=[" in x and "_set" in x for x in p[join + 1:])
+    assert not any("iupd" in x for x in p[:join])
+
+
 def test_no_round_robin_and_no_hint(spark, sf_dir):
     for query in (rtp.q_partner_join, rtp.q_semi_waterfall, kpi.q_kpi_gold, reconcile.q_enrich_left):
         p = query(spark, sf_dir)._jdf.queryExecution().toString()

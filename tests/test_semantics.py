@@ -517,3 +517,61 @@ def test_entity_merge_of_repeated_updates(spark):
     target = spark.createDataFrame([("k", "a", "b"), ("t", "x", None)], "id string, c1 string, c2 string")
     updates = spark.createDataFrame([("k", "new", None, 1), ("k", None, "late", 3), ("k", "older", "early", 2), ("u", None, "v", 1)], "id string, c1 string, c2 string, seq int")
     assert rows(entity_merge(target, updates, ["id"], "seq"), "id", "c1", "c2") == [("k", "older", "late"), ("t", "x", None), ("u", None, "v")]
+
+
+def test_distinct_counts_over_prefix_sets(spark):
+    rng = random.Random(8)
+    facts = [(rng.choice(["01", "02", "03", None]), rng.choice(["o1", "o2", None]), rng.choice([None, *map(str, range(40))])) for _ in range(500)]
+    registry = [("01", "p"), ("02", "p"), ("02", "q"), ("03", "q"), ("09", "r"), ("01", None)]
+    got = joins.distinct_by_registry(spark.createDataFrame(facts, "pre string, org string, v string"),
+                                     spark.createDataFrame(registry + registry[:2], "pre string, who string"), "pre", "v", ["org"], "who", "n")
+    found = {}
+    for pre, org, v in facts:
+        for key, who in registry:
+            if v is not None and key == pre:
+                found.setdefault((who, org), set()).add(v)
+    assert {(r.who, r.org): r.n for r in got.collect()} == {k: len(x) for k, x in found.items()}
+
+
+def test_sketches_of_days_merge_to_one_pass(spark):
+    facts = spark.range(60_000).selectExpr("id % 3 AS grp", "id % 7 AS day", "cast(id % 25000 AS string) AS v")
+    once = {r.grp: r.n for r in joins.merge_sketches(joins.distinct_sketches(facts, "v", ["grp"]), ["grp"], "n").collect()}
+    days = {r.grp: r.n for r in joins.merge_sketches(joins.distinct_sketches(facts, "v", ["grp", "day"]), ["grp"], "n").collect()}
+    true = {r.grp: r.n for r in facts.groupBy("grp").agg(F.count_distinct("v").alias("n")).collect()}
+    assert once.keys() == days.keys() == true.keys()
+    for grp, n in true.items():
+        assert abs(once[grp] - n) <= 3 * joins.SKETCH_ERROR * n and abs(days[grp] - n) <= 3 * joins.SKETCH_ERROR * n
+        assert abs(once[grp] - days[grp]) <= 2 * joins.SKETCH_ERROR * n
+
+
+def test_upsert_rewrites_only_the_partitions_it_changes(spark, tmp_path):
+    from tessera.operators.sinks import upsert_partitions
+
+    def load(data):
+        df = spark.createDataFrame(data, "k string, month string, v string, ts int")
+        return upsert_partitions(path, df, ["k", "month"], "ts", F.col("month"))
+
+    def files():
+        return {f: f.stat().st_mtime_ns for f in (tmp_path / "gold").rglob("*.parquet")}
+
+    path = str(tmp_path / "gold")
+    load([(f"k{i}", m, "old", 1) for i in range(20) for m in ("2024-01", "2024-02")] + [("k", None, "old", 1)])
+    before = files()
+    for _ in range(2):  # a repeated load changes nothing more
+        out = load([("k1", "2024-02", "newer", 3), ("k1", "2024-02", "new", 2), ("k77", "2024-03", "new", 2)])
+    after = files()
+    assert {f: t for f, t in after.items() if "2024-01" in str(f) or "none" in str(f)} == {
+        f: t for f, t in before.items() if "2024-02" not in str(f)}
+    got = {(r.k, r.month): r.v for r in out.collect()}
+    want = {(f"k{i}", m): "old" for i in range(20) for m in ("2024-01", "2024-02")} | {("k", None): "old"}
+    assert got == want | {("k1", "2024-02"): "newer", ("k77", "2024-03"): "new"} and out.count() == len(got)
+
+
+def test_a_repeated_batch_of_events_is_sent_once(spark, tmp_path):
+    from tessera.operators.sinks import emit_events
+
+    for topic in ([], ["'x' AS topic"]):
+        path = str(tmp_path / f"events{len(topic)}")
+        for batch, n in (("a", 3), ("b", 2), ("a", 3)):
+            emit_events(spark.range(n).selectExpr(f"concat('{batch}', id) AS key", "'{}' AS value", *topic), path, batch=batch)
+        assert rows(spark.read.json(path), "key", "batch") == [("a0", "a"), ("a1", "a"), ("a2", "a"), ("b0", "b"), ("b1", "b")]
