@@ -21,10 +21,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..session import materialise, scratch_dir
 from .windows import latest_per_key
 
-#: Files that a rewritten partition is split into at most, by the hash of its keys.
-SPLITS = 32
-
-
 def _provider(spark: SparkSession, table: str) -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Provider")
     return rows.first()["data_type"].lower()
@@ -121,7 +117,8 @@ def upsert_partitions(path: str, updates: DataFrame, keys: Sequence[str], order_
         target = spark.read.schema(schema).parquet(path).where(F.col(part_col).isin(held))
         kept = target.join(latest.select(*keys), list(keys), "left_anti")
         latest = materialise(kept.unionByName(latest), "upsert-partitions")
-    (latest.repartition(part_col, F.pmod(F.xxhash64(*keys), F.lit(SPLITS))).write.mode("overwrite")
+    # AQE splits large partitions into files of its advisory size and leaves one file in small ones
+    (latest.hint("rebalance", part_col).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path))
     return spark.read.schema(schema).parquet(path)
 
