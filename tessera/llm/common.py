@@ -46,4 +46,13 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(key, before)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def drop_scratch(table: DataFrame) -> None:
+    """Remove what :func:`scratch_table` wrote, once no table still to be computed reads it."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
