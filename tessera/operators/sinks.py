@@ -21,9 +21,12 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..session import materialise, scratch_dir
 from .windows import latest_per_key
 
+def _described(spark: SparkSession, table: str, what: str) -> str:
+    return spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == what).first()["data_type"]
+
+
 def _provider(spark: SparkSession, table: str) -> str:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where(F.col("col_name") == "Provider")
-    return rows.first()["data_type"].lower()
+    return _described(spark, table, "Provider").lower()
 
 
 def create_or_merge(df: DataFrame, table: str, keys: Sequence[str], order_col: str, fmt: str = "parquet",
@@ -31,8 +34,11 @@ def create_or_merge(df: DataFrame, table: str, keys: Sequence[str], order_col: s
     """Create ``table`` from ``df`` if it does not exist, else merge ``df``
     into it by ``keys`` (:func:`upsert`: a new version of the table is written
     and the table then points to it). A table of another format is refused. A
-    concurrent creator turns the create into a merge. Returns "created" or
-    "merged"."""
+    concurrent creator turns the create into a merge. If another load has
+    pointed the table elsewhere while the new version was written, the merge
+    is done again on that version, so neither load is lost; only the moment
+    between this look and the swap is unguarded, as a catalog without row-level
+    commits has no compare-and-set. Returns "created" or "merged"."""
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         try:
@@ -43,8 +49,11 @@ def create_or_merge(df: DataFrame, table: str, keys: Sequence[str], order_col: s
                 raise
     if _provider(spark, table) != fmt.lower():
         raise ValueError(f"{table} is stored as {_provider(spark, table)}, not as {fmt}")
-    new_path = scratch_dir(spark, "table-version")
-    upsert_frame(spark.table(table), df, keys, order_col).write.format(fmt).save(new_path)
+    new_path, read = None, None
+    while new_path is None or _described(spark, table, "Location") != read:
+        new_path, read = scratch_dir(spark, "table-version"), _described(spark, table, "Location")
+        spark.catalog.refreshTable(table)
+        upsert_frame(spark.table(table), df, keys, order_col).write.format(fmt).save(new_path)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{new_path}'")
     spark.catalog.refreshTable(table)
     return "merged"

@@ -265,6 +265,30 @@ def test_tables_of_another_format_are_refused(spark, tmp_path):
     spark.sql("DROP TABLE merge_target")
 
 
+def test_a_merge_beside_another_loses_neither_load(spark, tmp_path, monkeypatch):
+    from tessera.operators import sinks
+
+    df = spark.createDataFrame([(1, "a", 1)], "k long, v string, _ts long")
+    mine = spark.createDataFrame([(2, "mine", 2)], df.schema)
+    other = spark.createDataFrame([(1, "other", 2), (3, "other", 2)], df.schema)
+    spark.sql("DROP TABLE IF EXISTS merge_race")
+    sinks.create_or_merge(df, "merge_race", ["k"], "_ts", location=str(tmp_path / "t"))
+    frame, calls = sinks.upsert_frame, []
+
+    def raced(*args):
+        calls.append(args)
+        out = frame(*args)
+        if len(calls) == 1:  # another load swaps the table while this one writes
+            sinks.create_or_merge(other, "merge_race", ["k"], "_ts")
+        return out
+
+    monkeypatch.setattr(sinks, "upsert_frame", raced)
+    assert sinks.create_or_merge(mine, "merge_race", ["k"], "_ts") == "merged"
+    assert len(calls) == 3
+    assert rows(spark.table("merge_race"), "k", "v") == [(1, "other"), (2, "mine"), (3, "other")]
+    spark.sql("DROP TABLE merge_race")
+
+
 def test_jdbc_reader_takes_the_query_as_a_table():
     from tessera.sources.tables import read_jdbc
 
