@@ -1,13 +1,14 @@
 """LM scoring by a hierarchical Pitman-Yor model.
 
-One restaurant per context (the word before, hashed to a bounded number of
-contexts) and one for all words, the parent that the contexts share; above it
-every word is equally likely. The customers of a restaurant are the words read
+One restaurant per context (the word before; the end of the text before stands
+before a text's first word) and one for all words, the parent that the contexts
+share; above it every word is equally likely. The customers of a restaurant are the words read
 in its context; each of its tables is a customer of the parent.
 
 All customers of a word, in every context and in the parent, are one row, so
-Gibbs sampling needs only that row and the restaurants' totals of tables, one
-per context, which are summed after every round. The customers of a word in a
+Gibbs sampling needs only that row and the totals of tables of its contexts,
+which are summed after every round and joined with the rows that ask for them.
+Words read once in a context sit at one table and ask for nothing. The customers of a word in a
 context leave together and are seated anew: of up to BIG customers only the
 number of tables matters, and it is drawn from its distribution given all
 other seats; of more, single customers drawn at random leave and sit down
@@ -15,9 +16,12 @@ again, table sizes kept. Then the parent's tables follow in the same way.
 Samples of the seating are averaged in the predictive probabilities.
 
 Words are dealt out by the word itself and streamed in sorted order: one
-shuffle for the counts, one that brings words and their places together, one
-that brings the sums back to the documents. No step holds more than a block of
-documents or the contexts of one word.
+shuffle for the counts, two small ones a round for the totals, one in which
+each block of documents asks the words for what it holds, one that brings the
+answers to the block. No step holds more than a block of documents or the
+contexts of one word, and only single numbers reach the driver. A given number
+of ``contexts``, which the word before is hashed to, keeps all totals in each
+task instead.
 """
 
 from __future__ import annotations
@@ -30,6 +34,7 @@ from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -39,8 +44,8 @@ from pyspark.sql import functions as F
 from tessera.llm.common import drop_scratch
 from tessera.llm.common import scratch_table as written
 
-#: Contexts that the word before is hashed to; one more is the start of a text. At most 65,535.
-CONTEXTS = 1 << 12
+#: Every word is a context of its own. A number (at most 65,535): contexts that the word before is hashed to; one more is the start of a text.
+CONTEXTS = None
 #: Rounds of Gibbs sampling after the first seating, each of them a sample.
 SAMPLES = 2
 SEED = 42
@@ -53,7 +58,7 @@ STEPS = 32
 #: Cells that a task draws together, as far as whole words allow.
 CELLS_AT_ONCE = 1 << 18
 #: Tokens after which a task closes a block of documents, and the documents a block holds at most.
-BLOCK, BLOCK_DOCS = 1 << 22, 1 << 16
+BLOCK, BLOCK_DOCS = 1 << 21, 1 << 16
 #: Places that a task sums up by document before it hands them on.
 PLACES = 1 << 21
 END = b""
@@ -61,7 +66,7 @@ END = b""
 #: Bytes of text that a task takes apart at once; a longer document is one piece.
 PIECE = 1 << 24
 
-BLOCKS = ("w binary, block long, n_train long, ctxs binary, learned binary, places binary, key string, doc int, n_tokens long, held boolean")
+BLOCKS = ("w binary, id long, block long, n_train long, ctxs binary, learned binary, places binary, key string, doc int, n_tokens long, held boolean")
 CELLS = "w binary, c long, ctx binary, n binary"
 STATE = "w binary, c long, ctx binary, n binary, t binary, sizes binary, root binary, t_sum binary, roots binary"
 
@@ -84,6 +89,15 @@ def _flat(column: pa.Array, dtype) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(raw.tobytes(), dtype), np.diff(offsets) // np.dtype(dtype).itemsize
 
 
+def _kind(contexts: int | None) -> type:
+    """Contexts are numbered, or they are the 64-bit ids of words."""
+    return np.uint64 if contexts is None else np.uint16
+
+
+def _ids(words: pa.Array) -> np.ndarray:
+    return pd.util.hash_array(np.array([*words.to_pylist(), None], object)[:-1], categorize=False)
+
+
 def _layout(cells: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Where rows of so many contexts and places hold, in bytes, their counts and the low and high bytes of their steps."""
     begin = np.cumsum(cells + 2 * places) - (cells + 2 * places)
@@ -142,7 +156,7 @@ class _Block:
         self.held += held
         self.size += len(tokens)
 
-    def rows(self, block: int, contexts: int) -> Iterator[pa.RecordBatch]:
+    def rows(self, block: int, contexts: int | None) -> Iterator[pa.RecordBatch]:
         coded = pa.concat_arrays(self.words).dictionary_encode()
         words = coded.dictionary
         lengths, tokens, held = np.concatenate(self.lengths), coded.indices.to_numpy()[np.concatenate(self.tokens)], np.array(self.held, bool)
@@ -150,42 +164,52 @@ class _Block:
         order = np.argsort(held, kind="stable")  # learned from, then held out
         doc = np.empty(n_docs, np.uint64)
         doc[order] = np.arange(n_docs, dtype=np.uint64)
-        of = np.fromiter(map(zlib.crc32, words.to_pylist()), np.uint64, n_words) % np.uint64(contexts)
+        bits = 16 if contexts is not None else 24
+        if n_words > 1 << 24:
+            raise ValueError("a block of documents has more than 2^24 different words")
+        if contexts is None:  # the block's own numbers until the places are sorted; END, the first word, is before a text
+            ids, of, start = _ids(words), np.arange(n_words, dtype=np.uint64), 0
+        else:
+            of, start = np.fromiter(map(zlib.crc32, words.to_pylist()), np.uint64, n_words) % np.uint64(contexts), contexts
         before = np.empty(len(tokens), np.uint64)
         before[1:] = of[tokens[:-1]]
-        before[np.cumsum(lengths) - lengths] = contexts
-        places = tokens.astype(np.uint64) << np.uint64(32) | before << np.uint64(16) | np.repeat(doc, lengths)
+        before[np.cumsum(lengths) - lengths] = start
+        places = tokens.astype(np.uint64) << np.uint64(16 + bits) | before << np.uint64(16) | np.repeat(doc, lengths)
         del tokens, before
         places.sort()
         cell = (places >> np.uint64(16)).astype(np.int64)
-        at = (places & np.uint64(0xFFFF)).astype(np.int64)
+        at = (places & np.uint64(0xFFFF)).astype(np.int32)
+        del places
         starts = np.nonzero(np.diff(cell, prepend=-1))[0]
         within = np.arange(len(at)) - np.repeat(starts, np.diff(starts, append=len(at)))
         starts = np.nonzero(within % 255 == 0)[0]  # a context of more places comes again, so a count is a byte
+        del within
         cell = cell[starts]
         n = np.diff(starts, append=len(at))
         learned = np.add.reduceat((at < n_docs - held.sum()).astype(np.int64), starts)
-        steps = np.diff(at, prepend=0)
+        steps = np.diff(at, prepend=np.int32(0))
         steps[starts] = at[starts]
-        word = cell >> 16
+        del at
+        word, ctx = cell >> bits, cell & ((1 << bits) - 1)
         cells, count = np.bincount(word, minlength=n_words), np.bincount(word, n, n_words).astype(np.int64)
         packed = np.empty(int(cells.sum() + 2 * count.sum()), np.uint8)
         for where, what in zip(_layout(cells, count), (n, steps & 0xFF, steps >> 8)):
             packed[where] = what
         yield pa.record_batch({
-            "w": words, "block": pa.array(np.full(n_words, block)), "n_train": pa.array(np.bincount(word, learned, n_words).astype(np.int64)),
-            "ctxs": _packed((cell & 0xFFFF).astype(np.uint16), cells), "learned": _packed(learned.astype(np.uint8), cells),
+            "w": words, "id": pa.array(ids.view(np.int64)) if contexts is None else pa.nulls(n_words, pa.int64()),
+            "block": pa.array(np.full(n_words, block)), "n_train": pa.array(np.bincount(word, learned, n_words).astype(np.int64)),
+            "ctxs": _packed(ids[ctx] if contexts is None else ctx.astype(np.uint16), cells), "learned": _packed(learned.astype(np.uint8), cells),
             "places": _packed(packed, cells + 2 * count),
             "key": pa.nulls(n_words, pa.string()), "doc": pa.nulls(n_words, pa.int32()), "n_tokens": pa.nulls(n_words, pa.int64()),
             "held": pa.nulls(n_words, pa.bool_())})
         none = pa.nulls(n_docs, pa.binary())
         yield pa.record_batch({
-            "w": none, "block": pa.array(np.full(n_docs, block)), "n_train": pa.nulls(n_docs, pa.int64()), "ctxs": none, "learned": none,
+            "w": none, "id": pa.nulls(n_docs, pa.int64()), "block": pa.array(np.full(n_docs, block)), "n_train": pa.nulls(n_docs, pa.int64()), "ctxs": none, "learned": none,
             "places": none, "key": pa.array([self.keys[i] for i in order.tolist()], pa.string()), "doc": pa.array(range(n_docs), pa.int32()),
             "n_tokens": pa.array(lengths[order].astype(np.int64)), "held": pa.array(held[order])})
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], contexts: int) -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterator[pa.RecordBatch], contexts: int | None) -> Iterator[pa.RecordBatch]:
     """(key, text, held) → a row for each word of a block with its contexts and places there, and one for each document.
 
     A word's places are sorted by context and document: the contexts, how
@@ -212,17 +236,17 @@ def _blocks(batches: Iterator[pa.RecordBatch], contexts: int) -> Iterator[pa.Rec
         yield from block.rows(part << 32 | number, contexts)
 
 
-def _context_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _context_counts(batches: Iterator[pa.RecordBatch], kind: type = np.uint16) -> Iterator[pa.RecordBatch]:
     """The contexts of each word of a block among the documents learned from, with their counts."""
     for batch in batches:
-        ctx, cells = _flat(batch["ctxs"], np.uint16)
+        ctx, cells = _flat(batch["ctxs"], kind)
         n = _flat(batch["learned"], np.uint8)[0]
         there = n > 0
         per = np.bincount(np.repeat(np.arange(len(cells)), cells)[there], minlength=len(cells))
         yield pa.record_batch({"w": batch["w"], "ctx": _packed(ctx[there], per), "n": _packed(n[there].astype(np.uint32), per)})
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _merged(batches: Iterator[pa.RecordBatch], kind: type = np.uint16) -> Iterator[pa.RecordBatch]:
     """Rows sorted by word → one row per word: c, and the counts of its contexts. The last word of a batch waits for the next one."""
     held: tuple | None = None  # word, its contexts, their counts
 
@@ -234,16 +258,19 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(batch):
             continue
         words = batch["w"]
-        ctx, per = _flat(batch["ctx"], np.uint16)
+        ctx, per = _flat(batch["ctx"], kind)
         n = _flat(batch["n"], np.uint32)[0].astype(np.int64)
         if held is not None:
             words = pa.concat_arrays([pa.array([held[0]], pa.binary()), words])
             ctx, n, per = np.concatenate([held[1], ctx]), np.concatenate([held[2], n]), np.concatenate([[len(held[1])], per])
         new = np.concatenate([[True], pc.not_equal(words[1:], words[:-1]).to_numpy(zero_copy_only=False)])
         first = np.nonzero(new)[0]
-        key, at = np.unique(np.repeat(np.cumsum(new) - 1, per) << 16 | ctx, return_inverse=True)
-        n, ctx = np.bincount(at, n).astype(np.int64), (key & 0xFFFF).astype(np.uint16)
-        per = np.bincount(key >> 16, minlength=len(first))
+        row = np.repeat(np.cumsum(new) - 1, per)
+        order = np.lexsort((ctx, row))
+        row, ctx = row[order], ctx[order]
+        starts = np.nonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (ctx[1:] != ctx[:-1])]))[0]
+        n, ctx = np.add.reduceat(n[order], starts), ctx[starts]
+        per = np.bincount(row[starts], minlength=len(first))
         last = int(per[-1])
         held = (words[int(first[-1])].as_py(), ctx[len(ctx) - last:], n[len(n) - last:])
         if len(first) > 1:
@@ -262,7 +289,7 @@ def _rows(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 
 class Restaurants:
-    """What a word's row needs of all others: tables and customers of every context and of the parent, discounts and vocabulary."""
+    """What a word's row needs of all others: tables and customers of every context (if they are numbered) and of the parent, discounts and vocabulary."""
 
     def __init__(self, customers: list[int], tables: list[int], parent_customers: int, parent_tables: int, discount: float, parent_discount: float,
                  vocabulary: int, tokens: int) -> None:
@@ -368,14 +395,15 @@ class Seats:
     """The seating of some words: t tables in each cell (word, context), and the parent's table sizes."""
 
     def __init__(self, every: Restaurants, seed: int, words: list[bytes], cells: np.ndarray, ctx: np.ndarray, n: np.ndarray, t: np.ndarray,
-                 sizes: dict[int, list[int]], roots: list[list[int]]) -> None:
+                 sizes: dict[int, list[int]], roots: list[list[int]], ones: np.ndarray | int = 0, tables: np.ndarray | None = None) -> None:
+        """``ones``: cells of one customer that a word has besides; ``tables``: those of each cell's context, where contexts are not numbered."""
         self.all, self.seed, self.words, self.ctx, self.n, self.t, self.sizes, self.roots = every, seed, words, ctx, n, t.copy(), sizes, roots
         self.of = np.repeat(np.arange(len(words)), cells)
         self.hash = np.array([zlib.crc32(w) << 32 | zlib.crc32(w[::-1]) for w in words], np.uint64)
-        self.n_root = np.bincount(self.of, self.t, len(words)).astype(np.int64)
+        self.n_root = np.bincount(self.of, self.t, len(words)).astype(np.int64) + ones
         self.began = self.n_root.copy()
         self.t_root = np.array([r[0] if k <= BIG_PARENT else len(r) for r, k in zip(roots, self.n_root.tolist())], np.int64)
-        self.others = np.array(every.tables, np.int64)[ctx] - self.t
+        self.others = (np.array(every.tables, np.int64)[ctx] if tables is None else tables) - self.t
 
     def parent(self, word: int, customers: int) -> float:
         return self.all.parent(customers, int(self.t_root[word]))
@@ -493,11 +521,14 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _sampled(batches: Iterator[pa.RecordBatch], every: Restaurants, seed: int, first: bool) -> Iterator[pa.RecordBatch]:
     """The first seating of words and a round over it, or one more round; the seating is added to the samples.
 
-    A word read once sits one way and is only copied.
+    A word read once sits one way and is only copied. Where contexts are not
+    numbered, rows bring the number of their cells of one customer, which are
+    not among the others, and the tables of the others' contexts.
     """
     every.ways, every.parent_ways = log_ways(BIG, every.discount), log_ways(BIG_PARENT, every.parent_discount)
     for batch in _gathered(batches):
-        once = batch["c"].to_numpy() == 1
+        exact = "ones" in batch.schema.names
+        once = (batch["c"].to_numpy() == 1) & (not exact)
         lone = batch.filter(pa.array(once))
         if len(lone):
             one, n = _packed(np.ones(len(lone), np.int64), np.ones(len(lone), np.int64)), len(lone)
@@ -510,8 +541,10 @@ def _sampled(batches: Iterator[pa.RecordBatch], every: Restaurants, seed: int, f
         rows = batch.filter(pa.array(~once))
         if not len(rows):
             continue
-        ctx, cells = _flat(rows["ctx"], np.uint16)
+        ctx, cells = _flat(rows["ctx"], np.uint64 if exact else np.uint16)
         n, _ = _flat(rows["n"], np.int64)
+        ones = rows["ones"].to_numpy() if exact else 0
+        tables = _flat(rows["tables"], np.int64)[0] if exact else None
         of = np.repeat(np.arange(len(rows)), cells)
         big = np.nonzero(n > BIG)[0].tolist()
         if first:
@@ -523,10 +556,11 @@ def _sampled(batches: Iterator[pa.RecordBatch], every: Restaurants, seed: int, f
                 sizes[i] = flat[at:at + int(t[i])]
                 at += int(t[i])
             roots = [np.frombuffer(r, np.int64).tolist() for r in rows["root"].to_pylist()]
-        seats = Seats(every, seed, rows["w"].to_pylist(), cells, ctx, n, t, sizes, roots)
+        seats = Seats(every, seed, rows["w"].to_pylist(), cells, ctx, n, t, sizes, roots, ones, tables)
         seats.round(first)
         if first:
-            seats = Seats(every, seed + (1 << 20), seats.words, cells, ctx, n, seats.t, seats.sizes, seats.roots)
+            tables = tables + seats.t - t if exact else None  # its own ones have changed
+            seats = Seats(every, seed + (1 << 20), seats.words, cells, ctx, n, seats.t, seats.sizes, seats.roots, ones, tables)
             seats.round(False)
         held = np.bincount(of[big], [len(seats.sizes[i]) for i in big], len(rows)).astype(np.int64) if big else np.zeros(len(rows), np.int64)
         flat = np.array([x for i in big for x in seats.sizes[i]], np.int64)
@@ -544,30 +578,33 @@ STATE_COLUMNS = tuple(f.split()[0] for f in STATE.split(", "))
 WORDS, TOKENS, ONCE, TWICE, PARENT, PARENT_TABLES, PARENT_ONCE, PARENT_TWICE = range(-8, 0)
 
 
-def _totals(batches: Iterator[pa.RecordBatch], contexts: int, state: bool) -> Iterator[pa.RecordBatch]:
-    """What a task's words add to the totals: (id, a, b), for each context its customers and tables."""
-    customers, tables, extra = np.zeros(contexts + 1, np.int64), np.zeros(contexts + 1, np.int64), defaultdict(int)
+def _totals(batches: Iterator[pa.RecordBatch], contexts: int | None, state: bool) -> Iterator[pa.RecordBatch]:
+    """What a task's words add to the totals: (id, a, b), for each numbered context its customers and tables."""
+    customers, tables, extra = np.zeros((contexts or 0) + 1, np.int64), np.zeros((contexts or 0) + 1, np.int64), defaultdict(int)
     for batch in batches:
-        ctx, per = _flat(batch["ctx"], np.uint16)
+        ctx, per = _flat(batch["ctx"], _kind(contexts))
         n, _ = _flat(batch["n"], np.int64)
         t = _flat(batch["t"], np.int64)[0] if state else np.ones_like(n)
-        np.add.at(customers, ctx, n)
-        np.add.at(tables, ctx, t)
+        ones = batch["ones"].to_numpy() if contexts is None else np.zeros(len(per), np.int64)
+        if contexts is not None:
+            np.add.at(customers, ctx, n)
+            np.add.at(tables, ctx, t)
+        per = per + ones
         extra[WORDS] += len(per)
-        extra[TOKENS] += int(n.sum())
-        extra[ONCE] += int((n == 1).sum())
+        extra[TOKENS] += int(n.sum() + ones.sum())
+        extra[ONCE] += int((n == 1).sum() + ones.sum())
         extra[TWICE] += int((n == 2).sum())
-        extra[PARENT] += int(t.sum())
+        extra[PARENT] += int(t.sum() + ones.sum())
         extra[PARENT_ONCE] += int((per == 1).sum())
         extra[PARENT_TWICE] += int((per == 2).sum())
-        extra[PARENT_TABLES] += _parent_tables(batch["t"], batch["root"]) if state else len(per)
+        extra[PARENT_TABLES] += _parent_tables(batch["t"], batch["root"], ones) if state else len(per)
     rows = [(k, int(customers[k]), int(tables[k])) for k in np.nonzero(customers)[0].tolist()] + [(k, v, 0) for k, v in extra.items()]
     yield _rows(rows, "id int, a long, b long")
 
 
-def _parent_tables(t: pa.Array, root: pa.Array) -> int:
+def _parent_tables(t: pa.Array, root: pa.Array, ones: np.ndarray) -> int:
     flat, per = _flat(t, np.int64)
-    customers = np.bincount(np.repeat(np.arange(len(per)), per), flat, len(per))
+    customers = np.bincount(np.repeat(np.arange(len(per)), per), flat, len(per)) + ones
     sizes, tables = _flat(root, np.int64)
     counted = customers <= BIG_PARENT  # of these the number is kept, of others the sizes
     return int(tables[~counted].sum()) + int(sizes[(np.cumsum(tables) - tables)[counted]].sum())
@@ -577,12 +614,12 @@ def _discount(once: int, twice: int) -> float:
     return min(0.95, max(0.05, once / (once + 2 * twice))) if once + twice else 0.5
 
 
-def restaurants(rows: DataFrame, contexts: int, state: bool) -> Restaurants:
-    """The totals of cells or of a state: at most ``contexts`` + 9 rows reach the driver."""
+def restaurants(rows: DataFrame, contexts: int | None, state: bool) -> Restaurants:
+    """The totals of cells or of a state: at most ``contexts`` + 9 rows reach the driver, 8 without numbered contexts."""
     parts = rows.mapInArrow(partial(_totals, contexts=contexts, state=state), "id int, a long, b long")
     got = {r[0]: (r[1], r[2]) for r in parts.groupBy("id").agg(F.sum("a"), F.sum("b")).collect()}
     extra = {k: got.get(k, (0, 0))[0] for k in range(-8, 0)}
-    by = [got.get(k, (0, 0)) for k in range(contexts + 1)]
+    by = [got.get(k, (0, 0)) for k in range(contexts + 1)] if contexts is not None else []
     return Restaurants([a for a, _ in by], [b for _, b in by], extra[PARENT], extra[PARENT_TABLES], _discount(extra[ONCE], extra[TWICE]),
                        _discount(extra[PARENT_ONCE], extra[PARENT_TWICE]), extra[WORDS], extra[TOKENS])
 
@@ -591,7 +628,7 @@ def _sorted(df: DataFrame, *by: str) -> DataFrame:
     return df.repartition(by[0]).sortWithinPartitions(*by)
 
 
-def learned(blocks: DataFrame, contexts: int = CONTEXTS, samples: int = SAMPLES, seed: int = SEED) -> tuple[DataFrame, list[Restaurants]]:
+def learned(blocks: DataFrame, contexts: int, samples: int = SAMPLES, seed: int = SEED) -> tuple[DataFrame, list[Restaurants]]:
     """The words' last state, with the sums of their samples, and the totals of each sample."""
     found = blocks.filter("n_train > 0").select("w", "ctxs", "learned").mapInArrow(_context_counts, "w binary, ctx binary, n binary")
     cells = written(_sorted(found, "w").mapInArrow(_merged, CELLS), "lm-cells")
@@ -746,8 +783,226 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", contexts: int = CONTEXTS, samples: int = SAMPLES,
-              seed: int = SEED) -> DataFrame:
+WORD_CELLS = "w binary, id long, chunk long, c long, ones long, once binary, ctx binary, n binary"
+WORD_STATE = STATE + ", id long, chunk long, ones long"
+
+
+def _parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Merged rows with the contexts of one customer apart. The rows of a batch are a chunk, which asks for its contexts together."""
+    part = TaskContext.get().partitionId()
+    for k, batch in enumerate(batches):
+        ctx, per = _flat(batch["ctx"], np.uint64)
+        n, _ = _flat(batch["n"], np.int64)
+        of, one, rows = np.repeat(np.arange(len(per)), per), n == 1, len(per)
+        ones = np.bincount(of[one], minlength=rows)
+        more = np.bincount(of[~one], minlength=rows)
+        yield pa.record_batch({
+            "w": batch["w"], "id": pa.array(_ids(batch["w"]).view(np.int64)), "chunk": pa.array(np.full(rows, part << 32 | k)), "c": batch["c"],
+            "ones": pa.array(ones), "once": _packed(ctx[one], ones), "ctx": _packed(ctx[~one], more), "n": _packed(n[~one], more)})
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, packed contexts) → the different pairs of them."""
+    for batch in batches:
+        ctx, per = _flat(batch["ctx"], np.uint64)
+        pairs = pd.DataFrame({"ctx": ctx.view(np.int64), "chunk": np.repeat(batch["chunk"].to_numpy(), per)}).drop_duplicates()
+        yield pa.RecordBatch.from_pandas(pairs, preserve_index=False)
+
+
+def _by_context(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(packed contexts, customers, tables) → (ctx, a, b) summed over the batch; without customers each cell is one, at one table."""
+    for batch in batches:
+        ctx, _ = _flat(batch["ctx"], np.uint64)
+        a = _flat(batch["n"], np.int64)[0] if "n" in batch.schema.names else np.ones(len(ctx), np.int64)
+        b = _flat(batch["t"], np.int64)[0] if "t" in batch.schema.names else np.ones(len(ctx), np.int64)
+        ids, at = np.unique(ctx, return_inverse=True)
+        sums = [np.bincount(at, x, len(ids)).astype(np.int64) for x in (a, b)]
+        yield pa.record_batch({"ctx": pa.array(ids.view(np.int64)), "a": pa.array(sums[0]), "b": pa.array(sums[1])})
+
+
+def _context_totals(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("ctx").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+
+
+def learned_words(blocks: DataFrame, samples: int = SAMPLES, seed: int = SEED) -> tuple[DataFrame, list[Restaurants]]:
+    """With every word as a context: a row for each learned word, (id, c, vals, ctx, h), and the totals of each sample.
+
+    vals: the word's customers as a context, then by sample its tables as a
+    context and its probability in the parent; ctx, h: its contexts and what
+    its own seats there add, summed over the samples.
+    """
+    sums = "ctx long, a long, b long"
+    found = blocks.filter("n_train > 0").select("w", "ctxs", "learned").mapInArrow(partial(_context_counts, kind=np.uint64), "w binary, ctx binary, n binary")
+    cells = written(_sorted(found, "w").mapInArrow(partial(_merged, kind=np.uint64), CELLS).mapInArrow(_parted, WORD_CELLS), "lm-cells")
+    once = written(_context_totals(cells.select(F.col("once").alias("ctx")).mapInArrow(_by_context, sums)), "lm-once")
+    first = restaurants(cells, None, False)
+    state, last, kept, totals = cells.drop("once"), None, [], []
+    for k in range(samples):
+        every = kept[-1] if kept else first
+        now = totals[-1] if totals else _context_totals(state.select("ctx", "n").mapInArrow(_by_context, sums).unionByName(once))
+        answers = state.select("chunk", "ctx").mapInArrow(_asked, "ctx long, chunk long").join(now.select("ctx", "b"), "ctx").select("chunk", "ctx", "b")
+
+        state = written(state.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_seating(every, seed + k, not kept), WORD_STATE), "lm-seats")
+        if last is not None:
+            drop_scratch(last)
+        last = state
+        totals.append(written(_context_totals(state.select("ctx", "n", "t").mapInArrow(_by_context, sums).unionByName(once)), "lm-tables"))
+        now = restaurants(state, None, True)
+        now.discount, now.parent_discount = first.discount, first.parent_discount
+        kept.append(now)
+    named = state.join(cells.select("w", "once"), "w")
+    for k, t in enumerate(totals):
+        named = named.join(t.select(F.col("ctx").alias("id"), *([F.col("a")] if k == 0 else []), F.col("b").alias(f"b{k}")), "id", "left")
+    words = written(named.mapInArrow(partial(_worded, kept=kept), "id long, c long, vals binary, ctx binary, h binary"), "lm-words")
+    for t in (cells, once, last, *totals):
+        drop_scratch(t)
+    return words, kept
+
+
+def _seating(every: Restaurants, seed: int, first: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """One chunk's words, and the tables of the contexts they ask for → the words after a round."""
+
+    def seated(rows: pa.Table, tables: pa.Table) -> pa.Table:
+        batch = rows.combine_chunks().to_batches()[0]
+        ctx, per = _flat(batch["ctx"], np.uint64)
+        known, b = tables["ctx"].to_numpy().view(np.uint64), tables["b"].to_numpy()
+        order = np.argsort(known)
+        theirs = b[order][np.searchsorted(known, ctx, sorter=order)] if len(ctx) else np.zeros(0, np.int64)
+        out = next(_sampled(iter([batch.append_column("tables", _packed(theirs, per))]), every, seed, first))
+        return pa.Table.from_batches([pa.record_batch([*out.columns, batch["id"], batch["chunk"], batch["ones"]], names=[*STATE_COLUMNS, "id", "chunk", "ones"])])
+
+    return seated
+
+
+def _worded(batches: Iterator[pa.RecordBatch], kept: list[Restaurants]) -> Iterator[pa.RecordBatch]:
+    samples, d = len(kept), kept[0].discount
+    for batch in batches:
+        rows = len(batch)
+        roots = _flat(batch["roots"], np.int64)[0].reshape(rows, samples, 2)
+        here = [batch[k].fill_null(0).to_numpy() for k in ("a", *[f"b{k}" for k in range(samples)])]
+        vals = np.stack([*here, *[r.parent(roots[:, k, 0], roots[:, k, 1]) for k, r in enumerate(kept)]], axis=1).astype(np.float64)
+        one, ones = _flat(batch["once"], np.uint64)
+        ctx, per = _flat(batch["ctx"], np.uint64)
+        n, t = _flat(batch["n"], np.int64)[0], _flat(batch["t_sum"], np.int64)[0]
+        order = np.argsort(np.concatenate([np.repeat(np.arange(rows), ones), np.repeat(np.arange(rows), per)]), kind="stable")
+        h = np.concatenate([np.full(len(one), samples * (1 - d)), samples * n - d * t])
+        yield pa.record_batch({"id": batch["id"], "c": batch["c"], "vals": _packed(vals.ravel(), np.full(rows, vals.shape[1])),
+                               "ctx": _packed(np.concatenate([one, ctx])[order], ones + per), "h": _packed(h[order], ones + per)})
+
+
+def _pair(ctx: np.ndarray, of: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return ctx ^ (of.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _answered(batches: Iterator[pa.RecordBatch], kept: list[Restaurants]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by the word's id, what was learned of it before the blocks that hold it → (block, id, c, vals, h by the block's cells)."""
+    samples = len(kept)
+    width = 1 + 2 * samples
+    none = np.array([0] * (1 + samples) + [r.parent(0, 0) for r in kept], np.float64)
+    last_id, last = None, (0, none, np.zeros(0, np.uint64), np.zeros(0))  # the word at hand goes over the ends of batches
+    for batch in batches:
+        if not len(batch):
+            continue
+        ids, number = batch["id"].to_numpy(), batch["number"].to_numpy()
+        known = number < 0
+        new = batch.filter(pa.array(known))
+        ctx, per = _flat(new["ctx"], np.uint64)
+        c = np.concatenate([[last[0], 0], new["c"].to_numpy()])
+        vals = np.concatenate([last[1][None], none[None], _flat(new["vals"], np.float64)[0].reshape(-1, width)])
+        sizes = np.concatenate([[len(last[2]), 0], per])
+        ctx, h = np.concatenate([last[2], ctx]), np.concatenate([last[3], _flat(new["h"], np.float64)[0]])
+        at = np.concatenate([[-1], np.nonzero(known)[0]])[np.cumsum(known)]  # the last row of a word up to here
+        of = np.where((at >= 0) & (ids[at] == ids), np.cumsum(known) + 1, np.where(ids == last_id if last_id is not None else False, 0, 1))
+        s, ends = int(of[-1]), np.cumsum(sizes)
+        one = slice(int(ends[s] - sizes[s]), int(ends[s]))
+        last_id, last = ids[-1], (int(c[s]), vals[s], ctx[one], h[one])
+        asks = np.nonzero(~known)[0]
+        if not len(asks):
+            continue
+        rows = batch.take(pa.array(asks))
+        wanted, cells = _flat(rows["ctx"], np.uint64)
+        word = of[asks]
+        mine, theirs = np.repeat(np.arange(len(c)), sizes), np.repeat(word, cells)
+        key, want = _pair(ctx, mine), _pair(wanted, theirs)
+        order = np.argsort(key)
+        found = np.searchsorted(key, want, sorter=order)
+        found[found == len(key)] = 0
+        got = np.zeros(len(want))
+        if len(key):
+            at = order[found]
+            hit = (ctx[at] == wanted) & (mine[at] == theirs)
+            got[hit] = h[at[hit]]
+        yield pa.record_batch({"block": rows["number"], "id": rows["id"], "c": pa.array(c[word].astype(np.int64)),
+                               "vals": _packed(vals[word].ravel(), np.full(len(word), width)), "h": _packed(got, cells)})
+
+
+FOUND = "key string, n_tokens long, held boolean, score double, base_score double, n_known long"
+
+
+def _scored_block(rows: pa.Table, answers: pa.Table, kept: list[Restaurants]) -> pa.Table:
+    """A block's places and documents, and what was learned of its words → its documents with their sums."""
+    samples, d = len(kept), kept[0].discount
+    n_all, v = kept[0].tokens, kept[0].vocabulary
+    heads = rows.filter(pc.is_null(rows["w"])).select(["doc", "key", "n_tokens", "held"]).sort_by("doc")
+    words = rows.filter(pc.is_valid(rows["w"])).sort_by("id").combine_chunks().to_batches()[0]
+    said = answers.sort_by("id").combine_chunks().to_batches()[0]
+    ids = words["id"].to_numpy().view(np.uint64)
+    ctxs, cells = _flat(words["ctxs"], np.uint64)
+    raw, size = _flat(words["places"], np.uint8)
+    count, low, high = _layout(cells, (size - cells) // 2)
+    n = raw[count].astype(np.int64)
+    docs = _unstepped(raw[low] | raw[high].astype(np.uint16) << 8, n)
+    of = np.repeat(np.arange(len(ids)), cells)
+    signed = np.argsort(ids)
+    before = signed[np.searchsorted(ids, ctxs, sorter=signed)]  # every context is a word of the block
+    vals = _flat(said["vals"], np.float64)[0].reshape(len(ids), -1)
+    p = _flat(said["h"], np.float64)[0].copy()
+    for k in range(samples):
+        p += (STRENGTH + d * vals[:, 1 + k])[before] * vals[:, 1 + samples + k][of]
+    p /= samples * (STRENGTH + vals[:, 0][before])
+    c = said["c"].to_numpy()
+    base = np.log10((c + 0.5) / (n_all + 0.5 * (v + 1)))
+    of, every = np.repeat(of, n), len(heads)
+    score, base, known = (np.bincount(docs, x, every) for x in (np.repeat(np.log10(p), n), base[of], (c > 0)[of]))
+    return pa.table({"key": heads["key"], "n_tokens": heads["n_tokens"], "held": heads["held"], "score": pa.array(score), "base_score": pa.array(base),
+                     "n_known": pa.array(np.rint(known).astype(np.int64))})
+
+
+def _by_words(blocks: DataFrame, samples: int, seed: int) -> tuple[DataFrame, int]:
+    """Every word is a context: documents with their sums, and the number of tokens learned from."""
+    words, kept = learned_words(blocks, samples, seed)
+    asks = blocks.filter("w is not null").select("id", F.col("block").alias("number"), F.lit(None).cast("long").alias("c"), F.lit(None).cast("binary").alias("vals"),
+                                                 F.col("ctxs").alias("ctx"), F.lit(None).cast("binary").alias("h"))
+    said = words.select("id", F.lit(-1).cast("long").alias("number"), "c", "vals", "ctx", "h")
+    answers = written(_sorted(said.unionByName(asks), "id", "number").mapInArrow(partial(_answered, kept=kept), "block long, id long, c long, vals binary, h binary"),
+                      "lm-answers")
+    drop_scratch(words)
+
+    def scored(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        return _scored_block(rows, answers, kept)
+
+    held = blocks.select("block", "w", "id", "ctxs", "places", "doc", "key", "n_tokens", "held")
+    return held.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scored, FOUND), kept[0].tokens
+
+
+def _by_numbers(blocks: DataFrame, contexts: int, samples: int, seed: int) -> tuple[DataFrame, int]:
+    """Contexts are numbered: documents with their sums, and the number of tokens learned from."""
+    state, kept = learned(blocks, contexts, samples, seed)
+    none = lambda kind: F.lit(None).cast(kind)
+    words = state.select("w", (-F.col("c")).alias("number"), "ctx", F.concat("n", "t_sum", "roots").alias("b")).mapInArrow(
+        _narrow, "w binary, number long, ctx binary, b binary")
+    places = blocks.filter("w is not null").select("w", F.col("block").alias("number"), F.col("ctxs").alias("ctx"), F.col("places").alias("b"))
+    sums = _sorted(words.unionByName(places), "w", "number").mapInArrow(partial(_scored, contexts=contexts, kept=kept),
+                                                                      "block long, docs binary, score binary, base binary, known binary")
+    heads = blocks.filter("w is null").select("block", "doc", "key", "n_tokens", "held", *[none("binary").alias(c) for c in ("docs", "score", "base", "known")])
+    both = heads.unionByName(sums.select("block", none("int").alias("doc"), none("string").alias("key"), none("long").alias("n_tokens"), none("boolean").alias("held"),
+                                         "docs", "score", "base", "known"))
+    return both.repartition("block").sortWithinPartitions("block", F.col("doc").asc_nulls_last()).mapInArrow(_summed, FOUND), kept[0].tokens
+
+
+def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", contexts: int | None = CONTEXTS,
+              samples: int = SAMPLES, seed: int = SEED) -> DataFrame:
     """One row per document: (id, held_out, n_tokens, n_known, train_tokens, base_score, score).
 
     Tokens are the words of the whole lower-cased (A-Z) text and one end.
@@ -761,18 +1016,7 @@ def lm_scores(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_co
     key = F.coalesce(F.concat(F.lit("="), docs[f"`{id_col}`"].cast("string")), F.lit(""))
     rows = docs.select(key.alias("key"), docs[f"`{text_col}`"].cast("string").alias("text"), F.coalesce(held_out, F.lit(False)).alias("held"))
     blocks = written(rows.mapInArrow(partial(_blocks, contexts=contexts), BLOCKS), "lm-blocks")
-    state, kept = learned(blocks, contexts, samples, seed)
-    none = lambda kind: F.lit(None).cast(kind)
-    words = state.select("w", (-F.col("c")).alias("number"), "ctx", F.concat("n", "t_sum", "roots").alias("b")).mapInArrow(
-        _narrow, "w binary, number long, ctx binary, b binary")
-    places = blocks.filter("w is not null").select("w", F.col("block").alias("number"), F.col("ctxs").alias("ctx"), F.col("places").alias("b"))
-    sums = _sorted(words.unionByName(places), "w", "number").mapInArrow(partial(_scored, contexts=contexts, kept=kept),
-                                                                      "block long, docs binary, score binary, base binary, known binary")
-    heads = blocks.filter("w is null").select("block", "doc", "key", "n_tokens", "held", *[none("binary").alias(c) for c in ("docs", "score", "base", "known")])
-    both = heads.unionByName(sums.select("block", none("int").alias("doc"), none("string").alias("key"), none("long").alias("n_tokens"), none("boolean").alias("held"),
-                                         "docs", "score", "base", "known"))
-    found = both.repartition("block").sortWithinPartitions("block", F.col("doc").asc_nulls_last()).mapInArrow(
-        _summed, "key string, n_tokens long, held boolean, score double, base_score double, n_known long")
+    found, train_tokens = _by_words(blocks, samples, seed) if contexts is None else _by_numbers(blocks, contexts, samples, seed)
     kind = docs.schema[id_col].dataType
     return found.select(F.when(F.col("key") != "", F.substr("key", F.lit(2)).cast(kind)).cast(kind).alias(id_col), F.col("held").alias("held_out"),
-                        "n_tokens", "n_known", F.lit(kept[0].tokens).cast("long").alias("train_tokens"), "base_score", "score")
+                        "n_tokens", "n_known", F.lit(train_tokens).cast("long").alias("train_tokens"), "base_score", "score")

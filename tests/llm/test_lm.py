@@ -277,3 +277,60 @@ def test_a_context_of_more_places_than_a_byte_counts(spark):
     assert got[1]["train_tokens"] == 1005 and got[3]["n_known"] == 301
     assert got[1]["base_score"] == pytest.approx(1000 * math.log10(1002.5 / 1007) + math.log10(2.5 / 1007))
     assert -6 < got[3]["score"] < -3  # all but the first word and the end are nearly sure
+
+
+def test_every_word_is_a_context_of_its_own(spark):
+    """Two words that any hash to 4,096 contexts took for one are told apart."""
+    first, seen = None, {}
+    for i in range(100_000):
+        other = seen.setdefault(zlib.crc32(f"w{i}".encode()) % 4096, f"w{i}")
+        if other != f"w{i}":
+            first, second = other, f"w{i}"
+            break
+    rows = [(i, f"{first} left" if i % 2 else f"{second} right") for i in range(400)] + [(1000, f"{first} left"), (1001, f"{first} right")]
+    got = {r["doc_id"]: r["score"] for r in lm.lm_scores(spark.createDataFrame(rows, SCHEMA), F.col("doc_id") >= 1000).collect()}
+    assert got[1000] > got[1001] + 1
+
+
+def test_scores_equal_the_averaged_predictive_with_every_word_as_context(spark, monkeypatch):
+    rnd = random.Random(8)
+    rows = [(i, " ".join(rnd.choices(["the", "cat", "Dog", "sat", "on", f"x{i % 9}"], weights=[9, 4, 4, 3, 2, 1], k=rnd.choice([0, 1, 7, 60])))) for i in range(120)] + [(999, None)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    held = F.col("doc_id") % 7 == 5
+    monkeypatch.setattr(lm, "BLOCK", 600)
+    got = {r["doc_id"]: r for r in lm.lm_scores(df, held).collect()}
+    key = df.select(F.col("doc_id").cast("string").alias("key"), "text", held.alias("held"))
+    blocks = lm.written(key.mapInArrow(lambda b: lm._blocks(b, None), lm.BLOCKS), "b")
+    words, kept = lm.learned_words(blocks, 2)
+    number = lambda w: int(lm._ids(pa.array([w.encode()], pa.binary()))[0])
+    cells, customers = Counter(), Counter()
+    for i, t in rows:
+        for last, w in zip(["", *tokens_of(t)], tokens_of(t)):
+            if i % 7 != 5:
+                cells[number(last), number(w)] += 1
+                customers[number(last)] += 1
+    learned, n_cells = {}, 0
+    for r in words.collect():
+        vals, ctx, h = (np.frombuffer(r[k], kind) for k, kind in (("vals", np.float64), ("ctx", np.uint64), ("h", np.float64)))
+        w = r["id"] % (1 << 64)
+        learned[w] = (vals, dict(zip(ctx.tolist(), h.tolist())))
+        n_cells += len(ctx)
+        assert vals[0] == customers[w] and r["c"] == sum(n for (_, b), n in cells.items() if b == w)
+    assert n_cells == len(cells) and all(c in learned[w][1] for c, w in cells)
+    d = kept[0].discount
+    for (c, w), n in cells.items():  # between one table and as many as customers in each of the two samples
+        assert 2 * n * (1 - d) - 1e-9 <= learned[w][1][c] <= 2 * (n - d) + 1e-9
+    for w in learned:  # the tables of a context are those of its cells
+        own = sum((2 * n - learned[b][1][c]) / d for (c, b), n in cells.items() if c == w)
+        assert own == pytest.approx(learned[w][0][1] + learned[w][0][2])
+    unknown = (np.array([0, 0, 0, *[k.parent(0, 0) for k in kept]]), {})
+
+    def p(c, w):
+        (n, *tables), (vals, hits) = learned.get(c, unknown)[0][:3], learned.get(w, unknown)
+        return (sum((1 + d * t) * up for t, up in zip(tables, vals[3:])) + hits.get(c, 0)) / 2 / (1 + n)
+
+    for c in learned:
+        assert sum(p(c, w) for w in learned) + p(c, -1) == pytest.approx(1)
+    for i, t in rows:
+        want = sum(math.log10(p(number(a), number(b))) for a, b in zip(["", *tokens_of(t)], tokens_of(t)))
+        assert got[i]["score"] == pytest.approx(want, rel=1e-9) and got[i]["n_tokens"] == len(tokens_of(t))
