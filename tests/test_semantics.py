@@ -599,3 +599,14 @@ def test_a_repeated_batch_of_events_is_sent_once(spark, tmp_path):
         for batch, n in (("a", 3), ("b", 2), ("a", 3)):
             emit_events(spark.range(n).selectExpr(f"concat('{batch}', id) AS key", "'{}' AS value", *topic), path, batch=batch)
         assert rows(spark.read.json(path), "key", "batch") == [("a0", "a"), ("a1", "a"), ("a2", "a"), ("b0", "b"), ("b1", "b")]
+
+
+def test_events_are_written_compressed(spark, tmp_path):
+    from tessera.operators.sinks import emit_events
+
+    events = spark.range(1000).selectExpr("cast(id AS string) AS key", "concat(repeat('name', 50), id) AS value", "concat('t', id % 2) AS topic")
+    for name, df in (("plain", events.drop("topic")), ("topics", events)):
+        emit_events(df, str(tmp_path / name), batch="b")
+        files = [f for f in (tmp_path / name).rglob("part-*")]
+        assert files and all(f.name.endswith(".json.gz") for f in files) and sum(f.stat().st_size for f in files) < 60_000
+        assert rows(spark.read.json(str(tmp_path / name)), "key", "value") == sorted((str(i), "name" * 50 + str(i)) for i in range(1000))
