@@ -2,7 +2,7 @@
 
 Fixed-stride chunking is pure Spark (``sequence`` + ``substring`` +
 ``posexplode``). HTML parsing and separator-aware chunking need real parsing,
-so they run as Arrow-batched ``mapInPandas`` jobs with small stdlib helpers;
+so they run as Arrow-batched jobs with small stdlib helpers;
 Spark still partitions the pages/documents and every text is processed whole.
 """
 
@@ -11,7 +11,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +26,8 @@ CHUNK_OVERLAP = 200
 SEPARATORS = ("\n\n", "\n", " ", "")
 LINK_SKIP_PREFIXES = ("mailto:", "javascript:")
 LINK_PATTERN = r"(?i)<a\s[^>]*?href\s*=\s*(\"[^\"]*\"|'[^']*')"
+#: Bytes of text whose chunks a task holds at once; a longer document is one piece.
+PIECE = 1 << 22
 VECTOR_LETTERS = "abcdefghilmnoprs"
 ORIGIN_PATTERN = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)"
 # ------------------------------------------------------------------------------
@@ -154,12 +159,17 @@ def split_spans(text: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP,
 
 def chunk_recursive(df: DataFrame, id_col: str, text_col: str, size: int = CHUNK_SIZE,
                     overlap: int = CHUNK_OVERLAP) -> DataFrame:
-    """H19 (separator-aware variant) as an Arrow job over whole texts."""
+    """H19 (separator-aware variant) as an Arrow job over whole texts, in runs of documents of about PIECE bytes."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
+    def pieces(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        n = pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        cuts = [0, *(np.nonzero(np.diff((np.cumsum(n) - n) // PIECE))[0] + 1).tolist(), len(b)]
+        return (b.slice(lo, hi - lo) for lo, hi in zip(cuts[:-1], cuts[1:]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (p for batch in batches for p in pieces(batch)):
             ids, nos, starts, chunks = [], [], [], []
-            for key, text in zip(b[id_col], b[text_col]):
+            for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if not text:
                     continue
                 for j, (lo, hi) in enumerate(split_spans(text, size, overlap)):
@@ -167,11 +177,11 @@ def chunk_recursive(df: DataFrame, id_col: str, text_col: str, size: int = CHUNK
                     nos.append(j)
                     starts.append(lo)
                     chunks.append(text[lo:hi])
-            yield pd.DataFrame({id_col: pd.Series(ids, dtype="int64"), "chunk_no": pd.Series(nos, dtype="int32"),
-                                "start_index": pd.Series(starts, dtype="int64"), "chunk": pd.Series(chunks, dtype=object)})
+            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(nos, pa.int32()), pa.array(starts, pa.int64()), pa.array(chunks, pa.string())],
+                                  names=[id_col, "chunk_no", "start_index", "chunk"])
 
     schema = f"{id_col} bigint, chunk_no int, start_index bigint, chunk string"
-    return df.select(F.col(id_col).cast("bigint").alias(id_col), text_col).mapInPandas(run, schema)
+    return df.select(F.col(id_col).cast("bigint").alias(id_col), F.col(text_col).cast("string")).mapInArrow(run, schema)
 
 
 def chunk_report(df: DataFrame, chunks: DataFrame, id_col: str, text_col: str, size: int = CHUNK_SIZE) -> DataFrame:

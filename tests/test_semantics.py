@@ -610,3 +610,18 @@ def test_events_are_written_compressed(spark, tmp_path):
         files = [f for f in (tmp_path / name).rglob("part-*")]
         assert files and all(f.name.endswith(".json.gz") for f in files) and sum(f.stat().st_size for f in files) < 60_000
         assert rows(spark.read.json(str(tmp_path / name)), "key", "value") == sorted((str(i), "name" * 50 + str(i)) for i in range(1000))
+
+
+def test_recursive_chunks_are_handed_on_in_pieces(spark, monkeypatch):
+    import pyarrow as pa
+
+    df = spark.createDataFrame([(1, "x")], "doc_id bigint, text string")
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, schema: f, raising=False)
+    run = text.chunk_recursive(df, "doc_id", "text")
+    texts = ["word " * 200_000, None, ""] * 40
+    batch = pa.record_batch({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    got, largest = 0, 0
+    for out in run(iter([batch])):
+        got, largest = got + len(out), max(largest, out.nbytes)
+        assert all(c == texts[i][s:s + len(c)] for i, s, c in zip(*(out.column(k).to_pylist()[:50] for k in (0, 2, 3))))
+    assert got == 40 * len(text.split_spans(texts[0])) and largest < 10_000_000
