@@ -612,6 +612,23 @@ def test_events_are_written_compressed(spark, tmp_path):
         assert rows(spark.read.json(str(tmp_path / name)), "key", "value") == sorted((str(i), "name" * 50 + str(i)) for i in range(1000))
 
 
+def test_payments_are_computed_once(spark):
+    """Judging the payments does not parse them a second time."""
+    from tessera.operators import payloads
+
+    parsed = spark.sparkContext.accumulator(0)
+
+    def parse(i):
+        parsed.add(1)
+        return f"i{i}"
+
+    paid = spark.range(20).select(F.col("id").alias("event_id"), F.lit("e").alias("ec"), F.udf(parse, "string")("id").alias("iuv"), F.lit("c").alias("ccp"))
+    results = spark.createDataFrame([(1, "e", "i3", "c", "KO"), (0, "e", "i4", "c", "OK"), (1, "e", "i4", "c", "KO")],
+                                    "inserted_ts long, id_dominio string, iuv string, ccp string, outcome string").withColumn("event_id", F.col("inserted_ts"))
+    assert rows(payloads.exclude_ko(paid, results), "event_id") == [(i,) for i in range(20) if i != 3]
+    assert parsed.value == 20
+
+
 def test_recursive_chunks_are_handed_on_in_pieces(spark, monkeypatch):
     import pyarrow as pa
 
