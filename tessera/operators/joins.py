@@ -151,6 +151,10 @@ def prefix_residual_join(left: DataFrame, right: DataFrame, left_key: str, right
                          text_col: str, prefix_col: str) -> DataFrame:
     """Equi-join on the keys plus ``left.text startswith right.prefix`` as a
     residual of the same hash join (no nested-loop join is planned). The
-    prefix is used as stored (unpadded), as the source does."""
-    cond = (left[left_key] == right[right_key]) & left[text_col].startswith(right[prefix_col].cast("string"))
-    return left.join(right, cond, "inner")
+    prefix is used as stored (unpadded), as the source does. Texts are tried
+    against the different prefixes of their key, however many rows of ``right``
+    share one; only what starts with a prefix then meets those rows."""
+    prefix = right[prefix_col].cast("string")
+    tried = right.select(right[right_key].alias("_key"), prefix.alias("_prefix")).distinct()
+    hits = left.join(tried, (left[left_key] == F.col("_key")) & left[text_col].startswith(F.col("_prefix")), "inner")
+    return hits.join(right, (F.col("_key") == right[right_key]) & (F.col("_prefix") == prefix), "inner").drop("_key", "_prefix")

@@ -629,6 +629,18 @@ def test_payments_are_computed_once(spark):
     assert parsed.value == 20
 
 
+def test_prefixes_shared_by_rows_are_tried_once(spark):
+    left = spark.createDataFrame([(1, "a", "12x"), (1, "a", "12x"), (2, "a", "1"), (3, "b", "12"), (4, None, "12"), (5, "a", None), (6, "a", "2")], "id int, k string, t string")
+    right = spark.createDataFrame([("a", 1, "r1"), ("a", 1, "r1"), ("a", 12, "r2"), ("a", None, "r3"), (None, 1, "r4"), ("c", 1, "r5")], "o string, p int, r string")
+    out = joins.prefix_residual_join(left, right, "k", "o", "t", "p")
+    assert out.columns == ["id", "k", "t", "o", "p", "r"]
+    assert rows(out.select(left.id, "r", "p"), "id", "r", "p") == [(1, "r1", 1)] * 4 + [(1, "r2", 12)] * 2 + [(2, "r1", 1)] * 2
+    many = left.crossJoin(spark.range(200).select(F.col("id").alias("n")))
+    wide = right.crossJoin(spark.range(300).select(F.col("id").alias("m")))
+    joined = joins.prefix_residual_join(many, wide.where("r = 'r2'"), "k", "o", "t", "p")
+    assert "Aggregate" in joined._jdf.queryExecution().optimizedPlan().toString() and joined.count() == 2 * 200 * 300
+
+
 def test_recursive_chunks_are_handed_on_in_pieces(spark, monkeypatch):
     import pyarrow as pa
 
