@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 MARK = "▁"
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*")
 #: Words, parts of words and pairs of pieces that a Python worker keeps of each; when full, they are dropped and computed again.
-CACHE = 600_000
+CACHE = 300_000
 #: What this worker has learnt of a vocabulary (by its digest), kept for its next task.
 _WARM: dict[str, Pieces] = {}
 #: Characters of documents whose words are sorted together.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 2_000_000
 
 
 def marked_words(text: str) -> list[str]:

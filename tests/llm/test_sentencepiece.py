@@ -79,3 +79,16 @@ def test_empty(spark):
     assert sv.encode(spark.createDataFrame([], SCHEMA)).count() == 0
     with pytest.raises(ValueError):
         sv.Pieces(sv.model_path(), "wordpiece")
+
+
+def test_texts_are_encoded_in_runs_of_bounded_size(spark, monkeypatch):
+    import pyarrow as pa
+
+    df = spark.createDataFrame([(1, "x")], "doc_id long, text string")
+    monkeypatch.setattr(type(df), "withColumnRenamed", lambda self, a, b: self, raising=False)
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, schema: type("Held", (), {"f": staticmethod(f), "withColumnRenamed": lambda s, a, b: s})(), raising=False)
+    work = sv.encode(df).f
+    texts = [f"word {i} and more " * 12_000 for i in range(40)]
+    out = list(work(iter([pa.record_batch({"id": pa.array(range(40), pa.int64()), "text": pa.array(texts)})])))
+    assert sum(len(b) for b in out) == 40 and max(b.nbytes for b in out) < 6_000_000
+    assert all(x for b in out for x in b.column(3).to_pylist())
