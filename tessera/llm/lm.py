@@ -15,13 +15,14 @@ other seats; of more, single customers drawn at random leave and sit down
 again, table sizes kept. Then the parent's tables follow in the same way.
 Samples of the seating are averaged in the predictive probabilities.
 
-Words are dealt out by the word itself and streamed in sorted order: one
-shuffle for the counts, two small ones a round for the totals, one in which
-each block of documents asks the words for what it holds, one that brings the
-answers to the block. No step holds more than a block of documents or the
-contexts of one word, and only single numbers reach the driver. A given number
-of ``contexts``, which the word before is hashed to, keeps all totals in each
-task instead.
+Words are dealt out by runs of their ids (buckets), of which there are more as
+there are more blocks of documents, and packed by bucket: one shuffle for the
+counts, two small ones a round for the totals, one, a share of the buckets at
+a time, in which each block asks the words for what it holds, one that brings
+the answers to the block. No step holds more than a block of documents or the
+words of one bucket with their contexts, and only single numbers reach the
+driver. A given number of ``contexts``, which the word before is hashed to,
+keeps all totals in each task instead; its words are streamed in sorted order.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import random
 import zlib
 from collections import defaultdict
 from collections.abc import Callable, Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
@@ -66,7 +67,7 @@ END = b""
 #: Bytes of text that a task takes apart at once; a longer document is one piece.
 PIECE = 1 << 24
 
-BLOCKS = ("w binary, id long, block long, n_train long, ctxs binary, learned binary, places binary, key string, doc int, n_tokens long, held boolean")
+BLOCKS = ("w binary, block long, n_train long, ctxs binary, learned binary, places binary, key string, doc int, n_tokens long, held boolean")
 CELLS = "w binary, c long, ctx binary, n binary"
 STATE = "w binary, c long, ctx binary, n binary, t binary, sizes binary, root binary, t_sum binary, roots binary"
 
@@ -89,13 +90,25 @@ def _flat(column: pa.Array, dtype) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(raw.tobytes(), dtype), np.diff(offsets) // np.dtype(dtype).itemsize
 
 
+def _squeezed(values: np.ndarray) -> bytes:
+    """Numbers by their first bytes, their second bytes and so on, compressed, after the number of bytes."""
+    raw = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _loosened(data: bytes, dtype) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    raw = pa.decompress(data[8:], size, "zstd", asbytes=True) if size else b""
+    return np.frombuffer(raw, np.uint8).reshape(np.dtype(dtype).itemsize, -1).T.copy().view(dtype).ravel()
+
+
 def _kind(contexts: int | None) -> type:
     """Contexts are numbered, or they are the 64-bit ids of words."""
     return np.uint64 if contexts is None else np.uint16
 
 
 def _ids(words: pa.Array) -> np.ndarray:
-    return pd.util.hash_array(np.array([*words.to_pylist(), None], object)[:-1], categorize=False)
+    return pd.util.hash_array(words.to_numpy(zero_copy_only=False), categorize=False)
 
 
 def _layout(cells: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -156,7 +169,35 @@ class _Block:
         self.held += held
         self.size += len(tokens)
 
+    def whole(self, block: int) -> Iterator[pa.RecordBatch]:
+        """Its words, and its tokens as their numbers, in one row; then its documents."""
+        coded = pa.concat_arrays(self.words).dictionary_encode()
+        words = coded.dictionary
+        lengths, held = np.concatenate(self.lengths), np.array(self.held, bool)
+        order = np.argsort(held, kind="stable")  # learned from, then held out
+        begin = np.cumsum(lengths) - lengths
+        turned = lengths[order]
+        at = np.arange(int(lengths.sum())) + np.repeat(begin[order] - (np.cumsum(turned) - turned), turned)
+        tokens = coded.indices.to_numpy()[np.concatenate(self.tokens)[at]].astype(np.int32)
+        data, size = _flat(words, np.uint8)
+        yield pa.record_batch({
+            "w": pa.array([_squeezed(data)], pa.binary()), "block": pa.array([block]), "n_train": pa.array([int(lengths[~held].sum())]),
+            "ctxs": pa.array([_squeezed(size)], pa.binary()), "learned": pa.nulls(1, pa.binary()), "places": pa.array([_squeezed(tokens)], pa.binary()),
+            "key": pa.nulls(1, pa.string()), "doc": pa.nulls(1, pa.int32()), "n_tokens": pa.nulls(1, pa.int64()), "held": pa.nulls(1, pa.bool_())})
+        yield self.heads(block, order, lengths, held)
+
+    def heads(self, block: int, order: np.ndarray, lengths: np.ndarray, held: np.ndarray) -> pa.RecordBatch:
+        n_docs = len(order)
+        none = pa.nulls(n_docs, pa.binary())
+        return pa.record_batch({
+            "w": none, "block": pa.array(np.full(n_docs, block)), "n_train": pa.nulls(n_docs, pa.int64()), "ctxs": none, "learned": none,
+            "places": none, "key": pa.array([self.keys[i] for i in order.tolist()], pa.string()), "doc": pa.array(range(n_docs), pa.int32()),
+            "n_tokens": pa.array(lengths[order].astype(np.int64)), "held": pa.array(held[order])})
+
     def rows(self, block: int, contexts: int | None) -> Iterator[pa.RecordBatch]:
+        if contexts is None:
+            yield from self.whole(block)
+            return
         coded = pa.concat_arrays(self.words).dictionary_encode()
         words = coded.dictionary
         lengths, tokens, held = np.concatenate(self.lengths), coded.indices.to_numpy()[np.concatenate(self.tokens)], np.array(self.held, bool)
@@ -164,17 +205,11 @@ class _Block:
         order = np.argsort(held, kind="stable")  # learned from, then held out
         doc = np.empty(n_docs, np.uint64)
         doc[order] = np.arange(n_docs, dtype=np.uint64)
-        bits = 16 if contexts is not None else 24
-        if n_words > 1 << 24:
-            raise ValueError("a block of documents has more than 2^24 different words")
-        if contexts is None:  # the block's own numbers until the places are sorted; END, the first word, is before a text
-            ids, of, start = _ids(words), np.arange(n_words, dtype=np.uint64), 0
-        else:
-            of, start = np.fromiter(map(zlib.crc32, words.to_pylist()), np.uint64, n_words) % np.uint64(contexts), contexts
+        of = np.fromiter(map(zlib.crc32, words.to_pylist()), np.uint64, n_words) % np.uint64(contexts)
         before = np.empty(len(tokens), np.uint64)
         before[1:] = of[tokens[:-1]]
-        before[np.cumsum(lengths) - lengths] = start
-        places = tokens.astype(np.uint64) << np.uint64(16 + bits) | before << np.uint64(16) | np.repeat(doc, lengths)
+        before[np.cumsum(lengths) - lengths] = contexts
+        places = tokens.astype(np.uint64) << np.uint64(32) | before << np.uint64(16) | np.repeat(doc, lengths)
         del tokens, before
         places.sort()
         cell = (places >> np.uint64(16)).astype(np.int64)
@@ -190,27 +225,23 @@ class _Block:
         steps = np.diff(at, prepend=np.int32(0))
         steps[starts] = at[starts]
         del at
-        word, ctx = cell >> bits, cell & ((1 << bits) - 1)
+        word, ctx = cell >> 16, cell & 0xFFFF
         cells, count = np.bincount(word, minlength=n_words), np.bincount(word, n, n_words).astype(np.int64)
         packed = np.empty(int(cells.sum() + 2 * count.sum()), np.uint8)
         for where, what in zip(_layout(cells, count), (n, steps & 0xFF, steps >> 8)):
             packed[where] = what
         yield pa.record_batch({
-            "w": words, "id": pa.array(ids.view(np.int64)) if contexts is None else pa.nulls(n_words, pa.int64()),
-            "block": pa.array(np.full(n_words, block)), "n_train": pa.array(np.bincount(word, learned, n_words).astype(np.int64)),
-            "ctxs": _packed(ids[ctx] if contexts is None else ctx.astype(np.uint16), cells), "learned": _packed(learned.astype(np.uint8), cells),
+            "w": words, "block": pa.array(np.full(n_words, block)), "n_train": pa.array(np.bincount(word, learned, n_words).astype(np.int64)),
+            "ctxs": _packed(ctx.astype(np.uint16), cells), "learned": _packed(learned.astype(np.uint8), cells),
             "places": _packed(packed, cells + 2 * count),
             "key": pa.nulls(n_words, pa.string()), "doc": pa.nulls(n_words, pa.int32()), "n_tokens": pa.nulls(n_words, pa.int64()),
             "held": pa.nulls(n_words, pa.bool_())})
-        none = pa.nulls(n_docs, pa.binary())
-        yield pa.record_batch({
-            "w": none, "id": pa.nulls(n_docs, pa.int64()), "block": pa.array(np.full(n_docs, block)), "n_train": pa.nulls(n_docs, pa.int64()), "ctxs": none, "learned": none,
-            "places": none, "key": pa.array([self.keys[i] for i in order.tolist()], pa.string()), "doc": pa.array(range(n_docs), pa.int32()),
-            "n_tokens": pa.array(lengths[order].astype(np.int64)), "held": pa.array(held[order])})
+        yield self.heads(block, order, lengths, held)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], contexts: int | None) -> Iterator[pa.RecordBatch]:
-    """(key, text, held) → a row for each word of a block with its contexts and places there, and one for each document.
+    """(key, text, held) → a row for each word of a block with its contexts and places there (for the whole
+    block where contexts are not numbered, see :meth:`_Block.whole`), and one for each document.
 
     A word's places are sorted by context and document: the contexts, how
     often each comes (in the documents learned from, too), and the steps
@@ -236,6 +267,15 @@ def _blocks(batches: Iterator[pa.RecordBatch], contexts: int | None) -> Iterator
         yield from block.rows(part << 32 | number, contexts)
 
 
+def _opened(row: dict) -> tuple[pa.Array, np.ndarray]:
+    """A block's words, and its (word, word before) pairs in order, as their numbers; END, number 0, is before a text."""
+    size, data = _loosened(row["ctxs"], np.int64), _loosened(row["w"], np.uint8)
+    tokens = _loosened(row["places"], np.int32).astype(np.int64)
+    pairs = tokens << 32
+    pairs[1:] |= tokens[:-1]
+    return _packed(data, size), pairs
+
+
 def _context_counts(batches: Iterator[pa.RecordBatch], kind: type = np.uint16) -> Iterator[pa.RecordBatch]:
     """The contexts of each word of a block among the documents learned from, with their counts."""
     for batch in batches:
@@ -394,12 +434,12 @@ def _drawn(log_weight: np.ndarray, u: np.ndarray) -> np.ndarray:
 class Seats:
     """The seating of some words: t tables in each cell (word, context), and the parent's table sizes."""
 
-    def __init__(self, every: Restaurants, seed: int, words: list[bytes], cells: np.ndarray, ctx: np.ndarray, n: np.ndarray, t: np.ndarray,
+    def __init__(self, every: Restaurants, seed: int, words: list[bytes] | np.ndarray, cells: np.ndarray, ctx: np.ndarray, n: np.ndarray, t: np.ndarray,
                  sizes: dict[int, list[int]], roots: list[list[int]], ones: np.ndarray | int = 0, tables: np.ndarray | None = None) -> None:
-        """``ones``: cells of one customer that a word has besides; ``tables``: those of each cell's context, where contexts are not numbered."""
-        self.all, self.seed, self.words, self.ctx, self.n, self.t, self.sizes, self.roots = every, seed, words, ctx, n, t.copy(), sizes, roots
+        """``words`` or their ``hash``; ``ones``: cells of one customer that a word has besides; ``tables``: those of each cell's context, where contexts are not numbered."""
+        self.all, self.seed, self.ctx, self.n, self.t, self.sizes, self.roots = every, seed, ctx, n, t.copy(), sizes, roots
         self.of = np.repeat(np.arange(len(words)), cells)
-        self.hash = np.array([zlib.crc32(w) << 32 | zlib.crc32(w[::-1]) for w in words], np.uint64)
+        self.hash = words if isinstance(words, np.ndarray) else np.array([zlib.crc32(w) << 32 | zlib.crc32(w[::-1]) for w in words], np.uint64)
         self.n_root = np.bincount(self.of, self.t, len(words)).astype(np.int64) + ones
         self.began = self.n_root.copy()
         self.t_root = np.array([r[0] if k <= BIG_PARENT else len(r) for r, k in zip(roots, self.n_root.tolist())], np.int64)
@@ -555,12 +595,14 @@ def _sampled(batches: Iterator[pa.RecordBatch], every: Restaurants, seed: int, f
             for i in big:
                 sizes[i] = flat[at:at + int(t[i])]
                 at += int(t[i])
-            roots = [np.frombuffer(r, np.int64).tolist() for r in rows["root"].to_pylist()]
-        seats = Seats(every, seed, rows["w"].to_pylist(), cells, ctx, n, t, sizes, roots, ones, tables)
+            flat, per = _flat(rows["root"], np.int64)
+            flat, ends = flat.tolist(), np.cumsum(per)
+            roots = [flat[a:b] for a, b in zip((ends - per).tolist(), ends.tolist())]
+        seats = Seats(every, seed, rows["w"].to_numpy(zero_copy_only=False).tolist(), cells, ctx, n, t, sizes, roots, ones, tables)
         seats.round(first)
         if first:
             tables = tables + seats.t - t if exact else None  # its own ones have changed
-            seats = Seats(every, seed + (1 << 20), seats.words, cells, ctx, n, seats.t, seats.sizes, seats.roots, ones, tables)
+            seats = Seats(every, seed + (1 << 20), seats.hash, cells, ctx, n, seats.t, seats.sizes, seats.roots, ones, tables)
             seats.round(False)
         held = np.bincount(of[big], [len(seats.sizes[i]) for i in big], len(rows)).astype(np.int64) if big else np.zeros(len(rows), np.int64)
         flat = np.array([x for i in big for x in seats.sizes[i]], np.int64)
@@ -574,8 +616,8 @@ def _sampled(batches: Iterator[pa.RecordBatch], every: Restaurants, seed: int, f
 
 
 STATE_COLUMNS = tuple(f.split()[0] for f in STATE.split(", "))
-#: Numbers of the totals besides one per context.
-WORDS, TOKENS, ONCE, TWICE, PARENT, PARENT_TABLES, PARENT_ONCE, PARENT_TWICE = range(-8, 0)
+#: Numbers of the totals besides one per context. LONE words are read once.
+LONE, WORDS, TOKENS, ONCE, TWICE, PARENT, PARENT_TABLES, PARENT_ONCE, PARENT_TWICE = range(-9, 0)
 
 
 def _totals(batches: Iterator[pa.RecordBatch], contexts: int | None, state: bool) -> Iterator[pa.RecordBatch]:
@@ -589,6 +631,7 @@ def _totals(batches: Iterator[pa.RecordBatch], contexts: int | None, state: bool
         if contexts is not None:
             np.add.at(customers, ctx, n)
             np.add.at(tables, ctx, t)
+        extra[LONE] += int(((per == 0) & (ones == 1)).sum())
         per = per + ones
         extra[WORDS] += len(per)
         extra[TOKENS] += int(n.sum() + ones.sum())
@@ -614,14 +657,16 @@ def _discount(once: int, twice: int) -> float:
     return min(0.95, max(0.05, once / (once + 2 * twice))) if once + twice else 0.5
 
 
-def restaurants(rows: DataFrame, contexts: int | None, state: bool) -> Restaurants:
-    """The totals of cells or of a state: at most ``contexts`` + 9 rows reach the driver, 8 without numbered contexts."""
+def restaurants(rows: DataFrame, contexts: int | None, state: bool, lone: int = 0) -> Restaurants:
+    """The totals of cells or of a state, beside which are ``lone`` words read once: at most ``contexts`` + 10 rows reach the driver, 9 without numbered contexts."""
     parts = rows.mapInArrow(partial(_totals, contexts=contexts, state=state), "id int, a long, b long")
     got = {r[0]: (r[1], r[2]) for r in parts.groupBy("id").agg(F.sum("a"), F.sum("b")).collect()}
-    extra = {k: got.get(k, (0, 0))[0] for k in range(-8, 0)}
+    extra = {k: got.get(k, (0, 0))[0] + (lone if k in (WORDS, TOKENS, ONCE, PARENT, PARENT_TABLES, PARENT_ONCE) else 0) for k in range(LONE, 0)}
     by = [got.get(k, (0, 0)) for k in range(contexts + 1)] if contexts is not None else []
-    return Restaurants([a for a, _ in by], [b for _, b in by], extra[PARENT], extra[PARENT_TABLES], _discount(extra[ONCE], extra[TWICE]),
-                       _discount(extra[PARENT_ONCE], extra[PARENT_TWICE]), extra[WORDS], extra[TOKENS])
+    found = Restaurants([a for a, _ in by], [b for _, b in by], extra[PARENT], extra[PARENT_TABLES], _discount(extra[ONCE], extra[TWICE]),
+                        _discount(extra[PARENT_ONCE], extra[PARENT_TWICE]), extra[WORDS], extra[TOKENS])
+    found.lone = extra[LONE]
+    return found
 
 
 def _sorted(df: DataFrame, *by: str) -> DataFrame:
@@ -783,21 +828,94 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-WORD_CELLS = "w binary, id long, chunk long, c long, ones long, once binary, ctx binary, n binary"
-WORD_STATE = STATE + ", id long, chunk long, ones long"
+WORD_CELLS = "w binary, bucket long, chunk long, c long, ones long, once binary, ctx binary, n binary"
+COUNTS = "bucket long, w binary, sizes binary, ctx binary, n binary"
+WORD_STATE = STATE + ", bucket long, chunk long, ones long"
+#: Words, and cells, that a chunk holds at least, and rows and cells that a task packs by bucket together.
+CHUNK, CHUNK_CELLS, PACKED = 1 << 14, 1 << 17, 1 << 20
+#: Shares of the buckets that answer one after another.
+TURNS = 2
+#: Words of a run of ids (a bucket) packed together. What is known of them comes in rows that TOTALS, CELL and SEATED
+#: tell apart by their number; the blocks that ask for them come after, under their own numbers.
+PARTS = "bucket long, number long, words binary, cells binary"
+TOTALS, CELL, SEATED = range(-3, 0)
+
+
+def _different(values: np.ndarray) -> np.ndarray:
+    """The different ones of sorted values."""
+    return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
+
+
+def _pair_counts(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Blocks → by bucket their words among the documents learned from: the text, and the number and the counts of their contexts."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            words, pairs = _opened(row)
+            cells, n = np.unique(pairs[:row["n_train"]], return_counts=True)
+            ids, per = _ids(words), np.bincount(cells >> 32, minlength=len(words))
+            some = np.nonzero(per)[0]
+            order = np.argsort(ids[some])
+            ctx, n = ids[cells & 0xFFFFFFFF], n.astype(np.uint32)
+            at, per, some = _turned(order, per[some]), per[some[order]], some[order]
+            ctx, n, words, ends = ctx[at], n[at], words.take(pa.array(some)), np.concatenate([[0], np.cumsum(per)])
+            buckets = (ids[some] >> np.uint64(64 - bits)).astype(np.int64)
+            starts = np.nonzero(np.diff(buckets, prepend=-1))[0].tolist()
+            for a, b in zip(starts, [*starts[1:], len(some)]):
+                data, size = _flat(words[a:b], np.uint8)
+                yield _rows([(int(buckets[a]), _squeezed(data), _squeezed(np.concatenate([size, per[a:b]])), _squeezed(ctx[ends[a]:ends[b]]), _squeezed(n[ends[a]:ends[b]]))], COUNTS)
+
+
+def _together(parts: list[tuple]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """(words, how many contexts each has, contexts, counts) → the same, every word once and its contexts in order."""
+    coded = pa.concat_arrays([p[0] for p in parts]).dictionary_encode()
+    per, ctx, n = (np.concatenate([p[k] for p in parts]) for k in (1, 2, 3))
+    owner = np.repeat(coded.indices.to_numpy(), per)
+    order = np.lexsort((ctx, owner))
+    owner, ctx = owner[order], ctx[order]
+    starts = np.nonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (ctx[1:] != ctx[:-1])]))[0]
+    return coded.dictionary, np.bincount(owner[starts], minlength=len(coded.dictionary)), ctx[starts], np.add.reduceat(n[order], starts)
+
+
+def _merged_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (COUNTS) sorted by bucket → the bucket's words, c and the counts of their contexts. What blocks say is put together as it grows."""
+    number, parts, size, most = None, [], 0, PLACES
+
+    def out() -> pa.RecordBatch:
+        words, per, ctx, n = _together(parts)
+        c = np.bincount(np.repeat(np.arange(len(per)), per), n, len(per)).astype(np.int64)
+        return pa.record_batch([words, pa.array(np.full(len(words), number)), pa.array(c), _packed(ctx, per), _packed(n, per)], names=["w", "bucket", "c", "ctx", "n"])
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["bucket"] != number:
+                if parts:
+                    yield out()
+                number, parts, size, most = row["bucket"], [], 0, PLACES
+            lengths, per = _loosened(row["sizes"], np.int64).reshape(2, -1)
+            parts.append((_packed(_loosened(row["w"], np.uint8), lengths), per, _loosened(row["ctx"], np.uint64), _loosened(row["n"], np.uint32).astype(np.int64)))
+            size += len(parts[-1][2])
+            if size >= most:
+                parts = [_together(parts)]
+                size = len(parts[0][2])
+                most = max(PLACES, 2 * size)
+    if parts:
+        yield out()
 
 
 def _parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Merged rows with the contexts of one customer apart. The rows of a batch are a chunk, which asks for its contexts together."""
-    part = TaskContext.get().partitionId()
-    for k, batch in enumerate(batches):
+    """A bucket's words, with the contexts of one customer apart. Some buckets are a chunk, which asks for its contexts together."""
+    part, k, words, size = TaskContext.get().partitionId(), 0, 0, 0
+    for batch in _merged_buckets(batches):
+        if words >= CHUNK or size >= CHUNK_CELLS:
+            k, words, size = k + 1, 0, 0
         ctx, per = _flat(batch["ctx"], np.uint64)
         n, _ = _flat(batch["n"], np.int64)
         of, one, rows = np.repeat(np.arange(len(per)), per), n == 1, len(per)
         ones = np.bincount(of[one], minlength=rows)
         more = np.bincount(of[~one], minlength=rows)
+        words, size = words + int((ones + 2 * more > 1).sum()), size + int(more.sum())
         yield pa.record_batch({
-            "w": batch["w"], "id": pa.array(_ids(batch["w"]).view(np.int64)), "chunk": pa.array(np.full(rows, part << 32 | k)), "c": batch["c"],
+            "w": batch["w"], "bucket": batch["bucket"], "chunk": pa.array(np.full(rows, part << 32 | k)), "c": batch["c"],
             "ones": pa.array(ones), "once": _packed(ctx[one], ones), "ctx": _packed(ctx[~one], more), "n": _packed(n[~one], more)})
 
 
@@ -824,39 +942,56 @@ def _context_totals(parts: DataFrame) -> DataFrame:
     return parts.groupBy("ctx").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
 
 
-def learned_words(blocks: DataFrame, samples: int = SAMPLES, seed: int = SEED) -> tuple[DataFrame, list[Restaurants]]:
-    """With every word as a context: a row for each learned word, (id, c, vals, ctx, h), and the totals of each sample.
+def _bits(blocks: DataFrame) -> int:
+    """The bits of a bucket's number: with twice as many buckets as blocks a bucket has about the words of half a block."""
+    return max(8, (2 * blocks.filter("w is not null").count() - 1).bit_length())
 
-    vals: the word's customers as a context, then by sample its tables as a
-    context and its probability in the parent; ctx, h: its contexts and what
-    its own seats there add, summed over the samples.
+
+def _learned_parts(blocks: DataFrame, bits: int, samples: int, seed: int) -> tuple[Callable[[tuple[int, int] | None], DataFrame], list[Restaurants], list[DataFrame]]:
+    """With every word as a context: rows (PARTS) of what was learned of the words, by turn or all (None), the totals of each sample, and the tables that the rows read.
+
+    Words read once sit one way: only the others have a state.
     """
     sums = "ctx long, a long, b long"
-    found = blocks.filter("n_train > 0").select("w", "ctxs", "learned").mapInArrow(partial(_context_counts, kind=np.uint64), "w binary, ctx binary, n binary")
-    cells = written(_sorted(found, "w").mapInArrow(partial(_merged, kind=np.uint64), CELLS).mapInArrow(_parted, WORD_CELLS), "lm-cells")
+    found = blocks.filter("w is not null and n_train > 0").select("w", "ctxs", "n_train", "places").mapInArrow(partial(_pair_counts, bits=bits), COUNTS)
+    cells = written(_sorted(found, "bucket").mapInArrow(_parted, WORD_CELLS), "lm-cells")
     once = written(_context_totals(cells.select(F.col("once").alias("ctx")).mapInArrow(_by_context, sums)), "lm-once")
     first = restaurants(cells, None, False)
-    state, last, kept, totals = cells.drop("once"), None, [], []
+    state, last, kept, totals = cells.filter("c > 1").drop("once"), None, [], []
     for k in range(samples):
         every = kept[-1] if kept else first
-        now = totals[-1] if totals else _context_totals(state.select("ctx", "n").mapInArrow(_by_context, sums).unionByName(once))
+        now = totals[-1] if totals else state.select("ctx", "n").mapInArrow(_by_context, sums)
+        now = _context_totals(now.unionByName(once))
         answers = state.select("chunk", "ctx").mapInArrow(_asked, "ctx long, chunk long").join(now.select("ctx", "b"), "ctx").select("chunk", "ctx", "b")
 
         state = written(state.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_seating(every, seed + k, not kept), WORD_STATE), "lm-seats")
         if last is not None:
             drop_scratch(last)
         last = state
-        totals.append(written(_context_totals(state.select("ctx", "n", "t").mapInArrow(_by_context, sums).unionByName(once)), "lm-tables"))
-        now = restaurants(state, None, True)
+        totals.append(written(_context_totals(state.select("ctx", "n", "t").mapInArrow(_by_context, sums)), "lm-tables"))  # beside those of ``once``
+        now = restaurants(state, None, True, first.lone)
         now.discount, now.parent_discount = first.discount, first.parent_discount
         kept.append(now)
-    named = state.join(cells.select("w", "once"), "w")
-    for k, t in enumerate(totals):
-        named = named.join(t.select(F.col("ctx").alias("id"), *([F.col("a")] if k == 0 else []), F.col("b").alias(f"b{k}")), "id", "left")
-    words = written(named.mapInArrow(partial(_worded, kept=kept), "id long, c long, vals binary, ctx binary, h binary"), "lm-words")
-    for t in (cells, once, last, *totals):
-        drop_scratch(t)
-    return words, kept
+
+    def parts(turn: tuple[int, int] | None) -> DataFrame:
+        here = F.lit(True) if turn is None else F.shiftright(F.col("bucket") * turn[1], bits) == turn[0]
+        dealt = [cells.filter(here).select("w", "c", F.col("once").alias("ctx")).mapInArrow(partial(_cell_parts, bits=bits), PARTS),
+                 state.filter(here).select("w", "ctx", "n", "t_sum", "roots").mapInArrow(partial(_seat_parts, bits=bits), PARTS)]
+        dealt += [t.mapInArrow(partial(_total_parts, bits=bits, turn=turn, sample=k - 1, samples=samples), PARTS) for k, t in enumerate([once, *totals])]
+        return reduce(DataFrame.unionByName, dealt)
+
+    return parts, kept, [cells, once, last, *totals]
+
+
+def learned_words(blocks: DataFrame, samples: int = SAMPLES, seed: int = SEED) -> tuple[DataFrame, list[Restaurants]]:
+    """With every word as a context: a row for each learned word, (id, c, vals, ctx, h), and the totals of each sample.
+
+    vals: the word's customers as a context, then by sample its tables as a
+    context and its probability in the parent; ctx, h: its contexts and what
+    its own seats there add, summed over the samples.
+    """
+    parts, kept, _ = _learned_parts(blocks, _bits(blocks), samples, seed)
+    return _sorted(parts(None), "bucket", "number").mapInArrow(partial(_worded, kept=kept), "id long, c long, vals binary, ctx binary, h binary"), kept
 
 
 def _seating(every: Restaurants, seed: int, first: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -869,120 +1004,273 @@ def _seating(every: Restaurants, seed: int, first: bool) -> Callable[[pa.Table,
         order = np.argsort(known)
         theirs = b[order][np.searchsorted(known, ctx, sorter=order)] if len(ctx) else np.zeros(0, np.int64)
         out = next(_sampled(iter([batch.append_column("tables", _packed(theirs, per))]), every, seed, first))
-        return pa.Table.from_batches([pa.record_batch([*out.columns, batch["id"], batch["chunk"], batch["ones"]], names=[*STATE_COLUMNS, "id", "chunk", "ones"])])
+        return pa.Table.from_batches([pa.record_batch([*out.columns, batch["bucket"], batch["chunk"], batch["ones"]], names=[*STATE_COLUMNS, "bucket", "chunk", "ones"])])
 
     return seated
 
 
-def _worded(batches: Iterator[pa.RecordBatch], kept: list[Restaurants]) -> Iterator[pa.RecordBatch]:
-    samples, d = len(kept), kept[0].discount
+def _turned(order: np.ndarray, per: np.ndarray) -> np.ndarray:
+    """Where the cells of words come from that are put in this order, of which each has so many."""
+    begin, per = (np.cumsum(per) - per)[order], per[order]
+    return np.arange(int(per.sum())) + np.repeat(begin - (np.cumsum(per) - per), per)
+
+
+def _runs(of: np.ndarray, words: np.ndarray, per: np.ndarray, cells: np.ndarray) -> list[tuple[int, bytes, bytes]]:
+    """For each number in ``of``: its words' rows and their cells' rows, packed."""
+    order = np.argsort(of, kind="stable")
+    of, words, cells, ends = of[order], words[order], cells[_turned(order, per)], np.cumsum(per[order])
+    starts = np.nonzero(np.diff(of, prepend=-1))[0].tolist()
+    return [(int(of[a]), _squeezed(words[a:b].T.ravel()), _squeezed(cells[int(ends[a - 1]) if a else 0:int(ends[b - 1])].T.ravel()))
+            for a, b in zip(starts, [*starts[1:], len(of)])]
+
+
+def _dealt(some: list[tuple], bits: int, number: int) -> pa.RecordBatch:
+    """(ids, words' other numbers, cells of each word, cells) → rows (PARTS): id, number of cells and other numbers of the words, and the cells."""
+    ids, words, per, cells = (np.concatenate(x) for x in zip(*some))
+    words = np.concatenate([ids.view(np.int64)[:, None], per[:, None], words], axis=1)
+    rows = _runs((ids >> np.uint64(64 - bits)).astype(np.int64), words, per, cells)
+    return _rows([(bucket, number, *packed) for bucket, *packed in rows], PARTS)
+
+
+def _in_turn(turn: tuple[int, int] | None, bits: int, ids: np.ndarray, words: np.ndarray, per: np.ndarray, cells: np.ndarray) -> tuple:
+    """Those whose buckets have the turn, which is one of so many."""
+    if turn is None:
+        return ids, words, per, cells
+    here = (ids >> np.uint64(64 - bits)) * np.uint64(turn[1]) >> np.uint64(bits) == turn[0]
+    return ids[here], words[here], per[here], cells[np.repeat(here, per)]
+
+
+def _parts(batches: Iterator[pa.RecordBatch], bits: int, number: int, of: Callable[[pa.RecordBatch], tuple], turn: tuple[int, int] | None = None) -> Iterator[pa.RecordBatch]:
+    some, size = [], 0
     for batch in batches:
-        rows = len(batch)
-        roots = _flat(batch["roots"], np.int64)[0].reshape(rows, samples, 2)
-        here = [batch[k].fill_null(0).to_numpy() for k in ("a", *[f"b{k}" for k in range(samples)])]
-        vals = np.stack([*here, *[r.parent(roots[:, k, 0], roots[:, k, 1]) for k, r in enumerate(kept)]], axis=1).astype(np.float64)
-        one, ones = _flat(batch["once"], np.uint64)
-        ctx, per = _flat(batch["ctx"], np.uint64)
-        n, t = _flat(batch["n"], np.int64)[0], _flat(batch["t_sum"], np.int64)[0]
-        order = np.argsort(np.concatenate([np.repeat(np.arange(rows), ones), np.repeat(np.arange(rows), per)]), kind="stable")
-        h = np.concatenate([np.full(len(one), samples * (1 - d)), samples * n - d * t])
-        yield pa.record_batch({"id": batch["id"], "c": batch["c"], "vals": _packed(vals.ravel(), np.full(rows, vals.shape[1])),
-                               "ctx": _packed(np.concatenate([one, ctx])[order], ones + per), "h": _packed(h[order], ones + per)})
+        found = _in_turn(turn, bits, *of(batch)) if len(batch) else ([],)
+        if len(found[0]):
+            some.append(found)
+            size += len(found[0]) + found[3].size
+            if size >= PACKED:
+                yield _dealt(some, bits, number)
+                some, size = [], 0
+    if some:
+        yield _dealt(some, bits, number)
+
+
+def _cell_parts(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Learned words: how often they come, and their contexts of one customer."""
+
+    def of(batch: pa.RecordBatch) -> tuple:
+        ctx, per = _flat(batch["ctx"], np.int64)
+        return _ids(batch["w"]), batch["c"].to_numpy()[:, None], per, ctx[:, None]
+
+    return _parts(batches, bits, CELL, of)
+
+
+def _seat_parts(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """Words read more than once: their customers and tables in the parent, and their other contexts with customers and summed tables."""
+
+    def of(batch: pa.RecordBatch) -> tuple:
+        ctx, per = _flat(batch["ctx"], np.int64)
+        return _ids(batch["w"]), _flat(batch["roots"], np.int64)[0].reshape(len(batch), -1), per, np.stack([ctx, *(_flat(batch[k], np.int64)[0] for k in ("n", "t_sum"))], axis=1)
+
+    return _parts(batches, bits, SEATED, of)
+
+
+def _total_parts(batches: Iterator[pa.RecordBatch], bits: int, turn: tuple[int, int] | None, sample: int, samples: int) -> Iterator[pa.RecordBatch]:
+    """What a table adds to the contexts' customers and their tables by sample; -1: that of all samples. Customers are the same in each."""
+
+    def of(batch: pa.RecordBatch) -> tuple:
+        vals = np.zeros((len(batch), 1 + samples), np.int64)
+        if sample < 1:
+            vals[:, 0] = batch["a"].to_numpy()
+        vals[:, slice(1, None) if sample < 0 else slice(1 + sample, 2 + sample)] = batch["b"].to_numpy()[:, None]
+        return batch["ctx"].to_numpy().view(np.uint64), vals, np.zeros(len(batch), np.int64), np.zeros((0, 1), np.int64)
+
+    return _parts(batches, bits, TOTALS, of, turn)
+
+
+def _wanted(batches: Iterator[pa.RecordBatch], bits: int, turn: tuple[int, int] | None) -> Iterator[pa.RecordBatch]:
+    """Blocks → rows (PARTS) of their words: their numbers in the block, and the words they come after there."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            words, pairs = _opened(row)
+            pairs.sort()
+            cells, ids = _different(pairs), _ids(words)
+            per = np.bincount(cells >> 32, minlength=len(words))
+            asks = _in_turn(turn, bits, ids, np.arange(len(words))[:, None], per, ids.view(np.int64)[cells & 0xFFFFFFFF][:, None])
+            if len(asks[0]):
+                yield _dealt([asks], bits, row["block"])
+
+
+def _read(row: dict, words: int, cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words' numbers and the cells', by column."""
+    return _loosened(row["words"], np.int64).reshape(words, -1), _loosened(row["cells"], np.int64).reshape(cells, -1)
+
+
+class _Bucket:
+    """What is known of the words of a bucket.
+
+    ids; c, customers and tables by sample as a context, customers and tables in the parent by sample; and by cell, with
+    ``per`` of them for each word: contexts, customers, summed tables.
+    """
+
+    def __init__(self, parts: list[dict], samples: int) -> None:
+        found = {kind: [_read(r, *shape) for r in parts if r["number"] == kind]
+                 for kind, shape in ((TOTALS, (3 + samples, 1)), (CELL, (3, 1)), (SEATED, (2 + 2 * samples, 3)))}
+        self.ids = np.concatenate([np.zeros(0, np.int64), *(w[0] for some in found.values() for w, _ in some)])
+        self.ids.sort()
+        self.ids = _different(self.ids)
+        self.known = np.zeros((len(self.ids), 2 + 3 * samples), np.int64)
+        owners, cells = [np.zeros(0, np.int64)], [np.zeros((3, 0), np.int64)]
+        for words, _ in found[TOTALS]:
+            np.add.at(self.known[:, 1:2 + samples], np.searchsorted(self.ids, words[0]), words[2:].T)
+        for words, ctx in found[CELL]:
+            at = np.searchsorted(self.ids, words[0])
+            np.add.at(self.known[:, 0], at, words[2])
+            self.known[at, 2 + samples:] = 1  # a word read once
+            owners.append(np.repeat(at, words[1]))
+            cells.append(np.stack([ctx[0], np.ones(ctx.shape[1], np.int64), np.full(ctx.shape[1], samples, np.int64)]))
+        for words, seats in found[SEATED]:
+            at = np.searchsorted(self.ids, words[0])
+            self.known[at, 2 + samples:] = words[2:].T
+            owners.append(np.repeat(at, words[1]))
+            cells.append(seats)
+        owner, cells = np.concatenate(owners), np.concatenate(cells, axis=1)
+        order = np.argsort(owner, kind="stable")
+        self.owner, self.per = owner[order], np.bincount(owner, minlength=len(self.ids))
+        self.ctx, self.n, self.t = cells[:, order]
+        self.key = None
+
+    def asked(self, ids: np.ndarray, per: np.ndarray, ctx: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What is known of these words and cells; zeros for what was not learned."""
+        if self.key is None:
+            key = _pair(self.ctx, self.owner)
+            self.order = np.argsort(key)
+            self.key = key[self.order]
+        words, cells = np.zeros((len(ids), self.known.shape[1]), np.int64), np.zeros((len(ctx), 2), np.int64)
+        if len(self.ids):
+            at = np.minimum(np.searchsorted(self.ids, ids), len(self.ids) - 1)
+            here = self.ids[at] == ids
+            words[here] = self.known[at[here]]
+            asking = np.nonzero(np.repeat(here, per))[0]
+            of = np.repeat(at, per)[asking]
+            if len(self.key):
+                found = np.minimum(np.searchsorted(self.key, _pair(ctx[asking], of)), len(self.key) - 1)
+                found = self.order[found]
+                hit = (self.ctx[found] == ctx[asking]) & (self.owner[found] == of)
+                cells[asking[hit], 0], cells[asking[hit], 1] = self.n[found[hit]], self.t[found[hit]]
+        return words, cells
+
+
+def _buckets(batches: Iterator[pa.RecordBatch], samples: int) -> Iterator[tuple[_Bucket, dict | None]]:
+    """Rows (PARTS) sorted by bucket and number → each bucket with None, then with each row that asks for some of its words."""
+    number, parts, bucket = None, [], None
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["bucket"] != number:
+                if bucket is None and number is not None:
+                    yield _Bucket(parts, samples), None
+                number, parts, bucket = row["bucket"], [], None
+            if row["number"] < 0:
+                parts.append(row)
+                continue
+            if bucket is None:
+                bucket, parts = _Bucket(parts, samples), []
+                yield bucket, None
+            yield bucket, row
+    if bucket is None and number is not None:
+        yield _Bucket(parts, samples), None
+
+
+def _in_parent(known: np.ndarray, kept: list[Restaurants]) -> np.ndarray:
+    """By word and sample the probability in the parent."""
+    at = 2 + len(kept)
+    return np.stack([r.parent(known[:, at + 2 * k], known[:, at + 2 * k + 1]) for k, r in enumerate(kept)], axis=1)
+
+
+def _worded(batches: Iterator[pa.RecordBatch], kept: list[Restaurants]) -> Iterator[pa.RecordBatch]:
+    samples = len(kept)
+    for b, _ in _buckets(batches, samples):
+        vals = np.concatenate([b.known[:, 1:2 + samples], _in_parent(b.known, kept)], axis=1)
+        yield pa.record_batch({"id": pa.array(b.ids), "c": pa.array(b.known[:, 0]), "vals": _packed(vals.ravel(), np.full(len(b.ids), vals.shape[1])),
+                               "ctx": _packed(b.ctx, b.per), "h": _packed(samples * b.n - kept[0].discount * b.t, b.per)})
 
 
 def _pair(ctx: np.ndarray, of: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return ctx ^ (of.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        return ctx.view(np.uint64) ^ (of.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-def _answered(batches: Iterator[pa.RecordBatch], kept: list[Restaurants]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by the word's id, what was learned of it before the blocks that hold it → (block, id, c, vals, h by the block's cells)."""
-    samples = len(kept)
-    width = 1 + 2 * samples
-    none = np.array([0] * (1 + samples) + [r.parent(0, 0) for r in kept], np.float64)
-    last_id, last = None, (0, none, np.zeros(0, np.uint64), np.zeros(0))  # the word at hand goes over the ends of batches
-    for batch in batches:
-        if not len(batch):
-            continue
-        ids, number = batch["id"].to_numpy(), batch["number"].to_numpy()
-        known = number < 0
-        new = batch.filter(pa.array(known))
-        ctx, per = _flat(new["ctx"], np.uint64)
-        c = np.concatenate([[last[0], 0], new["c"].to_numpy()])
-        vals = np.concatenate([last[1][None], none[None], _flat(new["vals"], np.float64)[0].reshape(-1, width)])
-        sizes = np.concatenate([[len(last[2]), 0], per])
-        ctx, h = np.concatenate([last[2], ctx]), np.concatenate([last[3], _flat(new["h"], np.float64)[0]])
-        at = np.concatenate([[-1], np.nonzero(known)[0]])[np.cumsum(known)]  # the last row of a word up to here
-        of = np.where((at >= 0) & (ids[at] == ids), np.cumsum(known) + 1, np.where(ids == last_id if last_id is not None else False, 0, 1))
-        s, ends = int(of[-1]), np.cumsum(sizes)
-        one = slice(int(ends[s] - sizes[s]), int(ends[s]))
-        last_id, last = ids[-1], (int(c[s]), vals[s], ctx[one], h[one])
-        asks = np.nonzero(~known)[0]
-        if not len(asks):
+def _answered(batches: Iterator[pa.RecordBatch], samples: int) -> Iterator[pa.RecordBatch]:
+    """Rows (PARTS) sorted by bucket and number → by block some of its words: their numbers and what is known of them, and their cells' customers and summed tables."""
+    some, size = [], 0
+
+    def out() -> pa.RecordBatch:
+        return _rows(_runs(*(np.concatenate(x) for x in zip(*some))), "block long, words binary, cells binary")
+
+    for bucket, row in _buckets(batches, samples):
+        if row is None:
             continue
-        rows = batch.take(pa.array(asks))
-        wanted, cells = _flat(rows["ctx"], np.uint64)
-        word = of[asks]
-        mine, theirs = np.repeat(np.arange(len(c)), sizes), np.repeat(word, cells)
-        key, want = _pair(ctx, mine), _pair(wanted, theirs)
-        order = np.argsort(key)
-        found = np.searchsorted(key, want, sorter=order)
-        found[found == len(key)] = 0
-        got = np.zeros(len(want))
-        if len(key):
-            at = order[found]
-            hit = (ctx[at] == wanted) & (mine[at] == theirs)
-            got[hit] = h[at[hit]]
-        yield pa.record_batch({"block": rows["number"], "id": rows["id"], "c": pa.array(c[word].astype(np.int64)),
-                               "vals": _packed(vals[word].ravel(), np.full(len(word), width)), "h": _packed(got, cells)})
+        words, ctx = _read(row, 3, 1)
+        known, cells = bucket.asked(words[0], words[1], ctx[0])
+        some.append((np.full(len(known), row["number"]), np.concatenate([words[2][:, None], known], axis=1), words[1], cells))
+        size += known.size + cells.size
+        if size >= PLACES:
+            yield out()
+            some, size = [], 0
+    if some:
+        yield out()
 
 
 FOUND = "key string, n_tokens long, held boolean, score double, base_score double, n_known long"
 
 
 def _scored_block(rows: pa.Table, answers: pa.Table, kept: list[Restaurants]) -> pa.Table:
-    """A block's places and documents, and what was learned of its words → its documents with their sums."""
+    """A block's words, tokens and documents, and what was learned of its words → its documents with their sums."""
     samples, d = len(kept), kept[0].discount
     n_all, v = kept[0].tokens, kept[0].vocabulary
     heads = rows.filter(pc.is_null(rows["w"])).select(["doc", "key", "n_tokens", "held"]).sort_by("doc")
-    words = rows.filter(pc.is_valid(rows["w"])).sort_by("id").combine_chunks().to_batches()[0]
-    said = answers.sort_by("id").combine_chunks().to_batches()[0]
-    ids = words["id"].to_numpy().view(np.uint64)
-    ctxs, cells = _flat(words["ctxs"], np.uint64)
-    raw, size = _flat(words["places"], np.uint8)
-    count, low, high = _layout(cells, (size - cells) // 2)
-    n = raw[count].astype(np.int64)
-    docs = _unstepped(raw[low] | raw[high].astype(np.uint16) << 8, n)
-    of = np.repeat(np.arange(len(ids)), cells)
-    signed = np.argsort(ids)
-    before = signed[np.searchsorted(ids, ctxs, sorter=signed)]  # every context is a word of the block
-    vals = _flat(said["vals"], np.float64)[0].reshape(len(ids), -1)
-    p = _flat(said["h"], np.float64)[0].copy()
+    words, pairs = _opened(rows.filter(pc.is_valid(rows["w"])).to_pylist()[0])
+    cells, of = np.unique(pairs, return_inverse=True)
+    per = np.bincount(cells >> 32, minlength=len(words))
+    begin = np.cumsum(per) - per
+    known, seats = np.zeros((len(words), 2 + 3 * samples), np.int64), np.zeros((len(cells), 2), np.int64)
+    for part in answers.to_pylist():
+        said = _loosened(part["words"], np.int64).reshape(3 + 3 * samples, -1)
+        number, counts = said[0], per[said[0]]
+        known[number] = said[1:].T
+        at = np.arange(int(counts.sum())) + np.repeat(begin[number] - (np.cumsum(counts) - counts), counts)
+        seats[at] = _loosened(part["cells"], np.int64).reshape(2, -1).T
+    word, before = cells >> 32, cells & 0xFFFFFFFF
+    parents = _in_parent(known, kept)
+    p = samples * seats[:, 0] - d * seats[:, 1]
     for k in range(samples):
-        p += (STRENGTH + d * vals[:, 1 + k])[before] * vals[:, 1 + samples + k][of]
-    p /= samples * (STRENGTH + vals[:, 0][before])
-    c = said["c"].to_numpy()
+        p += (STRENGTH + d * known[:, 2 + k])[before] * parents[word, k]
+    p /= samples * (STRENGTH + known[:, 1][before])
+    c, token, every = known[:, 0], pairs >> 32, len(heads)
+    docs = np.repeat(np.arange(every), heads["n_tokens"].to_numpy())
     base = np.log10((c + 0.5) / (n_all + 0.5 * (v + 1)))
-    of, every = np.repeat(of, n), len(heads)
-    score, base, known = (np.bincount(docs, x, every) for x in (np.repeat(np.log10(p), n), base[of], (c > 0)[of]))
+    score, base, known = (np.bincount(docs, x, every) for x in (np.log10(p)[of], base[token], (c > 0)[token]))
     return pa.table({"key": heads["key"], "n_tokens": heads["n_tokens"], "held": heads["held"], "score": pa.array(score), "base_score": pa.array(base),
                      "n_known": pa.array(np.rint(known).astype(np.int64))})
 
 
 def _by_words(blocks: DataFrame, samples: int, seed: int) -> tuple[DataFrame, int]:
     """Every word is a context: documents with their sums, and the number of tokens learned from."""
-    words, kept = learned_words(blocks, samples, seed)
-    asks = blocks.filter("w is not null").select("id", F.col("block").alias("number"), F.lit(None).cast("long").alias("c"), F.lit(None).cast("binary").alias("vals"),
-                                                 F.col("ctxs").alias("ctx"), F.lit(None).cast("binary").alias("h"))
-    said = words.select("id", F.lit(-1).cast("long").alias("number"), "c", "vals", "ctx", "h")
-    answers = written(_sorted(said.unionByName(asks), "id", "number").mapInArrow(partial(_answered, kept=kept), "block long, id long, c long, vals binary, h binary"),
-                      "lm-answers")
-    drop_scratch(words)
+    bits = _bits(blocks)
+    parts, kept, tables = _learned_parts(blocks, bits, samples, seed)
+    whole = blocks.filter("w is not null").select("block", "w", "ctxs", "places")
+    answers = []
+    for turn in ((k, TURNS) for k in range(TURNS)):  # a share of the buckets at a time, so that not all of them lie in shuffle files together
+        asks = whole.mapInArrow(partial(_wanted, bits=bits, turn=turn), PARTS)
+        asked = _sorted(parts(turn).unionByName(asks), "bucket", "number")
+        answers.append(written(asked.mapInArrow(partial(_answered, samples=samples), "block long, words binary, cells binary"), "lm-answers"))
+    answers = reduce(DataFrame.unionByName, answers)
+    for t in tables:
+        drop_scratch(t)
 
     def scored(rows: pa.Table, answers: pa.Table) -> pa.Table:
         return _scored_block(rows, answers, kept)
 
-    held = blocks.select("block", "w", "id", "ctxs", "places", "doc", "key", "n_tokens", "held")
+    held = blocks.select("block", "w", "ctxs", "places", "doc", "key", "n_tokens", "held")
     return held.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(scored, FOUND), kept[0].tokens
 
 

@@ -1,6 +1,7 @@
 """The language model against plain counts, exact seating probabilities and held-out text."""
 
 import math
+import pathlib
 import random
 import re
 import zlib
@@ -334,3 +335,88 @@ def test_scores_equal_the_averaged_predictive_with_every_word_as_context(spark,
     for i, t in rows:
         want = sum(math.log10(p(number(a), number(b))) for a, b in zip(["", *tokens_of(t)], tokens_of(t)))
         assert got[i]["score"] == pytest.approx(want, rel=1e-9) and got[i]["n_tokens"] == len(tokens_of(t))
+
+
+def _texts(n, words, seed=5):
+    rnd = random.Random(seed)
+    common = [f"w{i}" for i in range(2000)]
+    return [(i, " ".join(rnd.choice(common) if rnd.random() < 0.9 else f"x{rnd.randrange(1 << 40):x}" for _ in range(words))) for i in range(n)]
+
+
+def test_blocks_take_no_more_disk_than_the_documents(spark, tmp_path, monkeypatch):
+    """All that is written stays under a bound in sizes of the input; blocks alone took more than twice the documents."""
+    df = spark.createDataFrame(_texts(3000, 120), SCHEMA).repartition(2)
+    size = lambda path: sum(f.stat().st_size for f in path.rglob("*.parquet"))
+    df.write.option("compression", "zstd").parquet(str(tmp_path / "in"))
+    sizes, write = {}, lm.written
+
+    def written(table, name):
+        out = write(table, name)
+        sizes[name] = size(pathlib.Path(out.scratch_path.removeprefix("file://").removeprefix("file:")))
+        return out
+
+    monkeypatch.setattr(lm, "written", written)
+    lm.lm_scores(spark.read.parquet(str(tmp_path / "in")), F.col("doc_id") % 5 == 1).count()
+    whole = size(tmp_path / "in")
+    assert 0 < sizes["lm-blocks"] < 1.1 * whole
+    assert 0 < sizes["lm-seats"] < 0.6 * whole  # words read once have no seats to keep
+
+
+def test_shares_of_buckets_give_the_same_scores(spark, monkeypatch):
+    rows = [*_texts(200, 40), (900, None), (901, "w1 w1 w1 w1"), (902, "w1 unseen w2")]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    held = F.col("doc_id") % 5 == 2
+    found = lambda: {r["doc_id"]: tuple(r) for r in lm.lm_scores(df, held).collect()}
+    want = found()
+    assert len(want) == len(rows)
+    monkeypatch.setattr(lm, "TURNS", 3)
+    got = found()
+    assert got.keys() == want.keys()
+    for i, r in want.items():
+        assert got[i][:5] == r[:5] and got[i][5:] == pytest.approx(r[5:], rel=1e-9)
+
+
+def test_packed_counts_and_answers_hold_every_cell(monkeypatch):
+    for k, v in (("PACKED", 50), ("CHUNK", 7), ("CHUNK_CELLS", 5), ("PLACES", 40), ("BLOCK", 900)):
+        monkeypatch.setattr(lm, k, v)
+    monkeypatch.setattr(lm.TaskContext, "get", staticmethod(lambda: type("At", (), {"partitionId": lambda self: 3})()))
+    rows, bits = [*_texts(150, 30), (900, None), (901, "w1 w1 w1 w1")], 3
+    batch = pa.record_batch({"key": pa.array([str(i) for i, _ in rows]), "text": pa.array([t for _, t in rows]), "held": pa.array([i % 5 == 2 for i, _ in rows])})
+    blocks = [b for b in lm._blocks(iter([batch]), None) if not b["w"].null_count]
+    number = lambda w: int(lm._ids(pa.array([w], pa.binary()))[0])
+    cells, held_out = Counter(), set()
+    for i, t in rows:
+        for last, w in zip(["", *tokens_of(t)], tokens_of(t)):
+            if i % 5 != 2:
+                cells[number(last.encode()), w.encode()] += 1
+            else:
+                held_out.add((number(last.encode()), w.encode()))
+    counts = sorted((c for b in blocks for c in lm._pair_counts(iter([b]), bits)), key=lambda c: c["bucket"][0].as_py())
+    merged, got = list(lm._parted(iter(counts))), Counter()
+    assert len(blocks) > 5 and len({r["chunk"] for b in merged for r in b.to_pylist()}) > 2
+    for r in (r for b in merged for r in b.to_pylist()):
+        got.update({(int(c), r["w"]): 1 for c in np.frombuffer(r["once"], np.uint64)})
+        got.update({(int(c), r["w"]): int(n) for c, n in zip(np.frombuffer(r["ctx"], np.uint64), np.frombuffer(r["n"], np.int64))})
+        assert r["c"] == sum(n for (_, w), n in cells.items() if w == r["w"]) and r["bucket"] == number(r["w"]) >> 64 - bits
+    assert got == cells
+    known = [b.select(["w", "c"]).append_column("ctx", b["once"]) for b in merged]
+    seated = [pa.record_batch({"w": b["w"], "ctx": b["ctx"], "n": b["n"], "t_sum": b["n"], "roots": lm._packed(np.full(4 * len(b), 5), np.full(len(b), 4))}) for b in merged]
+    parts = [*lm._cell_parts(iter(known), bits), *lm._seat_parts(iter(seated), bits), *(a for k in range(2) for a in lm._wanted(iter(blocks), bits, (k, 2)))]
+    table = pa.Table.from_batches(parts).sort_by([("bucket", "ascending"), ("number", "ascending")])
+    answers = [r for b in lm._answered(iter(table.to_batches(max_chunksize=7)), 2) for r in b.to_pylist()]
+    for b in blocks:
+        words, pairs = lm._opened(b.to_pylist()[0])
+        pairs = np.unique(pairs)
+        per = np.bincount(pairs >> 32, minlength=len(words))
+        ids, seen = lm._ids(words), 0
+        for r in (r for r in answers if r["block"] == b["block"][0].as_py()):
+            said, n = lm._loosened(r["words"], np.int64).reshape(9, -1), lm._loosened(r["cells"], np.int64).reshape(2, -1)[0]
+            at = 0
+            for w, c in zip(said[0].tolist(), said[1].tolist()):
+                ctxs = ids[pairs[pairs >> 32 == w] & 0xFFFFFFFF].tolist()
+                text = words[w].as_py()
+                assert n[at:at + per[w]].tolist() == [cells[x, text] for x in ctxs]
+                assert all((x, text) in cells or (x, text) in held_out for x in ctxs) and c == sum(k for (_, x), k in cells.items() if x == text)
+                at, seen = at + int(per[w]), seen + 1
+            assert at == len(n)
+        assert seen == len(words)
