@@ -659,7 +659,8 @@ def _discount(once: int, twice: int) -> float:
 
 def restaurants(rows: DataFrame, contexts: int | None, state: bool, lone: int = 0) -> Restaurants:
     """The totals of cells or of a state, beside which are ``lone`` words read once: at most ``contexts`` + 10 rows reach the driver, 9 without numbered contexts."""
-    parts = rows.mapInArrow(partial(_totals, contexts=contexts, state=state), "id int, a long, b long")
+    needed = rows.select(*(c for c in ("ctx", "n", "ones", "t", "root") if c in rows.columns))
+    parts = needed.mapInArrow(partial(_totals, contexts=contexts, state=state), "id int, a long, b long")
     got = {r[0]: (r[1], r[2]) for r in parts.groupBy("id").agg(F.sum("a"), F.sum("b")).collect()}
     extra = {k: got.get(k, (0, 0))[0] + (lone if k in (WORDS, TOKENS, ONCE, PARENT, PARENT_TABLES, PARENT_ONCE) else 0) for k in range(LONE, 0)}
     by = [got.get(k, (0, 0)) for k in range(contexts + 1)] if contexts is not None else []
@@ -862,7 +863,7 @@ def _pair_counts(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Re
             starts = np.nonzero(np.diff(buckets, prepend=-1))[0].tolist()
             for a, b in zip(starts, [*starts[1:], len(some)]):
                 data, size = _flat(words[a:b], np.uint8)
-                yield _rows([(int(buckets[a]), _squeezed(data), _squeezed(np.concatenate([size, per[a:b]])), _squeezed(ctx[ends[a]:ends[b]]), _squeezed(n[ends[a]:ends[b]]))], COUNTS)
+                yield _rows([(int(buckets[a]), _squeezed(data), _squeezed(np.concatenate([size, per[a:b]])), ctx[ends[a]:ends[b]].tobytes(), _squeezed(n[ends[a]:ends[b]]))], COUNTS)
 
 
 def _together(parts: list[tuple]) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
@@ -892,7 +893,7 @@ def _merged_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                     yield out()
                 number, parts, size, most = row["bucket"], [], 0, PLACES
             lengths, per = _loosened(row["sizes"], np.int64).reshape(2, -1)
-            parts.append((_packed(_loosened(row["w"], np.uint8), lengths), per, _loosened(row["ctx"], np.uint64), _loosened(row["n"], np.uint32).astype(np.int64)))
+            parts.append((_packed(_loosened(row["w"], np.uint8), lengths), per, np.frombuffer(row["ctx"], np.uint64), _loosened(row["n"], np.uint32).astype(np.int64)))
             size += len(parts[-1][2])
             if size >= most:
                 parts = [_together(parts)]
@@ -974,10 +975,12 @@ def _learned_parts(blocks: DataFrame, bits: int, samples: int, seed: int) -> tup
         kept.append(now)
 
     def parts(turn: tuple[int, int] | None) -> DataFrame:
-        here = F.lit(True) if turn is None else F.shiftright(F.col("bucket") * turn[1], bits) == turn[0]
+        here, theirs = F.lit(True), F.lit(True)
+        if turn is not None:
+            here, theirs = (F.shiftright(k * turn[1], bits) == turn[0] for k in (F.col("bucket"), F.shiftrightunsigned("ctx", 64 - bits)))
         dealt = [cells.filter(here).select("w", "c", F.col("once").alias("ctx")).mapInArrow(partial(_cell_parts, bits=bits), PARTS),
                  state.filter(here).select("w", "ctx", "n", "t_sum", "roots").mapInArrow(partial(_seat_parts, bits=bits), PARTS)]
-        dealt += [t.mapInArrow(partial(_total_parts, bits=bits, turn=turn, sample=k - 1, samples=samples), PARTS) for k, t in enumerate([once, *totals])]
+        dealt += [t.filter(theirs).mapInArrow(partial(_total_parts, bits=bits, sample=k - 1, samples=samples), PARTS) for k, t in enumerate([once, *totals])]
         return reduce(DataFrame.unionByName, dealt)
 
     return parts, kept, [cells, once, last, *totals]
@@ -1016,11 +1019,12 @@ def _turned(order: np.ndarray, per: np.ndarray) -> np.ndarray:
 
 
 def _runs(of: np.ndarray, words: np.ndarray, per: np.ndarray, cells: np.ndarray) -> list[tuple[int, bytes, bytes]]:
-    """For each number in ``of``: its words' rows and their cells' rows, packed."""
+    """For each number in ``of``: its words' rows and their cells' rows, packed; ids alone, which do not get smaller, as they are."""
     order = np.argsort(of, kind="stable")
     of, words, cells, ends = of[order], words[order], cells[_turned(order, per)], np.cumsum(per[order])
     starts = np.nonzero(np.diff(of, prepend=-1))[0].tolist()
-    return [(int(of[a]), _squeezed(words[a:b].T.ravel()), _squeezed(cells[int(ends[a - 1]) if a else 0:int(ends[b - 1])].T.ravel()))
+    pack = np.ndarray.tobytes if cells.shape[1] == 1 else _squeezed
+    return [(int(of[a]), _squeezed(words[a:b].T.ravel()), pack(cells[int(ends[a - 1]) if a else 0:int(ends[b - 1])].T.ravel()))
             for a, b in zip(starts, [*starts[1:], len(of)])]
 
 
@@ -1032,21 +1036,12 @@ def _dealt(some: list[tuple], bits: int, number: int) -> pa.RecordBatch:
     return _rows([(bucket, number, *packed) for bucket, *packed in rows], PARTS)
 
 
-def _in_turn(turn: tuple[int, int] | None, bits: int, ids: np.ndarray, words: np.ndarray, per: np.ndarray, cells: np.ndarray) -> tuple:
-    """Those whose buckets have the turn, which is one of so many."""
-    if turn is None:
-        return ids, words, per, cells
-    here = (ids >> np.uint64(64 - bits)) * np.uint64(turn[1]) >> np.uint64(bits) == turn[0]
-    return ids[here], words[here], per[here], cells[np.repeat(here, per)]
-
-
-def _parts(batches: Iterator[pa.RecordBatch], bits: int, number: int, of: Callable[[pa.RecordBatch], tuple], turn: tuple[int, int] | None = None) -> Iterator[pa.RecordBatch]:
+def _parts(batches: Iterator[pa.RecordBatch], bits: int, number: int, of: Callable[[pa.RecordBatch], tuple]) -> Iterator[pa.RecordBatch]:
     some, size = [], 0
     for batch in batches:
-        found = _in_turn(turn, bits, *of(batch)) if len(batch) else ([],)
-        if len(found[0]):
-            some.append(found)
-            size += len(found[0]) + found[3].size
+        if len(batch):
+            some.append(of(batch))
+            size += len(batch) + some[-1][3].size
             if size >= PACKED:
                 yield _dealt(some, bits, number)
                 some, size = [], 0
@@ -1074,7 +1069,7 @@ def _seat_parts(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Rec
     return _parts(batches, bits, SEATED, of)
 
 
-def _total_parts(batches: Iterator[pa.RecordBatch], bits: int, turn: tuple[int, int] | None, sample: int, samples: int) -> Iterator[pa.RecordBatch]:
+def _total_parts(batches: Iterator[pa.RecordBatch], bits: int, sample: int, samples: int) -> Iterator[pa.RecordBatch]:
     """What a table adds to the contexts' customers and their tables by sample; -1: that of all samples. Customers are the same in each."""
 
     def of(batch: pa.RecordBatch) -> tuple:
@@ -1084,25 +1079,27 @@ def _total_parts(batches: Iterator[pa.RecordBatch], bits: int, turn: tuple[int,
         vals[:, slice(1, None) if sample < 0 else slice(1 + sample, 2 + sample)] = batch["b"].to_numpy()[:, None]
         return batch["ctx"].to_numpy().view(np.uint64), vals, np.zeros(len(batch), np.int64), np.zeros((0, 1), np.int64)
 
-    return _parts(batches, bits, TOTALS, of, turn)
+    return _parts(batches, bits, TOTALS, of)
 
 
-def _wanted(batches: Iterator[pa.RecordBatch], bits: int, turn: tuple[int, int] | None) -> Iterator[pa.RecordBatch]:
-    """Blocks → rows (PARTS) of their words: their numbers in the block, and the words they come after there."""
+def _wanted(batches: Iterator[pa.RecordBatch], bits: int, turn: tuple[int, int]) -> Iterator[pa.RecordBatch]:
+    """Blocks → rows (PARTS) of those of their words whose buckets have the turn, which is one of so many: their numbers in the block, and the words they come after there."""
     for batch in batches:
         for row in batch.to_pylist():
             words, pairs = _opened(row)
             pairs.sort()
             cells, ids = _different(pairs), _ids(words)
             per = np.bincount(cells >> 32, minlength=len(words))
-            asks = _in_turn(turn, bits, ids, np.arange(len(words))[:, None], per, ids.view(np.int64)[cells & 0xFFFFFFFF][:, None])
-            if len(asks[0]):
-                yield _dealt([asks], bits, row["block"])
+            here = np.nonzero((ids >> np.uint64(64 - bits)) * np.uint64(turn[1]) >> np.uint64(bits) == turn[0])[0]
+            if len(here):
+                asked = cells[_turned(here, per)] & 0xFFFFFFFF
+                yield _dealt([(ids[here], here[:, None], per[here], ids.view(np.int64)[asked][:, None])], bits, row["block"])
 
 
 def _read(row: dict, words: int, cells: int) -> tuple[np.ndarray, np.ndarray]:
     """The words' numbers and the cells', by column."""
-    return _loosened(row["words"], np.int64).reshape(words, -1), _loosened(row["cells"], np.int64).reshape(cells, -1)
+    own = np.frombuffer(row["cells"], np.int64) if cells == 1 else _loosened(row["cells"], np.int64)
+    return _loosened(row["words"], np.int64).reshape(words, -1), own.reshape(cells, -1)
 
 
 class _Bucket:
