@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from os.path import commonprefix
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 _WORDS = re.compile(f"{MARK}+[^{MARK}]*")
-#: Words, parts of words and pairs of pieces that a Python worker keeps of each; when full, they are dropped and computed again.
+#: Words that a Python worker keeps of the recent ones and as many of those before; pairs of pieces that it keeps.
 CACHE = 300_000
 #: What this worker has learnt of a vocabulary (by its digest), kept for its next task.
 _WARM: dict[str, Pieces] = {}
@@ -74,19 +73,19 @@ class Pieces:
         self.digest = hashlib.sha256(repr((kind, unk, names, scores, sorted(byte.items()), plain)).encode()).hexdigest()
         self.ids = {names[i]: i for i in plain}
         self.scores = {names[i]: scores[i] for i in plain}
-        lengths: dict[str, set[int]] = {}
-        for p in self.ids:
-            lengths.setdefault(p[-3:], {1}).add(len(p))
-        #: by three characters (or fewer, of shorter texts): the lengths that a piece ending in them may have, longest first
-        self.ends = {end: tuple(sorted(n | ({2} if end[-2:] in self.ids else set()), reverse=True)) for end, n in lengths.items()}
+        self.long: dict[str, list[int]] = {}  # by four characters: the lengths of the pieces that end in them, longest first
+        for p in sorted(self.ids, key=len, reverse=True):
+            if len(p) > 3 and len(p) not in (found := self.long.setdefault(p[-4:], [])):
+                found.append(len(p))
+        self.ends: dict[str, tuple[int, ...]] = {}  # what ``sizes`` has found
         #: two characters that stand side by side in some piece; between others no piece crosses
         self.pairs = {p[i:i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.byte_id = {b: i for i, b in byte.items()}
         self.unk_score = min(self.scores.values(), default=0.0) - 10
         self.fits: dict[tuple[str, str], bool] = {}
         self.packed = {p: np.int32(i).tobytes() for p, i in self.ids.items()}
-        self.atoms: dict[str, bytes] = {}  # int32 ids of parts of words
-        self.known: dict[str, bytes] = {}  # int32 ids of words, which lack their first mark
+        self.known: dict[str, bytes] = {}  # int32 ids of recent words, which lack their first mark
+        self.older: dict[str, bytes] = {}  # those of the words before them
 
     def merged(self, text: str) -> list[str]:
         """BPE of a short string: the adjacent pair that makes the best piece merges first, the leftmost of equals."""
@@ -108,49 +107,53 @@ class Pieces:
             if len(self.fits) > CACHE:
                 self.fits.clear()
             whole = before + piece
-            fits = self.fits[before, piece] = not before or whole not in self.scores and self.merged(whole) == [before, piece]
+            apart = not before or before[-1] + piece[0] not in self.pairs
+            fits = self.fits[before, piece] = apart or whole not in self.scores and self.merged(whole) == [before, piece]
         return fits
 
+    def sizes(self, end: str) -> tuple[int, ...]:
+        """The lengths over 1 that the last piece of a text may have, longest first, by its last four characters (or fewer, if it has no more)."""
+        sizes = self.ends.get(end)
+        if sizes is None:
+            if len(self.ends) > CACHE:
+                self.ends.clear()
+            sizes = self.ends[end] = (*self.long.get(end, ()), *(n for n in (3, 2) if n <= len(end) and end[-n:] in self.ids))
+        return sizes
+
     def pack(self, piece: str) -> bytes:
         """The int32 ids of a piece: its own, or those of its bytes, or the unknown one."""
         own = [self.byte_id[b] for b in piece.encode("utf-8", "surrogatepass")] if self.byte_id else [self.unk]
         return np.array(own, np.int32).tobytes()
 
-    def cut(self, word: str) -> list[str]:
-        """The parts of a marked word between which no piece can cross."""
-        pairs, at, parts = self.pairs, 0, []
-        for i in range(1, len(word)):
-            if word[i - 1:i + 1] not in pairs:
-                parts.append(word[at:i])
-                at = i
-        parts.append(word[at:])
-        return parts
-
     def segment(self, words: list[str]) -> Iterator[list[str]]:
         """The pieces of each of the sorted ``words``."""
-        ids, scores, fits, ends, bpe = self.ids, self.scores, self.fits, self.ends, self.kind == "bpe"
+        ids, fits, ends, bpe = self.ids, self.fits, self.ends, self.kind == "bpe"
         before, last, score = "", [""], [0.0]
         for word in words:
-            same = len(commonprefix((before, word)))
+            same = 0
+            for a, b in zip(before, word):  # noqa: B905  one may be shorter
+                if a != b:
+                    break
+                same += 1
             del last[same + 1:], score[same + 1:]
             for end in range(same + 1, len(word) + 1):
-                best, top = word[end - 1], None
-                three = word[end - 3 if end > 3 else 0:end]
-                for size in ends.get(three) or ((2, 1) if three[-2:] in ids and end > 1 else (1,)):
-                    start = end - size
-                    if start < 0:
-                        continue
-                    piece = word[start:end]
-                    if size > 1 and piece not in ids:
-                        continue
-                    if not bpe:
-                        if top is None or score[start] + scores.get(piece, self.unk_score) > top:
-                            best, top = piece, score[start] + scores.get(piece, self.unk_score)
-                    elif (stands := fits.get((last[start], piece))) or stands is None and self.stands(last[start], piece):
-                        best = piece
-                        break
+                four = word[end - 4 if end > 4 else 0:end]
+                sizes = ends.get(four)
+                if sizes is None:
+                    sizes = self.sizes(four)
+                best = word[end - 1]  # if no longer piece may end here
+                if bpe:
+                    for size in sizes:
+                        if size <= end and (piece := word[end - size:end]) in ids:
+                            before_it = last[end - size]
+                            stands = fits.get((before_it, piece))
+                            if stands or stands is None and self.stands(before_it, piece):
+                                best = piece
+                                break
+                else:
+                    best, top = self.likeliest(word, end, sizes, score)
+                    score.append(top)
                 last.append(best)
-                score.append(top or 0.0)
             pieces, end = [], len(word)
             while end:
                 pieces.append(last[end])
@@ -158,23 +161,30 @@ class Pieces:
             yield pieces[::-1]
             before = word
 
+    def likeliest(self, word: str, end: int, sizes: tuple[int, ...], score: list[float]) -> tuple[str, float]:
+        """The last piece of the best segmentation of ``word[:end]`` and its score, from the scores of the prefixes."""
+        best, top = "", None
+        for size in (*sizes, 1):
+            piece = word[end - size:end] if size <= end else ""
+            if piece and (size == 1 or piece in self.ids):
+                found = score[end - size] + self.scores.get(piece, self.unk_score)
+                if top is None or found > top:
+                    best, top = piece, found
+        return best, top
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The int32 ids of each text."""
         marked = [marked_words(t) for t in texts]
-        known, atoms, packed, distinct = self.known, self.atoms, self.packed, set().union(*marked)
-        new = distinct.difference(known)
-        if len(known) + len(new) > CACHE:
-            known.clear()
-            new = distinct
-        parts = {word: self.cut(MARK + word) for word in new}
-        wanted = set().union(*parts.values())
-        if len(atoms) + len(wanted) > CACHE:
-            atoms.clear()
-        fresh = sorted(wanted.difference(atoms))
-        for atom, pieces in zip(fresh, self.segment(fresh), strict=True):
-            atoms[atom] = b"".join([packed.get(p) or self.pack(p) for p in pieces])
-        for word, cut in parts.items():
-            known[word] = atoms[cut[0]] if len(cut) == 1 else b"".join([atoms[a] for a in cut])
+        distinct, packed = set().union(*marked), self.packed
+        missing = distinct.difference(self.known)
+        if len(self.known) + len(missing) > CACHE:
+            self.known, self.older, missing = {}, self.known, distinct
+        known, older = self.known, self.older
+        new = missing.difference(older)
+        known.update((word, older[word]) for word in missing.difference(new))  # words in use stay
+        fresh = sorted(new)
+        for word, pieces in zip(fresh, self.segment([MARK + word for word in fresh]), strict=True):
+            known[word] = b"".join([packed.get(p) or self.pack(p) for p in pieces])
         return [np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32) for words in marked]
 
     def decode(self, ids: np.ndarray) -> str:
@@ -183,7 +193,7 @@ class Pieces:
         if byte and not byte.keys().isdisjoint(ids):
             text = b"".join(bytes((byte[i],)) if i in byte else names[i].encode() for i in ids).decode("utf-8", "replace")
         else:
-            text = "".join([names[i] for i in ids])
+            text = "".join(map(names.__getitem__, ids))
         text = text.replace(MARK, " ")
         return text[1:] if text[:1] == " " else text
 

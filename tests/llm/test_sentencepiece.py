@@ -92,3 +92,15 @@ def test_texts_are_encoded_in_runs_of_bounded_size(spark, monkeypatch):
     out = list(work(iter([pa.record_batch({"id": pa.array(range(40), pa.int64()), "text": pa.array(texts)})])))
     assert sum(len(b) for b in out) == 40 and max(b.nbytes for b in out) < 6_000_000
     assert all(x for b in out for x in b.column(3).to_pylist())
+
+
+def test_words_in_use_outlast_a_full_cache(monkeypatch):
+    monkeypatch.setattr(sv, "CACHE", 60)
+    pieces, seen = sv.Pieces(sv.model_path()), []
+    segment = pieces.segment
+    monkeypatch.setattr(pieces, "segment", lambda words: seen.extend(words) or segment(words))
+    usual = " ".join(f"usual{i}" for i in range(20))
+    for i in range(30):
+        pieces.encode([usual + "".join(f" rare{i}x{j}" for j in range(10))])
+    assert len(seen) == len(set(seen)) == 20 + 30 * 10  # each word is walked once, however often the cache was full
+    assert len(pieces.known) <= 60 and len(pieces.older) <= 60
