@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -557,6 +558,21 @@ def test_distinct_counts_over_prefix_sets(spark):
     assert {(r.who, r.org): r.n for r in got.collect()} == {k: len(x) for k, x in found.items()}
 
 
+@pytest.mark.parametrize("match", ["prefix", "prefix+domain"])
+def test_registry_fan_out_is_whole_and_spread_over_tasks(spark, match):
+    orgs = ["o1", "o2", "o3", None]
+    opts = [(i, f"{i % 4:02d}{i:013d}", orgs[i % 3]) for i in range(400)] + [(400, None, "o1"), (401, "0", "o1"), (402, "", None), (403, "12", "o2"), (403, "12", "o2")]
+    registry = [(seg, f"p{i % 7}", orgs[i % 4]) for seg in (0, 1, 2, 123, None) for i in range(joins.REGISTRY_RUN * 2 + 9)] + [(9, None, "o2")]
+    got = joins.partner_match(spark.createDataFrame(opts, "po_id long, iuv string, organization_fiscal_code string").coalesce(1),
+                              spark.createDataFrame(registry, "segregazione int, id_intermediario_pa string, id_dominio string"), match)
+    assert got.columns == ["po_id", "iuv", "organization_fiscal_code", "iuv_prefix", "segregazione", "id_intermediario_pa", "id_dominio", "seg_key"]
+    want = Counter((*o, *r) for o in opts for r in registry if o[1] is not None and r[0] is not None and o[1][:2] == str(r[0])[:2].rjust(2, "0")
+                   and (match == "prefix" or None not in (o[2], r[2]) and o[2] == r[2]))
+    rows = got.select(*got.columns[:3], *got.columns[4:7], F.spark_partition_id().alias("task")).collect()
+    assert Counter(tuple(r)[:6] for r in rows) == want
+    assert max(Counter(r.task for r in rows).values()) < len(rows) / 2  # one task held them all
+
+
 def test_sketches_of_days_merge_to_one_pass(spark):
     facts = spark.range(60_000).selectExpr("id % 3 AS grp", "id % 7 AS day", "cast(id % 25000 AS string) AS v")
     once = {r.grp: r.n for r in joins.merge_sketches(joins.distinct_sketches(facts, "v", ["grp"]), ["grp"], "n").collect()}
