@@ -573,6 +573,20 @@ def test_registry_fan_out_is_whole_and_spread_over_tasks(spark, match):
     assert max(Counter(r.task for r in rows).values()) < len(rows) / 2  # one task held them all
 
 
+def test_one_prefix_is_spread_over_tasks_without_broadcast(spark):
+    opts = [(i, f"07{i:013d}") for i in range(400)] + [(5, "070000000000005"), (400, None), (401, "7"), (402, "08")]
+    registry = [(seg, f"p{i % 7}") for seg in (7, None, 9) for i in range(joins.REGISTRY_RUN + 9)]
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = joins.partner_match(spark.createDataFrame(opts, "po_id long, iuv string"), spark.createDataFrame(registry, "segregazione int, id_intermediario_pa string"))
+        rows = got.select("po_id", "iuv", "segregazione", "id_intermediario_pa", F.spark_partition_id().alias("task")).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert Counter(tuple(r)[:4] for r in rows) == Counter((*o, *r) for o in opts for r in registry if r[0] == 7 and (o[1] or "").startswith("07"))
+    assert max(Counter(r.task for r in rows).values()) < len(rows) / 2  # the prefix was one task's
+
+
 def test_sketches_of_days_merge_to_one_pass(spark):
     facts = spark.range(60_000).selectExpr("id % 3 AS grp", "id % 7 AS day", "cast(id % 25000 AS string) AS v")
     once = {r.grp: r.n for r in joins.merge_sketches(joins.distinct_sketches(facts, "v", ["grp"]), ["grp"], "n").collect()}
